@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions.typing import column_type
@@ -32,9 +32,8 @@ def element(value: Column | str) -> Column:
     return F.concat(F.length(value).cast("string"), F.lit(":"), value, F.lit(","))
 
 
-def uuid_from(preimage: Column) -> Column:
-    """SHA-256 of the preimage in UUID form: version nibble 8, variant bits 10."""
-    digest = F.sha2(preimage, 256)
+def uuid_from(digest: Column) -> Column:
+    """A SHA-256 in hexadecimal as a UUID: version nibble 8, variant bits 10."""
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat(
         F.substring(digest, 1, 8), F.lit("-"),
@@ -45,14 +44,20 @@ def uuid_from(preimage: Column) -> Column:
     )
 
 
+def with_uuids(df: DataFrame, **preimages: Column) -> DataFrame:
+    """Add one UUID column per preimage. Each digest gets a column first, so it is made only once."""
+    digests = df.withColumns({name: F.sha2(preimage, 256) for name, preimage in preimages.items()})
+    return digests.withColumns({name: uuid_from(F.col(name)) for name in preimages})
+
+
 def identity(group: str, key_values: Sequence[Column]) -> Column:
-    """Row id from KEY values in dictionary order. A blank or missing value counts as ''."""
+    """Row id preimage from KEY values in dictionary order. A blank or missing value counts as ''."""
     blanks_kept = [element(F.coalesce(value, F.lit(""))) for value in key_values]
-    return uuid_from(F.concat(element(IDENTITY_KIND), element(group), *blanks_kept))
+    return F.concat(element(IDENTITY_KIND), element(group), *blanks_kept)
 
 
 def parent_identity(parent: str | None, key_values: Sequence[Column | None]) -> Column:
-    """The parent's row id, seen from the child.
+    """The parent's row id preimage, seen from the child.
 
     A ``None`` entry is a heading the child does not carry; a column that is NULL on some rows is a
     heading those rows' files do not carry. Either makes the link unresolvable: NULL.
@@ -60,7 +65,7 @@ def parent_identity(parent: str | None, key_values: Sequence[Column | None]) ->
     if parent is None or not key_values or any(value is None for value in key_values):
         return F.lit(None).cast("string")
     elements = [element(value) for value in key_values]
-    return uuid_from(F.concat(element(IDENTITY_KIND), element(parent), *elements))
+    return F.concat(element(IDENTITY_KIND), element(parent), *elements)
 
 
 def canonical_number(value: Column) -> Column:
@@ -81,14 +86,12 @@ def cell_prefix(heading: Column | str, unit: Column | str, code: Column | str) -
 
 
 def content_from(group: str, cells: Column) -> Column:
-    """Content key from an array of encoded cells in heading order; NULL entries are blank cells."""
-    return uuid_from(
-        F.concat(element(CONTENT_KIND), element(group), F.array_join(cells, ""))
-    )
+    """Content preimage from an array of encoded cells in heading order; NULL entries are blank cells."""
+    return F.concat(element(CONTENT_KIND), element(group), F.array_join(cells, ""))
 
 
 def content(group: str, columns: Sequence[tuple[str, str, str, Column]]) -> Column:
-    """Content key of a row given as ``(heading, unit, type code, raw text)`` entries."""
+    """Content preimage of a row given as ``(heading, unit, type code, raw text)`` entries."""
     encoded = []
     for heading, unit, code, value in sorted(columns, key=lambda entry: entry[0]):
         numeric = column_type(code) in ("double", "bigint")
@@ -97,4 +100,4 @@ def content(group: str, columns: Sequence[tuple[str, str, str, Column]]) -> Colu
         encoded.append(
             F.when(F.trim(value) != "", F.concat(prefix, element(text))).otherwise(F.lit(""))
         )
-    return uuid_from(F.concat(element(CONTENT_KIND), element(group), *encoded))
+    return F.concat(element(CONTENT_KIND), element(group), *encoded)

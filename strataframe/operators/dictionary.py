@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
@@ -179,17 +179,25 @@ class GroupSpec:
     known: bool = True
 
 
+def _newest_rows(dictionary: DataFrame, group: str) -> list[Row]:
+    """The dictionary rows of one group, from the newest edition that has each heading."""
+    edition = F.col("edition") if "edition" in dictionary.columns else F.lit("")
+    rows = dictionary.where(F.col("group") == group).select(
+        "parent", "heading", "status", "ordinal", edition_rank(edition).alias("rank")
+    )
+    newest = {row.heading: row for row in sorted(rows.collect(), key=lambda row: [n or 0 for n in row.rank])}
+    return list(newest.values())
+
+
 def group_spec(dictionary: DataFrame, group: str, allow_custom: bool = False) -> GroupSpec:
     """Look a group and its parent up. Reads the dictionary rows of these two groups only."""
-    headings = union_dictionary(dictionary) if "edition" in dictionary.columns else dictionary
-    columns = ("group", "parent", "heading", "status", "ordinal")
-    own = headings.where(F.col("group") == group).select(*columns).collect()
+    own = _newest_rows(dictionary, group)
     if not own:
         if allow_custom:
             return GroupSpec(group, known=False)
         raise DeliveryError(f"group '{group}' is not in the dictionary; pass allow_custom=True to read it without keys")
     parent = next((row.parent for row in own if row.parent), None)
-    above = headings.where(F.col("group") == parent).select(*columns).collect() if parent else []
+    above = _newest_rows(dictionary, parent) if parent else []
 
     def key_headings(rows) -> tuple[str, ...]:
         wanted = [row for row in rows if row.status.startswith(KEY_STATUS)]

@@ -126,13 +126,19 @@ def group_table(
         has_heading = F.get("places", F.lit(index[name.upper()])).isNotNull()
         return F.when(has_heading, F.coalesce(raw(name), F.lit("")))
 
-    identity = keys.identity(spec.group, [own_key(k) for k in spec.keys]) if spec.known else F.lit(None).cast("string")
-    return rows.select(
+    no_key = F.lit(None).cast("string")
+    keyed = keys.with_uuids(
+        rows,
+        _id=keys.identity(spec.group, [own_key(k) for k in spec.keys]) if spec.known else no_key,
+        _parent_id=keys.parent_identity(spec.parent, [carried_key(k) for k in spec.parent_keys]),
+        _content_hash=keys.content_from(spec.group, _encoded_cells()),
+    )
+    return keyed.select(
         *([F.col("source").alias("_source_file")] if with_source else []),
-        identity.alias("_id"),
-        keys.parent_identity(spec.parent, [carried_key(k) for k in spec.parent_keys]).alias("_parent_id"),
+        "_id",
+        "_parent_id",
         *[typing.typed_cell(raw(name), kind).alias(name) for name, kind in layout.columns],
-        keys.content_from(spec.group, _encoded_cells()).alias("_content_hash"),
+        "_content_hash",
     )
 
 
@@ -149,9 +155,15 @@ def keyed_table(df: DataFrame, spec: GroupSpec, headings: Sequence[tuple[str, st
     def carried(name: str) -> Column | None:
         return F.coalesce(F.col(name), F.lit("")) if name in names else None
 
-    return df.select(
-        keys.identity(spec.group, [F.col(k) for k in spec.keys]).alias("_id"),
-        keys.parent_identity(spec.parent, [carried(k) for k in spec.parent_keys]).alias("_parent_id"),
+    keyed = keys.with_uuids(
+        df,
+        _id=keys.identity(spec.group, [F.col(k) for k in spec.keys]),
+        _parent_id=keys.parent_identity(spec.parent, [carried(k) for k in spec.parent_keys]),
+        _content_hash=keys.content(spec.group, [(n, u, c, F.col(n)) for n, u, c in headings]),
+    )
+    return keyed.select(
+        "_id",
+        "_parent_id",
         *[typing.typed_cell(F.col(name), typing.column_type(code)).alias(name) for name, _, code in headings],
-        keys.content(spec.group, [(n, u, c, F.col(n)) for n, u, c in headings]).alias("_content_hash"),
+        "_content_hash",
     )

@@ -53,15 +53,10 @@ class Delivery:
         """
         paths = [paths] if isinstance(paths, str) else list(paths)
         charset = resolve_encoding(encoding)
-        whole = pieces.needs_whole_file(charset)
-        limit = section_file_bytes
-        sections = split_files = None
-        if whole or pieces.has_files(spark, paths, limit, large=False):
-            sections = pieces.file_sections(spark, paths, charset, limit, max_file_bytes)
-        if not whole and pieces.has_files(spark, paths, limit, large=True):
-            split_files = pieces.SplitFiles(spark, paths, charset, limit, max_file_bytes)
-        if sections is None and split_files is None:
-            raise DeliveryError(f"no files to read in {', '.join(paths)}")
+        sections = pieces.file_sections(spark, paths, charset, section_file_bytes, max_file_bytes)
+        split_files = None
+        if not pieces.needs_whole_file(charset) and pieces.has_large_files(spark, paths, section_file_bytes):
+            split_files = pieces.SplitFiles(spark, paths, charset, section_file_bytes, max_file_bytes)
         return cls(spark, dictionary, sections, split_files)
 
     @classmethod

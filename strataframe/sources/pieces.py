@@ -85,11 +85,9 @@ def _is_large(limit: int) -> Column:
     return (size > limit) | path.rlike(COMPRESSED)
 
 
-def has_files(spark: SparkSession, paths: Sequence[str], limit: int, large: bool) -> bool:
-    """Whether any of the files is large (or small). Spark answers this from the file listing."""
-    wanted = _is_large(limit) if large else ~_is_large(limit)
-    found = spark.read.text(list(paths)).where(wanted)
-    return found.select(F.lit(1)).limit(1).count() > 0
+def has_large_files(spark: SparkSession, paths: Sequence[str], limit: int) -> bool:
+    """Whether any file is large. The listing decides which files the check opens at all: only those."""
+    return bool(spark.read.text(list(paths)).where(_is_large(limit)).select(F.lit(1)).limit(1).collect())
 
 
 def file_sections(
@@ -221,18 +219,17 @@ class SplitFiles:
         )
         return lines.mapInArrow(_section_runs(keep_rows), RUN_SCHEMA)
 
-    def spans(self) -> DataFrame:
-        """One row per section and split it touches, with the section's headers and byte range.
+    def numbered_runs(self, keep_rows: bool) -> DataFrame:
+        """Runs of lines with their section number and byte offset in the whole file.
 
-        Built by one pass over the files that keeps only header records, then stored: it is the
-        table all later reads of these files join to.
+        What is carried from split to split is one row per split, so this costs no shuffle of text
+        beyond the bodies of the runs, which without ``keep_rows`` are header records only.
         """
-        if self._spans is not None:
-            return self._spans
-        runs = self._runs(keep_rows=False)
+        runs = self._runs(keep_rows)
         by_split = Window.partitionBy("source").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
         splits = (
-            runs.groupBy("source", "blk")
+            self._runs(keep_rows=False)
+            .groupBy("source", "blk")
             .agg(F.max("ls").alias("groups"), F.sum("nb").alias("bytes"))
             .select(
                 "source",
@@ -241,7 +238,7 @@ class SplitFiles:
                 F.coalesce(F.sum("bytes").over(by_split), F.lit(0)).alias("bytes_before"),
             )
         )
-        numbered = runs.join(splits, ["source", "blk"]).select(
+        return runs.join(splits, ["source", "blk"]).select(
             "source",
             "blk",
             "ls",
@@ -250,7 +247,17 @@ class SplitFiles:
             "nb",
             "n_data",
             "body",
-        ).where("section_no > 0")
+        )
+
+    def spans(self) -> DataFrame:
+        """One row per section and split it touches, with the section's headers and byte range.
+
+        Built by one pass over the files that keeps only header records, then stored: it is the
+        table all later reads of these files join to.
+        """
+        if self._spans is not None:
+            return self._spans
+        numbered = self.numbered_runs(keep_rows=False).where("section_no > 0")
         with charset_rules(self._spark, self._charset):
             readable = numbered.withColumn("body", decoded(F.col("body"), self._charset))
         sections = self._section_heads(readable)

@@ -84,7 +84,7 @@ def build_section_index(
     """One row per section of every uncompressed file; a redeclared group has several spans."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     parts = [_small_file_spans(spark, paths, section_file_bytes, max_file_bytes)]
-    if pieces.has_files(spark, paths, section_file_bytes, large=True):
+    if pieces.has_large_files(spark, paths, section_file_bytes):
         split_files = pieces.SplitFiles(spark, paths, UTF8, section_file_bytes, max_file_bytes)
         plain = split_files.heads().where(~F.col("source").rlike(pieces.COMPRESSED))
         files = file_listing(spark, paths).drop("location")
