@@ -24,6 +24,8 @@ from strataframe.functions.typing import column_type
 # The first element of each kind of preimage.
 IDENTITY_KIND, CONTENT_KIND = "id", "row"
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+# Sign, digits without leading zeros, fraction without trailing zeros.
+NUMBER_PARTS = r"^(?:\+|(-))?0*([0-9]*?)(?:\.0*|(\.[0-9]*?[1-9])0*)?$"
 
 
 def element(value: Column | str) -> Column:
@@ -69,16 +71,15 @@ def parent_identity(parent: str | None, key_values: Sequence[Column | None]) ->
 
 
 def canonical_number(value: Column) -> Column:
-    """A plain decimal number as canonical text; anything else unchanged."""
+    """A plain decimal number as canonical text; anything else unchanged.
+
+    Written as a chain in which every step appears once, so that generated code stays small.
+    """
     text = F.trim(value)
-    digits = F.ltrim(text, F.lit("+-"))
-    short = F.when(
-        F.contains(digits, F.lit(".")), F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
-    ).otherwise(digits)
-    bare = F.ltrim(short, F.lit("0"))
-    whole = F.when((bare == "") | F.startswith(bare, F.lit(".")), F.concat(F.lit("0"), bare)).otherwise(bare)
-    signed = F.when(F.startswith(text, F.lit("-")) & (whole != "0"), F.concat(F.lit("-"), whole)).otherwise(whole)
-    return F.when(text.rlike(PLAIN_NUMBER), signed).otherwise(value)
+    trimmed = F.regexp_replace(text, F.lit(NUMBER_PARTS), F.lit("$1$2$3"))
+    led = F.regexp_replace(trimmed, F.lit(r"^(-?)(?=\.|$)"), F.lit("$10"))
+    zero_unsigned = F.regexp_replace(led, F.lit("^-0$"), F.lit("0"))
+    return F.when(text.rlike(PLAIN_NUMBER), zero_unsigned).otherwise(value)
 
 
 def cell_prefix(heading: Column | str, unit: Column | str, code: Column | str) -> Column:

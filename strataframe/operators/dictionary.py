@@ -150,17 +150,20 @@ def relationships(dictionary: DataFrame) -> DataFrame:
     child_keys = keyed.select(F.col("group").alias("child"), "heading")
     parent_keys = keyed.select(F.col("group").alias("parent"), "heading", "ordinal")
     shared = edges.join(child_keys, "child").join(parent_keys, ["parent", "heading"])
-    listed = ordered_concat(shared, ["child", "parent"], "ordinal", "heading", "shared_keys", ",")
+    listed = ordered_concat(shared, ["child", "parent"], ["ordinal"], "heading", "shared_keys", ",")
     return edges.join(listed, ["child", "parent"], "left").select(
         "child", "parent", F.coalesce("shared_keys", F.lit("")).alias("shared_keys")
     )
 
 
 def ordered_concat(
-    df: DataFrame, group_by: list[str], order: str, value: str, name: str, separator: str
+    df: DataFrame, group_by: list[str], order: list[str], value: str, name: str, separator: str
 ) -> DataFrame:
-    """Ordered string aggregation: the values of each group in order, joined into one string."""
-    entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v"))))
+    """Ordered string aggregation: the values of each group in order, joined into one string.
+
+    The result is one string per group, so it suits groups that fit a cell, such as key lists.
+    """
+    entries = F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("string").alias("v"))))
     joined = F.array_join(F.transform(entries, lambda entry: entry["v"]), separator)
     return df.groupBy(*group_by).agg(joined.alias(name))
 
