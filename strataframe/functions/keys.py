@@ -1,4 +1,4 @@
-"""Deterministic row keys, built only from column expressions.
+"""Deterministic row keys, as SQL expressions.
 
 Three keys, each a version-8 UUID made from the SHA-256 of a preimage:
 
@@ -16,9 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.functions.text import literal
 from strataframe.functions.typing import column_type
 
 # The first element of each kind of preimage.
@@ -26,79 +27,72 @@ IDENTITY_KIND, CONTENT_KIND = "id", "row"
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 # Sign, digits without leading zeros, fraction without trailing zeros.
 NUMBER_PARTS = r"^(?:\+|(-))?0*([0-9]*?)(?:\.0*|(\.[0-9]*?[1-9])0*)?$"
+NO_KEY = "cast(null as string)"
 
 
-def element(value: Column | str) -> Column:
-    if isinstance(value, str):
-        return F.lit(f"{len(value)}:{value},")
-    return F.concat(F.length(value).cast("string"), F.lit(":"), value, F.lit(","))
+def fixed(value: str) -> str:
+    """A preimage element known when the plan is built."""
+    return literal(f"{len(value)}:{value},")
 
 
-def uuid_from(digest: Column) -> Column:
+def element(value: str) -> str:
+    return f"concat(length({value}), ':', {value}, ',')"
+
+
+def concat(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
+
+
+def uuid_sql(digest: str) -> str:
     """A SHA-256 in hexadecimal as a UUID: version nibble 8, variant bits 10."""
-    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat(
-        F.substring(digest, 1, 8), F.lit("-"),
-        F.substring(digest, 9, 4), F.lit("-8"),
-        F.substring(digest, 14, 3), F.lit("-"),
-        variant, F.substring(digest, 18, 3), F.lit("-"),
-        F.substring(digest, 21, 12),
+    variant = f"translate(substring({digest}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab')"
+    return (
+        f"concat(substring({digest}, 1, 8), '-', substring({digest}, 9, 4), '-8', substring({digest}, 14, 3), "
+        f"'-', {variant}, substring({digest}, 18, 3), '-', substring({digest}, 21, 12))"
     )
 
 
-def with_uuids(df: DataFrame, **preimages: Column) -> DataFrame:
+def with_uuids(df: DataFrame, **preimages: str) -> DataFrame:
     """Add one UUID column per preimage. Each digest gets a column first, so it is made only once."""
-    digests = df.withColumns({name: F.sha2(preimage, 256) for name, preimage in preimages.items()})
-    return digests.withColumns({name: uuid_from(F.col(name)) for name in preimages})
+    digests = df.withColumns({key: F.expr(f"sha2({preimage}, 256)") for key, preimage in preimages.items()})
+    return digests.withColumns({key: F.expr(uuid_sql(key)) for key in preimages})
 
 
-def identity(group: str, key_values: Sequence[Column]) -> Column:
+def identity(group: str, key_values: Sequence[str]) -> str:
     """Row id preimage from KEY values in dictionary order. A blank or missing value counts as ''."""
-    blanks_kept = [element(F.coalesce(value, F.lit(""))) for value in key_values]
-    return F.concat(element(IDENTITY_KIND), element(group), *blanks_kept)
+    return concat(fixed(IDENTITY_KIND), fixed(group), *[element(f"coalesce({value}, '')") for value in key_values])
 
 
-def parent_identity(parent: str | None, key_values: Sequence[Column | None]) -> Column:
+def parent_identity(parent: str | None, key_values: Sequence[str | None]) -> str:
     """The parent's row id preimage, seen from the child.
 
-    A ``None`` entry is a heading the child does not carry; a column that is NULL on some rows is a
-    heading those rows' files do not carry. Either makes the link unresolvable: NULL.
+    A ``None`` entry is a heading the child does not carry; an expression that is NULL on some rows
+    is a heading those rows' files do not carry. Either makes the link unresolvable: NULL.
     """
     if parent is None or not key_values or any(value is None for value in key_values):
-        return F.lit(None).cast("string")
-    elements = [element(value) for value in key_values]
-    return F.concat(element(IDENTITY_KIND), element(parent), *elements)
-
-
-def canonical_number(value: Column) -> Column:
-    """A plain decimal number as canonical text; anything else unchanged.
-
-    Written as a chain in which every step appears once, so that generated code stays small.
-    """
-    text = F.trim(value)
-    trimmed = F.regexp_replace(text, F.lit(NUMBER_PARTS), F.lit("$1$2$3"))
-    led = F.regexp_replace(trimmed, F.lit(r"^(-?)(?=\.|$)"), F.lit("$10"))
-    zero_unsigned = F.regexp_replace(led, F.lit("^-0$"), F.lit("0"))
-    return F.when(text.rlike(PLAIN_NUMBER), zero_unsigned).otherwise(value)
+        return NO_KEY
+    return concat(fixed(IDENTITY_KIND), fixed(parent), *[element(value) for value in key_values])
 
 
-def cell_prefix(heading: Column | str, unit: Column | str, code: Column | str) -> Column:
-    return F.concat(element(heading), element(unit), element(code))
+def canonical_number(value: str) -> str:
+    """A plain decimal number as canonical text; anything else unchanged."""
+    text = f"trim({value})"
+    trimmed = f"regexp_replace({text}, {literal(NUMBER_PARTS)}, '$1$2$3')"
+    led = f"regexp_replace({trimmed}, {literal('^(-?)(?=' + chr(92) + '.|$)')}, '$10')"
+    return f"if({text} rlike {literal(PLAIN_NUMBER)}, regexp_replace({led}, '^-0$', '0'), {value})"
 
 
-def content_from(group: str, cells: Column) -> Column:
+def content_from(group: str, cells: str) -> str:
     """Content preimage from an array of encoded cells in heading order; NULL entries are blank cells."""
-    return F.concat(element(CONTENT_KIND), element(group), F.array_join(cells, ""))
+    return concat(fixed(CONTENT_KIND), fixed(group), f"array_join({cells}, '')")
 
 
-def content(group: str, columns: Sequence[tuple[str, str, str, Column]]) -> Column:
+def content(group: str, columns: Sequence[tuple[str, str, str, str]]) -> str:
     """Content preimage of a row given as ``(heading, unit, type code, raw text)`` entries."""
     encoded = []
     for heading, unit, code, value in sorted(columns, key=lambda entry: entry[0]):
         numeric = column_type(code) in ("double", "bigint")
-        text = canonical_number(value) if numeric else value
-        prefix = cell_prefix(heading, unit, code)
-        encoded.append(
-            F.when(F.trim(value) != "", F.concat(prefix, element(text))).otherwise(F.lit(""))
-        )
-    return F.concat(element(CONTENT_KIND), element(group), *encoded)
+        shown = element(canonical_number(value) if numeric else value)
+        prefix = literal("".join(f"{len(part)}:{part}," for part in (heading, unit, code)))
+        encoded.append(f"case when trim({value}) <> '' then concat({prefix}, {shown}) else '' end")
+    return concat(fixed(CONTENT_KIND), fixed(group), *encoded)

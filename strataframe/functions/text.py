@@ -1,9 +1,10 @@
-"""Column expressions over delivery text: quoted cells, header lines, row lines."""
+"""SQL expressions over delivery text: quoted cells, header lines, row lines.
 
-from __future__ import annotations
+Like the other modules of this package these functions return Spark SQL text, for ``F.expr`` and
+``selectExpr``. A long expression then costs one call into the JVM instead of one per node.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Fixed values of the text format.
 GROUP_MARK = '"GROUP",'
@@ -15,54 +16,77 @@ KNOWN_TAGS = ("GROUP", "HEADING", "UNIT", "TYPE", "DATA")
 CELL_PATTERN = r'"([^"]*+(?:""[^"]*+)*+)"'
 # A whole well-formed line: quoted cells separated by commas, nothing else.
 LINE_PATTERN = r'^"[^"]*+(?:""[^"]*+)*+"(?:,"[^"]*+(?:""[^"]*+)*+")*+$'
+# A line that belongs in front of a section, not at its start.
+TAGGED_LINE = '^"(?:' + "|".join(KNOWN_TAGS) + ')",'
 BYTE_ORDER_MARK = "\ufeff"
+ALL = 2**31 - 1
+
+
+def literal(value: str) -> str:
+    """A Spark SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\r", "\\r")
+    return f"'{escaped}'"
 
 
-def cells(line: Column) -> Column:
+def name(column: str) -> str:
+    """A column name, quoted."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def cells(line: str) -> str:
     """The unquoted cells of one line, record tag first."""
-    found = F.regexp_extract_all(line, F.lit(CELL_PATTERN), F.lit(1))
-    return F.transform(found, lambda cell: F.replace(cell, F.lit('""'), F.lit('"')))
+    found = f"regexp_extract_all({line}, {literal(CELL_PATTERN)}, 1)"
+    return f"""transform({found}, cell -> replace(cell, '""', '"'))"""
 
 
-def values(line: Column) -> Column:
+def values(line: str) -> str:
     """The cells of one line after its record tag."""
-    return F.slice(cells(line), F.lit(2), F.lit(2**31 - 1))
+    return f"slice({cells(line)}, 2, {ALL})"
 
 
-def header_line(body: Column, tag: str) -> Column:
+def header_line(body: str, tag: str) -> str:
     """The first line of a section that carries ``tag``; '' when there is none."""
-    return F.regexp_extract(body, f'(?:^|\n)("{tag}"[^\r\n]*)', 1)
+    pattern = f'(?:^|\n)("{tag}"[^\r\n]*)'
+    return f"regexp_extract({body}, {literal(pattern)}, 1)"
 
 
-def header_cells(body: Column, tag: str) -> Column:
+def header_cells(body: str, tag: str) -> str:
     return values(header_line(body, tag))
 
 
-def group_code(body: Column) -> Column:
+def after_group_mark(text: str) -> str:
+    """Section text from the group code on, whether or not the mark is still in front of it."""
+    clean = f"ltrim({literal(BYTE_ORDER_MARK)}, {text})"
+    mark = literal(GROUP_MARK)
+    return f"if(startswith({clean}, {mark}), substring({clean}, {len(GROUP_MARK) + 1}), {clean})"
+
+
+def group_code(body: str) -> str:
     """The group code of a section whose text starts at the code's own opening quote."""
-    return F.regexp_extract(body, '^"([^"\r\n]*)"', 1)
+    pattern = '^"([^"\r\n]*)"'
+    return f"regexp_extract({body}, {literal(pattern)}, 1)"
 
 
-def lines(body: Column) -> Column:
+def lines(body: str) -> str:
     """The lines of a piece of text as an array, both line endings accepted."""
-    return F.transform(F.split(body, "\n"), lambda line: F.rtrim(line, F.lit("\r")))
+    return f"transform(split({body}, '\\n'), line -> rtrim('\\r', line))"
 
 
-def data_lines(body: Column) -> Column:
-    return F.filter(F.split(body, "\n"), lambda line: F.startswith(line, F.lit(DATA_MARK)))
+def data_lines(body: str) -> str:
+    return f"filter(split({body}, '\\n'), line -> startswith(line, {literal(DATA_MARK)}))"
 
 
-def data_count(body: Column) -> Column:
+def data_count(body: str) -> str:
     """How many DATA lines a section has, counted without taking the text apart."""
-    return F.regexp_count(body, F.lit(f"(?:^|\n){DATA_MARK}")).cast("long")
+    pattern = f"(?:^|\n){DATA_MARK}"
+    return f"cast(regexp_count({body}, {literal(pattern)}) as long)"
 
 
-def quoted(value: Column) -> Column:
+def quoted(value: str) -> str:
     """One value as a quoted cell; NULL becomes the blank cell."""
-    text = F.replace(F.coalesce(value.cast("string"), F.lit("")), F.lit('"'), F.lit('""'))
-    return F.concat(F.lit('"'), text, F.lit('"'))
+    return f"""concat('"', replace(coalesce(cast({value} as string), ''), '"', '""'), '"')"""
 
 
-def record(tag: str, *columns: Column) -> Column:
+def record(tag: str, *values: str) -> str:
     """One line of delivery text."""
-    return F.concat_ws(",", F.lit(f'"{tag}"'), *[quoted(c) for c in columns])
+    return f"concat_ws(',', {', '.join([literal(chr(34) + tag + chr(34)), *map(quoted, values)])})"

@@ -1,12 +1,11 @@
-"""Declared type codes, the column type each one gives, and lenient typed cells."""
+"""Declared type codes, the column type each one gives, and lenient typed cells (as SQL)."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from strataframe.functions.text import literal
 
 # The four column types a heading can have, by Spark name and by SQL name.
 SQL_NAMES = {"double": "DOUBLE", "bigint": "BIGINT", "boolean": "BOOLEAN", "string": "VARCHAR"}
@@ -37,27 +36,22 @@ def column_type(code: str) -> str:
     return "string"
 
 
-def column_type_expr(code: Column) -> Column:
-    """:func:`column_type` as a column expression."""
-    return (
-        F.when(code.rlike(INTEGER_CODE), "bigint")
-        .when(code.rlike(DECIMAL_CODE), "double")
-        .when(code.rlike(BOOLEAN_CODE), "boolean")
-        .otherwise("string")
-    )
+def column_type_sql(code: str, temporal: bool = False) -> str:
+    """:func:`column_type` as an expression."""
+    branches = [(INTEGER_CODE, "bigint"), (DECIMAL_CODE, "double"), (BOOLEAN_CODE, "boolean")]
+    if temporal:
+        branches.append((TEMPORAL_CODE, "timestamp"))
+    cases = " ".join(f"when {code} rlike {literal(pattern)} then '{name}'" for pattern, name in branches)
+    return f"case {cases} else 'string' end"
 
 
-def sql_type_expr(code: Column) -> Column:
-    return (
-        F.when(code.rlike(INTEGER_CODE), SQL_NAMES["bigint"])
-        .when(code.rlike(DECIMAL_CODE), SQL_NAMES["double"])
-        .when(code.rlike(BOOLEAN_CODE), SQL_NAMES["boolean"])
-        .otherwise(SQL_NAMES["string"])
-    )
+def sql_type_sql(code: str) -> str:
+    pairs = ", ".join(f"'{spark_name}', '{sql_name}'" for spark_name, sql_name in SQL_NAMES.items())
+    return f"element_at(map({pairs}), {column_type_sql(code)})"
 
 
-def is_numeric_code(code: Column) -> Column:
-    return code.rlike(INTEGER_CODE) | code.rlike(DECIMAL_CODE)
+def is_numeric_sql(code: str) -> str:
+    return f"({code} rlike {literal(INTEGER_CODE)} or {code} rlike {literal(DECIMAL_CODE)})"
 
 
 def merged_type(types: Iterable[str]) -> str:
@@ -68,15 +62,15 @@ def merged_type(types: Iterable[str]) -> str:
     return "double" if distinct == {"bigint", "double"} else "string"
 
 
-def typed_cell(raw: Column, spark_type: str) -> Column:
+def typed_cell(raw: str, spark_type: str) -> str:
     """``raw`` as ``spark_type``; a blank or non-conforming cell is NULL, never an error."""
-    text = F.trim(raw)
+    text = f"trim({raw})"
     if spark_type == "double":
-        return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+        return f"case when {text} rlike {literal(NUMBER_PATTERN)} then try_cast({text} as double) end"
     if spark_type == "bigint":
-        return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
+        return f"case when {text} rlike {literal(INTEGER_PATTERN)} then try_cast({text} as bigint) end"
     if spark_type == "boolean":
-        return F.when(text == TRUE_CELL, True).when(text == FALSE_CELL, False)
+        return f"case {text} when '{TRUE_CELL}' then true when '{FALSE_CELL}' then false end"
     if spark_type == "timestamp":
-        return F.try_to_timestamp(text)
-    return F.when(text != "", raw)
+        return f"try_to_timestamp({text})"
+    return f"case when {text} <> '' then {raw} end"

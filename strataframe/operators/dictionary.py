@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
-from strataframe.functions.typing import sql_type_expr
+from strataframe.functions.typing import sql_type_sql
+from strataframe.session import local_table
 
 # The published editions, oldest first.
 EDITIONS = ("4.0.3", "4.0.4", "4.1", "4.1.1", "4.2")
@@ -85,7 +86,7 @@ def seed_dictionary(spark: SparkSession) -> DataFrame:
         for group, parent, headings in SEED_GROUPS
         for ordinal, (heading, status, code, unit, description) in enumerate(headings)
     ]
-    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+    return local_table(spark, rows, DICTIONARY_SCHEMA)
 
 
 def edition_rank(edition: Column) -> Column:
@@ -94,19 +95,16 @@ def edition_rank(edition: Column) -> Column:
 
 
 def _presented(dictionary: DataFrame) -> DataFrame:
-    def blank_to_null(name: str) -> Column:
-        return F.when(F.col(name) != "", F.col(name)).alias(name)
-
-    return dictionary.select(
+    return dictionary.selectExpr(
         "group",
-        blank_to_null("parent"),
+        "nullif(parent, '') as parent",
         "heading",
-        F.coalesce("status", F.lit("")).alias("status"),
-        F.coalesce("ags_type", F.lit("")).alias("ags_type"),
-        sql_type_expr(F.coalesce("ags_type", F.lit(""))).alias("sql_type"),
-        blank_to_null("unit"),
-        blank_to_null("description"),
-        F.col("ordinal").cast("long").alias("ordinal"),
+        "coalesce(status, '') as status",
+        "coalesce(ags_type, '') as ags_type",
+        f"{sql_type_sql("coalesce(ags_type, '')")} as sql_type",
+        "nullif(unit, '') as unit",
+        "nullif(description, '') as description",
+        "cast(ordinal as long) as ordinal",
     )
 
 

@@ -11,8 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from strataframe.errors import DeliveryError
 from strataframe.functions import keys, text, typing
@@ -40,20 +39,14 @@ def discover_layout(heads: DataFrame, temporal: bool = False) -> Layout:
 
     The result has one row per distinct heading and type, whatever the number of files.
     """
-    listed = heads.select(
-        F.posexplode("headings").alias("ordinal", "heading"), F.col("types").alias("types")
-    ).select(
-        "ordinal",
-        "heading",
-        F.coalesce(F.get("types", F.col("ordinal")), F.lit(typing.DEFAULT_CODE)).alias("code"),
-    )
-    spark_type = typing.column_type_expr(F.col("code"))
-    if temporal:
-        spark_type = F.when(F.col("code").rlike(typing.TEMPORAL_CODE), "timestamp").otherwise(spark_type)
     found = (
-        listed.where("heading <> ''")
-        .groupBy("heading", spark_type.alias("type"))
-        .agg(F.min("ordinal").alias("ordinal"))
+        heads.selectExpr("posexplode(headings) as (ordinal, heading)", "types")
+        .where("heading <> ''")
+        .selectExpr("ordinal", "heading", f"coalesce(get(types, ordinal), '{typing.DEFAULT_CODE}') as code")
+        .selectExpr("ordinal", "heading", f"{typing.column_type_sql('code', temporal)} as type")
+        .groupBy("heading", "type")
+        .agg({"ordinal": "min"})
+        .withColumnRenamed("min(ordinal)", "ordinal")
         .collect()
     )
     merged: dict[str, tuple[int, set[str]]] = {}
@@ -65,33 +58,24 @@ def discover_layout(heads: DataFrame, temporal: bool = False) -> Layout:
     return Layout(tuple((heading, typing.merged_type(merged[heading][1])) for heading in order))
 
 
-def _section_plan(names: Sequence[str]) -> tuple[Column, Column]:
-    """Per section: the cell index of each heading (NULL if absent), and its content-key prefix."""
-    wanted = F.array(*[F.lit(name) for name in names])
-
-    def place(name: Column) -> Column:
-        return F.nullif(F.array_position("headings", name), F.lit(0)).cast("int")
+PLACE = "cast(nullif(array_position(headings, h), 0) as int)"
 
-    def hashing(name: Column) -> Column:
-        unit = F.coalesce(F.get("units", place(name) - 1), F.lit(""))
-        code = F.coalesce(F.get("types", place(name) - 1), F.lit(""))
-        return F.named_struct(
-            F.lit("prefix"), keys.cell_prefix(name, unit, code),
-            F.lit("numeric"), typing.is_numeric_code(code),
-        )
 
-    return F.transform(wanted, place), F.transform(wanted, hashing)
+def _section_plan(names: Sequence[str]) -> tuple[str, str]:
+    """Per section: the cell index of each heading (NULL if absent), and its content-key prefix."""
+    wanted = f"array({', '.join(map(text.literal, names))})"
+    unit, code = (f"coalesce(get({array}, {PLACE} - 1), '')" for array in ("units", "types"))
+    prefix = keys.concat(*map(keys.element, ("h", unit, code)))
+    hashing = f"named_struct('prefix', {prefix}, 'numeric', {typing.is_numeric_sql(code)})"
+    return f"transform({wanted}, h -> {PLACE})", f"transform({wanted}, h -> {hashing})"
 
 
-def _encoded_cells() -> Column:
+def _encoded_cells() -> str:
     """Every heading's contribution to the content key; NULL for a blank cell."""
-
-    def encode(plan: Column, place: Column) -> Column:
-        value = F.get("cells", place)
-        shown = F.when(plan["numeric"], keys.canonical_number(value)).otherwise(value)
-        return F.when(F.trim(value) != "", F.concat(plan["prefix"], keys.element(shown)))
-
-    return F.zip_with("hashing", "places", encode)
+    value = "get(cells, place)"
+    shown = f"if(plan.numeric, {keys.canonical_number(value)}, {value})"
+    encoded = f"if(trim({value}) <> '', concat(plan.prefix, {keys.element(shown)}), null)"
+    return f"zip_with(hashing, places, (plan, place) -> {encoded})"
 
 
 def group_table(
@@ -105,39 +89,36 @@ def group_table(
     # A KEY heading of the dictionary need not be among the headings the files carry.
     index = {name.upper(): i for i, name in enumerate(in_name_order)}
     places, hashing = _section_plan(in_name_order)
-    lines = bodies.select(
+    rows = bodies.selectExpr(
         "source",
-        places.alias("places"),
-        hashing.alias("hashing"),
-        F.explode(text.data_lines(F.col("body"))).alias("line"),
-    )
-    rows = lines.select("source", "places", "hashing", text.cells(F.col("line")).alias("cells"))
+        f"{places} as places",
+        f"{hashing} as hashing",
+        f"explode({text.data_lines('body')}) as line",
+    ).selectExpr("source", "places", "hashing", f"{text.cells('line')} as cells")
 
-    def raw(name: str) -> Column:
-        return F.get("cells", F.get("places", F.lit(index[name.upper()])))
+    def raw(name: str) -> str:
+        return f"get(cells, get(places, {index[name.upper()]}))"
 
-    def own_key(name: str) -> Column:
-        return raw(name) if name.upper() in index else F.lit("")
+    def own_key(name: str) -> str:
+        return raw(name) if name.upper() in index else "''"
 
-    def carried_key(name: str) -> Column | None:
+    def carried_key(name: str) -> str | None:
         """The parent's KEY value on a child row: '' if blank, NULL if this file lacks the heading."""
         if name.upper() not in index:
             return None
-        has_heading = F.get("places", F.lit(index[name.upper()])).isNotNull()
-        return F.when(has_heading, F.coalesce(raw(name), F.lit("")))
+        return f"if(get(places, {index[name.upper()]}) is null, null, coalesce({raw(name)}, ''))"
 
-    no_key = F.lit(None).cast("string")
     keyed = keys.with_uuids(
         rows,
-        _id=keys.identity(spec.group, [own_key(k) for k in spec.keys]) if spec.known else no_key,
+        _id=keys.identity(spec.group, [own_key(k) for k in spec.keys]) if spec.known else keys.NO_KEY,
         _parent_id=keys.parent_identity(spec.parent, [carried_key(k) for k in spec.parent_keys]),
         _content_hash=keys.content_from(spec.group, _encoded_cells()),
     )
-    return keyed.select(
-        *([F.col("source").alias("_source_file")] if with_source else []),
+    return keyed.selectExpr(
+        *(["source as _source_file"] if with_source else []),
         "_id",
         "_parent_id",
-        *[typing.typed_cell(raw(name), kind).alias(name) for name, kind in layout.columns],
+        *[f"{typing.typed_cell(raw(name), kind)} as {text.name(name)}" for name, kind in layout.columns],
         "_content_hash",
     )
 
@@ -147,23 +128,20 @@ def keyed_table(df: DataFrame, spec: GroupSpec, headings: Sequence[tuple[str, st
 
     Every listed column holds raw text; the result has the same shape as :func:`group_table`.
     """
-    names = {name for name, _, _ in headings}
-    missing = [key for key in spec.keys if key not in names]
+    raw = {name: text.name(name) for name, _, _ in headings}
+    missing = [key for key in spec.keys if key not in raw]
     if missing:
         raise DeliveryError(f"group '{spec.group}' needs its KEY headings {', '.join(missing)}")
-
-    def carried(name: str) -> Column | None:
-        return F.coalesce(F.col(name), F.lit("")) if name in names else None
-
+    carried = [f"coalesce({raw[k]}, '')" if k in raw else None for k in spec.parent_keys]
     keyed = keys.with_uuids(
         df,
-        _id=keys.identity(spec.group, [F.col(k) for k in spec.keys]),
-        _parent_id=keys.parent_identity(spec.parent, [carried(k) for k in spec.parent_keys]),
-        _content_hash=keys.content(spec.group, [(n, u, c, F.col(n)) for n, u, c in headings]),
+        _id=keys.identity(spec.group, [raw[k] for k in spec.keys]),
+        _parent_id=keys.parent_identity(spec.parent, carried),
+        _content_hash=keys.content(spec.group, [(n, u, c, raw[n]) for n, u, c in headings]),
     )
-    return keyed.select(
+    return keyed.selectExpr(
         "_id",
         "_parent_id",
-        *[typing.typed_cell(F.col(name), typing.column_type(code)).alias(name) for name, _, code in headings],
+        *[f"{typing.typed_cell(raw[n], typing.column_type(code))} as {raw[n]}" for n, _, code in headings],
         "_content_hash",
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.operators.dictionary import group_spec
 from strataframe.operators.group_table import discover_layout, group_table
-from strataframe.session import scratch_dir
+from strataframe.session import local_table, scratch_dir
 from strataframe.sources.delivery import Delivery
 from strataframe.sources.pieces import SECTION_COLUMNS
 
@@ -95,7 +95,7 @@ def materialise(
             by_parent = f"{table}_by_parent"
             _write_by_parent(spark.table(table), count, by_parent, n_rows)
             report.append((code, by_parent, PARENT_INDEX, n_rows))
-    return spark.createDataFrame([(i, *step) for i, step in enumerate(report)], REPORT_SCHEMA)
+    return local_table(spark, [(i, *step) for i, step in enumerate(report)], REPORT_SCHEMA)
 
 
 def read_materialised(spark: SparkSession, group: str, by_parent: bool = False, prefix: str = "ags_") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
-from strataframe.session import broadcast_if_small
+from strataframe.session import broadcast_if_small, local_table
 
 SEGMENT_SCHEMA = "x1 double, y1 double, x2 double, y2 double"
 # A long segment is cut into parts this many cells long before its cells are listed, so that the
@@ -22,7 +22,7 @@ def route_segments(spark: SparkSession, vertices: Sequence[tuple[float, float]])
     if not points:
         raise DeliveryError("a route needs at least one vertex")
     ends = points[1:] or points
-    return spark.createDataFrame([(*a, *b) for a, b in zip(points, ends)], SEGMENT_SCHEMA)
+    return local_table(spark, [(*a, *b) for a, b in zip(points, ends)], SEGMENT_SCHEMA)
 
 
 def segment_distance_squared(x: Column, y: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.functions.typing import sql_type_expr
+from strataframe.functions.typing import sql_type_sql
 from strataframe.operators.dictionary import KEY_STATUS, UNKNOWN_STATUS, union_dictionary
 from strataframe.session import broadcast_if_small
 
@@ -57,7 +57,7 @@ def headings_profile(heads: DataFrame, dictionary: DataFrame) -> DataFrame:
         "heading",
         F.when(F.col("cell.unit") != "", F.col("cell.unit")).alias("unit"),
         F.col("cell.ags_type").alias("ags_type"),
-        sql_type_expr(F.col("cell.ags_type")).alias("sql_type"),
+        F.expr(sql_type_sql("cell.ags_type")).alias("sql_type"),
         F.coalesce("known_status", F.lit(UNKNOWN_STATUS)).alias("status"),
         F.coalesce(F.col("known_status").startswith(KEY_STATUS), F.lit(False)).alias("is_key"),
         F.col("cell.ordinal").alias("ordinal"),

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as tx
 from strataframe.operators.dictionary import DICTIONARY_SCHEMA
-from strataframe.session import scratch_dir
+from strataframe.session import local_table, scratch_dir
 
 ROWS_PER_TEXT = 500
 EDITION = "4.2"
@@ -25,21 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def money(column: str) -> Column:
+def money(column: str) -> str:
     """Two decimal places, as text."""
-    return F.col(column).cast("decimal(18,2)").cast("string")
+    return f"cast(cast({column} as decimal(18,2)) as string)"
 
 
-def text(column: str) -> Column:
-    return F.col(column).cast("string")
+def text(column: str) -> str:
+    return f"cast({column} as string)"
 
 
 @dataclass(frozen=True)
 class Section:
-    """How the rows of a table appear as one group: (heading, unit, type, value) per column."""
+    """How the rows of a table appear as one group: (heading, unit, type, SQL value) per column."""
 
     group: str
-    headings: Sequence[tuple[str, str, str, Column]]
+    headings: Sequence[tuple[str, str, str, str]]
 
     @property
     def header(self) -> str:
@@ -51,26 +51,26 @@ class Section:
     def columns(self) -> list[tuple[str, str, str]]:
         return [(name, unit, code) for name, unit, code, _ in self.headings]
 
-    def data_line(self) -> Column:
+    def data_line(self) -> str:
         return tx.record("DATA", *[value for _, _, _, value in self.headings])
 
     def raw(self, df: DataFrame) -> DataFrame:
         """The table's rows as raw text columns named after the headings."""
-        return df.select(*[value.alias(name) for name, _, _, value in self.headings])
+        return df.selectExpr(*[f"{value} as {name}" for name, _, _, value in self.headings])
 
 
 def delivery_texts(df: DataFrame, *sections: Section) -> DataFrame:
     """``(doc_id, content)``: every text has one section per entry, all over the same rows."""
-    chunk = (F.monotonically_increasing_id() / ROWS_PER_TEXT).cast("long")
     names = [f"s{i}" for i in range(len(sections))]
-    lines = df.select(
-        chunk.alias("doc_id"), *[section.data_line().alias(name) for name, section in zip(names, sections)]
+    lines = df.selectExpr(
+        f"monotonically_increasing_id() div {ROWS_PER_TEXT} as doc_id",
+        *[f"{section.data_line()} as {name}" for name, section in zip(names, sections)],
     )
     bodies = [
-        F.concat(F.lit(section.header + "\n"), F.array_join(F.collect_list(name), "\n"))
+        f"concat({tx.literal(section.header + chr(10))}, array_join(collect_list({name}), '\\n'))"
         for name, section in zip(names, sections)
     ]
-    return lines.groupBy("doc_id").agg(F.concat_ws("\n\n", *bodies).alias("content"))
+    return lines.groupBy("doc_id").agg(F.expr(f"concat_ws('\\n\\n', {', '.join(bodies)})").alias("content"))
 
 
 def write_deliveries(texts: DataFrame, *partition_by: str) -> str:
@@ -83,29 +83,29 @@ def write_deliveries(texts: DataFrame, *partition_by: str) -> str:
 # How the test tables are declared as groups.
 def customer_section() -> Section:
     return Section("CUST", [
-        ("CUST_ID", "", "ID", text("c_custkey")), ("CUST_NAME", "", "X", F.col("c_name")),
-        ("CUST_BAL", "gbp", "2DP", money("c_acctbal")), ("CUST_SEG", "", "PA", F.col("c_mktsegment")),
+        ("CUST_ID", "", "ID", text("c_custkey")), ("CUST_NAME", "", "X", "c_name"),
+        ("CUST_BAL", "gbp", "2DP", money("c_acctbal")), ("CUST_SEG", "", "PA", "c_mktsegment"),
         ("NATN_ID", "", "ID", text("c_nationkey")),
     ])
 
 
 def nation_section() -> Section:
     return Section("NATN", [
-        ("NATN_ID", "", "ID", text("n_nationkey")), ("NATN_NAME", "", "X", F.col("n_name")),
+        ("NATN_ID", "", "ID", text("n_nationkey")), ("NATN_NAME", "", "X", "n_name"),
         ("REGN_ID", "", "ID", text("n_regionkey")),
     ])
 
 
 def region_section() -> Section:
-    return Section("REGN", [("REGN_ID", "", "ID", text("r_regionkey")), ("REGN_NAME", "", "X", F.col("r_name"))])
+    return Section("REGN", [("REGN_ID", "", "ID", text("r_regionkey")), ("REGN_NAME", "", "X", "r_name")])
 
 
-def order_section(price: Column | None = None) -> Section:
+def order_section() -> Section:
     return Section("ORDR", [
-        ("ORDR_ID", "", "ID", text("o_orderkey")), ("ORDR_STAT", "", "PA", F.col("o_orderstatus")),
-        ("ORDR_TOT", "gbp", "2DP", money("o_totalprice") if price is None else price),
-        ("ORDR_PRIO", "", "X", F.col("o_orderpriority")),
-        ("ORDR_DATE", "yyyy-mm-dd", "DT", F.date_format("o_orderdate", "yyyy-MM-dd")),
+        ("ORDR_ID", "", "ID", text("o_orderkey")), ("ORDR_STAT", "", "PA", "o_orderstatus"),
+        ("ORDR_TOT", "gbp", "2DP", money("o_totalprice")),
+        ("ORDR_PRIO", "", "X", "o_orderpriority"),
+        ("ORDR_DATE", "yyyy-mm-dd", "DT", "date_format(o_orderdate, 'yyyy-MM-dd')"),
         ("CUST_ID", "", "ID", text("o_custkey")),
     ])
 
@@ -115,7 +115,7 @@ def line_section() -> Section:
         ("ORDR_ID", "", "ID", text("l_orderkey")), ("LINE_NO", "", "0DP", text("l_linenumber")),
         ("PART_ID", "", "ID", text("l_partkey")), ("SUPP_ID", "", "ID", text("l_suppkey")),
         ("LINE_QTY", "", "2DP", money("l_quantity")), ("LINE_AMT", "gbp", "2DP", money("l_extendedprice")),
-        ("LINE_FLAG", "", "PA", F.col("l_returnflag")),
+        ("LINE_FLAG", "", "PA", "l_returnflag"),
     ])
 
 
@@ -139,7 +139,7 @@ def fixture_dictionary(spark: SparkSession) -> DataFrame:
         for group, parent, keys, others in FIXTURE_GROUPS
         for ordinal, heading in enumerate([*keys, *others])
     ]
-    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+    return local_table(spark, rows, DICTIONARY_SCHEMA)
 
 
 def derived_dictionary(part: DataFrame) -> DataFrame:

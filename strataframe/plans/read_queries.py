@@ -74,7 +74,7 @@ def read_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = dl.table(spark, sf_dir, "orders")
     first = dl.Section("ORDR", [
         ("ORDR_ID", "", "ID", dl.text("o_orderkey")), ("ORDR_NO", "", "0DP", dl.text("o_custkey")),
-        ("ORDR_MIX", "", "X", F.col("o_orderstatus")), ("ORDR_PRIO", "", "X", F.col("o_orderpriority")),
+        ("ORDR_MIX", "", "X", "o_orderstatus"), ("ORDR_PRIO", "", "X", "o_orderpriority"),
     ])
     second = dl.Section("ORDR", [
         ("ORDR_MIX", "", "0DP", dl.text("o_custkey")), ("ORDR_NO", "", "2DP", dl.money("o_totalprice")),
@@ -98,22 +98,23 @@ def read_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from events""")
 def lenient_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery per event: odd numbers, short rows, a TYPE record that ends early."""
-    kind, value = F.col("event_type"), dl.money("value")
+    value = dl.money("value")
     number = (
-        F.when(kind == "click", value).when(kind == "error", "n/a").when(kind == "view", "")
-        .when(kind == "purchase", F.concat(value, F.lit("d"))).otherwise(F.concat(F.lit("+"), value))
+        f"case event_type when 'click' then {value} when 'error' then 'n/a' when 'view' then '' "
+        f"when 'purchase' then concat({value}, 'd') else concat('+', {value}) end"
     )
-    user = F.when(kind == "signup", F.concat(dl.text("user_id"), F.lit(".0"))).otherwise(dl.text("user_id"))
-    flag = F.when(kind == "click", "Y").when(kind == "view", "N").when(kind == "error", "t").otherwise("")
-    full = tx.record("DATA", dl.text("event_id"), number, user, flag, F.concat(F.lit('say "'), kind, F.lit('", twice')))
-    short = tx.record("DATA", dl.text("event_id"), number, user, flag)
+    user = "concat(user_id, if(event_type = 'signup', '.0', ''))"
+    flag = "case event_type when 'click' then 'Y' when 'view' then 'N' when 'error' then 't' else '' end"
+    cells = [dl.text("event_id"), number, user, flag]
+    full = tx.record("DATA", *cells, """concat('say "', event_type, '", twice')""")
+    short = tx.record("DATA", *cells)
     header = (
         '"GROUP","EVNT"\r\n"HEADING","EVNT_ID","EVNT_VAL","EVNT_USER","EVNT_OK","EVNT_KIND"\r\n'
         '"UNIT","","m"\r\n"TYPE","ID","2DP","0DP","YN"\r\n'
     )
-    texts = dl.table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"),
-        F.concat(F.lit(header), F.when(kind == "click", full).otherwise(short), F.lit("\r\n")).alias("content"),
+    texts = dl.table(spark, sf_dir, "events").selectExpr(
+        "event_id as doc_id",
+        f"concat({tx.literal(header)}, if(event_type = 'click', {full}, {short}), '\\r\\n') as content",
     )
     group = read_group_text(spark, texts, "EVNT", dl.fixture_dictionary(spark))
     return _lower(group, "EVNT_ID", "EVNT_VAL", "EVNT_USER", "EVNT_OK", "EVNT_KIND")
@@ -141,7 +142,7 @@ def type_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
     from part""")
 def custom_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A group outside the dictionary: readable on request, without keys."""
-    section = dl.Section("ZPRT", [("ZPRT_NO", "", "0DP", dl.text("p_partkey")), ("ZPRT_NAME", "", "X", F.col("p_name"))])
+    section = dl.Section("ZPRT", [("ZPRT_NO", "", "0DP", dl.text("p_partkey")), ("ZPRT_NAME", "", "X", "p_name")])
     texts = dl.delivery_texts(dl.table(spark, sf_dir, "part"), section)
     group = read_group_text(spark, texts, "ZPRT", dl.fixture_dictionary(spark), allow_custom=True)
     return _lower(group, "_id", "_parent_id", "ZPRT_NO", "ZPRT_NAME")
@@ -153,9 +154,8 @@ def custom_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     from documents""")
 def encoded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in windows-1252: every document's whole text, line breaks as blanks."""
-    whole = F.concat(F.translate("text", "\r\n", "  "), F.lit(" € "), F.col("lang"))
     section = dl.Section("DOCS", [
-        ("DOCS_ID", "", "ID", dl.text("doc_id")), ("DOCS_LANG", "", "PA", F.col("lang")), ("DOCS_TEXT", "", "X", whole),
+        ("DOCS_ID", "", "ID", dl.text("doc_id")), ("DOCS_LANG", "", "PA", "lang"), ("DOCS_TEXT", "", "X", "concat(translate(text, '\\r\\n', '  '), ' € ', lang)"),
     ])
     texts = dl.delivery_texts(dl.table(spark, sf_dir, "documents"), section)
     with charset_rules(spark, "windows-1252"):
@@ -187,23 +187,23 @@ _FAULT_SQL = "case " + " ".join(
           from (select distinct cast(substr(p_brand, 7) as integer) as brand from part))""")
 def ingest_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries with known faults, one folder per brand."""
-    brand = F.substring("p_brand", 7, 10).cast("int")
-    data = tx.record("DATA", dl.text("p_partkey"), F.col("p_name"))
+    data = tx.record("DATA", dl.text("p_partkey"), "p_name")
     group, heading, kind = '"GROUP","PART"\n', '"HEADING","PART_ID","PART_NAME"\n', '"TYPE","ID","X"\n'
-    good = F.concat(F.lit(group + heading + kind), data)
-    by_reason = {
-        None: good,
-        "no GROUP record": F.concat(F.lit(heading + kind), data),
-        "text before the first GROUP record": F.concat(F.lit("delivered by hand\n"), good),
-        "malformed line": F.concat(good, F.lit('\n"DATA","1","half')),
-        "unknown record tag": F.concat(good, F.lit('\n"DATUM","1","x"')),
-        "DATA before HEADING": F.concat(F.lit(group), data, F.lit("\n" + heading + kind.rstrip("\n"))),
+    # What stands in front of and behind each DATA line.
+    around = {
+        None: (group + heading + kind, ""),
+        "no GROUP record": (heading + kind, ""),
+        "text before the first GROUP record": ("delivered by hand\n" + group + heading + kind, ""),
+        "malformed line": (group + heading + kind, '\n"DATA","1","half'),
+        "unknown record tag": (group + heading + kind, '\n"DATUM","1","x"'),
+        "DATA before HEADING": (group, "\n" + heading + kind.rstrip("\n")),
     }
-    content = F.lit(None).cast("string")
-    for bound, reason in reversed(FAULTS):
-        content = F.when(brand < bound, by_reason[reason]).otherwise(content)
-    # One file per task and brand is plenty; the text sink appends row after row.
-    path = dl.write_deliveries(dl.table(spark, sf_dir, "part").select(brand.alias("brand"), content.alias("content")), "brand")
+    branches = " ".join(
+        f"when brand < {bound} then concat({tx.literal(around[reason][0])}, {data}, {tx.literal(around[reason][1])})"
+        for bound, reason in FAULTS
+    )
+    parts = dl.table(spark, sf_dir, "part").selectExpr("*", "int(substring(p_brand, 7)) as brand")
+    path = dl.write_deliveries(parts.selectExpr("brand", f"case {branches} end as content"), "brand")
     audit = ingest_audit(spark, path)
     return audit.select(
         F.regexp_extract("path", "brand=([0-9]+)", 1).cast("int").alias("brand"), "status", "reason"
@@ -215,7 +215,7 @@ def ingest_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     union all select 'NAME', count(*), true from customer""")
 def section_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections are found with their exact byte ranges: in every file each starts where one ends."""
-    names = dl.Section("NAME", [("CUST_ID", "", "ID", dl.text("c_custkey")), ("CUST_NAME", "", "X", F.col("c_name"))])
+    names = dl.Section("NAME", [("CUST_ID", "", "ID", dl.text("c_custkey")), ("CUST_NAME", "", "X", "c_name")])
     path = dl.write_deliveries(dl.delivery_texts(dl.table(spark, sf_dir, "customer"), dl.customer_section(), names))
     index = build_section_index(spark, path)
     before = F.lag("end", 1, 0).over(Window.partitionBy("path").orderBy("start"))
@@ -229,7 +229,7 @@ def section_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from customer""")
 def sliced_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A group fetched by byte range: one file per segment and task, indexed, then read."""
-    names = dl.Section("NAME", [("CUST_ID", "", "ID", dl.text("c_custkey")), ("CUST_SEG", "", "X", F.col("c_mktsegment"))])
+    names = dl.Section("NAME", [("CUST_ID", "", "ID", dl.text("c_custkey")), ("CUST_SEG", "", "X", "c_mktsegment")])
     customers = dl.table(spark, sf_dir, "customer")
     path = dl.write_deliveries(dl.delivery_texts(customers, names, dl.customer_section()))
     stored = scratch_dir(spark, "index")
@@ -243,7 +243,7 @@ def sliced_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     union all select 'NAME', count(*), 2, null from customer
     union all select 'ORDR', count(*), 6, 'CUST' from orders""")
 def groups_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = dl.Section("NAME", [("CUST_ID", "", "ID", dl.text("c_custkey")), ("CUST_NAME", "", "X", F.col("c_name"))])
+    names = dl.Section("NAME", [("CUST_ID", "", "ID", dl.text("c_custkey")), ("CUST_NAME", "", "X", "c_name")])
     customers = dl.delivery_texts(dl.table(spark, sf_dir, "customer"), dl.customer_section(), names)
     orders = dl.delivery_texts(dl.table(spark, sf_dir, "orders"), dl.order_section())
     texts = customers.unionByName(orders.withColumn("doc_id", -1 - F.col("doc_id")))

@@ -105,7 +105,7 @@ def hierarchy_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     select cast(c_custkey as varchar) as cust_id, cast(c_acctbal as double) as cust_bal, n_name as zone
     from customer join nation on c_nationkey = n_nationkey""")
 def external_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = dl.table(spark, sf_dir, "nation").select(dl.text("n_nationkey").alias("parcel"), F.col("n_name").alias("zone"))
+    zones = dl.table(spark, sf_dir, "nation").select(F.expr(dl.text("n_nationkey")).alias("parcel"), F.col("n_name").alias("zone"))
     customers = keyed(spark, sf_dir, "customer")
     return customers.join(zones, F.col("NATN_ID") == F.col("parcel")).select(
         F.col("CUST_ID").alias("cust_id"), F.col("CUST_BAL").alias("cust_bal"), "zone"
@@ -322,7 +322,7 @@ def dictionary_mined(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("doc_id"),
         F.format_string(
             '"GROUP","PART"\n"HEADING","PART_ID","%s"\n"UNIT","","%s"\n"TYPE","ID","%s"\n"DATA","%s","%s"',
-            F.col("p_type"), unit, code, dl.text("p_partkey"), dl.text("p_size"),
+            "p_type", unit, code, F.col("p_partkey").cast("string"), F.col("p_size").cast("string"),
         ).alias("content"),
     )
     headings = Delivery.from_texts(texts, dictionary=dl.fixture_dictionary(spark)).headings()
@@ -346,7 +346,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size < 20, "error").when(size < 30, "warning").when(size < 40, "fyi").when(size < 48, "mixed").otherwise("fatal")
     )
     rule = F.struct(
-        dl.text("p_partkey").alias("rule"), F.when(size >= 5, F.col("p_name")).otherwise("").alias("title"),
+        F.col("p_partkey").cast("string").alias("rule"), F.when(size >= 5, F.col("p_name")).otherwise("").alias("title"),
         F.col("p_type").alias("checks"), severity.alias("severity"), (F.col("p_retailprice") > 950).alias("fixable"),
         F.when(size != 9, F.split("p_name", " ")).otherwise(F.array()).alias("observations"),
     )

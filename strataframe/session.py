@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,13 @@ def local_session(cores: int | str = "*", app: str = "strataframe", **conf: str)
     return builder.getOrCreate()
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table of constants. Filters on it are answered while planning, without a job."""
+    names = [entry.split()[0] for entry in schema.split(",")]
+    columns = list(zip(*rows)) or [()] * len(names)
+    return spark.createDataFrame(pd.DataFrame(dict(zip(names, map(list, columns))), dtype=object), schema)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate files, on storage every executor can reach.
 

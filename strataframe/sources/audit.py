@@ -14,17 +14,23 @@ from strataframe.sources.encoding import charset_rules, decoded, needs_whole_fil
 from strataframe.sources.section_index import file_listing
 
 ACCEPTED, REJECTED = "ok", "rejected"
+KNOWN_RECORD = '^"(?:' + "|".join(tx.KNOWN_TAGS) + ')"'
+SECTION_START = '^"[^"\r\n]+"'
 
 
-def _findings(body: Column, in_section: Column) -> list[Column]:
+def _findings(body: str, in_section: str) -> list[str]:
     """What is wrong with a piece of text: counts that add up over pieces."""
-    lines = F.filter(tx.lines(body), lambda line: F.trim(line) != "")
-    records = F.when(in_section, lines).otherwise(F.array().cast("array<string>"))
-    known = "|".join(tx.KNOWN_TAGS)
+    lines = f"filter({tx.lines(body)}, line -> trim(line) <> '')"
+    well_formed = f"line rlike {tx.literal(tx.LINE_PATTERN)}"
+    known = f"line rlike {tx.literal(KNOWN_RECORD)}"
+
+    def count(condition: str) -> str:
+        return f"if({in_section}, size(filter({lines}, line -> {condition})), 0)"
+
     return [
-        F.when(in_section, 0).otherwise(F.size(lines)).alias("n_outside"),
-        F.size(F.filter(records, lambda line: ~line.rlike(tx.LINE_PATTERN))).alias("n_malformed"),
-        F.size(F.filter(records, lambda line: line.rlike(tx.LINE_PATTERN) & ~line.rlike(f'^"(?:{known})"'))).alias("n_unknown"),
+        f"if({in_section}, 0, size({lines})) as n_outside",
+        f"{count(f'not {well_formed}')} as n_malformed",
+        f"{count(f'{well_formed} and not {known}')} as n_unknown",
     ]
 
 
@@ -36,16 +42,21 @@ def _small_file_findings(spark: SparkSession, paths: list[str], charset: str, li
         F.octet_length("value").alias("nb"),
         decoded(F.col("value"), charset).alias("text"),
     )
-    body = F.col("body")
-    tags = "|".join(tx.KNOWN_TAGS)
-    in_section = F.col("body").rlike('^"[^"\r\n]+"') & ~body.rlike(f'^"(?:{tags})",')
-    heading, data = F.locate('\n"HEADING"', body), F.locate(f"\n{tx.DATA_MARK}", body)
-    sections = rows.select("path", "nb", pieces._after_group_mark(F.col("text")).alias("body")).select(
-        "path", "nb",
-        in_section.cast("int").alias("n_sections"),
-        (in_section & (data > 0) & ((heading == 0) | (data < heading))).cast("int").alias("n_early"),
-        # The group code's line has lost its tag; give it back, so that it is a record like any other.
-        *_findings(F.when(in_section, F.concat(F.lit(tx.GROUP_MARK), body)).otherwise(body), in_section),
+    is_section = f"(body rlike {tx.literal(SECTION_START)} and not body rlike {tx.literal(tx.TAGGED_LINE)})"
+    # The line of the group code has lost its tag; it is given back, so that it is a record like any other.
+    restored = f"if(in_section, concat({tx.literal(tx.GROUP_MARK)}, body), body)"
+    heading, data = (f"locate({tx.literal(chr(10) + chr(34) + tag + chr(34))}, body)" for tag in ("HEADING", "DATA"))
+    sections = (
+        rows.selectExpr("path", "nb", f"{tx.after_group_mark('text')} as body")
+        .selectExpr("*", f"{is_section} as in_section")
+        .selectExpr("*", f"{restored} as records")
+        .selectExpr(
+            "path",
+            "nb",
+            "int(in_section) as n_sections",
+            f"int(in_section and {data} > 0 and ({heading} = 0 or {data} < {heading})) as n_early",
+            *_findings("records", "in_section"),
+        )
     )
     separator = len(pieces.SECTION_SEPARATOR)
     return sections.groupBy("path").agg(
@@ -65,7 +76,7 @@ def _large_file_findings(spark: SparkSession, paths: list[str], charset: str, li
         return F.min(F.when(found > 0, F.struct("at", found)))
 
     per_section = (
-        readable.select("source", "section_no", "at", "nb", "body", *_findings(F.col("body"), in_section))
+        readable.selectExpr("source", "section_no", "at", "nb", "body", *_findings("body", "section_no > 0"))
         .groupBy("source", "section_no")
         .agg(
             F.sum("nb").alias("bytes"),

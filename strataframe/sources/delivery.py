@@ -13,6 +13,7 @@ from strataframe.errors import DeliveryError
 from strataframe.operators import structure
 from strataframe.operators.dictionary import group_spec, seed_dictionary
 from strataframe.operators.group_table import Layout, discover_layout, group_table
+from strataframe.session import local_table
 from strataframe.sources import pieces
 from strataframe.sources.encoding import resolve_encoding
 
@@ -70,7 +71,7 @@ class Delivery:
     @classmethod
     def from_text(cls, spark: SparkSession, content: str, dictionary: DataFrame | None = None) -> Delivery:
         """One delivery given as a string."""
-        docs = spark.createDataFrame([("text", content)], "doc_id string, content string")
+        docs = local_table(spark, [("text", content)], "doc_id string, content string")
         return cls.from_texts(docs, dictionary=dictionary)
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Delivery:

@@ -41,27 +41,19 @@ def _position(block: Column, number: Column) -> Column:
     return F.struct(block.cast("long").alias("blk"), number.cast("long").alias("n"))
 
 
-def _after_group_mark(text: Column) -> Column:
-    """Section text from the group code on, whether or not the mark is still in front of it."""
-    clean = F.ltrim(text, F.lit(tx.BYTE_ORDER_MARK))
-    marked = F.startswith(clean, F.lit(tx.GROUP_MARK))
-    return F.when(marked, F.substring(clean, len(tx.GROUP_MARK) + 1, 2**31 - 1)).otherwise(clean)
-
-
 def _with_headers(pieces: DataFrame) -> DataFrame:
     """Name each section's group and headers. Text in front of a first GROUP record is dropped."""
-    tags = "|".join(tx.KNOWN_TAGS)
     return (
-        pieces.withColumn("group", tx.group_code(F.col("body")))
-        .where((F.col("group") != "") & ~F.col("body").rlike(f'^"(?:{tags})",'))
-        .select(
+        pieces.selectExpr("*", f"{tx.group_code('body')} as group")
+        .where(f"group <> '' and not body rlike {tx.literal(tx.TAGGED_LINE)}")
+        .selectExpr(
             "source",
             "pos",
             "group",
-            tx.header_cells(F.col("body"), "HEADING").alias("headings"),
-            tx.header_cells(F.col("body"), "UNIT").alias("units"),
-            tx.header_cells(F.col("body"), "TYPE").alias("types"),
-            tx.data_count(F.col("body")).alias("n_data"),
+            f"{tx.header_cells('body', 'HEADING')} as headings",
+            f"{tx.header_cells('body', 'UNIT')} as units",
+            f"{tx.header_cells('body', 'TYPE')} as types",
+            f"{tx.data_count('body')} as n_data",
             "body",
         )
     )
@@ -69,13 +61,15 @@ def _with_headers(pieces: DataFrame) -> DataFrame:
 
 def text_sections(docs: DataFrame, content: str, source: str) -> DataFrame:
     """Sections of the delivery texts in column ``content``, one text per row."""
-    parts = docs.select(
-        F.col(source).cast("string").alias("source"),
-        F.posexplode(F.split(content, f"\n(?={tx.GROUP_MARK})")).alias("n", "part"),
+    before_mark = tx.literal(f"\n(?={tx.GROUP_MARK})")
+    parts = docs.selectExpr(
+        f"cast({tx.name(source)} as string) as source",
+        f"posexplode(split({tx.name(content)}, {before_mark})) as (n, part)",
     )
     return _with_headers(
-        parts.select("source", _position(F.lit(0), F.col("n")).alias("pos"),
-                     _after_group_mark(F.col("part")).alias("body"))
+        parts.selectExpr(
+            "source", "named_struct('blk', 0L, 'n', cast(n as long)) as pos", f"{tx.after_group_mark('part')} as body"
+        )
     )
 
 
@@ -108,9 +102,9 @@ def file_sections(
         pieces = scan.where(~_is_large(limit) & (F.col("_metadata.file_size") <= ceiling)).select(
             F.col("_metadata.file_path").alias("source"),
             _position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
-            _after_group_mark(decoded(F.col("value"), charset)).alias("body"),
+            decoded(F.col("value"), charset).alias("text"),
         )
-    return _with_headers(pieces)
+    return _with_headers(pieces.selectExpr("source", "pos", f"{tx.after_group_mark('text')} as body"))
 
 
 # --------------------------------------------------------------------------- large files
@@ -270,7 +264,7 @@ class SplitFiles:
     @staticmethod
     def _section_heads(runs: DataFrame) -> DataFrame:
         def first_line(tag: str) -> Column:
-            line = tx.header_line(F.col("body"), tag)
+            line = F.expr(tx.header_line("body", tag))
             return F.min_by(F.when(line != "", line), F.when(line != "", F.col("at"))).alias(tag)
 
         return (
@@ -288,9 +282,9 @@ class SplitFiles:
                 "start",
                 "bytes",
                 "n_data",
-                tx.group_code(_after_group_mark(F.col("body"))).alias("group"),
+                F.expr(tx.group_code(tx.after_group_mark("body"))).alias("group"),
                 *[
-                    tx.values(F.coalesce(tag, F.lit(""))).alias(name)
+                    F.expr(tx.values(f"coalesce(`{tag}`, '')")).alias(name)
                     for tag, name in zip(tx.HEADER_TAGS, ("headings", "units", "types"))
                 ],
             )

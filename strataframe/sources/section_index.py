@@ -50,18 +50,18 @@ def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int, cei
         F.col("_metadata.file_path").alias("source"),
         pieces._position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
         F.octet_length("value").cast("long").alias("nb"),
-        pieces._after_group_mark(decoded(F.col("value"), UTF8)).alias("body"),
+        decoded(F.col("value"), UTF8).alias("text"),
         F.startswith("value", F.lit(tx.BYTE_ORDER_MARK)).alias("has_bom"),
         size.alias("size"),
         F.col("_metadata.file_modification_time").alias("mtime"),
     )
-    heads = rows.select(
+    heads = rows.selectExpr("*", f"{tx.after_group_mark('text')} as body").selectExpr(
         "source", "pos", "nb", "has_bom", "size", "mtime",
-        tx.group_code(F.col("body")).alias("group"),
-        tx.header_cells(F.col("body"), "HEADING").alias("headings"),
-        tx.header_cells(F.col("body"), "UNIT").alias("units"),
-        tx.header_cells(F.col("body"), "TYPE").alias("types"),
-        tx.data_count(F.col("body")).alias("n_data"),
+        f"if(body rlike {tx.literal(tx.TAGGED_LINE)}, '', {tx.group_code('body')}) as group",
+        f"{tx.header_cells('body', 'HEADING')} as headings",
+        f"{tx.header_cells('body', 'UNIT')} as units",
+        f"{tx.header_cells('body', 'TYPE')} as types",
+        f"{tx.data_count('body')} as n_data",
     )
     separator, mark = len(pieces.SECTION_SEPARATOR), len(tx.GROUP_MARK)
     earlier = Window.partitionBy("source").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
