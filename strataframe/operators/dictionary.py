@@ -180,25 +180,26 @@ class GroupSpec:
     known: bool = True
 
 
-def _newest_rows(dictionary: DataFrame, group: str) -> list[Row]:
+def newest_rows(dictionary: DataFrame, group: str) -> list[Row]:
     """The dictionary rows of one group, from the newest edition that has each heading."""
-    edition = F.col("edition") if "edition" in dictionary.columns else F.lit("")
-    rows = dictionary.where(F.col("group") == group).select(
-        "parent", "heading", "status", "ordinal", edition_rank(edition).alias("rank")
-    )
-    newest = {row.heading: row for row in sorted(rows.collect(), key=lambda row: [n or 0 for n in row.rank])}
-    return list(newest.values())
+    edition = "edition" if "edition" in dictionary.columns else "'' as edition"
+    rows = dictionary.where(F.col("group") == group).selectExpr("parent", "heading", "status", "ordinal", edition)
+
+    def age(row: Row) -> list[int]:
+        return [int(part) if part.isdigit() else 0 for part in row.edition.split(".")]
+
+    return list({row.heading: row for row in sorted(rows.collect(), key=age)}.values())
 
 
 def group_spec(dictionary: DataFrame, group: str, allow_custom: bool = False) -> GroupSpec:
     """Look a group and its parent up. Reads the dictionary rows of these two groups only."""
-    own = _newest_rows(dictionary, group)
+    own = newest_rows(dictionary, group)
     if not own:
         if allow_custom:
             return GroupSpec(group, known=False)
         raise DeliveryError(f"group '{group}' is not in the dictionary; pass allow_custom=True to read it without keys")
     parent = next((row.parent for row in own if row.parent), None)
-    above = _newest_rows(dictionary, parent) if parent else []
+    above = newest_rows(dictionary, parent) if parent else []
 
     def key_headings(rows) -> tuple[str, ...]:
         wanted = [row for row in rows if row.status.startswith(KEY_STATUS)]

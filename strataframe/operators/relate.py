@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
-from strataframe.operators.dictionary import union_dictionary
+from strataframe.operators.dictionary import newest_rows
 
 
 def join_parent(child: DataFrame, parent: DataFrame, child_name: str, parent_name: str,
@@ -36,13 +36,12 @@ def walk(groups: Mapping[str, DataFrame], path: Sequence[str], how: str = "inner
 
 def hierarchy_path(dictionary: DataFrame, start: str, stop: str) -> list[str]:
     """The groups from ``start`` up to its ancestor ``stop``, read off the dictionary's edges."""
-    headings = union_dictionary(dictionary) if "edition" in dictionary.columns else dictionary
     path = [start]
     while path[-1] != stop:
-        row = headings.where((F.col("group") == path[-1]) & F.col("parent").isNotNull()).select("parent").first()
-        if row is None or row.parent in path:
+        parent = next((row.parent for row in newest_rows(dictionary, path[-1]) if row.parent), None)
+        if parent is None or parent in path:
             raise DeliveryError(f"'{stop}' is not an ancestor of '{start}'")
-        path.append(row.parent)
+        path.append(parent)
     return path
 
 

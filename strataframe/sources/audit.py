@@ -103,7 +103,7 @@ def ingest_audit(
 ) -> DataFrame:
     """``(path, size, status, reason)`` for every file; ``reason`` is NULL for the good ones.
 
-    Files over the ceiling are not opened. The size of a compressed file is not compared with the
+    Files over the ceiling are not opened. A byte order mark is not counted as read. The size of a compressed file is not compared with the
     number of bytes read, as the two differ by nature.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -121,7 +121,7 @@ def ingest_audit(
         F.when(F.col("size") > max_file_bytes,
                F.concat(F.lit("over the "), F.lit(str(max_file_bytes)), F.lit("-byte limit")))
         .when((F.col("size") == 0) | F.col("bytes").isNull(), "empty file")
-        .when(plain & (F.col("bytes") < F.col("size")), "short read")
+        .when(plain & (F.col("bytes") < F.col("size") - len(tx.BYTE_ORDER_MARK.encode())), "short read")
         .when(F.col("n_sections") == 0, "no GROUP record")
         .when(F.col("n_outside") > 0, "text before the first GROUP record")
         .when(F.col("n_malformed") > 0, "malformed line")

@@ -51,12 +51,11 @@ def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int, cei
         pieces._position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
         F.octet_length("value").cast("long").alias("nb"),
         decoded(F.col("value"), UTF8).alias("text"),
-        F.startswith("value", F.lit(tx.BYTE_ORDER_MARK)).alias("has_bom"),
         size.alias("size"),
         F.col("_metadata.file_modification_time").alias("mtime"),
     )
     heads = rows.selectExpr("*", f"{tx.after_group_mark('text')} as body").selectExpr(
-        "source", "pos", "nb", "has_bom", "size", "mtime",
+        "source", "pos", "nb", "size", "mtime",
         f"if(body rlike {tx.literal(tx.TAGGED_LINE)}, '', {tx.group_code('body')}) as group",
         f"{tx.header_cells('body', 'HEADING')} as headings",
         f"{tx.header_cells('body', 'UNIT')} as units",
@@ -64,14 +63,32 @@ def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int, cei
         f"{tx.data_count('body')} as n_data",
     )
     separator, mark = len(pieces.SECTION_SEPARATOR), len(tx.GROUP_MARK)
-    earlier = Window.partitionBy("source").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    text_start = F.coalesce(F.sum(F.col("nb") + separator).over(earlier), F.lit(0))
-    placed = heads.withColumn("text_start", text_start)
-    own_mark = F.when(F.col("has_bom"), len(tx.BYTE_ORDER_MARK.encode())).otherwise(0)
+    file = Window.partitionBy("source")
+    earlier = file.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    with_separator = F.col("nb") + separator
+    text_start = F.coalesce(F.sum(with_separator).over(earlier), F.lit(0))
+    # The reader drops a byte order mark; what the file has more than the rows is that mark.
+    unseen = F.col("size") - (F.sum(with_separator).over(file) - separator)
+    placed = heads.withColumn("text_start", text_start).withColumn("unseen", unseen)
+    first = F.col("text_start") == 0
     return placed.where("group <> ''").select(
         F.col("source").alias("path"), "size", "mtime", "group", "n_data", "headings", "units", "types",
-        F.when(F.col("text_start") == 0, own_mark).otherwise(F.col("text_start") - mark).cast("long").alias("start"),
-        F.least(F.col("text_start") + F.col("nb") + 1, "size").alias("end"),
+        (F.col("unseen") + F.when(first, 0).otherwise(F.col("text_start") - mark)).cast("long").alias("start"),
+        F.least(F.col("unseen") + F.col("text_start") + F.col("nb") + 1, "size").alias("end"),
+    )
+
+
+def _split_file_spans(split_files: pieces.SplitFiles, files: DataFrame) -> DataFrame:
+    """Byte ranges of large files, from the running totals of their splits."""
+    plain = split_files.heads().where(~F.col("source").rlike(pieces.COMPRESSED)).withColumnRenamed("source", "path")
+    spans = plain.join(files, "path")
+    seen = plain.groupBy("path").agg(F.max(F.col("start") + F.col("bytes")).alias("seen"))
+    # A last line without line feed makes the total one too high, never too low.
+    unseen = F.when(F.col("seen") < F.col("size"), len(tx.BYTE_ORDER_MARK.encode())).otherwise(0)
+    return spans.join(seen, "path").select(
+        "path", "size", "mtime", "group", "n_data", "headings", "units", "types",
+        (F.col("start") + unseen).alias("start"),
+        F.least(F.col("start") + unseen + F.col("bytes"), "size").alias("end"),
     )
 
 
@@ -86,14 +103,7 @@ def build_section_index(
     parts = [_small_file_spans(spark, paths, section_file_bytes, max_file_bytes)]
     if pieces.has_large_files(spark, paths, section_file_bytes):
         split_files = pieces.SplitFiles(spark, paths, UTF8, section_file_bytes, max_file_bytes)
-        plain = split_files.heads().where(~F.col("source").rlike(pieces.COMPRESSED))
-        files = file_listing(spark, paths).drop("location")
-        parts.append(
-            plain.withColumnRenamed("source", "path").join(files, "path").select(
-                "path", "size", "mtime", "group", "n_data", "headings", "units", "types", "start",
-                F.least(F.col("start") + F.col("bytes"), "size").alias("end"),
-            )
-        )
+        parts.append(_split_file_spans(split_files, file_listing(spark, paths).drop("location")))
     spans = reduce(DataFrame.unionByName, parts)
     number = F.row_number().over(Window.partitionBy("path", "group").orderBy("start"))
     return spans.withColumn("span_no", number.cast("long")).select(*INDEX_COLUMNS)
