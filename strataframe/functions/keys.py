@@ -15,19 +15,16 @@ they are never parsed, so no digit is lost.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions.text import literal
-from strataframe.functions.typing import column_type
 
 # The first element of each kind of preimage.
 IDENTITY_KIND, CONTENT_KIND = "id", "row"
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
-# Sign, digits without leading zeros, fraction without trailing zeros.
-NUMBER_PARTS = r"^(?:\+|(-))?0*([0-9]*?)(?:\.0*|(\.[0-9]*?[1-9])0*)?$"
-NO_KEY = "cast(null as string)"
 
 
 def fixed(value: str) -> str:
@@ -52,47 +49,70 @@ def uuid_sql(digest: str) -> str:
     )
 
 
-def with_uuids(df: DataFrame, **preimages: str) -> DataFrame:
-    """Add one UUID column per preimage. Each digest gets a column first, so it is made only once."""
-    digests = df.withColumns({key: F.expr(f"sha2({preimage}, 256)") for key, preimage in preimages.items()})
-    return digests.withColumns({key: F.expr(uuid_sql(key)) for key in preimages})
+@dataclass(frozen=True)
+class Key:
+    """A key to be made: its preimage (never NULL), and the condition under which there is one."""
 
+    preimage: str
+    condition: str = "true"
 
-def identity(group: str, key_values: Sequence[str]) -> str:
-    """Row id preimage from KEY values in dictionary order. A blank or missing value counts as ''."""
-    return concat(fixed(IDENTITY_KIND), fixed(group), *[element(f"coalesce({value}, '')") for value in key_values])
 
+NO_KEY = Key("''", "false")
 
-def parent_identity(parent: str | None, key_values: Sequence[str | None]) -> str:
-    """The parent's row id preimage, seen from the child.
 
-    A ``None`` entry is a heading the child does not carry; an expression that is NULL on some rows
-    is a heading those rows' files do not carry. Either makes the link unresolvable: NULL.
+def with_uuids(df: DataFrame, **keys: Key) -> DataFrame:
+    """Add one UUID column per key, in two projections.
+
+    Each digest gets a column first, so that it is made only once per row. Digests are declared
+    non-NULL and the condition is kept apart, so that the ``IS NOT NULL`` filter Spark derives from
+    a join on a key comes down to the condition and never hashes a row twice.
     """
-    if parent is None or not key_values or any(value is None for value in key_values):
+    digests = {name: F.expr(f"coalesce(sha2({key.preimage}, 256), '')") for name, key in keys.items()}
+    conditions = {f"{name}_known": F.expr(key.condition) for name, key in keys.items()}
+    uuids = {name: F.expr(f"if({name}_known, {uuid_sql(name)}, null)") for name in keys}
+    return df.withColumns({**digests, **conditions}).withColumns(uuids).drop(*conditions)
+
+
+def identity(group: str, key_values: Sequence[str]) -> Key:
+    """Row id from KEY values in dictionary order. A blank or missing value counts as ''."""
+    elements = [element(f"coalesce({value}, '')") for value in key_values]
+    return Key(concat(fixed(IDENTITY_KIND), fixed(group), *elements))
+
+
+def parent_identity(parent: str | None, key_values: Sequence[tuple[str, str] | None]) -> Key:
+    """The parent's row id, seen from the child: ``(value, condition)`` per KEY heading of the parent.
+
+    A ``None`` entry is a heading no child row carries; a condition tells whether this row's file
+    carries it. Where one is missing the link cannot be resolved and the id is NULL.
+    """
+    if parent is None or not key_values or any(entry is None for entry in key_values):
         return NO_KEY
-    return concat(fixed(IDENTITY_KIND), fixed(parent), *[element(value) for value in key_values])
+    elements = [element(f"coalesce({value}, '')") for value, _ in key_values]
+    conditions = sorted({condition for _, condition in key_values})
+    return Key(concat(fixed(IDENTITY_KIND), fixed(parent), *elements), " and ".join(conditions))
 
 
 def canonical_number(value: str) -> str:
-    """A plain decimal number as canonical text; anything else unchanged."""
+    """A plain decimal number as canonical text; anything else unchanged. ``value`` should be a column."""
     text = f"trim({value})"
-    trimmed = f"regexp_replace({text}, {literal(NUMBER_PARTS)}, '$1$2$3')"
-    led = f"regexp_replace({trimmed}, {literal('^(-?)(?=' + chr(92) + '.|$)')}, '$10')"
-    return f"if({text} rlike {literal(PLAIN_NUMBER)}, regexp_replace({led}, '^-0$', '0'), {value})"
+    digits = f"ltrim('+-0', if(contains({text}, '.'), rtrim('.', rtrim('0', {text})), {text}))"
+    sign = f"if(startswith({text}, '-') and {digits} <> '', '-', '')"
+    zero = f"if({digits} = '' or startswith({digits}, '.'), '0', '')"
+    return f"if({text} rlike {literal(PLAIN_NUMBER)}, concat({sign}, {zero}, {digits}), {value})"
 
 
-def content_from(group: str, cells: str) -> str:
-    """Content preimage from an array of encoded cells in heading order; NULL entries are blank cells."""
-    return concat(fixed(CONTENT_KIND), fixed(group), f"array_join({cells}, '')")
+def content_from(group: str, cells: str) -> Key:
+    """Content key from an array of encoded cells in heading order; NULL entries are blank cells."""
+    return Key(concat(fixed(CONTENT_KIND), fixed(group), f"array_join({cells}, '')"))
 
 
-def content(group: str, columns: Sequence[tuple[str, str, str, str]]) -> str:
-    """Content preimage of a row given as ``(heading, unit, type code, raw text)`` entries."""
+def content(group: str, columns: Sequence[tuple[str, str, str, str]]) -> Key:
+    """Content key of a row given as ``(heading, unit, type code, shown text)`` entries.
+
+    The text of a number is to be canonical already.
+    """
     encoded = []
     for heading, unit, code, value in sorted(columns, key=lambda entry: entry[0]):
-        numeric = column_type(code) in ("double", "bigint")
-        shown = element(canonical_number(value) if numeric else value)
         prefix = literal("".join(f"{len(part)}:{part}," for part in (heading, unit, code)))
-        encoded.append(f"case when trim({value}) <> '' then concat({prefix}, {shown}) else '' end")
-    return concat(fixed(CONTENT_KIND), fixed(group), *encoded)
+        encoded.append(f"if(trim({value}) <> '', concat({prefix}, {element(value)}), '')")
+    return Key(concat(fixed(CONTENT_KIND), fixed(group), *encoded))

@@ -19,7 +19,8 @@ LINE_PATTERN = r'^"[^"]*+(?:""[^"]*+)*+"(?:,"[^"]*+(?:""[^"]*+)*+")*+$'
 # A line that belongs in front of a section, not at its start.
 TAGGED_LINE = '^"(?:' + "|".join(KNOWN_TAGS) + ')",'
 BYTE_ORDER_MARK = "\ufeff"
-ALL = 2**31 - 1
+# More cells than a line can have. `slice` adds it to its start, so it stays well below 2^31.
+ALL = 10**9
 
 
 def literal(value: str) -> str:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
 from strataframe.functions import keys, text, typing
@@ -58,24 +59,25 @@ def discover_layout(heads: DataFrame, temporal: bool = False) -> Layout:
     return Layout(tuple((heading, typing.merged_type(merged[heading][1])) for heading in order))
 
 
-PLACE = "cast(nullif(array_position(headings, h), 0) as int)"
+# Where heading ``h`` stands in a section; -1 if it does not, and ``get`` gives NULL for that.
+PLACE = "cast(array_position(headings, h) as int) - 1"
 
 
 def _section_plan(names: Sequence[str]) -> tuple[str, str]:
-    """Per section: the cell index of each heading (NULL if absent), and its content-key prefix."""
+    """Per section: the place of each heading, and its content-key prefix."""
     wanted = f"array({', '.join(map(text.literal, names))})"
-    unit, code = (f"coalesce(get({array}, {PLACE} - 1), '')" for array in ("units", "types"))
+    unit, code = (f"coalesce(get({array}, {PLACE}), '')" for array in ("units", "types"))
     prefix = keys.concat(*map(keys.element, ("h", unit, code)))
     hashing = f"named_struct('prefix', {prefix}, 'numeric', {typing.is_numeric_sql(code)})"
     return f"transform({wanted}, h -> {PLACE})", f"transform({wanted}, h -> {hashing})"
 
 
-def _encoded_cells() -> str:
-    """Every heading's contribution to the content key; NULL for a blank cell."""
-    value = "get(cells, place)"
-    shown = f"if(plan.numeric, {keys.canonical_number(value)}, {value})"
-    encoded = f"if(trim({value}) <> '', concat(plan.prefix, {keys.element(shown)}), null)"
-    return f"zip_with(hashing, places, (plan, place) -> {encoded})"
+# Every heading's cell as it enters the content key, and what it adds; NULL for a blank cell.
+SHOWN_CELLS = f"""
+    zip_with(hashing, transform(places, place -> get(cells, place)),
+             (plan, value) -> if(plan.numeric, {keys.canonical_number('value')}, value))"""
+ENCODED_CELLS = f"""
+    zip_with(hashing, shown, (plan, value) -> if(trim(value) <> '', concat(plan.prefix, {keys.element('value')}), null))"""
 
 
 def group_table(
@@ -89,12 +91,12 @@ def group_table(
     # A KEY heading of the dictionary need not be among the headings the files carry.
     index = {name.upper(): i for i, name in enumerate(in_name_order)}
     places, hashing = _section_plan(in_name_order)
-    rows = bodies.selectExpr(
-        "source",
-        f"{places} as places",
-        f"{hashing} as hashing",
-        f"explode({text.data_lines('body')}) as line",
-    ).selectExpr("source", "places", "hashing", f"{text.cells('line')} as cells")
+    # The plan columns come in a projection of their own: next to the explode they would be
+    # computed once per line instead of once per section.
+    sections = bodies.selectExpr("source", f"{places} as places", f"{hashing} as hashing", "body")
+    lines = sections.selectExpr("source", "places", "hashing", f"explode({text.data_lines('body')}) as line")
+    rows = lines.selectExpr("source", "places", "hashing", "line", f"{text.values('line')} as cells")
+    rows = rows.selectExpr("*", f"{SHOWN_CELLS} as shown")
 
     def raw(name: str) -> str:
         return f"get(cells, get(places, {index[name.upper()]}))"
@@ -102,17 +104,18 @@ def group_table(
     def own_key(name: str) -> str:
         return raw(name) if name.upper() in index else "''"
 
-    def carried_key(name: str) -> str | None:
-        """The parent's KEY value on a child row: '' if blank, NULL if this file lacks the heading."""
+    def carried_key(name: str) -> tuple[str, str] | None:
         if name.upper() not in index:
             return None
-        return f"if(get(places, {index[name.upper()]}) is null, null, coalesce({raw(name)}, ''))"
+        # Naming the line keeps a filter on this condition with the rows: pushed down to the sections
+        # it would have their headers taken apart twice.
+        return raw(name), f"if(length(line) > 0, get(places, {index[name.upper()]}) >= 0, false)"
 
     keyed = keys.with_uuids(
         rows,
         _id=keys.identity(spec.group, [own_key(k) for k in spec.keys]) if spec.known else keys.NO_KEY,
         _parent_id=keys.parent_identity(spec.parent, [carried_key(k) for k in spec.parent_keys]),
-        _content_hash=keys.content_from(spec.group, _encoded_cells()),
+        _content_hash=keys.content_from(spec.group, ENCODED_CELLS),
     )
     return keyed.selectExpr(
         *(["source as _source_file"] if with_source else []),
@@ -132,12 +135,14 @@ def keyed_table(df: DataFrame, spec: GroupSpec, headings: Sequence[tuple[str, st
     missing = [key for key in spec.keys if key not in raw]
     if missing:
         raise DeliveryError(f"group '{spec.group}' needs its KEY headings {', '.join(missing)}")
-    carried = [f"coalesce({raw[k]}, '')" if k in raw else None for k in spec.parent_keys]
+    # Numbers in canonical text, each made once per row.
+    shown = {n: f"_shown_{i}" if typing.column_type(c) in ("bigint", "double") else raw[n] for i, (n, _, c) in enumerate(headings)}
+    numbers = {column: F.expr(keys.canonical_number(raw[n])) for n, column in shown.items() if column != raw[n]}
     keyed = keys.with_uuids(
-        df,
+        df.withColumns(numbers) if numbers else df,
         _id=keys.identity(spec.group, [raw[k] for k in spec.keys]),
-        _parent_id=keys.parent_identity(spec.parent, carried),
-        _content_hash=keys.content(spec.group, [(n, u, c, raw[n]) for n, u, c in headings]),
+        _parent_id=keys.parent_identity(spec.parent, [(raw[k], "true") if k in raw else None for k in spec.parent_keys]),
+        _content_hash=keys.content(spec.group, [(n, u, c, shown[n]) for n, u, c in headings]),
     )
     return keyed.selectExpr(
         "_id",

@@ -23,6 +23,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A generated method beyond 8000 bytes of bytecode is never compiled by the JVM's JIT. With this
+    # limit Spark evaluates such a stage operator by operator, in small methods that are.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
