@@ -81,11 +81,11 @@ def materialise(
     """
     spark = delivery.spark
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = stage_by_group(delivery)
+    staged = Delivery(spark, delivery.dictionary, stage_by_group(delivery))
     report = []
-    for code in delivery.group_codes():
+    for code in staged.group_codes():
         spec = group_spec(delivery.dictionary, code, allow_custom)
-        own = staged.where(F.col("group") == code)
+        own = staged.bodies(code)
         table = f"{database + '.' if database else ''}{prefix}{code.lower()}"
         _write_bucketed(group_table(own, discover_layout(own), spec), "_id", count, table)
         n_rows = spark.table(table).count()

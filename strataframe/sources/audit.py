@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as tx
+from strataframe.session import local_table
 from strataframe.sources import pieces
 from strataframe.sources.encoding import charset_rules, decoded, needs_whole_file, resolve_encoding
 from strataframe.sources.section_index import file_listing
@@ -120,7 +122,7 @@ def ingest_audit(
     reason = (
         F.when(F.col("size") > max_file_bytes,
                F.concat(F.lit("over the "), F.lit(str(max_file_bytes)), F.lit("-byte limit")))
-        .when((F.col("size") == 0) | F.col("bytes").isNull(), "empty file")
+        .when(F.col("bytes").isNull(), "short read")
         .when(plain & (F.col("bytes") < F.col("size") - len(tx.BYTE_ORDER_MARK.encode())), "short read")
         .when(F.col("n_sections") == 0, "no GROUP record")
         .when(F.col("n_outside") > 0, "text before the first GROUP record")
@@ -128,11 +130,22 @@ def ingest_audit(
         .when(F.col("n_unknown") > 0, "unknown record tag")
         .when(F.col("n_early") > 0, "DATA before HEADING")
     )
-    return found.select(
+    read = found.select(
         "path", "size",
         F.when(reason.isNull(), ACCEPTED).otherwise(REJECTED).alias("status"),
         reason.alias("reason"),
     )
+    return read.unionByName(_empty_files(spark, paths, listing))
+
+
+def _empty_files(spark: SparkSession, paths: list[str], listing: DataFrame) -> DataFrame:
+    """Files without a byte. No Spark scan delivers them, only the file index knows their names."""
+    indexed = spark.read.format("binaryFile").load(paths).inputFiles()
+    names = [(re.sub("^file:/+", "file:/", name),) for name in indexed]
+    empty = local_table(spark, names, "path string").join(listing, "path", "left_anti")
+    return empty.select(
+        "path", F.lit(0).cast("long").alias("size"), F.lit(REJECTED).alias("status"), F.lit("empty file").alias("reason")
+    )
 
 
 def accepted_files(audit: DataFrame) -> DataFrame:

@@ -200,6 +200,7 @@ class SplitFiles:
     def __init__(self, spark: SparkSession, paths: Sequence[str], charset: str, limit: int, ceiling: int):
         self._spark, self._paths, self._charset = spark, list(paths), charset
         self._limit, self._ceiling = limit, ceiling
+        self._header_runs: DataFrame | None = None
         self._spans: DataFrame | None = None
 
     def _runs(self, keep_rows: bool) -> DataFrame:
@@ -213,16 +214,22 @@ class SplitFiles:
         )
         return lines.mapInArrow(_section_runs(keep_rows), RUN_SCHEMA)
 
+    def header_runs(self) -> DataFrame:
+        """All runs with their header records only: one pass over the files, stored."""
+        if self._header_runs is None:
+            self._header_runs = cut_lineage(self._runs(keep_rows=False))
+        return self._header_runs
+
     def numbered_runs(self, keep_rows: bool) -> DataFrame:
         """Runs of lines with their section number and byte offset in the whole file.
 
-        What is carried from split to split is one row per split, so this costs no shuffle of text
-        beyond the bodies of the runs, which without ``keep_rows`` are header records only.
+        What is carried from split to split is one row per split; text is not shuffled for it
+        unless there are more splits than may be broadcast.
         """
-        runs = self._runs(keep_rows)
+        runs = self._runs(keep_rows=True) if keep_rows else self.header_runs()
         by_split = Window.partitionBy("source").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-        splits = (
-            self._runs(keep_rows=False)
+        splits = broadcast_if_small(
+            self.header_runs()
             .groupBy("source", "blk")
             .agg(F.max("ls").alias("groups"), F.sum("nb").alias("bytes"))
             .select(
@@ -246,8 +253,8 @@ class SplitFiles:
     def spans(self) -> DataFrame:
         """One row per section and split it touches, with the section's headers and byte range.
 
-        Built by one pass over the files that keeps only header records, then stored: it is the
-        table all later reads of these files join to.
+        Made from the header records alone, then stored: it is the table all later reads of these
+        files join to.
         """
         if self._spans is not None:
             return self._spans
