@@ -167,6 +167,21 @@ def encoded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lower(group, "DOCS_ID", "DOCS_LANG", "DOCS_TEXT")
 
 
+@query("quoted_text_read", r"""
+    select cast(conv_id as varchar) as conv_id, turn as turn_no, role as turn_role,
+           nullif(trim(replace(replace(text, chr(13), ' '), chr(10), ' ')), '') as turn_text
+    from conversations""")
+def quoted_text_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long free text in quoted cells: every turn's whole text, line breaks as blanks."""
+    section = dl.Section("TURN", [
+        ("CONV_ID", "", "ID", dl.text("conv_id")), ("TURN_NO", "", "0DP", dl.text("turn")), ("TURN_ROLE", "", "PA", "role"),
+        ("TURN_TEXT", "", "X", "translate(text, '\\r\\n', '  ')"),
+    ])
+    texts = dl.delivery_texts(dl.table(spark, sf_dir, "conversations"), section)
+    turns = read_group_text(spark, texts, "TURN", dl.fixture_dictionary(spark))
+    return _lower(turns.withColumn("TURN_TEXT", F.trim("TURN_TEXT")), "CONV_ID", "TURN_NO", "TURN_ROLE", "TURN_TEXT")
+
+
 # What is wrong with the deliveries of each decade of brands.
 FAULTS = [
     (10, None),

@@ -168,6 +168,20 @@ def deepest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("top_report", """
+    select cast(o_custkey as varchar) as cust_id, count(*) as n_orders, max(o_totalprice) as top_total
+    from orders group by 1 order by n_orders desc, cust_id limit 20""")
+def top_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty customers with most orders."""
+    return (
+        keyed(spark, sf_dir, "orders")
+        .groupBy(F.col("CUST_ID").alias("cust_id"))
+        .agg(F.count("*").alias("n_orders"), F.max("ORDR_TOT").alias("top_total"))
+        .orderBy(F.desc("n_orders"), "cust_id")
+        .limit(20)
+    )
+
+
 @query("uniqueness", f"""
     select count(*) as n_rows, count(distinct {_LINE_ID}) as n_ids, count(*) = count(distinct {_LINE_ID}) as is_unique
     from lineitem""")
