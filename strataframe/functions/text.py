@@ -62,6 +62,10 @@ def after_group_mark(text: str) -> str:
     return f"if(startswith({clean}, {mark}), substring({clean}, {len(GROUP_MARK) + 1}), {clean})"
 
 
+def first_line(text: str) -> str:
+    return f"substring_index({text}, '\\n', 1)"
+
+
 def group_code(body: str) -> str:
     """The group code of a section whose text starts at the code's own opening quote."""
     pattern = '^"([^"\r\n]*)"'

@@ -42,10 +42,14 @@ def _position(block: Column, number: Column) -> Column:
 
 
 def _with_headers(pieces: DataFrame) -> DataFrame:
-    """Name each section's group and headers. Text in front of a first GROUP record is dropped."""
+    """Name each section's group and headers. Text in front of a first GROUP record is dropped.
+
+    The group comes from ``head``, the section's first line, so that passing over an unwanted
+    section never touches the rest of its text.
+    """
     return (
-        pieces.selectExpr("*", f"{tx.group_code('body')} as group")
-        .where(f"group <> '' and not body rlike {tx.literal(tx.TAGGED_LINE)}")
+        pieces.selectExpr("*", f"{tx.group_code('head')} as group")
+        .where(f"group <> '' and not head rlike {tx.literal(tx.TAGGED_LINE)}")
         .selectExpr(
             "source",
             "pos",
@@ -68,7 +72,10 @@ def text_sections(docs: DataFrame, content: str, source: str) -> DataFrame:
     )
     return _with_headers(
         parts.selectExpr(
-            "source", "named_struct('blk', 0L, 'n', cast(n as long)) as pos", f"{tx.after_group_mark('part')} as body"
+            "source",
+            "named_struct('blk', 0L, 'n', cast(n as long)) as pos",
+            f"{tx.after_group_mark(tx.first_line('part'))} as head",
+            f"{tx.after_group_mark('part')} as body",
         )
     )
 
@@ -102,9 +109,17 @@ def file_sections(
         pieces = scan.where(~_is_large(limit) & (F.col("_metadata.file_size") <= ceiling)).select(
             F.col("_metadata.file_path").alias("source"),
             _position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
+            decoded(F.expr(tx.first_line("value")), charset).alias("first_line"),
             decoded(F.col("value"), charset).alias("text"),
         )
-    return _with_headers(pieces.selectExpr("source", "pos", f"{tx.after_group_mark('text')} as body"))
+    return _with_headers(
+        pieces.selectExpr(
+            "source",
+            "pos",
+            f"{tx.after_group_mark('first_line')} as head",
+            f"{tx.after_group_mark('text')} as body",
+        )
+    )
 
 
 # --------------------------------------------------------------------------- large files
