@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from strataframe.llm import op6_bpe_automaton
+from strataframe.llm import op1_minhash, op2_jaccard_join, op3_substring_dedup, op6_bpe_automaton, op7_simple8b
 
 QUERIES = {
+    "op1_minhash": op1_minhash.query,
+    "op2_jaccard_join": op2_jaccard_join.query,
+    "op3_substring_dedup": op3_substring_dedup.query,
     "op6_bpe_automaton": op6_bpe_automaton.query,
+    "op7_simple8b": op7_simple8b.query,
 }
 ORACLES: dict[str, str] = {}
