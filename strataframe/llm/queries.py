@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from strataframe.llm import op1_minhash, op2_jaccard_join, op3_substring_dedup, op6_bpe_automaton, op7_simple8b
+from strataframe.llm import (
+    op1_minhash, op2_jaccard_join, op3_substring_dedup, op4_url_lists, op6_bpe_automaton, op7_simple8b, op8_quality,
+    op9_decontaminate, op10_pii,
+)
 
 QUERIES = {
     "op1_minhash": op1_minhash.query,
     "op2_jaccard_join": op2_jaccard_join.query,
     "op3_substring_dedup": op3_substring_dedup.query,
+    "op4_url_lists": op4_url_lists.query,
     "op6_bpe_automaton": op6_bpe_automaton.query,
     "op7_simple8b": op7_simple8b.query,
+    "op8_quality": op8_quality.query,
+    "op9_decontaminate": op9_decontaminate.query,
+    "op10_pii": op10_pii.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_lists": op4_url_lists.SQL}
