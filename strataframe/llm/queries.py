@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from strataframe.llm import (
-    op1_minhash, op2_jaccard_join, op3_substring_dedup, op4_url_lists, op6_bpe_automaton, op7_simple8b, op8_quality,
-    op9_decontaminate, op10_pii,
+    op1_minhash, op2_jaccard_join, op3_substring_dedup, op4_url_lists, op5_transcripts, op6_bpe_automaton, op7_simple8b,
+    op8_quality, op9_decontaminate, op10_pii,
 )
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join.query,
     "op3_substring_dedup": op3_substring_dedup.query,
     "op4_url_lists": op4_url_lists.query,
+    "op5_transcripts": op5_transcripts.query,
     "op6_bpe_automaton": op6_bpe_automaton.query,
     "op7_simple8b": op7_simple8b.query,
     "op8_quality": op8_quality.query,
