@@ -26,8 +26,8 @@ from strataframe.llm.tables import cut_lineage, documents
 from strataframe.llm.textblocks import Texts, Words, blocks, ragged_take, run_hashes, word_hashes, words_of
 
 MIN_WORDS = 50
-CHUNK_WORDS = 2 << 20
-BUCKET_WORDS = 2 << 20
+CHUNK_WORDS = 1 << 20
+BUCKET_WORDS = 1 << 20
 LAST = (1 << 63) - 1  # stands for a missing doc_id
 LOW_BITS = np.uint64((1 << 48) - 1)
 
@@ -99,7 +99,12 @@ def _deal(docs: DataFrame, width: int, bits: int) -> DataFrame:
         size = number = 0
 
         def chunk():
-            whole, anchor, doc, mark, place = (np.concatenate(c) for c in zip(*held))
+            columns = [list(c) for c in zip(*held)]
+            held.clear()  # so that only one copy of each column stays in memory
+            for i, c in enumerate(columns):
+                columns[i] = np.concatenate(c)
+            whole, anchor, doc, mark, place = columns
+            columns.clear()
             again, lowest = _repeated(whole, doc)
             rows = []
             if again.any():
@@ -108,7 +113,8 @@ def _deal(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 sizes = np.diff(np.append(at, len(d)))
                 rows.append((number % (1 << bits), True, b"", d[at].tobytes(), m[at].tobytes(),
                              p[at].astype("<i4").tobytes(), sizes.astype("<i4").tobytes(), b"", b""))
-            whole, anchor, doc, mark, place = (c[lowest] for c in (whole, anchor, doc, mark, place))
+            whole, anchor, doc, mark, place = whole[lowest], anchor[lowest], doc[lowest], mark[lowest], place[lowest]
+            del again, lowest
             begin = _runs(anchor, doc, mark, place - np.arange(len(place)))
             sizes = np.diff(np.append(begin, len(place)))
             bucket = (anchor[begin] >> np.uint64(64 - bits)).astype(np.uint32)
