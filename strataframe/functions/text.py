@@ -16,8 +16,11 @@ KNOWN_TAGS = ("GROUP", "HEADING", "UNIT", "TYPE", "DATA")
 CELL_PATTERN = r'"([^"]*+(?:""[^"]*+)*+)"'
 # A whole well-formed line: quoted cells separated by commas, nothing else.
 LINE_PATTERN = r'^"[^"]*+(?:""[^"]*+)*+"(?:,"[^"]*+(?:""[^"]*+)*+")*+$'
-# A line that belongs in front of a section, not at its start.
-TAGGED_LINE = '^"(?:' + "|".join(KNOWN_TAGS) + ')",'
+# One cell of a line that is not well-formed, with the comma behind it; cells follow each other without a gap.
+PLACED_CELL = r'\G(?:"[^"]*+(?:""[^"]*+)*+"|[^,"]*+)(?:,|$)'
+# A record that belongs in front of a section, not at its start: a tag and a cell that says something.
+# A group may be called like a tag, and its GROUP line may be padded with blank cells.
+STRAY_RECORD = '^"(?:' + "|".join(KNOWN_TAGS) + ')",[^\\r\\n]*[^",\\s]'
 BYTE_ORDER_MARK = "\ufeff"
 # More cells than a line can have. `slice` adds it to its start, so it stays well below 2^31.
 ALL = 10**9
@@ -45,8 +48,14 @@ def values(line: str) -> str:
     return f"slice({cells(line)}, 2, {ALL})"
 
 
+def rest(body: str) -> str:
+    """Section text behind its GROUP line, so that a group's code is never taken for a record tag."""
+    return f"substring({body}, length({first_line(body)}) + 2)"
+
+
 def header_line(body: str, tag: str) -> str:
-    """The first line of a section that carries ``tag``; '' when there is none."""
+    """The first line with ``tag`` in front of the first DATA line; '' when there is none."""
+    body = f"substring_index(concat('\\n', {body}), {literal(chr(10) + DATA_MARK)}, 1)"
     pattern = f'(?:^|\n)("{tag}"[^\r\n]*)'
     return f"regexp_extract({body}, {literal(pattern)}, 1)"
 
@@ -77,8 +86,23 @@ def lines(body: str) -> str:
     return f"transform(split({body}, '\\n'), line -> rtrim('\\r', line))"
 
 
-def data_lines(body: str) -> str:
-    return f"filter(split({body}, '\\n'), line -> startswith(line, {literal(DATA_MARK)}))"
+def well_formed(line: str) -> str:
+    return f"rtrim('\\r', {line}) rlike {literal(LINE_PATTERN)}"
+
+
+def row_lines(body: str) -> str:
+    """The DATA lines of a section, and every line that is neither blank nor well-formed."""
+    wanted = f"startswith(line, {literal(DATA_MARK)}) or not (trim(line) in ('', '\\r') or {well_formed('line')})"
+    return f"filter(split({body}, '\\n'), line -> {wanted})"
+
+
+def placed_cells(line: str) -> str:
+    """The cells of a malformed line, each in its place. A cell without quotes is NULL, and so is
+    everything from an open quote on."""
+    found = f"regexp_extract_all(trim(rtrim('\\r', {line})), {literal(PLACED_CELL)}, 0)"
+    bare = "regexp_replace(cell, ',$', '')"
+    unquoted = f"""replace(substring({bare}, 2, length({bare}) - 2), '""', '"')"""
+    return f"""slice(transform({found}, cell -> if(startswith(cell, '"'), {unquoted}, null)), 2, {ALL})"""
 
 
 def data_count(body: str) -> str:

@@ -31,8 +31,13 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
 
 
 def dedup_identity(df: DataFrame, order: Sequence[Column | str] | None = None) -> DataFrame:
-    """One row per ``_id``: any, or the first in ``order`` if one is given."""
-    return first_per_key(df, ["_id"], order) if order else df.dropDuplicates(["_id"])
+    """One row per ``_id``: the first in ``order``, or that with the smallest content hash.
+
+    Rows without an id, such as those of a group outside the dictionary, have no identity to share;
+    they all stay.
+    """
+    known = first_per_key(df.where("_id is not null"), ["_id"], [*(order or []), "_content_hash"])
+    return known.unionByName(df.where("_id is null"))
 
 
 def dedup_content(df: DataFrame) -> DataFrame:
@@ -41,5 +46,9 @@ def dedup_content(df: DataFrame) -> DataFrame:
 
 
 def latest_revision(df: DataFrame, key: Sequence[str], version: str, ties: Sequence[str] = ("_content_hash",)) -> DataFrame:
-    """The row with the highest ``version`` of each key; ties fall to the smallest ``ties`` values."""
-    return first_per_key(df, key, [F.desc(version), *ties])
+    """The row with the highest ``version`` of each key; ties fall to the smallest ``ties`` values.
+
+    A row with a NULL in its key is nobody's revision, and stays.
+    """
+    keyed = reduce(Column.__and__, [F.col(name).isNotNull() for name in key])
+    return first_per_key(df.where(keyed), key, [F.desc(version), *ties]).unionByName(df.where(~keyed))

@@ -136,6 +136,19 @@ def edition_growth(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("edition").agg(F.countDistinct("group").alias("n_groups"))
 
 
+def group_parents(dictionary: DataFrame) -> DataFrame:
+    """``(group, parent)``: one parent per group, the one in the newest edition that lists the group.
+
+    A group without parent in that edition is not in the result. If an edition gives several, the
+    smallest counts.
+    """
+    edition = edition_rank(F.col("edition")) if "edition" in dictionary.columns else F.array(F.lit(0))
+    parent = F.expr("nullif(parent, '')")
+    per_edition = dictionary.groupBy("group", F.coalesce(edition, F.array(F.lit(-1))).alias("edition")).agg(F.min(parent).alias("parent"))
+    newest = per_edition.groupBy("group").agg(F.max_by("parent", "edition").alias("parent"))
+    return newest.where("parent is not null")
+
+
 def relationships(dictionary: DataFrame) -> DataFrame:
     """``(child, parent, shared_keys)`` for every group that has a parent.
 
@@ -144,7 +157,7 @@ def relationships(dictionary: DataFrame) -> DataFrame:
     """
     headings = union_dictionary(dictionary) if "edition" in dictionary.columns else dictionary
     keyed = headings.where(F.col("status").startswith(KEY_STATUS))
-    edges = headings.where("parent is not null").select(F.col("group").alias("child"), "parent").distinct()
+    edges = group_parents(dictionary).withColumnRenamed("group", "child")
     child_keys = keyed.select(F.col("group").alias("child"), "heading")
     parent_keys = keyed.select(F.col("group").alias("parent"), "heading", "ordinal")
     shared = edges.join(child_keys, "child").join(parent_keys, ["parent", "heading"])
@@ -186,11 +199,19 @@ def newest_rows(dictionary: DataFrame, group: str) -> list[Row]:
     rows = dictionary.where(F.col("group") == group).selectExpr("parent", "heading", "status", "ordinal", edition)
 
     def age(row: Row) -> list[int]:
-        return [int(part) if part.isdigit() else 0 for part in row.edition.split(".")]
+        return [int(part) if part.isdigit() else 0 for part in (row.edition or "").split(".")]
 
     return list({row.heading: row for row in sorted(rows.collect(), key=age)}.values())
 
 
+def newest_parent(dictionary: DataFrame, group: str) -> str | None:
+    """The parent of one group by the rule of :func:`group_parents`, from that group's rows."""
+    rank = F.coalesce(edition_rank(F.col("edition")), F.array(F.lit(-1))) if "edition" in dictionary.columns else F.array(F.lit(0))
+    rows = dictionary.where(F.col("group") == group).select("parent", rank.alias("rank")).collect()
+    newest = max(([-1 if n is None else n for n in row["rank"]] for row in rows), default=None)
+    return min((row.parent for row in rows if row.parent and [-1 if n is None else n for n in row["rank"]] == newest), default=None)
+
+
 def group_spec(dictionary: DataFrame, group: str, allow_custom: bool = False) -> GroupSpec:
     """Look a group and its parent up. Reads the dictionary rows of these two groups only."""
     own = newest_rows(dictionary, group)
@@ -198,12 +219,12 @@ def group_spec(dictionary: DataFrame, group: str, allow_custom: bool = False) ->
         if allow_custom:
             return GroupSpec(group, known=False)
         raise DeliveryError(f"group '{group}' is not in the dictionary; pass allow_custom=True to read it without keys")
-    parent = next((row.parent for row in own if row.parent), None)
+    parent = newest_parent(dictionary, group)
     above = newest_rows(dictionary, parent) if parent else []
 
     def key_headings(rows) -> tuple[str, ...]:
-        wanted = [row for row in rows if row.status.startswith(KEY_STATUS)]
-        return tuple(row.heading for row in sorted(wanted, key=lambda row: row.ordinal))
+        wanted = [row for row in rows if (row.status or "").startswith(KEY_STATUS)]
+        return tuple(row.heading for row in sorted(wanted, key=lambda row: (row.ordinal is None, row.ordinal or 0)))
 
     return GroupSpec(group, key_headings(own), parent, key_headings(above))
 

@@ -19,6 +19,10 @@ from strataframe.functions import keys, text, typing
 from strataframe.operators.dictionary import GroupSpec
 
 
+# What to do with a line that is not well-formed.
+MALFORMED = ("error", "null")
+
+
 @dataclass(frozen=True)
 class Layout:
     """The headings of a group, in file order, with their Spark types."""
@@ -36,25 +40,45 @@ class Layout:
 
 
 def discover_layout(heads: DataFrame, temporal: bool = False) -> Layout:
-    """Headings and types over all sections of one group, merged by name.
+    """Headings and types over all sections of one group, merged by name."""
+    return next(iter(discover_layouts(heads.withColumn("group", F.lit("")), temporal).values()), Layout(()))
+
+
+def discover_layouts(heads: DataFrame, temporal: bool = False) -> dict[str, Layout]:
+    """The layout of every group in ``heads``, groups in order of first appearance if ``pos`` is there.
 
-    The result has one row per distinct heading and type, whatever the number of files.
+    One aggregate, whose result has a row per distinct group, heading and type, whatever the number of
+    files. Headings of a section that are equal but for case are an error, as their cells could not be
+    told apart.
     """
+    columns = heads.columns
+    source = "source" if "source" in columns else "'the delivery'"
+    first = "struct(source, pos)" if "source" in columns and "pos" in columns else "0"
+    named = "filter(headings, h -> h <> '')"
+    twice = f"size(array_distinct(transform({named}, h -> upper(h)))) < size({named})"
     found = (
-        heads.selectExpr("posexplode(headings) as (ordinal, heading)", "types")
+        heads.selectExpr("group", "posexplode(headings) as (ordinal, heading)", "types",
+                         f"if({twice}, {source}, null) as twice", f"{first} as first")
         .where("heading <> ''")
-        .selectExpr("ordinal", "heading", f"coalesce(get(types, ordinal), '{typing.DEFAULT_CODE}') as code")
-        .selectExpr("ordinal", "heading", f"{typing.column_type_sql('code', temporal)} as type")
-        .groupBy("heading", "type")
-        .agg({"ordinal": "min"})
-        .withColumnRenamed("min(ordinal)", "ordinal")
+        .selectExpr("*", f"coalesce(get(types, ordinal), '{typing.DEFAULT_CODE}') as code")
+        .selectExpr("*", f"{typing.column_type_sql('code', temporal)} as type")
+        .groupBy("group", "heading", "type")
+        .agg(F.min("ordinal").alias("ordinal"), F.min("twice").alias("twice"), F.min("first").alias("first"))
         .collect()
     )
-    merged: dict[str, tuple[int, set[str]]] = {}
-    for row in found:
-        ordinal, types = merged.setdefault(row.heading, (row.ordinal, set()))
-        types.add(row.type)
-        merged[row.heading] = (min(ordinal, row.ordinal), types)
+    layouts: dict[str, dict[str, tuple[int, set[str]]]] = {}
+    for row in sorted(found, key=lambda row: row.first):
+        if row.twice is not None:
+            raise DeliveryError(f"{row.twice}: a heading of group '{row.group}' occurs twice (case aside)")
+        merged = layouts.setdefault(row.group, {})
+        ordinal, types = merged.get(row.heading, (row.ordinal, set()))
+        merged[row.heading] = (min(ordinal, row.ordinal), types | {row.type})
+    return {group: _merged_layout(group, merged) for group, merged in layouts.items()}
+
+
+def _merged_layout(group: str, merged: dict[str, tuple[int, set[str]]]) -> Layout:
+    if len({heading.upper() for heading in merged}) < len(merged):
+        raise DeliveryError(f"the files spell a heading of group '{group}' in several ways: {', '.join(sorted(merged))}")
     order = sorted(merged, key=lambda heading: (merged[heading][0], heading))
     return Layout(tuple((heading, typing.merged_type(merged[heading][1])) for heading in order))
 
@@ -85,8 +109,16 @@ def group_table(
     layout: Layout,
     spec: GroupSpec,
     with_source: bool = False,
+    malformed: str = "error",
 ) -> DataFrame:
-    """``_id, _parent_id``, the typed headings, ``_content_hash`` for one group's sections."""
+    """``_id, _parent_id``, the typed headings, ``_content_hash`` for one group's sections.
+
+    A line that is not made of quoted cells is an error that names its file. With ``malformed="null"``
+    such a DATA line stays: cells without quotes are NULL, the others keep their headings, and
+    ``_malformed`` marks it; any other such line is an error all the same.
+    """
+    if malformed not in MALFORMED:
+        raise DeliveryError(f"malformed is one of {', '.join(MALFORMED)}")
     in_name_order = sorted(layout.names)
     # A KEY heading of the dictionary need not be among the headings the files carry.
     index = {name.upper(): i for i, name in enumerate(in_name_order)}
@@ -94,8 +126,16 @@ def group_table(
     # The plan columns come in a projection of their own: next to the explode they would be
     # computed once per line instead of once per section.
     sections = bodies.selectExpr("source", f"{places} as places", f"{hashing} as hashing", "body")
-    lines = sections.selectExpr("source", "places", "hashing", f"explode({text.data_lines('body')}) as line")
-    rows = lines.selectExpr("source", "places", "hashing", "line", f"{text.values('line')} as cells")
+    lines = sections.selectExpr("source", "places", "hashing", f"explode({text.row_lines('body')}) as line")
+    sound, values = text.well_formed("line"), text.values("line")
+    lenient = malformed == "null"
+    kept = f"startswith(trim(line), {text.literal(text.DATA_MARK)})" if lenient else "false"
+    message = "concat('malformed line in ', source, ': ', left(line, 200))"
+    lines = lines.where(f"if({sound} or {kept}, true, raise_error({message}) is null)")
+    rows = lines.selectExpr(
+        "source", "places", "hashing", "line", *([f"not {sound} as _malformed"] if lenient else []),
+        f"{f'if({sound}, {values}, {text.placed_cells('line')})' if lenient else values} as cells",
+    )
     rows = rows.selectExpr("*", f"{SHOWN_CELLS} as shown")
 
     def raw(name: str) -> str:
@@ -123,6 +163,7 @@ def group_table(
         "_parent_id",
         *[f"{typing.typed_cell(raw(name), kind)} as {text.name(name)}" for name, kind in layout.columns],
         "_content_hash",
+        *(["_malformed"] if lenient else []),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
-from strataframe.operators.dictionary import newest_rows
+from strataframe.operators.dictionary import newest_parent
 
 
 def join_parent(child: DataFrame, parent: DataFrame, child_name: str, parent_name: str,
@@ -38,7 +38,7 @@ def hierarchy_path(dictionary: DataFrame, start: str, stop: str) -> list[str]:
     """The groups from ``start`` up to its ancestor ``stop``, read off the dictionary's edges."""
     path = [start]
     while path[-1] != stop:
-        parent = next((row.parent for row in newest_rows(dictionary, path[-1]) if row.parent), None)
+        parent = newest_parent(dictionary, path[-1])
         if parent is None or parent in path:
             raise DeliveryError(f"'{stop}' is not an ancestor of '{start}'")
         path.append(parent)
@@ -51,7 +51,7 @@ def orphans(child: DataFrame, parent: DataFrame) -> DataFrame:
     Rows without a parent id would all meet in one task; they are given a key of their own that
     matches nothing (ids start with a hexadecimal digit), which spreads them evenly.
     """
-    key = F.coalesce(F.col("_parent_id"), F.concat(F.lit("-"), F.col("_id")))
+    key = F.coalesce(F.col("_parent_id"), F.concat(F.lit("-"), F.coalesce("_id", "_content_hash")))
     ids = parent.select(F.col("_id").alias("_known_id"))
     return child.withColumn("_key", key).join(ids, F.col("_key") == F.col("_known_id"), "left_anti").drop("_key")
 

@@ -14,6 +14,8 @@ SEGMENT_SCHEMA = "x1 double, y1 double, x2 double, y2 double"
 # A long segment is cut into parts this many cells long before its cells are listed, so that the
 # box around a part stays small.
 PART_CELLS = 8
+# Into how many cells the whole route is cut at most if the distance is small.
+ROUTE_CELLS = 100_000
 
 
 def route_segments(spark: SparkSession, vertices: Sequence[tuple[float, float]]) -> DataFrame:
@@ -60,6 +62,13 @@ def _route_cells(segments: DataFrame, distance: float, cell: float) -> DataFrame
     return boxed.where(near).select("cx", "cy", "x1", "y1", "x2", "y2").distinct()
 
 
+def _usual_cell(segments: DataFrame) -> float:
+    """A cell so large that the whole route has at most about ``ROUTE_CELLS`` of them, however small the distance."""
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    total = segments.agg(F.sum(length)).first()[0] or 0.0
+    return max(total / ROUTE_CELLS, 1e-9)
+
+
 def near_route(points: DataFrame, x: str, y: str, segments: DataFrame, distance: float,
                cell: float | None = None) -> DataFrame:
     """The points at most ``distance`` from any segment, each once.
@@ -68,7 +77,7 @@ def near_route(points: DataFrame, x: str, y: str, segments: DataFrame, distance:
     multiplies a point. The cells are broadcast if they turn out to be few; otherwise Spark shuffles
     both sides by cell.
     """
-    size = cell or max(distance, 1e-9)
+    size = cell or max(distance, _usual_cell(segments))
     if size < distance:
         raise DeliveryError("the grid cell must not be smaller than the distance")
     cells = broadcast_if_small(_route_cells(segments, distance, size))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions.typing import sql_type_sql
-from strataframe.operators.dictionary import KEY_STATUS, UNKNOWN_STATUS, union_dictionary
+from strataframe.operators.dictionary import KEY_STATUS, UNKNOWN_STATUS, group_parents, union_dictionary
 from strataframe.session import broadcast_if_small
 
 
@@ -19,12 +19,7 @@ def groups_profile(heads: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     A group declared in several sections of a file counts once, with all its rows.
     """
-    parents = (
-        _dictionary_rows(dictionary)
-        .where("parent is not null")
-        .groupBy("group")
-        .agg(F.min("parent").alias("parent"))
-    )
+    parents = group_parents(dictionary)
     per_group = heads.groupBy("source", "group").agg(
         F.sum("n_data").alias("n_rows"),
         F.max(F.size("headings")).cast("long").alias("n_headings"),

@@ -36,15 +36,14 @@ def _findings(body: str, in_section: str) -> list[str]:
     ]
 
 
-def _small_file_findings(spark: SparkSession, paths: list[str], charset: str, limit: int, ceiling: int) -> DataFrame:
+def _small_file_findings(spark: SparkSession, paths: list[str], charset: str, limit: int, ceiling: int | None) -> DataFrame:
     scan = spark.read.option("lineSep", pieces.SECTION_SEPARATOR).text(paths)
-    size = F.col("_metadata.file_size")
-    rows = scan.where(~pieces._is_large(limit) & (size <= ceiling)).select(
+    rows = scan.where(~pieces._is_large(limit) & pieces.size_at_most(ceiling)).select(
         F.col("_metadata.file_path").alias("path"),
         F.octet_length("value").alias("nb"),
         decoded(F.col("value"), charset).alias("text"),
     )
-    is_section = f"(body rlike {tx.literal(SECTION_START)} and not body rlike {tx.literal(tx.TAGGED_LINE)})"
+    is_section = f"(body rlike {tx.literal(SECTION_START)} and not body rlike {tx.literal(tx.STRAY_RECORD)})"
     # The line of the group code has lost its tag; it is given back, so that it is a record like any other.
     restored = f"if(in_section, concat({tx.literal(tx.GROUP_MARK)}, body), body)"
     heading, data = (f"locate({tx.literal(chr(10) + chr(34) + tag + chr(34))}, body)" for tag in ("HEADING", "DATA"))
@@ -67,7 +66,7 @@ def _small_file_findings(spark: SparkSession, paths: list[str], charset: str, li
     )
 
 
-def _large_file_findings(spark: SparkSession, paths: list[str], charset: str, limit: int, ceiling: int) -> DataFrame:
+def _large_file_findings(spark: SparkSession, paths: list[str], charset: str, limit: int, ceiling: int | None) -> DataFrame:
     runs = pieces.SplitFiles(spark, paths, charset, limit, ceiling).numbered_runs(keep_rows=True)
     with charset_rules(spark, charset):
         readable = runs.withColumn("body", F.ltrim(decoded(F.col("body"), charset), F.lit(tx.BYTE_ORDER_MARK)))
@@ -100,12 +99,12 @@ def ingest_audit(
     spark: SparkSession,
     paths: str | Sequence[str],
     encoding: str | None = None,
-    max_file_bytes: int = pieces.MAX_FILE_BYTES,
+    max_file_bytes: int | None = None,
     section_file_bytes: int = pieces.SECTION_FILE_BYTES,
 ) -> DataFrame:
     """``(path, size, status, reason)`` for every file; ``reason`` is NULL for the good ones.
 
-    Files over the ceiling are not opened. A byte order mark is not counted as read. The size of a compressed file is not compared with the
+    With ``max_file_bytes`` a larger file is not opened and listed as rejected. A byte order mark is not counted as read. The size of a compressed file is not compared with the
     number of bytes read, as the two differ by nature.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -119,9 +118,9 @@ def ingest_audit(
     listing = file_listing(spark, paths).select("path", "size")
     found = listing.join(reduce(DataFrame.unionByName, scans), "path", "left")
     plain = ~F.col("path").rlike(pieces.COMPRESSED)
+    over = F.lit(False) if max_file_bytes is None else F.col("size") > max_file_bytes
     reason = (
-        F.when(F.col("size") > max_file_bytes,
-               F.concat(F.lit("over the "), F.lit(str(max_file_bytes)), F.lit("-byte limit")))
+        F.when(over, F.concat(F.lit("over the "), F.lit(str(max_file_bytes)), F.lit("-byte limit")))
         .when(F.col("bytes").isNull(), "short read")
         .when(plain & (F.col("bytes") < F.col("size") - len(tx.BYTE_ORDER_MARK.encode())), "short read")
         .when(F.col("n_sections") == 0, "no GROUP record")

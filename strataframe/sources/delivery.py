@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strataframe.errors import DeliveryError
 from strataframe.operators import structure
 from strataframe.operators.dictionary import group_spec, seed_dictionary
-from strataframe.operators.group_table import Layout, discover_layout, group_table
+from strataframe.operators.group_table import Layout, discover_layout, discover_layouts, group_table
 from strataframe.session import local_table
 from strataframe.sources import pieces
 from strataframe.sources.encoding import resolve_encoding
@@ -45,19 +45,20 @@ class Delivery:
         dictionary: DataFrame | None = None,
         encoding: str | None = None,
         section_file_bytes: int = pieces.SECTION_FILE_BYTES,
-        max_file_bytes: int = pieces.MAX_FILE_BYTES,
+        max_file_bytes: int | None = None,
     ) -> Delivery:
         """Files, folders or globs on any file system the cluster can open.
 
-        Files over ``max_file_bytes`` are left out, as :func:`strataframe.sources.audit.ingest_audit`
-        reports; files over ``section_file_bytes`` are read split by split.
+        With ``max_file_bytes`` a file over that size is an error that names it; there is no limit
+        otherwise. Files over ``section_file_bytes`` are read split by split.
         """
         paths = [paths] if isinstance(paths, str) else list(paths)
         charset = resolve_encoding(encoding)
-        sections = pieces.file_sections(spark, paths, charset, section_file_bytes, max_file_bytes)
+        pieces.refuse_larger_files(spark, paths, max_file_bytes)
+        sections = pieces.file_sections(spark, paths, charset, section_file_bytes)
         split_files = None
         if not pieces.needs_whole_file(charset) and pieces.has_large_files(spark, paths, section_file_bytes):
-            split_files = pieces.SplitFiles(spark, paths, charset, section_file_bytes, max_file_bytes)
+            split_files = pieces.SplitFiles(spark, paths, charset, section_file_bytes)
         return cls(spark, dictionary, sections, split_files)
 
     @classmethod
@@ -78,11 +79,15 @@ class Delivery:
         """Keep the sections for the queries that follow. Call :meth:`unpersist` when done."""
         if self._sections is not None:
             self._sections = self._sections.persist(level)
+        if self._split_files is not None:
+            self._split_files.persist(level)
         return self
 
     def unpersist(self) -> Delivery:
         if self._sections is not None:
             self._sections.unpersist()
+        if self._split_files is not None:
+            self._split_files.unpersist()
         return self
 
     # ------------------------------------------------------------------ sections
@@ -113,14 +118,13 @@ class Delivery:
         found = discover_layout(self.heads().where(F.col("group") == code), temporal)
         if found.columns:
             return found
-        present = [row["group"] for row in self._first_groups().collect()]
-        if code in present:
+        if not self.heads().where(F.col("group") == code).isEmpty():
             raise DeliveryError(f"group '{code}' has no HEADING record")
-        raise DeliveryError(f"group '{code}' not found (groups present: {', '.join(present)})")
-
-    def _first_groups(self) -> DataFrame:
         order = F.min(F.struct("source", "pos")).alias("first")
-        return self.heads().groupBy("group").agg(order).orderBy("first").limit(LISTED_GROUPS).select("group")
+        first = self.heads().groupBy("group").agg(order).orderBy("first").limit(LISTED_GROUPS + 1).collect()
+        listed = ", ".join(row["group"] for row in first[:LISTED_GROUPS])
+        more = ", and more" if len(first) > LISTED_GROUPS else ""
+        raise DeliveryError(f"group '{code}' not found; the deliveries hold {listed or 'no groups'}{more}")
 
     def group(
         self,
@@ -129,16 +133,18 @@ class Delivery:
         allow_custom: bool = False,
         with_source: bool = False,
         temporal: bool = False,
+        malformed: str = "error",
     ) -> DataFrame:
         """One group as a table ``_id, _parent_id, headings..., _content_hash``.
 
         Give ``layout`` if the columns are known already; it saves the pass that finds them.
-        ``temporal`` parses ``DT`` headings as timestamps instead of leaving them text.
+        ``temporal`` parses ``DT`` headings as timestamps instead of leaving them text. ``malformed``
+        says what becomes of lines that are not well-formed, see :func:`group_table`.
         """
         code = group.strip().upper()
         columns = layout or self.layout(code, temporal)
         spec = group_spec(self.dictionary, code, allow_custom)
-        return group_table(self.bodies(code), columns, spec, with_source)
+        return group_table(self.bodies(code), columns, spec, with_source, malformed)
 
     def groups(self) -> DataFrame:
         return structure.groups_profile(self.heads(), self.dictionary)
@@ -155,19 +161,21 @@ class Delivery:
         return [row["group"] for row in self.heads().groupBy("group").agg(order).orderBy("first").collect()]
 
     def create_views(self, prefix: str = "ags_", allow_custom: bool = True) -> list[str]:
-        """A temporary view per group, for use from SQL."""
+        """A temporary view per group that has headings, for use from SQL. One pass finds all layouts."""
         names = []
-        for code in self.group_codes():
+        for code, layout in discover_layouts(self.heads()).items():
             name = f"{prefix}{code.lower()}"
-            self.group(code, allow_custom=allow_custom).createOrReplaceTempView(name)
+            self.group(code, layout, allow_custom=allow_custom).createOrReplaceTempView(name)
             names.append(name)
         return names
 
 
 def read_group(spark: SparkSession, paths: str | Sequence[str], group: str, encoding: str | None = None,
-               dictionary: DataFrame | None = None, **options) -> DataFrame:
+               dictionary: DataFrame | None = None, section_file_bytes: int = pieces.SECTION_FILE_BYTES,
+               max_file_bytes: int | None = None, **options) -> DataFrame:
     """One group of the deliveries at ``paths``, typed and keyed."""
-    return Delivery.from_files(spark, paths, dictionary, encoding).group(group, **options)
+    opened = Delivery.from_files(spark, paths, dictionary, encoding, section_file_bytes, max_file_bytes)
+    return opened.group(group, **options)
 
 
 def read_group_text(spark: SparkSession, content: str | DataFrame, group: str,

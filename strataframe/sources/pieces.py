@@ -20,9 +20,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataframe.errors import DeliveryError
 from strataframe.functions import text as tx
 from strataframe.session import broadcast_if_small, cut_lineage
 from strataframe.sources.encoding import charset_rules, decoded, needs_whole_file
@@ -30,8 +32,8 @@ from strataframe.sources.encoding import charset_rules, decoded, needs_whole_fil
 SECTION_SEPARATOR = "\n" + tx.GROUP_MARK
 # Files up to this size are read section by section, larger ones split by split.
 SECTION_FILE_BYTES = 32 * 1024 * 1024
-# Refuse larger files by default.
-MAX_FILE_BYTES = 4 * 1024**3
+# How many of the files over a limit an error names.
+NAMED_FILES = 20
 COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
 SECTION_COLUMNS = ["source", "pos", "group", "headings", "units", "types", "n_data", "body"]
@@ -41,26 +43,26 @@ def _position(block: Column, number: Column) -> Column:
     return F.struct(block.cast("long").alias("blk"), number.cast("long").alias("n"))
 
 
+def section_columns() -> list[str]:
+    """What every reader takes from a section: ``head`` is its first line from the group code on, ``body``
+    its text behind that line."""
+    return [
+        f"if(head rlike {tx.literal(tx.STRAY_RECORD)}, '', {tx.group_code('head')}) as group",
+        f"{tx.header_cells('body', 'HEADING')} as headings",
+        f"{tx.header_cells('body', 'UNIT')} as units",
+        f"{tx.header_cells('body', 'TYPE')} as types",
+        f"{tx.data_count('body')} as n_data",
+    ]
+
+
 def _with_headers(pieces: DataFrame) -> DataFrame:
     """Name each section's group and headers. Text in front of a first GROUP record is dropped.
 
     The group comes from ``head``, the section's first line, so that passing over an unwanted
     section never touches the rest of its text.
     """
-    return (
-        pieces.selectExpr("*", f"{tx.group_code('head')} as group")
-        .where(f"group <> '' and not head rlike {tx.literal(tx.TAGGED_LINE)}")
-        .selectExpr(
-            "source",
-            "pos",
-            "group",
-            f"{tx.header_cells('body', 'HEADING')} as headings",
-            f"{tx.header_cells('body', 'UNIT')} as units",
-            f"{tx.header_cells('body', 'TYPE')} as types",
-            f"{tx.data_count('body')} as n_data",
-            "body",
-        )
-    )
+    group, *headers = section_columns()
+    return pieces.selectExpr("*", group).where("group <> ''").selectExpr("source", "pos", "group", *headers, "body")
 
 
 def text_sections(docs: DataFrame, content: str, source: str) -> DataFrame:
@@ -75,7 +77,7 @@ def text_sections(docs: DataFrame, content: str, source: str) -> DataFrame:
             "source",
             "named_struct('blk', 0L, 'n', cast(n as long)) as pos",
             f"{tx.after_group_mark(tx.first_line('part'))} as head",
-            f"{tx.after_group_mark('part')} as body",
+            f"{tx.rest('part')} as body",
         )
     )
 
@@ -86,6 +88,21 @@ def _is_large(limit: int) -> Column:
     return (size > limit) | path.rlike(COMPRESSED)
 
 
+def size_at_most(ceiling: int | None) -> Column:
+    return F.lit(True) if ceiling is None else F.col("_metadata.file_size") <= ceiling
+
+
+def refuse_larger_files(spark: SparkSession, paths: Sequence[str], ceiling: int | None) -> None:
+    """Raise if any file is over the ceiling, before anything is read."""
+    if ceiling is None:
+        return
+    files = spark.read.format("binaryFile").load(list(paths))
+    over = files.where(F.col("length") > ceiling).select("path", "length").limit(NAMED_FILES).collect()
+    if over:
+        names = ", ".join(f"{row.path} ({row.length} bytes)" for row in over)
+        raise DeliveryError(f"over the limit of {ceiling} bytes: {names}")
+
+
 def has_large_files(spark: SparkSession, paths: Sequence[str], limit: int) -> bool:
     """Whether any file is large. The listing decides which files the check opens at all: only those."""
     return bool(spark.read.text(list(paths)).where(_is_large(limit)).select(F.lit(1)).limit(1).collect())
@@ -96,17 +113,16 @@ def file_sections(
     paths: Sequence[str],
     charset: str,
     limit: int = SECTION_FILE_BYTES,
-    ceiling: int = MAX_FILE_BYTES,
 ) -> DataFrame:
     """Sections of the files up to ``limit`` bytes, one row each."""
     if needs_whole_file(charset):
-        files = spark.read.format("binaryFile").load(list(paths)).where(F.col("length") <= ceiling)
+        files = spark.read.format("binaryFile").load(list(paths))
         with charset_rules(spark, charset):
             docs = files.select("path", decoded(F.col("content"), charset).alias("content"))
         return text_sections(docs, "content", "path")
     scan = spark.read.option("lineSep", SECTION_SEPARATOR).text(list(paths))
     with charset_rules(spark, charset):
-        pieces = scan.where(~_is_large(limit) & (F.col("_metadata.file_size") <= ceiling)).select(
+        pieces = scan.where(~_is_large(limit)).select(
             F.col("_metadata.file_path").alias("source"),
             _position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
             decoded(F.expr(tx.first_line("value")), charset).alias("first_line"),
@@ -117,7 +133,7 @@ def file_sections(
             "source",
             "pos",
             f"{tx.after_group_mark('first_line')} as head",
-            f"{tx.after_group_mark('text')} as body",
+            f"{tx.rest('text')} as body",
         )
     )
 
@@ -181,9 +197,12 @@ def _section_runs(keep_rows: bool):
 
             first = np.flatnonzero(new_split | is_group | (np.arange(count) == 0))
             after = np.append(first[1:], count)
-            kept = np.ones(count, dtype=bool) if keep_rows else ~is_data
-            kept_total = np.concatenate(([0], np.cumsum(kept)))
             data_total = np.concatenate(([0], np.cumsum(is_data)))
+            if keep_rows:
+                kept = np.ones(count, dtype=bool)
+            else:  # the headers stand in front of a run's first DATA line
+                kept = data_total[1:] == np.repeat(data_total[first], after - first)
+            kept_total = np.concatenate(([0], np.cumsum(kept)))
             byte_total = np.concatenate(([0], byte_end))
             bounds = np.append(kept_total[first], kept_total[count]).astype(np.int32)
             kept_lines = line if keep_rows else line.filter(pa.array(kept))
@@ -212,16 +231,29 @@ def _section_runs(keep_rows: bool):
 class SplitFiles:
     """Sections of files too large to be read section by section."""
 
-    def __init__(self, spark: SparkSession, paths: Sequence[str], charset: str, limit: int, ceiling: int):
+    def __init__(self, spark: SparkSession, paths: Sequence[str], charset: str, limit: int,
+                 ceiling: int | None = None):
         self._spark, self._paths, self._charset = spark, list(paths), charset
         self._limit, self._ceiling = limit, ceiling
         self._header_runs: DataFrame | None = None
         self._spans: DataFrame | None = None
+        self._kept: DataFrame | None = None
+
+    def persist(self, level: StorageLevel) -> None:
+        """Keep the files' text, cut into runs, for the reads that follow."""
+        self._kept = self._runs(keep_rows=True).persist(level)
+
+    def unpersist(self) -> None:
+        if self._kept is not None:
+            self._kept.unpersist()
+            self._kept = None
 
     def _runs(self, keep_rows: bool) -> DataFrame:
+        if keep_rows and self._kept is not None:
+            return self._kept
         scan = self._spark.read.option("lineSep", "\n").text(self._paths)
         lines = scan.where(
-            _is_large(self._limit) & (F.col("_metadata.file_size") <= self._ceiling)
+            _is_large(self._limit) & size_at_most(self._ceiling)
         ).select(
             F.col("_metadata.file_path").alias("source"),
             F.col("_metadata.file_block_start").alias("blk"),
@@ -286,11 +318,13 @@ class SplitFiles:
     @staticmethod
     def _section_heads(runs: DataFrame) -> DataFrame:
         def first_line(tag: str) -> Column:
-            line = F.expr(tx.header_line("body", tag))
+            line = F.when(F.col("in_front"), F.expr(tx.header_line("body", tag)))
             return F.min_by(F.when(line != "", line), F.when(line != "", F.col("at"))).alias(tag)
 
+        earlier = Window.partitionBy("source", "section_no").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        in_front = F.coalesce(F.sum("n_data").over(earlier), F.lit(0)) == 0
         return (
-            runs.groupBy("source", "section_no")
+            runs.withColumn("in_front", in_front).groupBy("source", "section_no")
             .agg(
                 F.min_by("body", "at").alias("body"),
                 F.min("at").alias("start"),

@@ -42,11 +42,11 @@ def file_listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int, ceiling: int) -> DataFrame:
+def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int) -> DataFrame:
     """Byte ranges from running sums of section lengths. Only headers and lengths are shuffled."""
     size = F.col("_metadata.file_size")
     scan = spark.read.option("lineSep", pieces.SECTION_SEPARATOR).text(list(paths))
-    rows = scan.where(~pieces._is_large(limit) & (size <= ceiling)).select(
+    rows = scan.where(~pieces._is_large(limit)).select(
         F.col("_metadata.file_path").alias("source"),
         pieces._position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
         F.octet_length("value").cast("long").alias("nb"),
@@ -54,14 +54,9 @@ def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int, cei
         size.alias("size"),
         F.col("_metadata.file_modification_time").alias("mtime"),
     )
-    heads = rows.selectExpr("*", f"{tx.after_group_mark('text')} as body").selectExpr(
-        "source", "pos", "nb", "size", "mtime",
-        f"if(body rlike {tx.literal(tx.TAGGED_LINE)}, '', {tx.group_code('body')}) as group",
-        f"{tx.header_cells('body', 'HEADING')} as headings",
-        f"{tx.header_cells('body', 'UNIT')} as units",
-        f"{tx.header_cells('body', 'TYPE')} as types",
-        f"{tx.data_count('body')} as n_data",
-    )
+    heads = rows.selectExpr(
+        "*", f"{tx.after_group_mark(tx.first_line('text'))} as head", f"{tx.rest('text')} as body"
+    ).selectExpr("source", "pos", "nb", "size", "mtime", *pieces.section_columns())
     separator, mark = len(pieces.SECTION_SEPARATOR), len(tx.GROUP_MARK)
     file = Window.partitionBy("source")
     earlier = file.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,13 +91,14 @@ def build_section_index(
     spark: SparkSession,
     paths: str | Sequence[str],
     section_file_bytes: int = pieces.SECTION_FILE_BYTES,
-    max_file_bytes: int = pieces.MAX_FILE_BYTES,
+    max_file_bytes: int | None = None,
 ) -> DataFrame:
     """One row per section of every uncompressed file; a redeclared group has several spans."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    parts = [_small_file_spans(spark, paths, section_file_bytes, max_file_bytes)]
+    pieces.refuse_larger_files(spark, paths, max_file_bytes)
+    parts = [_small_file_spans(spark, paths, section_file_bytes)]
     if pieces.has_large_files(spark, paths, section_file_bytes):
-        split_files = pieces.SplitFiles(spark, paths, UTF8, section_file_bytes, max_file_bytes)
+        split_files = pieces.SplitFiles(spark, paths, UTF8, section_file_bytes)
         parts.append(_split_file_spans(split_files, file_listing(spark, paths).drop("location")))
     spans = reduce(DataFrame.unionByName, parts)
     number = F.row_number().over(Window.partitionBy("path", "group").orderBy("start"))
@@ -119,18 +115,21 @@ def _open(location: str) -> tuple[pafs.FileSystem, str]:
 
 def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow function: one seek and read per row. A chunk ends with the line its last byte is in."""
-    step = 64 * 1024
+    step, opened = 64 * 1024, None
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
             location, start, end, at, to = (
                 row.column(name)[0].as_py() for name in ("location", "start", "end", "at", "to")
             )
-            filesystem, name = _open(location)
+            if location != opened:
+                (filesystem, name), opened = _open(location), location
             with filesystem.open_input_file(name) as file:
                 begin = at if at == start else at - 1
                 file.seek(begin)
                 data = file.read(to - begin)
+                if len(data) < to - begin:
+                    raise OSError(f"{location}: {len(data)} bytes at {begin}, the index has {to - begin}")
                 # Complete the last line, but never go beyond the section.
                 position = to
                 while position < end and not data.endswith(b"\n"):
@@ -197,6 +196,8 @@ def read_group_indexed(
     encoding: str | None = None,
     allow_custom: bool = False,
     with_source: bool = False,
+    section_file_bytes: int = pieces.SECTION_FILE_BYTES,
+    max_file_bytes: int | None = None,
 ) -> DataFrame:
     """Like :func:`strataframe.sources.delivery.read_group`, reading only the group's bytes where it can.
 
@@ -205,17 +206,18 @@ def read_group_indexed(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     code, charset = group.strip().upper(), resolve_encoding(encoding)
+    pieces.refuse_larger_files(spark, paths, max_file_bytes)
     spans, whole = split_by_freshness(file_listing(spark, paths), index, code)
     locations = [row.location for row in whole.select("location").collect()]
-    heads = [spans.select("headings", "types")]
+    heads = [spans.select(F.col("path").alias("source"), "headings", "types")]
     bodies = []
     delivery = None
     if locations:
-        delivery = Delivery.from_files(spark, locations, dictionary, encoding)
-        heads.append(delivery.heads().where(F.col("group") == code).select("headings", "types"))
+        delivery = Delivery.from_files(spark, locations, dictionary, encoding, section_file_bytes)
+        heads.append(delivery.heads().where(F.col("group") == code).select("source", "headings", "types"))
     layout = discover_layout(reduce(DataFrame.unionByName, heads))
     if not layout.columns:
-        return Delivery.from_files(spark, paths, dictionary, encoding).group(code, allow_custom=allow_custom)
+        return Delivery.from_files(spark, paths, dictionary, encoding, section_file_bytes).group(code, allow_custom=allow_custom)
     bodies.append(_sliced_bodies(spans, charset))
     if delivery is not None:
         bodies.append(delivery.bodies(code))

@@ -131,5 +131,5 @@ def test_group_argument_is_trimmed_and_upper_cased(delivery):
 
 
 def test_absent_group_lists_those_present(delivery):
-    with pytest.raises(DeliveryError, match=r"group 'GEOL' not found \(groups present: PROJ, LOCA, SAMP\)"):
+    with pytest.raises(DeliveryError, match="group 'GEOL' not found; the deliveries hold PROJ, LOCA, SAMP"):
         delivery.group("GEOL")
