@@ -265,9 +265,13 @@ def _words(kind: str, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span of its texts replaced by its kind in brackets; overlapping spans as one."""
+    """``docs`` with every span of its texts replaced by its kind in brackets; overlapping spans as one.
+
+    Texts without spans, NULL ones too, and all other columns stay as they are, whatever their names.
+    """
     columns = docs.columns
-    found = find(docs)
+    # The row travels in one column, so that no name of it can meet one of those made here.
+    found = find(docs.select("text", F.struct("*").alias("row")))
     kinded = [_of_kind(k, F.col(k)) for k in KINDS]
     extra = F.transform("added", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     spans = F.array_sort(F.concat(*kinded, extra))
@@ -283,7 +287,8 @@ def redact(docs: DataFrame) -> DataFrame:
 
     done = F.aggregate(F.col("_spans"), zero, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
     marked = found.withColumn("_spans", spans)
-    return marked.withColumn("text", F.when(F.size("_spans") > 0, done).otherwise(text)).select(*columns)
+    redacted = F.when(F.size("_spans") > 0, done).otherwise(text)
+    return marked.select(*[redacted.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.tables import cut_lineage, documents
+from strataframe.llm.tables import cut_lineage, documents, unused
 from strataframe.llm.textblocks import Texts, Words, blocks, ragged_take, run_hashes, word_hashes, words_of
 
 MIN_WORDS = 50
@@ -246,18 +246,19 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     width = min_words
     others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept")]
+    at, mark, spots, lengths = (unused(docs.columns, n) for n in ("_at", "_mark", "_places", "_sizes"))
     keyed = docs.select(
-        *others, "text", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("_at"), F.hash(F.coalesce("text", F.lit(""))).alias("_mark")
+        *others, "text", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias(at), F.hash(F.coalesce("text", F.lit(""))).alias(mark)
     )
     # Bytes are counted to size the buckets; a word has two at least, with what follows it.
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(4, math.ceil(math.log2(max(1, volume / 6 / BUCKET_WORDS))))
-    dealt = _deal(keyed.select(F.col("_at").alias("at"), F.col("_mark").alias("mark"), "text"), width, bits)
+    dealt = _deal(keyed.select(F.col(at).alias("at"), F.col(mark).alias("mark"), "text"), width, bits)
     found = cut_lineage(dealt.groupBy("bucket").applyInArrow(_extend(width), _FOUND))
-    per_doc = found.groupBy(F.col("at").alias("_at"), F.col("mark").alias("_mark")).agg(
-        F.collect_list("places").alias("_places"), F.collect_list("sizes").alias("_sizes")
+    per_doc = found.groupBy(F.col("at").alias(at), F.col("mark").alias(mark)).agg(
+        F.collect_list("places").alias(spots), F.collect_list("sizes").alias(lengths)
     )
-    joined = keyed.join(per_doc, ["_at", "_mark"], "left").select(*others, "text", "_places", "_sizes")
+    joined = keyed.join(per_doc, [at, mark], "left").select(*others, "text", spots, lengths)
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-3]] + ["n_words bigint", "n_removed bigint", "kept string"]
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataframe.llm.tables import table
+from strataframe.llm.tables import table, unused
 
 SCOPES = ("host", "domain", "path")
 ALLOW = "allow"
@@ -65,25 +65,28 @@ def filter_captures(captures: DataFrame, events: DataFrame, url: str = "url", da
     """
     kept = captures.select(*[c for c in captures.columns if c not in ("host", "categories", "keep")])
     spans = validity_intervals(events)
-    result = kept.select("*", *[F.when(key != "", key).alias(f"_{s}") for s, key in scope_keys(F.col(url)).items()])
+    names = kept.columns
+    own = {s: unused(names, f"_{s}") for s in SCOPES}
+    lists = {s: unused(names, f"_{s}_listed") for s in SCOPES}
+    found_name = unused(names, "_found")
+    result = kept.select("*", *[F.when(key != "", key).alias(own[s]) for s, key in scope_keys(F.col(url)).items()])
     for scope in SCOPES:
-        listed = spans.where(F.col("scope") == scope).groupBy(F.col("entry").alias(f"_{scope}")).agg(
-            F.collect_list(F.struct("category", "valid_from", "valid_to")).alias(f"_{scope}_listed")
+        listed = spans.where(F.col("scope") == scope).groupBy(F.col("entry").alias(own[scope])).agg(
+            F.collect_list(F.struct("category", "valid_from", "valid_to")).alias(lists[scope])
         )
-        result = result.join(listed, f"_{scope}", "left")
+        result = result.join(listed, own[scope], "left")
 
     def active(scope: str) -> Column:
         valid = F.filter(
-            F.col(f"_{scope}_listed"),
+            F.col(lists[scope]),
             lambda x: (x["valid_from"] <= F.col(day)) & (x["valid_to"].isNull() | (F.col(day) < x["valid_to"])),
         )
         return F.coalesce(F.transform(valid, lambda x: x["category"]), F.array().cast("array<string>"))
 
     found = F.array_sort(F.array_distinct(F.concat(*[active(s) for s in SCOPES])))
-    names = kept.columns
-    return result.select(*names, F.col("_host").alias("host"), found.alias("_found")).select(
-        *names, "host", F.array_join("_found", ",").alias("categories"),
-        (F.array_contains("_found", ALLOW) | (F.size("_found") == 0)).alias("keep"),
+    return result.select(*names, F.col(own["host"]).alias("host"), found.alias(found_name)).select(
+        *names, "host", F.array_join(found_name, ",").alias("categories"),
+        (F.array_contains(found_name, ALLOW) | (F.size(found_name) == 0)).alias("keep"),
     )
 
 

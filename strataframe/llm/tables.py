@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataframe.session import cut_lineage, scratch_dir
 
-__all__ = ["documents", "table", "vocabulary", "partitions", "cut_lineage", "scratch_dir", "over_batches"]
+__all__ = ["documents", "table", "vocabulary", "partitions", "cut_lineage", "scratch_dir", "over_batches", "text_hash", "unused"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,5 +43,13 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa
     return df.mapInArrow(run, schema)
 
 
+def unused(columns, name: str) -> str:
+    """A column name that none of ``columns`` has (case aside)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_hash(column: str = "text"):
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
