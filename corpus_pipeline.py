@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm import op2_jaccard_join, op6_bpe_automaton, op8_quality, op9_decontaminate, op10_pii
-from strataframe.llm.tables import cut_lineage, table, text_hash, vocabulary
+from strataframe.llm.tables import cut_lineage, table, text_hash, unused, vocabulary
 
 KEPT_SCORE = 0.5
 SHINGLE_WORDS = 5
@@ -26,16 +26,17 @@ SIMILARITY = (4, 5)  # 0.8
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = op8_quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = op8_quality.score(docs, model, "_score")
-    return scored.where(F.col("_score") >= KEPT_SCORE).select(*docs.columns)
+    name = unused(docs.columns, "_score")
+    return op8_quality.score(docs, model, name).where(F.col(name) >= KEPT_SCORE).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = op2_jaccard_join.classes_of(docs, SHINGLE_WORDS, *SIMILARITY)
     gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.withColumn("_text", text_hash()).join(gone, "doc_id", "left_anti")
+    name = unused(docs.columns, "_text")
+    kept = docs.withColumn(name, text_hash()).join(gone, "doc_id", "left_anti")
     # Repeats meet where the join has put them.
-    again = kept.where("doc_id is not null").dropDuplicates(["doc_id", "_text"])
+    again = kept.where("doc_id is not null").dropDuplicates(["doc_id", name])
     return again.unionByName(kept.where("doc_id is null")).select(*docs.columns)
 
 
