@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.operators.dictionary import group_spec
-from strataframe.operators.group_table import discover_layout, group_table
+from strataframe.operators.group_table import discover_layouts, group_table
 from strataframe.session import local_table, scratch_dir
 from strataframe.sources.delivery import Delivery
 from strataframe.sources.pieces import SECTION_COLUMNS
 
-REPORT_SCHEMA = "seq long, group string, table string, kind string, n_rows long"
+REPORT_SCHEMA = "seq long, group string, table string, kind string, n_rows long, layout string"
 # The three kinds of step, in the order they are taken for a group.
 TABLE, ID_INDEX, PARENT_INDEX = "table", "id_index", "parent_index"
-# A parent with more than this many average buckets' worth of rows is too hot for one bucket.
+# How a table is laid out.
+BUCKETS, RANGE = "buckets", "range"
+# A key with more than this many average buckets' worth of rows is too hot for one bucket.
 HOT_BUCKETS = 4
+# Delivery text that goes into one bucket.
+BUCKET_BYTES = 256 * 1024 * 1024
 
 
 def export_group(table: DataFrame, path: str, mode: str = "error") -> None:
@@ -34,24 +38,31 @@ def _write_bucketed(df: DataFrame, key: str, buckets: int, name: str) -> None:
     )
 
 
-def _hottest(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key value (NULL counts as one). Combined on the map side."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+def _hottest(df: DataFrame, key: str) -> tuple[int, int]:
+    """Rows of the most frequent key value (NULL counts as one), and of all. Combined on the map side."""
+    found = df.groupBy(key).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    return found.most or 0, found["all"] or 0
 
 
-def _write_by_parent(stored: DataFrame, buckets: int, name: str, n_rows: int) -> None:
-    """A copy laid out by ``_parent_id``.
+def _buckets_for(n_bytes: int) -> int:
+    """A power of two, so that tables of different size still join bucket by bucket."""
+    return 1 << max(0, (n_bytes // BUCKET_BYTES).bit_length())
 
-    Bucketed, so that child and parent join without a shuffle, unless one parent (or the rows
-    without any) would overfill its bucket: then the copy is range-sorted into even files, and
-    joins on it are left to the shuffle, where Spark can split the hot key.
+
+def _write_laid_out(df: DataFrame, key: str, buckets: int, name: str, hottest: tuple[int, int]) -> str:
+    """Write a table by ``key`` and say how.
+
+    Bucketed, so that child and parent join without a shuffle, unless one key (or the rows without
+    any) would overfill its bucket: then the table is range-sorted into even files, and joins on it
+    are left to the shuffle, where Spark can split the hot key.
     """
-    limit = HOT_BUCKETS * max(n_rows // buckets, 1)
-    if n_rows > buckets and _hottest(stored, "_parent_id") > limit:
-        spread = stored.repartitionByRange(buckets, "_parent_id", "_id").sortWithinPartitions("_parent_id")
+    most, n_rows = hottest
+    if buckets > 1 and most > HOT_BUCKETS * max(n_rows // buckets, 1):
+        spread = df.repartitionByRange(buckets, key, "_content_hash").sortWithinPartitions(key)
         spread.write.mode("overwrite").format("parquet").saveAsTable(name)
-    else:
-        _write_bucketed(stored, "_parent_id", buckets, name)
+        return RANGE
+    _write_bucketed(df, key, buckets, name)
+    return BUCKETS
 
 
 def stage_by_group(delivery: Delivery) -> DataFrame:
@@ -76,25 +87,32 @@ def materialise(
 ) -> DataFrame:
     """Write every group of the delivery and report the steps taken.
 
-    For each group in file order: the table itself bucketed and sorted by ``_id``, and if the group
-    has a parent, a copy laid out by ``_parent_id``. Returns ``(seq, group, table, kind, n_rows)``.
+    For each group in file order: the table itself by ``_id``, and if the group has a parent, a copy by
+    ``_parent_id``. ``buckets`` sets one number of buckets for all; without it each group's follows
+    from its text. Returns ``(seq, group, table, kind, n_rows, layout)``; ``layout`` is ``buckets``, or
+    ``range`` where a hot key would overfill its bucket.
     """
     spark = delivery.spark
-    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = Delivery(spark, delivery.dictionary, stage_by_group(delivery))
+    # One pass over the staged headers finds all layouts, another all sizes.
+    layouts = discover_layouts(staged.heads())
+    sizes = {r.group: r.bytes for r in staged.bodies().groupBy("group").agg(F.sum(F.octet_length("body")).alias("bytes")).collect()}
     report = []
-    for code in staged.group_codes():
+    for code, layout in layouts.items():
         spec = group_spec(delivery.dictionary, code, allow_custom)
-        own = staged.bodies(code)
+        count = buckets or _buckets_for(sizes.get(code) or 0)
         table = f"{database + '.' if database else ''}{prefix}{code.lower()}"
-        _write_bucketed(group_table(own, discover_layout(own), spec), "_id", count, table)
+        rows = group_table(staged.bodies(code), layout, spec)
+        # An id repeats where a group has no keys, or none of its own in the dictionary.
+        hottest = _hottest(rows, "_id") if count > 1 else (0, 0)
+        kind = _write_laid_out(rows, "_id", count, table, hottest)
         n_rows = spark.table(table).count()
-        report.append((code, table, TABLE, n_rows))
-        report.append((code, table, ID_INDEX, n_rows))
+        report.append((code, table, TABLE, n_rows, kind))
+        report.append((code, table, ID_INDEX, n_rows, kind))
         if spec.parent is not None:
-            by_parent = f"{table}_by_parent"
-            _write_by_parent(spark.table(table), count, by_parent, n_rows)
-            report.append((code, by_parent, PARENT_INDEX, n_rows))
+            by_parent, stored = f"{table}_by_parent", spark.table(table)
+            hottest = _hottest(stored, "_parent_id") if count > 1 else (0, 0)
+            report.append((code, by_parent, PARENT_INDEX, n_rows, _write_laid_out(stored, "_parent_id", count, by_parent, hottest)))
     return local_table(spark, [(i, *step) for i, step in enumerate(report)], REPORT_SCHEMA)
 
 

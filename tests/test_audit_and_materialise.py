@@ -4,6 +4,7 @@ import pytest
 from conftest import MINI, REDECLARED
 
 from strataframe import Delivery, accepted_files, export_group, ingest_audit, materialise, read_group
+from strataframe.errors import DeliveryError
 from strataframe.operators import materialise as writing
 
 FAULTS = {
@@ -40,7 +41,9 @@ def test_oversized_file_is_neither_read_nor_accepted(spark, tmp_path):
     (tmp_path / "big.ags").write_text(MINI + '"DATA","BH02","9.00","S9","D","SA9"\n' * 40)
     audit = {r.path.rsplit("/", 1)[1]: r.reason for r in ingest_audit(spark, str(tmp_path), max_file_bytes=1000).collect()}
     assert audit == {"small.ags": None, "big.ags": "over the 1000-byte limit"}
-    assert Delivery.from_files(spark, str(tmp_path), max_file_bytes=1000).group("SAMP").count() == 3
+    with pytest.raises(DeliveryError, match=r"over the limit of 1000 bytes: .*big.ags"):
+        Delivery.from_files(spark, str(tmp_path), max_file_bytes=1000)
+    assert Delivery.from_files(spark, str(tmp_path)).group("SAMP").count() == 46
 
 
 def test_materialised_join_needs_no_shuffle(spark, mini):
@@ -65,6 +68,14 @@ def test_hot_parent_is_not_put_into_one_bucket(spark):
     assert writing.read_materialised(spark, "samp", prefix="hot_").count() == 203
 
 
+def test_rows_without_id_are_spread(spark):
+    rows = "".join(f'"DATA","X{i}"\n' for i in range(1000))
+    delivery = Delivery.from_text(spark, f'"GROUP","XTRA"\n"HEADING","XTRA_ID"\n"UNIT",""\n"TYPE","X"\n{rows}')
+    report = materialise(delivery, prefix="spread_", buckets=8, allow_custom=True).collect()
+    assert {r.layout for r in report} == {"range"}
+    assert spark.table("spread_xtra").count() == 1000 and len(spark.table("spread_xtra").inputFiles()) == 8
+
+
 def test_export(spark, mini, tmp_path):
     table = read_group(spark, mini, "LOCA")
     export_group(table, str(tmp_path / "loca.parquet"))
