@@ -19,52 +19,49 @@ from strataframe.errors import DeliveryError
 
 UTF8 = "UTF-8"
 
-# Web encoding labels whose decoder has another name than the label itself.
-LABEL_ALIASES = {
-    "utf8": "UTF-8",
-    "unicode-1-1-utf-8": "UTF-8",
-    "ascii": "windows-1252",
-    "us-ascii": "windows-1252",
-    "latin1": "windows-1252",
-    "l1": "windows-1252",
-    "iso-8859-1": "windows-1252",
-    "iso8859-1": "windows-1252",
-    "iso88591": "windows-1252",
-    "ansi_x3.4-1968": "windows-1252",
-    "latin2": "ISO-8859-2",
-    "latin3": "ISO-8859-3",
-    "latin4": "ISO-8859-4",
-    "latin5": "windows-1254",
-    "iso-8859-9": "windows-1254",
-    "cyrillic": "ISO-8859-5",
-    "arabic": "ISO-8859-6",
-    "greek": "ISO-8859-7",
-    "hebrew": "ISO-8859-8",
-    "iso-8859-11": "x-windows-874",
-    "windows-874": "x-windows-874",
-    "tis-620": "x-windows-874",
-    "macintosh": "x-MacRoman",
-    "mac": "x-MacRoman",
-    "x-mac-cyrillic": "x-MacUkraine",
-    "koi8": "KOI8-R",
-    "cp866": "IBM866",
-    "ibm866": "IBM866",
-    "gb2312": "GBK",
-    "chinese": "GBK",
-    "sjis": "windows-31j",
-    "shift_jis": "windows-31j",
-    "shift-jis": "windows-31j",
-    "euc-kr": "x-windows-949",
-    "korean": "x-windows-949",
-    "utf-16": "UTF-16LE",
-    "unicode": "UTF-16LE",
+# The names and labels of the public web encoding standard, by the decoder that reads them.
+LABELS = {
+    "UTF-8": "utf-8 utf8 unicode-1-1-utf-8 unicode11utf8 unicode20utf8 x-unicode20utf8",
+    "UTF-16LE": "utf-16le utf-16 unicode ucs-2 csunicode iso-10646-ucs-2 unicodefeff",
+    "UTF-16BE": "utf-16be unicodefffe",
+    "windows-1252": "ascii us-ascii ansi_x3.4-1968",
+    "ISO-8859-6": "arabic asmo-708 ecma-114 csisolatinarabic",
+    "ISO-8859-7": "greek greek8 ecma-118 elot_928 sun_eu_greek csisolatingreek",
+    "ISO-8859-8": "hebrew visual logical csisolatinhebrew",
+    "ISO-8859-5": "cyrillic csisolatincyrillic",
+    "x-windows-874": "windows-874 dos-874 tis-620",
+    "x-MacRoman": "macintosh mac x-mac-roman csmacintosh",
+    "x-MacUkraine": "x-mac-cyrillic x-mac-ukrainian",
+    "KOI8-R": "koi8-r koi8_r koi8 koi cskoi8r",
+    "KOI8-U": "koi8-u koi8-ru",
+    "IBM866": "ibm866 cp866 866 csibm866",
+    "GBK": "gbk x-gbk gb2312 gb_2312 gb_2312-80 chinese csgb2312 csiso58gb231280 iso-ir-58",
+    "GB18030": "gb18030",
+    "Big5-HKSCS": "big5 big5-hkscs cn-big5 csbig5 x-x-big5",
+    "EUC-JP": "euc-jp x-euc-jp cseucpkdfmtjapanese",
+    "ISO-2022-JP": "iso-2022-jp csiso2022jp",
+    "windows-31j": "shift_jis shift-jis sjis x-sjis ms_kanji ms932 windows-31j csshiftjis",
+    "x-windows-949": "euc-kr korean windows-949 ksc5601 ksc_5601 ks_c_5601-1987 ks_c_5601-1989 cseuckr csksc56011987 iso-ir-149",
 }
-
-# Label families that name their decoder directly.
-DIRECT_LABELS = (
-    r"utf-8|utf-16(le|be)|windows-125[0-8]|iso-8859-([2-8]|10|13|14|15|16)|koi8-[ru]"
-    r"|gbk|gb18030|big5|euc-jp|iso-2022-jp"
-)
+BY_LABEL = {label: charset for charset, labels in LABELS.items() for label in labels.split()}
+# Parts of ISO 8859 by their registration number and by their Latin alphabet.
+REGISTERED = {100: 1, 101: 2, 109: 3, 110: 4, 144: 5, 127: 6, 126: 7, 138: 8, 148: 9, 157: 10}
+LATIN = {1: 1, 2: 2, 3: 3, 4: 4, 5: 9, 6: 10, 9: 15}
+# Parts that are read by a Windows code page, which has more characters.
+BY_CODE_PAGE = {1: "windows-1252", 9: "windows-1254", 11: "x-windows-874"}
+ISO_PARTS = (*range(1, 12), 13, 14, 15, 16)
+
+
+def _iso_part(text: str) -> int | None:
+    """The part of ISO 8859 that a label means."""
+    named = re.fullmatch(r"(?:cs)?iso[-_]?8859-?(\d{1,2})(?::19\d\d)?(?:-?[ei])?", text)
+    if named:
+        return int(named.group(1))
+    registered = re.fullmatch(r"iso-ir-(\d{3})", text)
+    if registered:
+        return REGISTERED.get(int(registered.group(1)))
+    latin = re.fullmatch(r"(?:latin|l|csisolatin)(\d)", text)
+    return LATIN.get(int(latin.group(1))) if latin else None
 
 
 def resolve_encoding(label: str | None) -> str:
@@ -72,13 +69,14 @@ def resolve_encoding(label: str | None) -> str:
     text = (label or "").strip().lower()
     if not text:
         return UTF8
-    short = re.fullmatch(r"(?:x-)?cp(125[0-8])", text)
-    if short:
-        return f"windows-{short.group(1)}"
-    if text in LABEL_ALIASES:
-        return LABEL_ALIASES[text]
-    if re.fullmatch(DIRECT_LABELS, text):
-        return text.upper() if not text.startswith("windows") else text
+    code_page = re.fullmatch(r"(?:windows-|x-cp|cp)(125[0-8])", text)
+    if code_page:
+        return f"windows-{code_page.group(1)}"
+    if text in BY_LABEL:
+        return BY_LABEL[text]
+    part = _iso_part(text)
+    if part in ISO_PARTS:
+        return BY_CODE_PAGE.get(part, f"ISO-8859-{part}")
     raise DeliveryError(f"unknown encoding label '{label.strip()}'")
 
 
