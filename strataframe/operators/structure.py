@@ -33,7 +33,7 @@ def groups_profile(heads: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def headings_profile(heads: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """One row per file, group and heading, with the file's unit and type and the KEY status.
+    """One row per file, group and heading, with the file's unit and type and the KEY status, in file order.
 
     If a group is declared more than once in a file, the first section with the heading counts.
     """
@@ -44,9 +44,11 @@ def headings_profile(heads: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.col("ordinal").cast("long").alias("ordinal"),
     )
     listed = heads.select("source", "group", "pos", "units", "types", F.posexplode("headings").alias("ordinal", "heading"))
-    first = listed.groupBy("source", "group", "heading").agg(F.min_by(cell, F.struct("pos", "ordinal")).alias("cell"))
+    first = listed.groupBy("source", "group", "heading").agg(
+        F.min_by(cell, F.struct("pos", "ordinal")).alias("cell"), F.min(F.struct("pos", "ordinal")).alias("first")
+    )
     joined = first.join(broadcast_if_small(status), ["group", "heading"], "left")
-    return joined.select(
+    return joined.orderBy("source", "first").select(
         "source",
         "group",
         "heading",

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
 
-# A lookup side is broadcast only after it has been counted and found to be at most this many rows.
+# A lookup side is broadcast only after it has been found to be at most this many rows and bytes of text.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Settings the jobs rely on; every one is a plain Spark setting a cluster may override.
 SESSION_DEFAULTS = {
@@ -74,11 +75,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when a count proves it small; otherwise leave the choice to Spark.
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, n_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when it is measured to be small; otherwise leave the choice to Spark.
 
-    The count stops at ``limit + 1`` rows, so it stays cheap however large ``df`` is.
+    Rows and the bytes of their values as text are measured in one job, which stops at ``limit + 1``
+    rows, so it stays cheap however large ``df`` is.
     """
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    found = df.limit(limit + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found.n <= limit and found["bytes"] <= n_bytes else df
