@@ -32,9 +32,9 @@ from strataframe.llm.textblocks import (
     Texts, blocks, distinct_per_text, lower_ascii, mix, ragged_take, shingles, word_hashes, words_of,
 )
 
-CHUNK_SHINGLES = 2 << 20
+CHUNK_SHINGLES = 1 << 20
 CHUNK_TEXTS = 1 << 16
-BUCKET_SHINGLES = 2 << 20
+BUCKET_SHINGLES = 1 << 20
 HOT_SHARE = 1 << 16  # a shingle is hot if it makes up more than one in so many; so at most twice as many are
 HOT_LEAST = 16
 MAX_MATCHES = 4

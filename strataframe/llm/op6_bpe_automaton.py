@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.pretokens import WordEncoder
+from strataframe.llm.pretokens import ENCODE_BYTES, WordEncoder
 from strataframe.llm.tables import documents, over_batches, vocabulary
 from strataframe.llm.textblocks import blocks, ragged_take
 
 WORD_END = "</w>"
-TABLE_ARCS = 4_000_000
+TABLE_ARCS = 500_000
 
 
 class MergeAutomaton:
@@ -157,7 +157,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", decode: bool =
 
     def run(batch: pa.RecordBatch):
         column = batch.column(len(others))
-        for block in blocks(column):
+        for block in blocks(column, ENCODE_BYTES):
             ids, first = _encoder(path).ids(block)
             rest = [batch.column(i).slice(block.first, len(block)) for i in range(len(others))]
             new = [_binary(ids, first * 4, pa.binary())]

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.pretokens import WordEncoder, splitter
+from strataframe.llm.pretokens import ENCODE_BYTES, WordEncoder, splitter
 from strataframe.llm.tables import documents, partitions, scratch_dir, vocabulary
 from strataframe.llm.textblocks import blocks
 
@@ -168,7 +168,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
             return pa.RecordBatch.from_arrays([pa.array(d, k) for d, k in zip(data, kinds)], names=labels)
 
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), ENCODE_BYTES):
                 ids, first = encoder.ids(block)
                 # The end id goes behind each document.
                 ended = np.full(len(ids) + len(block), end_id, np.uint32)

@@ -20,6 +20,8 @@ from tokenizers import Tokenizer
 
 from strataframe.llm.textblocks import Texts, Words, ragged_take, word_hashes
 
+#: Texts of this size are taken together: more share their words, fewer need less memory.
+ENCODE_BYTES = 2 << 20
 _LATIN = 0x300
 _SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
 _POINT_CODES = np.random.default_rng(7).integers(1, 1 << 63, _LATIN, dtype=np.uint64)
@@ -92,7 +94,7 @@ class WordEncoder:
     to ``keep`` entries, so memory does not grow with the text.
     """
 
-    def __init__(self, path: str, encode: Callable[[list[str]], list[list[int]]], keep: int = 500_000):
+    def __init__(self, path: str, encode: Callable[[list[str]], list[list[int]]], keep: int = 250_000):
         self.splitter, self.encode, self.keep = splitter(path), encode, keep
         self.known: dict[str | bytes, bytes] = {}
 
