@@ -153,7 +153,8 @@ def features(body: Column, before: Column) -> dict[str, Column]:
         "digits": F.when(size < 7, "0").when(size < 9, "7").when(size < 12, "9").when(size < 13, "12").when(size < 16, "13").when(size == 16, "16").otherwise("17"),
         "signs": F.concat(*[F.when(body.contains(s), s).otherwise("") for s in ("(", ".", "-", "/", " ", "at")]),
         "opens": F.when(before.rlike(r"\p{L}\s$"), "word").when(before.rlike(r"[:=]\s?$"), "label").when(before.rlike(r"\p{Nd}\W*$"), "number").otherwise("else"),
-        "group": F.regexp_extract(F.regexp_replace(body, "[0-9]+", "9"), "^.{0,7}", 0),
+        # Runs of digits and of letters as one sign each, so there are few beginnings.
+        "group": F.regexp_extract(F.regexp_replace(F.regexp_replace(body, r"[^0-9().\x20/-]+", "a"), "[0-9]+", "9"), "^.{0,6}", 0),
     }
 
 
