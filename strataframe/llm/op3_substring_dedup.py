@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm.tables import cut_lineage, documents, unused
-from strataframe.llm.textblocks import Texts, Words, blocks, ragged_take, run_hashes, word_hashes, words_of
+from strataframe.llm.textblocks import Texts, Words, blocks, mix, ragged_take, run_hashes, word_hashes, words_of
 
 MIN_WORDS = 50
 CHUNK_WORDS = 1 << 20
@@ -117,7 +117,8 @@ def _deal(docs: DataFrame, width: int, bits: int) -> DataFrame:
             del again, lowest
             begin = _runs(anchor, doc, mark, place - np.arange(len(place)))
             sizes = np.diff(np.append(begin, len(place)))
-            bucket = (anchor[begin] >> np.uint64(64 - bits)).astype(np.uint32)
+            # An anchor is the smallest of many hashes, so its own upper bits are mostly zero.
+            bucket = (mix(anchor[begin]) >> np.uint64(64 - bits)).astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
             begin_all = np.append(begin, len(place))
             windows_in, _ = ragged_take(whole, begin_all, order)
