@@ -7,7 +7,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from strataframe.session import local_session
 
-# The fixture files of the delivery format (public test inputs), as text.
+# The fixture files of the delivery format (public test inputs), as text.
 MINI = """\
 "GROUP","PROJ"
 "HEADING","PROJ_ID","PROJ_NAME"
