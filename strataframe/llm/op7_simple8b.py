@@ -30,13 +30,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.pretokens import ENCODE_BYTES, WordEncoder, splitter
+from strataframe.llm.pretokens import WordEncoder, splitter
 from strataframe.llm.tables import documents, partitions, scratch_dir, vocabulary
 from strataframe.llm.textblocks import blocks
 
 BLOCK_IDS = 1024
 SECTION_IDS = 1 << 20
 END_ID = 2
+#: Texts taken together, and words whose ids are kept: the fewer, the more often the library is asked.
+TEXT_BYTES = 4 << 20
+KEPT_WORDS = 500_000
 
 # Fixed values of the Simple-8b scheme: ids per word and bits per id, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
@@ -126,7 +129,7 @@ def unpack(words: np.ndarray, word_first: np.ndarray, raw: np.ndarray, raw_first
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
     model = splitter(path).tokenizer.model
-    return WordEncoder(path, lambda words: [[token.id for token in model.tokenize(word)] for word in words])
+    return WordEncoder(path, lambda words: [[token.id for token in model.tokenize(word)] for word in words], KEPT_WORDS)
 
 
 FILE_SCHEMA = (
@@ -168,7 +171,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
             return pa.RecordBatch.from_arrays([pa.array(d, k) for d, k in zip(data, kinds)], names=labels)
 
         for batch in batches:
-            for block in blocks(batch.column(1), ENCODE_BYTES):
+            for block in blocks(batch.column(1), TEXT_BYTES):
                 ids, first = encoder.ids(block)
                 # The end id goes behind each document.
                 ended = np.full(len(ids) + len(block), end_id, np.uint32)
