@@ -1,12 +1,14 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
-
-Item lengths form classes, each with a length ``L``; an item's first and its last ``L`` words have a
-64-bit SimHash each. Every window of ``L`` words of every document has one too, from running sums of
-its words' bits. Fingerprints are cut into four blocks of 16 bits; two that differ in at most
-``RADIUS`` = 7 bits differ in at most one bit of some block, and each block's table holds every item
-under all values that near its own, so no pair within the radius is missed. A pair within it is
-verified by the weighted likeness of the item's and the window's shingles; a shingle weighs more the
-fewer items have it.
+"""Benchmark decontamination by SimHash of short windows inside the items.
+
+A window of ``SHINGLE_WORDS`` words is a shingle, and an item is indexed by a few of its shingles: so
+many that the rest weighs less than the threshold's share of the item. A passage that reaches the
+threshold therefore holds one of them unchanged, wherever it was edited. Each has a 64-bit SimHash, and
+so has every such window of every document, from running sums of its words' bits. Fingerprints are cut
+into four blocks of 16 bits; two that differ in at most ``RADIUS`` = 7 bits differ in at most one bit of
+some block, and each block's table holds every shingle under all values that near its own, so no pair
+within the radius is missed. Pairs whose shingles differ after all go. Around the others, every window
+of the item's size is verified by the weighted likeness of the item's and the window's shingles; a
+shingle weighs more the fewer items have it.
 
 Words are runs of letters and digits in lower case, so copies in capitals or with signs put between
 words are found. Items are a query set: they are taken in blocks of ``ITEMS_AT_ONCE``, and each block
@@ -23,12 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm.tables import documents, over_batches, table
-from strataframe.llm.textblocks import Texts, blocks, texts_of, word_hashes, words_of
+from strataframe.llm.textblocks import Texts, blocks, run_hashes, texts_of, word_hashes, words_of
 
 RADIUS = 7
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-CLASS_RATIO = 4 / 3
 ITEMS_AT_ONCE = 20_000
 PIECE = 1 << 14
 
@@ -69,28 +70,27 @@ def running_ones(hashes: np.ndarray) -> np.ndarray:
     return ones
 
 
-def weighted_shingles(words: np.ndarray, weights: dict[int, float]) -> dict[int, float]:
-    """Summed weight of each shingle of a run of words; one no item has weighs 1."""
-    width = min(SHINGLE_WORDS, len(words))
-    sums: dict[int, float] = {}
-    grams = [hash(tuple(words[i : i + width])) for i in range(len(words) - width + 1)]
-    for g in grams:
-        sums[g] = sums.get(g, 0.0) + weights.get(g, 1.0)
-    return sums
+@dataclass
+class Item:
+    """An item's distinct shingles in ascending order, how often it has each, and what each weighs."""
 
+    size: int
+    width: int
+    grams: np.ndarray
+    times: np.ndarray
+    weights: np.ndarray
+    beside: float  # the weight of a shingle the item has not
 
-def similarity(a: dict[int, float], b: dict[int, float]) -> float:
-    """Weighted Jaccard likeness."""
-    both = sum(min(w, b[g]) for g, w in a.items() if g in b)
-    total = sum(a.values()) + sum(b.values()) - both
-    return both / total if total else 0.0
+    @property
+    def total(self) -> float:
+        return float((self.times * self.weights).sum())
 
 
 @dataclass
 class SizeClass:
     length: int
     items: np.ndarray  # the item of each entry
-    shift: np.ndarray  # words of the item before the entry's window
+    grams: np.ndarray
     prints: np.ndarray
     first: list = field(default_factory=list)  # per block: where the entries of a value begin
     entries: list = field(default_factory=list)
@@ -99,45 +99,47 @@ class SizeClass:
 @dataclass
 class Index:
     ids: list[int]
-    words: list[list[int]]
+    items: list[Item]
     classes: list[SizeClass]
-    weights: dict[int, float]
-    shingles: list[dict[int, float]]
+    threshold: float
+
+
+def item_shingles(words: np.ndarray) -> np.ndarray:
+    return run_hashes(words, min(SHINGLE_WORDS, len(words))) if len(words) else np.zeros(0, np.uint64)
+
 
+def needed_shingles(item: Item, threshold: float) -> np.ndarray:
+    """The heaviest shingles, so many that the others weigh less than ``threshold`` of the item."""
+    order = np.argsort(-item.weights, kind="stable")
+    sums = np.cumsum((item.times * item.weights)[order])
+    return order[: np.searchsorted(sums, (1 - threshold + 1e-9) * item.total, "right") + 1]
 
-def build_index(ids: list[int], texts: list[str]) -> Index:
+
+def build_index(ids: list[int], texts: list[str], threshold: float = THRESHOLD) -> Index:
     hashes, first = plain_words(texts_of(pa.array(texts, pa.large_string())))
     words = [hashes[first[i] : first[i + 1]] for i in range(len(texts))]
-    lengths = np.array([min(len(w), 32_000) for w in words])
-    held: dict[int, int] = {}
-    lists = [w.tolist() for w in words]
-    for w in lists:
+    runs = [item_shingles(w) for w in words]
+    grams, held = np.unique(np.concatenate([np.unique(r) for r in runs]), return_counts=True)
+    items, windows = [], {}
+    for i, (w, run) in enumerate(zip(words, runs)):
+        own, where, times = np.unique(run, return_index=True, return_counts=True)
         width = min(SHINGLE_WORDS, len(w))
-        for g in {hash(tuple(w[i : i + width])) for i in range(len(w) - width + 1)}:
-            held[g] = held.get(g, 0) + 1
-    weights = {g: 1 / n for g, n in held.items()}
+        items.append(Item(len(w), width, own, times, 1 / held[np.searchsorted(grams, own)], 1.0))
+        for k in needed_shingles(items[-1], threshold):
+            windows.setdefault(width, []).append((i, own[k], w[where[k] : where[k] + width]))
     classes = []
-    todo = np.unique(lengths[lengths > 0])
-    while len(todo):
-        length = int(todo[0])
-        inside = todo[todo <= length * CLASS_RATIO]
-        todo = todo[len(inside) :]
-        members = np.flatnonzero((lengths >= length) & (lengths <= inside[-1]))
-        items, shift, prints = [], [], []
-        for i in members:
-            for s in {0, len(words[i]) - length}:
-                items.append(i)
-                shift.append(s)
-                prints.append(window_prints(running_ones(words[i][s : s + length]), length)[0])
-        entry = SizeClass(length, np.array(items), np.array(shift), np.array(prints, np.uint64))
+    for length, entries in sorted(windows.items()):
+        ones = running_ones(np.concatenate([w for _, _, w in entries]))
+        prints = np.packbits(ones[length::length] - ones[:-length:length] > length // 2, axis=1).view(np.uint64).ravel()
+        entry = SizeClass(length, np.array([i for i, _, _ in entries]), np.array([g for _, g, _ in entries], np.uint64), prints)
         for block in range(4):
             value = ((entry.prints >> np.uint64(16 * block)) & np.uint64(0xFFFF)).astype(np.int64)
             near = (value[:, None] ^ _NEAR).ravel()
             order = np.argsort(near, kind="stable")
             entry.first.append(np.searchsorted(near[order], np.arange(65537)))
-            entry.entries.append(order // len(_NEAR))
+            entry.entries.append((order // len(_NEAR)).astype(np.int32))
         classes.append(entry)
-    return Index(ids, lists, classes, weights, [weighted_shingles(w, weights) for w in lists])
+    return Index(ids, items, classes, threshold)
 
 
 def within_radius(entry: SizeClass, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,12 +161,43 @@ def within_radius(entry: SizeClass, prints: np.ndarray) -> tuple[np.ndarray, np.
     return pairs // len(entry.items), pairs % len(entry.items)
 
 
-def matches(index: Index, hashes: np.ndarray, first: np.ndarray, threshold: float = THRESHOLD):
+def best_window(item: Item, grams: np.ndarray, low: int, high: int, end: int, threshold: float) -> tuple[float, int]:
+    """Likeness and beginning of the most similar window that begins in ``low..high``; a text ends at ``end``.
+
+    ``grams`` are the shingles that begin at each word. A window has the item's size, less at the end.
+    """
+    begin = np.arange(low, high + 1)
+    stop = np.minimum(begin + item.size, end) - item.width + 1
+    part = grams[low : stop[-1]]
+    at = np.minimum(np.searchsorted(item.grams, part), len(item.grams) - 1)
+    has = item.grams[at] == part
+    weight = np.where(has, item.weights[at], item.beside)
+    begin, stop = begin - low, stop - low
+    sums = np.concatenate([[0], np.cumsum(weight)])
+    shared = np.concatenate([[0], np.cumsum(weight * has)])
+    size, total = sums[stop] - sums[begin], item.total
+    both = np.minimum(shared[stop] - shared[begin], total)
+    bound = both / (total + size - both)  # a shingle's repeats may count too often
+    best, where = 0.0, low
+    for k in np.argsort(-bound, kind="stable").tolist():
+        if bound[k] < max(best, threshold) - 1e-9:
+            break
+        s, e = begin[k], stop[k]
+        counts = np.bincount(at[s:e][has[s:e]], minlength=len(item.grams))
+        both_k = float((np.minimum(item.times, counts) * item.weights).sum())
+        others = (e - s - int(has[s:e].sum())) * item.beside
+        value = both_k / (total + float((counts * item.weights).sum()) + others - both_k)
+        if value >= threshold and (value, -k) > (best, low - where):
+            best, where = value, low + k
+    return best, where
+
+
+def matches(index: Index, hashes: np.ndarray, first: np.ndarray):
     """``(text, item, first word, similarity)`` of the best window of each contained item."""
-    best: dict[tuple[int, int], tuple[float, int]] = {}
+    found = []
     longest = max((c.length for c in index.classes), default=0)
-    total = len(hashes)
-    for at in range(0, total, PIECE):
+    grams = {c.length: run_hashes(hashes, c.length) for c in index.classes}
+    for at in range(0, len(hashes), PIECE):
         part = hashes[at : at + PIECE + longest - 1]
         ones = running_ones(part)
         for entry in index.classes:
@@ -172,28 +205,38 @@ def matches(index: Index, hashes: np.ndarray, first: np.ndarray, threshold: floa
             if count <= 0:
                 continue
             window, which = within_radius(entry, window_prints(ones[: count + entry.length], entry.length))
-            for w, e in zip((window + at).tolist(), which.tolist()):
-                text = int(np.searchsorted(first, w, "right")) - 1
-                if w + entry.length > first[text + 1]:
-                    continue  # the window runs into the next text
-                item = int(entry.items[e])
-                begin = max(w - int(entry.shift[e]), int(first[text]))
-                size = len(index.words[item])
-                seen = hashes[begin : min(begin + size, int(first[text + 1]))].tolist()
-                value = similarity(index.shingles[item], weighted_shingles(seen, index.weights))
-                if value >= threshold and (value, -begin) > best.get((text, item), (0.0, 0)):
-                    best[text, item] = (value, -begin)
+            window += at
+            text = np.searchsorted(first, window, "right") - 1
+            inside = window + entry.length <= first[text + 1]  # else the window runs into the next text
+            inside &= grams[entry.length][window] == entry.grams[which]
+            found.append(np.stack([text, entry.items[which], window])[:, inside])
+    found = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+    if not found.shape[1]:
+        return []
+    text, item, window = found[:, np.lexsort(found[::-1])]
+    # Windows of one item that may hold it together are one run.
+    sizes = np.array([i.size for i in index.items])
+    new = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (window[1:] - window[:-1] > sizes[item[1:]])
+    cut = np.concatenate([[0], np.flatnonzero(new) + 1, [len(text)]])
+    best: dict[tuple[int, int], tuple[float, int]] = {}
+    for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        t, i = int(text[s]), int(item[s])
+        one = index.items[i]
+        low = max(int(window[s]) - one.size + one.width, int(first[t]))
+        value, begin = best_window(one, grams[one.width], low, int(window[e - 1]), int(first[t + 1]), index.threshold)
+        if value >= index.threshold and (value, -begin) > best.get((t, i), (0.0, 0)):
+            best[t, i] = (value, -begin)
     return [(t, i, -b - int(first[t]), v) for (t, i), (v, b) in sorted(best.items())]
 
 
-def _indexes(spark: SparkSession, items: DataFrame):
+def _indexes(spark: SparkSession, items: DataFrame, threshold: float):
     """Item indexes, one after the other, each of about ``ITEMS_AT_ONCE`` items at most."""
     items = items.select("item_id", "text").where("item_id is not null and text is not null").distinct()
     parts = max(1, -(-items.count() // ITEMS_AT_ONCE))
     for k in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
         if rows:
-            yield spark.sparkContext.broadcast(build_index([r.item_id for r in rows], [r.text for r in rows]))
+            yield spark.sparkContext.broadcast(build_index([r.item_id for r in rows], [r.text for r in rows], threshold))
 
 
 _RESULT = "doc_id bigint, item_id bigint, first_word bigint, similarity double"
@@ -209,11 +252,11 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     """
     spark = docs.sparkSession
     result = spark.createDataFrame([], _RESULT)
-    for shared in _indexes(spark, items):
+    for shared in _indexes(spark, items, threshold):
 
         def run(batch: pa.RecordBatch, shared=shared):
             for block in blocks(batch.column(1)):
-                found = matches(shared.value, *plain_words(block), threshold)
+                found = matches(shared.value, *plain_words(block))
                 if found:
                     ids = batch.column(0).slice(block.first, len(block)).to_pylist()
                     columns = zip(*[(ids[t], shared.value.ids[i], w, v) for t, i, w, v in found])
@@ -229,12 +272,12 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     """``docs`` without the rows that hold an item; all columns and all other rows stay as they are."""
     at = docs.columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    for shared in _indexes(docs.sparkSession, items):
+    for shared in _indexes(docs.sparkSession, items, threshold):
 
         def run(batch: pa.RecordBatch, shared=shared):
             for block in blocks(batch.column(at)):
                 keep = np.ones(len(block), bool)
-                keep[[t for t, *_ in matches(shared.value, *plain_words(block), threshold)]] = False
+                keep[[t for t, *_ in matches(shared.value, *plain_words(block))]] = False
                 yield batch.slice(block.first, len(block)).filter(pa.array(keep))
 
         docs = over_batches(docs, run, schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -193,6 +194,36 @@ def test_no_print_within_the_radius_is_missed():
     assert got == set(zip(*(x.tolist() for x in np.nonzero(near))))
 
 
+def best_by_brute_force(item, text):
+    """Best likeness of all windows of the item's size, every shingle of one weight."""
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    a = grams(item)
+    both = [(sum((a & b).values()), sum((a | b).values())) for b in (grams(text[s : s + len(item)]) for s in range(len(text) - 4))]
+    return max(x / y for x, y in both)
+
+
+def test_no_window_at_the_threshold_is_missed(spark):
+    rng = random.Random(10)
+    items, docs, truth = [], [], set()
+    for i in range(150):
+        item = words(rng, rng.randrange(14, 70), 10**6).split()
+        copy = list(item)
+        for _ in range(rng.randrange(1, 3)):  # mostly at the ends, where an edit costs least
+            at = rng.choice([0, 1, -1, -2, rng.randrange(len(copy))])
+            copy[at : at + 1 or None] = [["changed"], [], ["put", "in"]][rng.randrange(3)]
+        text = words(rng, rng.randrange(0, 9), 10**6).split() + copy + words(rng, rng.randrange(0, 9), 10**6).split()
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(text)))
+        if best_by_brute_force(item, text) >= op9_decontaminate.THRESHOLD:
+            truth.add((i, i))
+    assert 40 < len(truth) < 150
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = op9_decontaminate.contaminated(spark.createDataFrame(docs, SCHEMA), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == truth and len(found) == len(truth)
+    for r in found:
+        assert abs(r.similarity - best_by_brute_force(items[r.item_id][1].split(), docs[r.doc_id][1].split())) < 1e-9
+
+
 # ---------------------------------------------------------------- op10
 
 PATTERNS = {
