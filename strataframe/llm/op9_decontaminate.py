@@ -7,8 +7,10 @@ so has every such window of every document, from running sums of its words' bits
 into four blocks of 16 bits; two that differ in at most ``RADIUS`` = 7 bits differ in at most one bit of
 some block, and each block's table holds every shingle under all values that near its own, so no pair
 within the radius is missed. Pairs whose shingles differ after all go. Around the others, every window
-of the item's size is verified by the weighted likeness of the item's and the window's shingles; a
-shingle weighs more the fewer items have it.
+of the item's size is verified by the likeness of the item's and the window's shingles, weighted and
+plain: the greater of the two counts. A shingle weighs 1/n if n different item texts of the whole table
+have it, and one that the item has not weighs the mean of the item's, so shingles that all items share
+weigh alike on either side; the plain likeness keeps items with common text from hiding near copies.
 
 Words are runs of letters and digits in lower case, so copies in capitals or with signs put between
 words are found. Items are a query set: they are taken in blocks of ``ITEMS_AT_ONCE``, and each block
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.tables import documents, over_batches, table
+from strataframe.llm.tables import cut_lineage, documents, over_batches, table
 from strataframe.llm.textblocks import Texts, blocks, run_hashes, texts_of, word_hashes, words_of
 
 RADIUS = 7
@@ -79,11 +81,11 @@ class Item:
     grams: np.ndarray
     times: np.ndarray
     weights: np.ndarray
-    beside: float  # the weight of a shingle the item has not
 
     @property
-    def total(self) -> float:
-        return float((self.times * self.weights).sum())
+    def scales(self) -> tuple[np.ndarray, np.ndarray]:
+        """The two sets of weights of the item's shingles, each with a mean of 1, which a shingle it has not weighs."""
+        return np.ones(len(self.times)), self.weights * (self.times.sum() / (self.times * self.weights).sum())
 
 
 @dataclass
@@ -109,22 +111,29 @@ def item_shingles(words: np.ndarray) -> np.ndarray:
 
 
 def needed_shingles(item: Item, threshold: float) -> np.ndarray:
-    """The heaviest shingles, so many that the others weigh less than ``threshold`` of the item."""
+    """The heaviest shingles, so many that on either scale the others weigh less than ``threshold`` of the item."""
+    if not item.size:
+        return np.zeros(0, np.int64)
     order = np.argsort(-item.weights, kind="stable")
-    sums = np.cumsum((item.times * item.weights)[order])
-    return order[: np.searchsorted(sums, (1 - threshold + 1e-9) * item.total, "right") + 1]
+    total = item.times.sum()
+    sums = [np.cumsum((item.times * scale)[order]) for scale in item.scales]
+    return order[: max(np.searchsorted(x, (1 - threshold + 1e-9) * total, "right") for x in sums) + 1]
 
 
-def build_index(ids: list[int], texts: list[str], threshold: float = THRESHOLD) -> Index:
+def build_index(ids: list[int], texts: list[str], threshold: float = THRESHOLD, shared: dict[int, int] | None = None) -> Index:
+    """``shared``: how many texts of the whole table have a shingle, where more than one; else these are all."""
     hashes, first = plain_words(texts_of(pa.array(texts, pa.large_string())))
     words = [hashes[first[i] : first[i + 1]] for i in range(len(texts))]
     runs = [item_shingles(w) for w in words]
-    grams, held = np.unique(np.concatenate([np.unique(r) for r in runs]), return_counts=True)
+    if shared is None:
+        different = {w.tobytes(): r for w, r in zip(words, runs)}.values()
+        grams, held = np.unique(np.concatenate([np.unique(r) for r in different]), return_counts=True)
+        shared = dict(zip(grams.tolist(), held.tolist()))
     items, windows = [], {}
     for i, (w, run) in enumerate(zip(words, runs)):
         own, where, times = np.unique(run, return_index=True, return_counts=True)
         width = min(SHINGLE_WORDS, len(w))
-        items.append(Item(len(w), width, own, times, 1 / held[np.searchsorted(grams, own)], 1.0))
+        items.append(Item(len(w), width, own, times, np.array([1 / shared.get(g, 1) for g in own.tolist()])))
         for k in needed_shingles(items[-1], threshold):
             windows.setdefault(width, []).append((i, own[k], w[where[k] : where[k] + width]))
     classes = []
@@ -171,22 +180,24 @@ def best_window(item: Item, grams: np.ndarray, low: int, high: int, end: int, th
     part = grams[low : stop[-1]]
     at = np.minimum(np.searchsorted(item.grams, part), len(item.grams) - 1)
     has = item.grams[at] == part
-    weight = np.where(has, item.weights[at], item.beside)
     begin, stop = begin - low, stop - low
-    sums = np.concatenate([[0], np.cumsum(weight)])
-    shared = np.concatenate([[0], np.cumsum(weight * has)])
-    size, total = sums[stop] - sums[begin], item.total
-    both = np.minimum(shared[stop] - shared[begin], total)
-    bound = both / (total + size - both)  # a shingle's repeats may count too often
+    total, size, bound = int(item.times.sum()), [], []
+    for scale in item.scales:
+        weight = np.where(has, scale[at], 1.0)
+        sums = np.concatenate([[0], np.cumsum(weight)])
+        held = np.concatenate([[0], np.cumsum(weight * has)])
+        size.append(sums[stop] - sums[begin])
+        both = np.minimum(held[stop] - held[begin], total)
+        bound.append(both / (total + size[-1] - both))  # a shingle's repeats may count too often
+    bound = np.maximum(*bound)
     best, where = 0.0, low
     for k in np.argsort(-bound, kind="stable").tolist():
         if bound[k] < max(best, threshold) - 1e-9:
             break
         s, e = begin[k], stop[k]
-        counts = np.bincount(at[s:e][has[s:e]], minlength=len(item.grams))
-        both_k = float((np.minimum(item.times, counts) * item.weights).sum())
-        others = (e - s - int(has[s:e].sum())) * item.beside
-        value = both_k / (total + float((counts * item.weights).sum()) + others - both_k)
+        counts = np.minimum(item.times, np.bincount(at[s:e][has[s:e]], minlength=len(item.grams)))
+        both = [float((counts * scale).sum()) for scale in item.scales]
+        value = max(x / (total + float(n[k]) - x) for x, n in zip(both, size))
         if value >= threshold and (value, -k) > (best, low - where):
             best, where = value, low + k
     return best, where
@@ -229,14 +240,36 @@ def matches(index: Index, hashes: np.ndarray, first: np.ndarray):
     return [(t, i, -b - int(first[t]), v) for (t, i), (v, b) in sorted(best.items())]
 
 
+def _item_shingles(items: DataFrame) -> DataFrame:
+    """Each distinct shingle of each text, with a hash of the text's words."""
+
+    def run(batch: pa.RecordBatch):
+        for block in blocks(batch.column(0)):
+            hashes, first = plain_words(block)
+            words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
+            grams = [np.unique(item_shingles(w)) for w in words]
+            names = [run_hashes(w, len(w))[0] if len(w) else np.uint64(0) for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(names, np.uint64), [len(g) for g in grams]).view(np.int64)),
+                 pa.array(np.concatenate(grams).view(np.int64))], names=["words", "gram"])
+
+    return over_batches(items.select("text"), run, "words bigint, gram bigint")
+
+
 def _indexes(spark: SparkSession, items: DataFrame, threshold: float):
     """Item indexes, one after the other, each of about ``ITEMS_AT_ONCE`` items at most."""
     items = items.select("item_id", "text").where("item_id is not null and text is not null").distinct()
     parts = max(1, -(-items.count() // ITEMS_AT_ONCE))
+    held = _item_shingles(items).distinct().groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    if parts > 1:
+        held = cut_lineage(held)
     for k in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
+        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k)
+        rows = block.orderBy("item_id", "text").collect()
         if rows:
-            yield spark.sparkContext.broadcast(build_index([r.item_id for r in rows], [r.text for r in rows], threshold))
+            here = held if parts == 1 else held.join(_item_shingles(block).select("gram").distinct(), "gram")
+            shared = {r.gram % (1 << 64): r.n for r in here.select("gram", "n").collect()}
+            yield spark.sparkContext.broadcast(build_index([r.item_id for r in rows], [r.text for r in rows], threshold, shared))
 
 
 _RESULT = "doc_id bigint, item_id bigint, first_word bigint, similarity double"

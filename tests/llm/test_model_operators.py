@@ -224,6 +224,23 @@ def test_no_window_at_the_threshold_is_missed(spark):
         assert abs(r.similarity - best_by_brute_force(items[r.item_id][1].split(), docs[r.doc_id][1].split())) < 1e-9
 
 
+@pytest.mark.parametrize("at_once", [20_000, 3])
+def test_items_with_common_text_do_not_hide_near_copies(spark, monkeypatch, at_once):
+    rng = random.Random(11)
+    one, other, frame = (words(rng, n, 10**6).split() for n in (60, 60, 50))
+    items = [(i, " ".join(one)) for i in range(10)] + [(20, " ".join(other)), (21, " ".join(other) + ".")]
+    items += [(30 + i, " ".join(frame + words(rng, 10, 10**6).split())) for i in range(10)]
+    docs = [(i, " ".join(w[:at] + ["changed"] + w[at + 1 :])) for i, w, at in (
+        (0, one, 30), (1, other, 30), (2, items[12][1].split(), 20), (3, items[13][1].split(), 54))]
+    monkeypatch.setattr(op9_decontaminate, "ITEMS_AT_ONCE", at_once)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = op9_decontaminate.contaminated(spark.createDataFrame(docs, SCHEMA), bench).collect()
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in found}
+    plain = round(51 / 61, 9)
+    assert set(got) == {(0, i) for i in range(10)} | {(1, 20), (1, 21), (2, 30), (3, 31)}
+    assert all(v == plain for (d, _), v in got.items() if d != 2) and got[2, 30] > plain  # what it has of its own is whole
+
+
 # ---------------------------------------------------------------- op10
 
 PATTERNS = {
