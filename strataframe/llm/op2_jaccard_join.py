@@ -10,7 +10,8 @@ Counting is a shuffle of packed arrays: shingle hashes of a chunk of documents g
 their upper bits, which counts them and returns those held more than once to the chunk. Whatever two
 sets share is among these, so they also suffice to verify a pair, and texts are not shuffled. Classes
 that may meet are brought together as components of "has this shingle in its prefix"; a component is
-joined in memory, a large one as pairs of blocks. Only links that connect something new are kept.
+joined in memory, a large one as pairs of blocks. ``links_of`` gives every link, ``linked_documents`` how
+many each document has; ``classes_of`` needs components only, and skips pairs that connect nothing new.
 
 Equality of shingles is equality of 64-bit hashes of word hashes, of which at least 52 bits are
 compared; sets are told apart by 128 bits.
@@ -40,6 +41,7 @@ HOT_LEAST = 16
 MAX_MATCHES = 4
 BLOCK_CLASSES = 4096
 BUNDLE_CLASSES = 2048
+CONNECT, COUNT, EVERY = "connect", "count", "every"
 LOW_BITS = np.uint64((1 << 48) - 1)
 
 
@@ -244,8 +246,12 @@ def _short():
     return F.xxhash64("class")
 
 
-def _joined(numerator: int, denominator: int):
-    """Joins components in memory: rows of one bundle to links ``(a, b)`` that connect something new."""
+def _joined(numerator: int, denominator: int, mode: str):
+    """Joins components in memory: rows of one bundle to links ``(a, b)`` and counts of links ``(a, n_links)``.
+
+    By ``mode``: ``CONNECT`` gives only links that connect something new, ``COUNT`` gives these and the
+    number of all links of each class, ``EVERY`` gives all links.
+    """
 
     def join(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("component").to_numpy(), kind="stable")
@@ -253,7 +259,10 @@ def _joined(numerator: int, denominator: int):
         begin = np.flatnonzero(np.concatenate([[True], comp[1:] != comp[:-1]]))
         names, packed = table.column("class").to_pylist(), table.column("shingles").to_pylist()
         size, matches, reach, side = (table.column(c).to_numpy() for c in ("size", "matches", "reach", "side"))
-        links: list[tuple[bytes, bytes]] = []
+        links: list[tuple[bytes, bytes | None, int | None]] = []
+        across = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        if across and side.min() == side.max():
+            begin = begin[:0]  # the other block is empty
         for s, e in zip(begin, [*begin[1:], len(comp)]):
             seen: dict[bytes, int] = {}
             for i in order[s:e]:
@@ -262,15 +271,21 @@ def _joined(numerator: int, denominator: int):
                 rows = np.fromiter(seen.values(), np.int64)
                 rows = rows[np.argsort(size[rows], kind="stable")]
                 sets = [np.frombuffer(packed[i], np.uint64) for i in rows]
-                found = join_sets(sets, size[rows], matches[rows], reach[rows], side[rows], numerator, denominator)
-                links += [(names[rows[a]], names[rows[b]]) for a, b in found]
-        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})
+                found, times = join_sets(sets, size[rows], matches[rows], reach[rows], side[rows], numerator, denominator, mode)
+                links += [(names[rows[a]], names[rows[b]], None) for a, b in found]
+                if mode == COUNT:
+                    links += [(names[rows[i]], None, int(times[i])) for i in np.flatnonzero(times)]
+        columns = list(zip(*links)) or [(), (), ()]
+        kinds = {"a": pa.binary(), "b": pa.binary(), "n_links": pa.int64()}
+        return pa.table({n: pa.array(c, k) for (n, k), c in zip(kinds.items(), columns)})
 
     return join
 
 
-def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int) -> list[tuple[int, int]]:
-    """Links among sets in ascending order of size, as far as they connect something new.
+def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int, mode: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links among sets in ascending order of size (if not ``EVERY``: as far as they connect something new), and counts.
+
+    The counts, of all links of each set, are whole unless ``mode`` is ``CONNECT``.
 
     ``sets`` hold the shingles that others may hold, in the common order; ``reach`` of them belong to
     the prefix. If both sides occur, only pairs between the sides count.
@@ -284,7 +299,7 @@ def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int
     index: dict[int, list[int]] = {}
     root = np.arange(n)
     mark = np.zeros(int(local.max()) + 1, np.int8)
-    links = []
+    links, times = [], np.zeros(n, np.int64)
     for d in range(n):
         prefix = local[first[d] : first[d] + reach[d]].tolist()
         near = [index[t] for t in prefix if t in index]
@@ -292,7 +307,8 @@ def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int
             met = np.bincount(np.concatenate([np.asarray(x) for x in near]), minlength=d)[:d]
             may = np.flatnonzero(met)
             ok = (met[may] >= np.minimum(matches[may], matches[d])) & (size[may] * denominator >= numerator * size[d])
-            ok &= root[may] != root[d]
+            if mode == CONNECT:
+                ok &= root[may] != root[d]
             if two_sides:
                 ok &= side[may] != side[d]
             may = may[ok]
@@ -303,25 +319,22 @@ def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int
                 sums = np.concatenate([[0], np.cumsum(mark[values], dtype=np.int64)])
                 both = sums[begin[1:]] - sums[begin[:-1]]
                 mark[mine] = 0
-                for c in may[both * denominator >= numerator * (size[may] + size[d] - both)].tolist():
-                    if root[c] != root[d]:
+                partners = may[both * denominator >= numerator * (size[may] + size[d] - both)]
+                times[partners] += 1
+                times[d] += len(partners)
+                for c in (partners if mode == EVERY else partners[root[partners] != root[d]]).tolist():
+                    if mode == EVERY:
+                        links.append((c, d))
+                    elif root[c] != root[d]:
                         root[root == root[c]] = root[d]
                         links.append((c, d))
         for t in prefix:
             index.setdefault(t, []).append(d)
-    return links
+    return links, times
 
 
-def classes_of(docs: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of each row of ``docs`` (doc_id, text).
-
-    Two documents link when ``denominator * |A and B| >= numerator * |A or B|`` of their sets of
-    ``width``-word shingles; a text with fewer words has one shingle, its whole sequence. A document
-    without words (null and empty texts too) is linked with nothing. ``component_id`` is the smallest
-    doc_id reachable by links, itself included. Rows that repeat a text or a doc_id each have a result;
-    a row without doc_id takes part and is never a component's name, unless no row of it has one
-    (NULL). Other columns are ignored; an empty table gives no rows.
-    """
+def _join(docs: DataFrame, width: int, numerator: int, denominator: int, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of documents with their size and class, and the links and counts of ``mode``."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     profile = cut_lineage(_profiles(docs, width))
@@ -369,18 +382,52 @@ def classes_of(docs: DataFrame, width: int, numerator: int, denominator: int) ->
             (F.col("block") > F.col("other")).cast("int").alias("side"),
         )
     )
-    links = cut_lineage(tasks.groupBy("bundle", "low", "high").applyInArrow(_joined(numerator, denominator), "a binary, b binary"))
-    linked = components(links)
+    links = cut_lineage(tasks.groupBy("bundle", "low", "high").applyInArrow(
+        _joined(numerator, denominator, mode), "a binary, b binary, n_links bigint"))
+    return rows, links
+
+
+def links_of(docs: DataFrame, width: int, numerator: int, denominator: int) -> tuple[DataFrame, DataFrame]:
+    """Every link between different classes, once, as ``(class_a, class_b)``, and ``(doc_id, n_shingles, class)`` of each row.
+
+    A class is 128 bits of a shingle set; documents with one set are one class and are not linked by a row.
+    """
+    rows, links = _join(docs, width, numerator, denominator, EVERY)
+    return links.select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")), rows
 
+
+def _components(rows: DataFrame, links: DataFrame) -> DataFrame:
+    linked = components(links.where("b is not null"))
     classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
     classes = classes.join(linked.withColumnRenamed("node", "class"), "class", "left")
     lowest = classes.groupBy(F.coalesce("component", "class").alias("root")).agg(F.min("first_id").alias("component_id"))
-    named = classes.select("class", F.coalesce("component", "class").alias("root")).join(lowest, "root").select("class", "component_id")
-    return rows.join(named, "class", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return classes.select("class", F.coalesce("component", "class").alias("root")).join(lowest, "root").select("class", "component_id")
+
+
+_COMPONENT = "case when n_shingles > 0 then component_id else doc_id end as component_id"
+
+
+def classes_of(docs: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of each row of ``docs`` (doc_id, text).
+
+    Two documents link when ``denominator * |A and B| >= numerator * |A or B|`` of their sets of
+    ``width``-word shingles; a text with fewer words has one shingle, its whole sequence. A document
+    without words (null and empty texts too) is linked with nothing. ``component_id`` is the smallest
+    doc_id reachable by links, itself included. Rows that repeat a text or a doc_id each have a result;
+    a row without doc_id takes part and is never a component's name, unless no row of it has one
+    (NULL). Other columns are ignored; an empty table gives no rows.
+    """
+    rows, links = _join(docs, width, numerator, denominator, CONNECT)
+    return rows.join(_components(rows, links), "class", "left").selectExpr("doc_id", "n_shingles", _COMPONENT)
+
+
+def linked_documents(docs: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
+    """``classes_of`` with ``n_links``: to how many other shingle sets a document's set is linked."""
+    rows, links = _join(docs, width, numerator, denominator, COUNT)
+    counts = links.where("n_links is not null").groupBy(F.col("a").alias("class")).agg(F.sum("n_links").alias("n_links"))
+    named = _components(rows, links).join(counts, "class", "left")
+    return rows.join(named, "class", "left").selectExpr("doc_id", "n_shingles", _COMPONENT, "coalesce(n_links, 0) as n_links")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes_of(documents(spark, sf_dir), 4, 85, 100)
+    return linked_documents(documents(spark, sf_dir), 4, 85, 100)

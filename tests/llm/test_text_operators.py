@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import array
 import hashlib
+import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -173,6 +175,28 @@ def test_blocks_chunks_and_hot_shingles_do_not_matter(spark, corpus, monkeypatch
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == brute_components(corpus, 4, 85, 100)
 
 
+def brute_links(rows, width, numerator, denominator):
+    sets = {frozenset(shingle_set(t, width)) for _, t in rows} - {frozenset()}
+    return [{x, y} for x, y in itertools.combinations(sets, 2) if denominator * len(x & y) >= numerator * len(x | y)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_every_link_is_given_and_counted(spark, corpus, monkeypatch, small):
+    for name, value in (("BLOCK_CLASSES", 7), ("CHUNK_SHINGLES", 2000), ("BUCKET_SHINGLES", 1500), ("BUNDLE_CLASSES", 5), ("HOT_LEAST", 8)) * small:
+        monkeypatch.setattr(op2_jaccard_join, name, value)
+    truth = brute_links(corpus, 4, 85, 100)
+    sets = {i: frozenset(shingle_set(t, 4)) for i, t in corpus}
+    assert len(truth) > 60  # more than connect the copies
+    links, rows = op2_jaccard_join.links_of(table(spark, corpus), 4, 85, 100)
+    by_class = {bytes(r["class"]): sets[r.doc_id] for r in rows.collect()}
+    got = [{by_class[bytes(r.class_a)], by_class[bytes(r.class_b)]} for r in links.collect()]
+    assert len(got) == len(truth) and set(map(frozenset, got)) == set(map(frozenset, truth))
+    times = Counter(x for link in truth for x in link)
+    found = op2_jaccard_join.linked_documents(table(spark, corpus), 4, 85, 100).collect()
+    assert {r.doc_id: r.n_links for r in found} == {i: times[x] for i, x in sets.items()}
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(corpus, 4, 85, 100)
+
+
 def test_join_of_odd_tables(spark):
     empty = op2_jaccard_join.classes_of(spark.createDataFrame([], SCHEMA), 4, 85, 100)
     assert empty.columns == ["doc_id", "n_shingles", "component_id"] and empty.count() == 0
