@@ -2,7 +2,8 @@
 
 1. quality: documents that the classifier scores below one half go.
 2. near_duplicates: of each group of documents with alike word shingles one stays, that with the
-   smallest doc_id. Rows that repeat both doc_id and text are one; rows without doc_id stay.
+   smallest doc_id, or if a doc_id has several texts the one with the smallest hash; rows without doc_id
+   come last. Rows that repeat both doc_id and text are one; rows without doc_id and words stay.
 3. decontaminate: documents that hold a benchmark item go.
 4. pii: spans of personal data become their kind in brackets, and n_chars counts anew.
 5. bpe: the documents' token ids.
@@ -13,7 +14,7 @@ stage, nulls in them too; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm import op2_jaccard_join, op6_bpe_automaton, op8_quality, op9_decontaminate, op10_pii
@@ -31,13 +32,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = op2_jaccard_join.classes_of(docs, SHINGLE_WORDS, *SIMILARITY)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    name = unused(docs.columns, "_text")
-    kept = docs.withColumn(name, text_hash()).join(gone, "doc_id", "left_anti")
-    # Repeats meet where the join has put them.
-    again = kept.where("doc_id is not null").dropDuplicates(["doc_id", name])
-    return again.unionByName(kept.where("doc_id is null")).select(*docs.columns)
+    gone = op2_jaccard_join.near_copies(docs, SHINGLE_WORDS, *SIMILARITY)
+    # Keys without nulls, so that repeats meet where the join puts them.
+    names = [unused(docs.columns, n) for n in ("_none", "_id", "_hash")]
+
+    def keyed(rows: DataFrame, hashed: Column) -> DataFrame:
+        keys = (F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), hashed)
+        return rows.withColumns(dict(zip(names, keys)))
+
+    lone = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = keyed(docs.where(~lone), text_hash()).dropDuplicates(names)
+    kept = once.join(keyed(gone, F.col("text_hash")).select(*names), names, "left_anti")
+    return kept.select(*docs.columns).unionByName(docs.where(lone))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm.components import components
-from strataframe.llm.tables import cut_lineage, documents, over_batches
+from strataframe.llm.tables import cut_lineage, documents, over_batches, text_hash
 from strataframe.llm.textblocks import (
     Texts, blocks, distinct_per_text, lower_ascii, mix, ragged_take, shingles, word_hashes, words_of,
 )
@@ -59,6 +59,9 @@ def _digests(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([mix(s[first[1:]] - s[first[:-1]]) for s in sums], axis=1)
 
 
+_PROFILE_NAMES = ["doc_id", "text_hash", "n_shingles", "class", "shingle", "times"]
+
+
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
     """Rows of two kinds: documents with their set's size and class, and shingles frequent in a chunk."""
 
@@ -72,19 +75,19 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
             often = counts >= max(HOT_LEAST, len(values) // HOT_SHARE)
             n = int(often.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
                  pa.array(values[new][often].view(np.int64)), pa.array(counts[often])],
-                names=["doc_id", "n_shingles", "class", "shingle", "times"])
+                names=_PROFILE_NAMES)
 
         for batch in batches:
             for block in blocks(batch.column(1)):
                 values, first = shingle_sets(block, width)
                 n = len(block)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, n), pa.array(np.diff(first)),
+                    [batch.column(0).slice(block.first, n), batch.column(2).slice(block.first, n), pa.array(np.diff(first)),
                      pa.array([d.tobytes() for d in _digests(values, first)], pa.binary()),
                      pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-                    names=["doc_id", "n_shingles", "class", "shingle", "times"])
+                    names=_PROFILE_NAMES)
                 held.append(values)
                 size += len(values)
                 if size >= CHUNK_SHINGLES:
@@ -93,7 +96,8 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
         if size:
             yield frequent()
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, class binary, shingle bigint, times bigint")
+    named = docs.select("doc_id", "text", text_hash().alias("text_hash"))
+    return named.mapInArrow(run, "doc_id bigint, text_hash bigint, n_shingles bigint, class binary, shingle bigint, times bigint")
 
 
 _CHUNKED = "bucket int, chunk bigint, docs boolean, a binary, b binary, c binary, d binary"
@@ -338,7 +342,7 @@ def _join(docs: DataFrame, width: int, numerator: int, denominator: int, mode: s
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     profile = cut_lineage(_profiles(docs, width))
-    rows = profile.where("class is not null").select("doc_id", "n_shingles", "class")
+    rows = profile.where("class is not null").select("doc_id", "text_hash", "n_shingles", "class")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     least = max(total // HOT_SHARE, HOT_LEAST)
     frequent = (
@@ -393,15 +397,19 @@ def links_of(docs: DataFrame, width: int, numerator: int, denominator: int) -> t
     A class is 128 bits of a shingle set; documents with one set are one class and are not linked by a row.
     """
     rows, links = _join(docs, width, numerator, denominator, EVERY)
-    return links.select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")), rows
+    return links.select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")), rows.drop("text_hash")
+
+
+# Documents in the order in which one of a component is kept: rows without doc_id last.
+_ORDER = "struct(doc_id is null as none, doc_id, text_hash)"
 
 
 def _components(rows: DataFrame, links: DataFrame) -> DataFrame:
     linked = components(links.where("b is not null"))
-    classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
+    classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min(F.expr(_ORDER)).alias("first_row"))
     classes = classes.join(linked.withColumnRenamed("node", "class"), "class", "left")
-    lowest = classes.groupBy(F.coalesce("component", "class").alias("root")).agg(F.min("first_id").alias("component_id"))
-    return classes.select("class", F.coalesce("component", "class").alias("root")).join(lowest, "root").select("class", "component_id")
+    lowest = classes.groupBy(F.coalesce("component", "class").alias("root")).agg(F.min("first_id").alias("component_id"), F.min("first_row").alias("kept"))
+    return classes.select("class", F.coalesce("component", "class").alias("root")).join(lowest, "root").select("class", "component_id", "kept")
 
 
 _COMPONENT = "case when n_shingles > 0 then component_id else doc_id end as component_id"
@@ -421,6 +429,16 @@ def classes_of(docs: DataFrame, width: int, numerator: int, denominator: int) ->
     return rows.join(_components(rows, links), "class", "left").selectExpr("doc_id", "n_shingles", _COMPONENT)
 
 
+def near_copies(docs: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
+    """``(doc_id, text_hash)``, distinct, of all documents but one of each component.
+
+    That one has the component's smallest doc_id (any before NULL), and of its texts the smallest hash.
+    """
+    rows, links = _join(docs, width, numerator, denominator, CONNECT)
+    named = rows.where("n_shingles > 0").join(_components(rows, links), "class")
+    return named.where(F.expr(f"{_ORDER} <> kept")).select("doc_id", "text_hash").distinct()
+
+
 def linked_documents(docs: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
     """``classes_of`` with ``n_links``: to how many other shingle sets a document's set is linked."""
     rows, links = _join(docs, width, numerator, denominator, COUNT)

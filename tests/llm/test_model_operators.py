@@ -337,3 +337,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert final.count() == len(kept["pii"]) and min(r.n_tokens for r in final.collect()) >= 0
     assert corpus_pipeline.run(spark, folder).count() == final.count()
     assert now.limit(0).transform(lambda d: corpus_pipeline.near_duplicates(spark, d, folder)).count() == 0
+
+
+def test_near_duplicates_with_repeated_or_missing_ids(spark):
+    rng = random.Random(12)
+    a, b, c, d, e = (words(rng, 80, 10**6) for _ in range(5))
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c + " end"), (None, d), (None, d), (None, d + " end"), (None, e), (4, e + " end"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    by = lambda text: [i for i, t in kept if t and t.startswith(text)]
+    assert (by(a), by(b), by(c), by(d), by(e)) == ([1], [2], [3], [None], [4]) and len(kept) == 7
