@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from strataframe.llm import (
     op1_minhash, op2_jaccard_join, op3_substring_dedup, op4_url_lists, op5_transcripts, op6_bpe_automaton, op7_simple8b,
-    op8_quality, op9_decontaminate, op10_pii,
+    op8_quality, op9_decontaminate, op10_pii, op11_secrets, op12_merkle_manifest, op13_periodic_runs,
 )
 
 QUERIES = {
@@ -18,5 +18,8 @@ QUERIES = {
     "op8_quality": op8_quality.query,
     "op9_decontaminate": op9_decontaminate.query,
     "op10_pii": op10_pii.query,
+    "op11_secrets": op11_secrets.query,
+    "op12_merkle_manifest": op12_merkle_manifest.query,
+    "op13_periodic_runs": op13_periodic_runs.query,
 }
-ORACLES: dict[str, str] = {"op4_url_lists": op4_url_lists.SQL}
+ORACLES: dict[str, str] = {"op4_url_lists": op4_url_lists.SQL, "op12_merkle_manifest": op12_merkle_manifest.SQL}
