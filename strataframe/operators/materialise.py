@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.operators.dictionary import group_spec
 from strataframe.operators.group_table import discover_layouts, group_table
-from strataframe.session import local_table, scratch_dir
+from strataframe.session import broadcast_if_small, cut_lineage, local_table, scratch_dir
 from strataframe.sources.delivery import Delivery
 from strataframe.sources.pieces import SECTION_COLUMNS
 
 REPORT_SCHEMA = "seq long, group string, table string, kind string, n_rows long, layout string"
 # The three kinds of step, in the order they are taken for a group.
 TABLE, ID_INDEX, PARENT_INDEX = "table", "id_index", "parent_index"
-# How a table is laid out.
-BUCKETS, RANGE = "buckets", "range"
+# How a table is laid out: in buckets, and with a side table for the keys too hot for one.
+BUCKETS, HOT = "buckets", "hot"
+HOT_SUFFIX = "_hot"
 # A key with more than this many average buckets' worth of rows is too hot for one bucket.
 HOT_BUCKETS = 4
 # Delivery text that goes into one bucket.
@@ -38,31 +41,38 @@ def _write_bucketed(df: DataFrame, key: str, buckets: int, name: str) -> None:
     )
 
 
-def _hottest(df: DataFrame, key: str) -> tuple[int, int]:
-    """Rows of the most frequent key value (NULL counts as one), and of all. Combined on the map side."""
-    found = df.groupBy(key).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
-    return found.most or 0, found["all"] or 0
-
-
 def _buckets_for(n_bytes: int) -> int:
     """A power of two, so that tables of different size still join bucket by bucket."""
     return 1 << max(0, (n_bytes // BUCKET_BYTES).bit_length())
 
 
-def _write_laid_out(df: DataFrame, key: str, buckets: int, name: str, hottest: tuple[int, int]) -> str:
+def hot_keys(df: DataFrame, key: str, buckets: int, n_rows: int) -> DataFrame:
+    """``(_hot, n)``: the keys with more than ``HOT_BUCKETS`` average buckets' worth of rows; NULL counts as one.
+
+    There are at most ``buckets / HOT_BUCKETS`` of them, so they may be broadcast. Rows are combined per key before the shuffle.
+    """
+    counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > HOT_BUCKETS * max(n_rows // buckets, 1))
+
+
+def _write_laid_out(df: DataFrame, key: str, buckets: int, name: str, n_rows: int) -> str:
     """Write a table by ``key`` and say how.
 
-    Bucketed, so that child and parent join without a shuffle, unless one key (or the rows without
-    any) would overfill its bucket: then the table is range-sorted into even files, and joins on it
-    are left to the shuffle, where Spark can split the hot key.
+    The rows of ordinary keys are bucketed, so that child and parent join without a shuffle. Keys that would overfill
+    a bucket (or the rows without any) go to a side table of their own, ``<name>_hot``, range-sorted into even files.
     """
-    most, n_rows = hottest
-    if buckets > 1 and most > HOT_BUCKETS * max(n_rows // buckets, 1):
-        spread = df.repartitionByRange(buckets, key, "_content_hash").sortWithinPartitions(key)
-        spread.write.mode("overwrite").format("parquet").saveAsTable(name)
-        return RANGE
-    _write_bucketed(df, key, buckets, name)
-    return BUCKETS
+    spark = df.sparkSession
+    spark.sql(f"drop table if exists {name}{HOT_SUFFIX}")
+    hot = cut_lineage(hot_keys(df, key, buckets, n_rows)) if buckets > 1 else None
+    if hot is None or hot.isEmpty():
+        _write_bucketed(df, key, buckets, name)
+        return BUCKETS
+    same = F.col(key).eqNullSafe(F.col("_hot"))
+    _write_bucketed(df.join(F.broadcast(hot), same, "left_anti"), key, buckets, name)
+    side = df.join(F.broadcast(hot), same, "left_semi")
+    by = [F.col(key), F.xxhash64(*df.columns)]
+    side.repartitionByRange(buckets, *by).sortWithinPartitions(key).write.mode("overwrite").format("parquet").saveAsTable(f"{name}{HOT_SUFFIX}")
+    return f"{BUCKETS}+{HOT}"
 
 
 def stage_by_group(delivery: Delivery) -> DataFrame:
@@ -90,31 +100,67 @@ def materialise(
     For each group in file order: the table itself by ``_id``, and if the group has a parent, a copy by
     ``_parent_id``. ``buckets`` sets one number of buckets for all; without it each group's follows
     from its text. Returns ``(seq, group, table, kind, n_rows, layout)``; ``layout`` is ``buckets``, or
-    ``range`` where a hot key would overfill its bucket.
+    ``buckets+hot`` where keys that would overfill their bucket are in the side table ``<table>_hot``. Read such
+    tables with :func:`read_table` and :func:`join_materialised`.
     """
     spark = delivery.spark
     staged = Delivery(spark, delivery.dictionary, stage_by_group(delivery))
     # One pass over the staged headers finds all layouts, another all sizes.
     layouts = discover_layouts(staged.heads())
-    sizes = {r.group: r.bytes for r in staged.bodies().groupBy("group").agg(F.sum(F.octet_length("body")).alias("bytes")).collect()}
+    measured = staged.bodies().groupBy("group").agg(F.sum(F.octet_length("body")).alias("bytes"), F.sum("n_data").alias("rows"))
+    sizes = {r.group: (r.bytes or 0, r.rows or 0) for r in measured.collect()}
     report = []
     for code, layout in layouts.items():
         spec = group_spec(delivery.dictionary, code, allow_custom)
-        count = buckets or _buckets_for(sizes.get(code) or 0)
+        n_bytes, expected = sizes.get(code, (0, 0))
+        count = buckets or _buckets_for(n_bytes)
         table = f"{database + '.' if database else ''}{prefix}{code.lower()}"
         rows = group_table(staged.bodies(code), layout, spec)
         # An id repeats where a group has no keys, or none of its own in the dictionary.
-        hottest = _hottest(rows, "_id") if count > 1 else (0, 0)
-        kind = _write_laid_out(rows, "_id", count, table, hottest)
-        n_rows = spark.table(table).count()
+        kind = _write_laid_out(rows, "_id", count, table, expected)
+        stored = read_table(spark, table)
+        n_rows = stored.count()
         report.append((code, table, TABLE, n_rows, kind))
         report.append((code, table, ID_INDEX, n_rows, kind))
         if spec.parent is not None:
-            by_parent, stored = f"{table}_by_parent", spark.table(table)
-            hottest = _hottest(stored, "_parent_id") if count > 1 else (0, 0)
-            report.append((code, by_parent, PARENT_INDEX, n_rows, _write_laid_out(stored, "_parent_id", count, by_parent, hottest)))
+            by_parent = f"{table}_by_parent"
+            report.append((code, by_parent, PARENT_INDEX, n_rows, _write_laid_out(stored, "_parent_id", count, by_parent, n_rows)))
     return local_table(spark, [(i, *step) for i, step in enumerate(report)], REPORT_SCHEMA)
 
 
+def _parts(spark: SparkSession, table: str) -> list[DataFrame]:
+    """A written table and, if it has one, its side table of hot keys."""
+    names = [table] + ([f"{table}{HOT_SUFFIX}"] if spark.catalog.tableExists(f"{table}{HOT_SUFFIX}") else [])
+    return [spark.table(name) for name in names]
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """All rows of a written table, those of hot keys included."""
+    parts = _parts(spark, table)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def read_materialised(spark: SparkSession, group: str, by_parent: bool = False, prefix: str = "ags_") -> DataFrame:
-    return spark.table(f"{prefix}{group.strip().lower()}{'_by_parent' if by_parent else ''}")
+    return read_table(spark, f"{prefix}{group.strip().lower()}{'_by_parent' if by_parent else ''}")
+
+
+def join_materialised(spark: SparkSession, child: str, parent: str, database: str | None = None, prefix: str = "ags_") -> DataFrame:
+    """Child rows with their parent rows, part by part, as two structs: refer to columns as ``child.X``, ``parent.Y``.
+
+    The bucketed parts join bucket by bucket, without an Exchange. The children of hot parents join the few parent rows
+    of those ids, which are broadcast once they are found to be few. If the parent's ids repeat so often that it has a
+    side table itself, that part joins all children by a shuffle, where Spark splits what is skewed.
+    """
+    names = [f"{database + '.' if database else ''}{prefix}{group.strip().lower()}" for group in (child, parent)]
+    ordinary, *hot = [part.alias("child") for part in _parts(spark, f"{names[0]}_by_parent")]
+    parents, *repeated = [part.alias("parent") for part in _parts(spark, names[1])]
+    link = F.col("child._parent_id") == F.col("parent._id")
+    joined = [ordinary.join(parents, link)]
+    if hot:
+        ids = hot[0].where("_parent_id is not null").select(F.col("_parent_id").alias("_hot")).distinct()
+        wanted = parents.join(F.broadcast(cut_lineage(ids)), F.col("parent._id") == F.col("_hot"), "left_semi")
+        joined.append(hot[0].join(broadcast_if_small(wanted).alias("parent"), link))
+    if repeated:
+        joined += [part.join(repeated[0], link) for part in (ordinary, *hot)]
+    rows = [j.select(F.struct("child.*").alias("child"), F.struct("parent.*").alias("parent")) for j in joined]
+    return reduce(DataFrame.unionAll, rows)

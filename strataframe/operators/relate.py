@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import pairwise
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strataframe.errors import DeliveryError
 from strataframe.operators.dictionary import newest_parent
+from strataframe.session import cut_lineage
 
 
 def join_parent(child: DataFrame, parent: DataFrame, child_name: str, parent_name: str,
@@ -59,3 +61,47 @@ def orphans(child: DataFrame, parent: DataFrame) -> DataFrame:
 def orphan_counts(child: DataFrame, parent: DataFrame) -> DataFrame:
     """Number of orphans in each source file (read the child ``with_source``)."""
     return orphans(child, parent).groupBy("_source_file").agg(F.count("*").alias("n_orphans"))
+
+
+def edges(groups: Mapping[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """``(group, _id, parent_group, _parent_id)`` of keyed groups, each given with the code of its parent group."""
+    tables = [
+        df.select(F.lit(code).alias("group"), "_id", F.lit(parent).cast("string").alias("parent_group"), "_parent_id")
+        for code, (df, parent) in groups.items()
+    ]
+    return reduce(DataFrame.unionAll, tables)
+
+
+def ancestors(edge_table: DataFrame) -> DataFrame:
+    """All ancestors of every row: ``(group, _id, distance, ancestor_group, ancestor_id)``, from the edge table alone.
+
+    Pointer doubling: once all ancestors up to distance n are known, those up to 2n come from one join, of the
+    rows exactly n below an ancestor with that ancestor's own, so the number of joins is the logarithm of the
+    depth. Links to rows that are not there and rows without id count for nothing, repeated rows once. A row that is
+    its own ancestor is an error that names it.
+    """
+    nodes = edge_table.where("_id is not null").select("group", "_id").distinct()
+    links = edge_table.where("_id is not null and _parent_id is not null").select(
+        "group", "_id", F.col("parent_group").alias("ancestor_group"), F.col("_parent_id").alias("ancestor_id")).distinct()
+    there = nodes.select(F.col("group").alias("ancestor_group"), F.col("_id").alias("ancestor_id"))
+    known = cut_lineage(links.join(there, ["ancestor_group", "ancestor_id"], "left_semi").select(
+        "group", "_id", F.lit(1).alias("distance"), "ancestor_group", "ancestor_id"))
+    reached = 1
+    while True:
+        _refuse_cycles(known)
+        upper = known.select(
+            F.col("group").alias("ancestor_group"), F.col("_id").alias("ancestor_id"), F.col("distance").alias("_further"),
+            F.col("ancestor_group").alias("_top_group"), F.col("ancestor_id").alias("_top_id"))
+        farther = known.where(F.col("distance") == reached).join(upper, ["ancestor_group", "ancestor_id"]).select(
+            "group", "_id", (F.col("distance") + F.col("_further")).alias("distance"),
+            F.col("_top_group").alias("ancestor_group"), F.col("_top_id").alias("ancestor_id"))
+        farther = cut_lineage(farther.distinct())
+        if farther.isEmpty():
+            return known
+        known, reached = known.unionAll(farther), 2 * reached
+
+
+def _refuse_cycles(known: DataFrame) -> None:
+    own = known.where((F.col("group") == F.col("ancestor_group")) & (F.col("_id") == F.col("ancestor_id"))).first()
+    if own is not None:
+        raise DeliveryError(f"row {own['_id']} of group '{own['group']}' is its own ancestor")

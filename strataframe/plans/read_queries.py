@@ -300,7 +300,7 @@ def counts_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
-def _scratch_database(spark: SparkSession) -> str:
+def scratch_database(spark: SparkSession) -> str:
     name = f"deliveries_{uuid.uuid4().hex}"
     spark.sql(f"create database {name} location '{scratch_dir(spark, 'database')}'")
     return name
@@ -313,7 +313,7 @@ def _materialised(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         orders.withColumn("doc_id", F.concat(F.lit("b"), "doc_id"))
     )
     path = dl.write_deliveries(texts)
-    database = _scratch_database(spark)
+    database = scratch_database(spark)
     return database, materialise(Delivery.from_files(spark, path, dl.fixture_dictionary(spark)), database)
 
 

@@ -12,7 +12,7 @@ from strataframe.plans import deliveries as dl
 from strataframe.plans.registry import query
 from strataframe.sources.audit import ingest_audit
 from strataframe.sources.delivery import Delivery, read_group_text
-from strataframe.sources.section_index import file_listing
+from strataframe.sources.byte_ranges import file_listing
 
 WHOLE_FILES = 1 << 62  # every file is read section by section
 

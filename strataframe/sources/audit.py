@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from strataframe.functions import text as tx
 from strataframe.session import local_table
 from strataframe.sources import pieces
-from strataframe.sources.encoding import charset_rules, decoded, needs_whole_file, resolve_encoding
-from strataframe.sources.section_index import file_listing
+from strataframe.sources.byte_ranges import can_list, file_listing, listed_files
+from strataframe.sources.encoding import UTF8, charset_rules, decoded, is_wide, resolve_encoding
 
 ACCEPTED, REJECTED = "ok", "rejected"
 KNOWN_RECORD = '^"(?:' + "|".join(tx.KNOWN_TAGS) + ')"'
@@ -66,8 +66,8 @@ def _small_file_findings(spark: SparkSession, paths: list[str], charset: str, li
     )
 
 
-def _large_file_findings(spark: SparkSession, paths: list[str], charset: str, limit: int, ceiling: int | None) -> DataFrame:
-    runs = pieces.SplitFiles(spark, paths, charset, limit, ceiling).numbered_runs(keep_rows=True)
+def _large_file_findings(spark: SparkSession, files: pieces.SplitFiles, charset: str) -> DataFrame:
+    runs = files.numbered_runs(keep_rows=True)
     with charset_rules(spark, charset):
         readable = runs.withColumn("body", F.ltrim(decoded(F.col("body"), charset), F.lit(tx.BYTE_ORDER_MARK)))
     body, in_section = F.concat(F.lit("\n"), F.col("body")), F.col("section_no") > 0
@@ -109,13 +109,17 @@ def ingest_audit(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     charset = resolve_encoding(encoding)
-    if needs_whole_file(charset):
-        raise NotImplementedError("the audit reads encodings in which ASCII characters are single bytes")
-    with charset_rules(spark, charset):
-        scans = [_small_file_findings(spark, paths, charset, section_file_bytes, max_file_bytes)]
-        if pieces.has_large_files(spark, paths, section_file_bytes):
-            scans.append(_large_file_findings(spark, paths, charset, section_file_bytes, max_file_bytes))
-    listing = file_listing(spark, paths).select("path", "size")
+    files = file_listing(spark, paths)
+    listing = files.select("path", "size")
+    if is_wide(charset):  # read in byte ranges, whose lines come as UTF-8
+        wanted = files.where(F.lit(True) if max_file_bytes is None else F.col("size") <= max_file_bytes)
+        scans = [_large_file_findings(spark, pieces.RangedFiles(spark, wanted, charset), UTF8)]
+    else:
+        with charset_rules(spark, charset):
+            scans = [_small_file_findings(spark, paths, charset, section_file_bytes, max_file_bytes)]
+            if pieces.has_large_files(spark, paths, section_file_bytes):
+                large = pieces.SplitFiles(spark, paths, charset, section_file_bytes, max_file_bytes)
+                scans.append(_large_file_findings(spark, large, charset))
     found = listing.join(reduce(DataFrame.unionByName, scans), "path", "left")
     plain = ~F.col("path").rlike(pieces.COMPRESSED)
     over = F.lit(False) if max_file_bytes is None else F.col("size") > max_file_bytes
@@ -138,10 +142,13 @@ def ingest_audit(
 
 
 def _empty_files(spark: SparkSession, paths: list[str], listing: DataFrame) -> DataFrame:
-    """Files without a byte. No Spark scan delivers them, only the file index knows their names."""
-    indexed = spark.read.format("binaryFile").load(paths).inputFiles()
-    names = [(re.sub("^file:/+", "file:/", name),) for name in indexed]
-    empty = local_table(spark, names, "path string").join(listing, "path", "left_anti")
+    """Files without a byte, which no Spark scan delivers. Tasks list the folders; where only Spark's own
+    readers can open the store, the names come from the scan's file index on the driver."""
+    if all(can_list(path) for path in paths):
+        empty = listed_files(spark, paths).where("size = 0").select(F.regexp_replace("location", "^(?:file:)?/+", "file:/").alias("path"))
+    else:
+        names = [(re.sub("^file:/+", "file:/", name),) for name in spark.read.format("binaryFile").load(paths).inputFiles()]
+        empty = local_table(spark, names, "path string").join(listing, "path", "left_anti")
     return empty.select(
         "path", F.lit(0).cast("long").alias("size"), F.lit(REJECTED).alias("status"), F.lit("empty file").alias("reason")
     )

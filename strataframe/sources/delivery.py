@@ -15,7 +15,8 @@ from strataframe.operators.dictionary import group_spec, seed_dictionary
 from strataframe.operators.group_table import Layout, discover_layout, discover_layouts, group_table
 from strataframe.session import local_table
 from strataframe.sources import pieces
-from strataframe.sources.encoding import resolve_encoding
+from strataframe.sources.byte_ranges import file_listing
+from strataframe.sources.encoding import is_wide, resolve_encoding
 
 HEAD_COLUMNS = [name for name in pieces.SECTION_COLUMNS if name != "body"]
 # How many group codes an error message lists.
@@ -55,12 +56,21 @@ class Delivery:
         paths = [paths] if isinstance(paths, str) else list(paths)
         charset = resolve_encoding(encoding)
         pieces.refuse_larger_files(spark, paths, max_file_bytes)
+        if is_wide(charset):
+            return cls.from_listing(spark, file_listing(spark, paths), dictionary, charset)
         sections = pieces.file_sections(spark, paths, charset, section_file_bytes)
         split_files = None
-        if not pieces.needs_whole_file(charset) and pieces.has_large_files(spark, paths, section_file_bytes):
+        if pieces.has_large_files(spark, paths, section_file_bytes):
             split_files = pieces.SplitFiles(spark, paths, charset, section_file_bytes)
         return cls(spark, dictionary, sections, split_files)
 
+    @classmethod
+    def from_listing(
+        cls, spark: SparkSession, files: DataFrame, dictionary: DataFrame | None = None, encoding: str | None = None,
+    ) -> Delivery:
+        """Plain files that are rows of a table ``path, size, location``, read in byte ranges by the tasks."""
+        return cls(spark, dictionary, None, pieces.RangedFiles(spark, files, resolve_encoding(encoding)))
+
     @classmethod
     def from_texts(
         cls, docs: DataFrame, content: str = "content", source: str = "doc_id",
@@ -76,9 +86,10 @@ class Delivery:
         return cls.from_texts(docs, dictionary=dictionary)
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Delivery:
-        """Keep the sections for the queries that follow. Call :meth:`unpersist` when done."""
+        """Keep the sections for the queries that follow, in the order of their groups, so that a read of one
+        group passes over the others'. Call :meth:`unpersist` when done."""
         if self._sections is not None:
-            self._sections = self._sections.persist(level)
+            self._sections = pieces.laid_out_by_group(self._sections).persist(level)
         if self._split_files is not None:
             self._split_files.persist(level)
         return self

@@ -3,7 +3,7 @@
 The text source hands over the raw bytes of every line or section, and in each encoding below
 except UTF-16 the bytes of ``"``, ``,`` and the line feed always mean just that. So a file is cut
 into lines or sections first, by as many tasks as it has splits, and decoded afterwards. UTF-16
-files are read whole, one per row.
+files are read in byte ranges, whose lines are cut at the two-byte line feed.
 """
 
 from __future__ import annotations
@@ -80,7 +80,8 @@ def resolve_encoding(label: str | None) -> str:
     raise DeliveryError(f"unknown encoding label '{label.strip()}'")
 
 
-def needs_whole_file(charset: str) -> bool:
+def is_wide(charset: str) -> bool:
+    """Two bytes a unit, so that Spark's text source cannot find the line feeds."""
     return charset.startswith("UTF-16")
 
 

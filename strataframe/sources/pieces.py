@@ -10,7 +10,8 @@ section's lines (or some of them, if the section is spread over several pieces):
   window, no shuffle, no Python; a section that crosses a split is read by the split it starts in;
 * :class:`SplitFiles` for large files, whose sections may be larger than one row can be. Each task
   numbers the sections of its own split while it streams over it; one small row per split then
-  carries the count from split to split.
+  carries the count from split to split. One group is then read by its byte ranges alone.
+  :class:`RangedFiles` does the same for files that are rows of a table, or that Spark cannot split (UTF-16).
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from strataframe.errors import DeliveryError
 from strataframe.functions import text as tx
 from strataframe.session import broadcast_if_small, cut_lineage
-from strataframe.sources.encoding import charset_rules, decoded, needs_whole_file
+from strataframe.sources import byte_ranges as br
+from strataframe.sources.encoding import UTF8, charset_rules, decoded
 
 SECTION_SEPARATOR = "\n" + tx.GROUP_MARK
 # Files up to this size are read section by section, larger ones split by split.
@@ -115,11 +117,6 @@ def file_sections(
     limit: int = SECTION_FILE_BYTES,
 ) -> DataFrame:
     """Sections of the files up to ``limit`` bytes, one row each."""
-    if needs_whole_file(charset):
-        files = spark.read.format("binaryFile").load(list(paths))
-        with charset_rules(spark, charset):
-            docs = files.select("path", decoded(F.col("content"), charset).alias("content"))
-        return text_sections(docs, "content", "path")
     scan = spark.read.option("lineSep", SECTION_SEPARATOR).text(list(paths))
     with charset_rules(spark, charset):
         pieces = scan.where(~_is_large(limit)).select(
@@ -155,7 +152,7 @@ _RUN_ARROW = pa.schema(
 
 
 def _section_runs(keep_rows: bool):
-    """Arrow function: lines of a split in order -> runs of lines of the same section.
+    """Arrow function: lines of a split in order, with their bytes in the file -> runs of lines of the same section.
 
     ``ls`` numbers the GROUP records of the split from 1 (0 = the lines before the first one),
     ``at`` is the byte offset of the run in the split, ``nb`` its size. Without ``keep_rows`` the
@@ -174,7 +171,7 @@ def _section_runs(keep_rows: bool):
             is_group = pc.or_(pc.starts_with(line, mark), pc.starts_with(line, bom_mark))
             is_group = is_group.to_numpy(zero_copy_only=False)
             is_data = pc.starts_with(line, tx.DATA_MARK.encode()).to_numpy(zero_copy_only=False)
-            size = pc.binary_length(line).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            size = batch.column("nb").to_numpy(zero_copy_only=False).astype(np.int64)
 
             new_split = np.empty(count, dtype=bool)
             new_split[0] = last != (source[0].as_py(), block[0].as_py())
@@ -237,20 +234,26 @@ class SplitFiles:
         self._limit, self._ceiling = limit, ceiling
         self._header_runs: DataFrame | None = None
         self._spans: DataFrame | None = None
+        self._byte_spans: DataFrame | None = None
         self._kept: DataFrame | None = None
+        self._seekable: bool | None = None
 
     def persist(self, level: StorageLevel) -> None:
-        """Keep the files' text, cut into runs, for the reads that follow."""
-        self._kept = self._runs(keep_rows=True).persist(level)
+        """Keep the files' text, in the order of its groups, for the reads that follow."""
+        self._kept = laid_out_by_group(self.bodies()).persist(level)
 
     def unpersist(self) -> None:
         if self._kept is not None:
             self._kept.unpersist()
             self._kept = None
 
+    def _files(self) -> DataFrame:
+        """``path, size, location`` of the files."""
+        listing = br.file_listing(self._spark, self._paths).select("path", "size", "location")
+        large = (F.col("size") > self._limit) | F.col("path").rlike(COMPRESSED)
+        return listing.where(large & (F.lit(True) if self._ceiling is None else F.col("size") <= self._ceiling))
+
     def _runs(self, keep_rows: bool) -> DataFrame:
-        if keep_rows and self._kept is not None:
-            return self._kept
         scan = self._spark.read.option("lineSep", "\n").text(self._paths)
         lines = scan.where(
             _is_large(self._limit) & size_at_most(self._ceiling)
@@ -258,6 +261,7 @@ class SplitFiles:
             F.col("_metadata.file_path").alias("source"),
             F.col("_metadata.file_block_start").alias("blk"),
             F.col("value").cast("binary").alias("line"),
+            (F.octet_length("value") + 1).cast("long").alias("nb"),
         )
         return lines.mapInArrow(_section_runs(keep_rows), RUN_SCHEMA)
 
@@ -353,17 +357,67 @@ class SplitFiles:
             "group", "headings", "units", "types", "n_data", "start", "bytes",
         )
 
+    def byte_spans(self) -> DataFrame:
+        """``path, size, location`` and ``start, end`` in the file of every section of a plain file, with its headers. Stored."""
+        if self._byte_spans is None:
+            plain = self.heads().where(~F.col("source").rlike(COMPRESSED)).withColumnRenamed("source", "path")
+            spans = plain.join(self._files(), "path")
+            seen = plain.groupBy("path").agg(F.max(F.col("start") + F.col("bytes")).alias("seen"))
+            # Spark's reader drops a byte order mark, and then every place is too low by it. A last line
+            # without line feed makes the total one too high, never too low.
+            unseen = F.when(F.col("seen") < F.col("size"), len(tx.BYTE_ORDER_MARK.encode())).otherwise(0)
+            self._byte_spans = cut_lineage(spans.join(seen, "path").select(
+                "path", "size", "location", "pos", "group", "n_data", "headings", "units", "types",
+                (F.col("start") + unseen).alias("start"),
+                F.least(F.col("start") + unseen + F.col("bytes"), "size").alias("end"),
+            ))
+        return self._byte_spans
+
+    def _can_seek(self) -> bool:
+        """Whether the files can be opened outside Spark's readers, judged by one of them."""
+        if self._seekable is None:
+            one = self.byte_spans().select("location").first()
+            self._seekable = one is not None and br.can_open(one.location)
+        return self._seekable
+
+    def group_ranges(self, group: str) -> DataFrame:
+        """The chunks of a group's sections, read as byte ranges: no other byte of the files is read."""
+        return br.range_bodies(self.byte_spans().where(F.col("group") == group), self._file_charset)
+
+    @property
+    def _file_charset(self) -> str:
+        return self._charset
+
     def bodies(self, group: str | None = None) -> DataFrame:
         """The text, in pieces, next to its section's headers.
 
-        The join key names a section *within a split*, so no key holds more than one split's text,
-        however large the section is.
+        One group is read by its byte ranges where the files can be sought in. Otherwise all text is passed, and
+        the join key names a section *within a split*, so no key holds more than one split's text, however
+        large the section is.
         """
+        if self._kept is not None:
+            return self._kept if group is None else self._kept.where(F.col("group") == group)
+        if group is None or not self._can_seek():
+            return self._passed_bodies(group)
+        with charset_rules(self._spark, self._charset):
+            ranged = self.group_ranges(group).select(
+                F.col("path").alias("source"), "pos", "group", "headings", "units", "types", "n_data",
+                decoded(F.col("body"), self._charset).alias("body"),
+            )
+        packed = self._passed_bodies(group, F.col("source").rlike(COMPRESSED))
+        return ranged.unionByName(packed) if self._has_packed() else ranged
+
+    def _has_packed(self) -> bool:
+        return not self.spans().where(F.col("source").rlike(COMPRESSED)).isEmpty()
+
+    def _passed_bodies(self, group: str | None, which: Column | None = None) -> DataFrame:
         spans = self.spans()
         if group is not None:
             spans = spans.where(F.col("group") == group)
         spans = spans.select("source", "blk", "ls", "section_no", "group", "headings", "units", "types")
         pieces = self._runs(keep_rows=True).select("source", "blk", "ls", "body", "n_data")
+        if which is not None:
+            pieces, spans = pieces.where(which), spans.where(which)
         joined = pieces.join(broadcast_if_small(spans), ["source", "blk", "ls"])
         with charset_rules(self._spark, self._charset):
             return joined.select(
@@ -371,3 +425,38 @@ class SplitFiles:
                 "group", "headings", "units", "types", "n_data",
                 decoded(F.col("body"), self._charset).alias("body"),
             )
+
+
+class RangedFiles(SplitFiles):
+    """Sections of the plain files ``path, size, location`` of a table, whatever their size.
+
+    Tasks open the files themselves and read them chunk by chunk. Wide text is cut at its own line feeds
+    and goes on as UTF-8.
+    """
+
+    def __init__(self, spark: SparkSession, files: DataFrame, charset: str):
+        super().__init__(spark, [], UTF8 if charset in br.WIDE else charset, 0)
+        self._listed, self._own_charset = files.select("path", "size", "location"), charset
+        self._seekable = True
+
+    @property
+    def _file_charset(self) -> str:
+        return self._own_charset
+
+    def _files(self) -> DataFrame:
+        return self._listed
+
+    def _has_packed(self) -> bool:
+        return False
+
+    def _runs(self, keep_rows: bool) -> DataFrame:
+        whole = self._listed.select("path", "location", F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
+        read, number = br.lines_reader(self._own_charset), _section_runs(keep_rows)
+        return br.chunked(whole).select("path", "location", "end", "at", "to").mapInArrow(lambda batches: number(read(batches)), RUN_SCHEMA)
+
+
+def laid_out_by_group(sections: DataFrame) -> DataFrame:
+    """Sections in the order of their groups, for a cache: a read of one group then skips the batches of all
+    others by their statistics. A group that is most of the text is split by source and place."""
+    order = ["group", F.xxhash64("source", "pos")]
+    return sections.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -1,45 +1,32 @@
 """The section index: where every section of every file starts and ends, with its headers.
 
 It is an ordinary table, kept wherever the user likes. A read that finds a file's entry still
-fresh (same size, same modification time) fetches only the bytes of the wanted group; everything
-else is read whole, so an out-of-date index costs time but never rows.
+fresh (same size, same modification time) fetches only the bytes of the wanted group, once a look at
+both ends of its span has found the group there; everything else is read whole, so an out-of-date or
+wrong index costs time but never rows.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as tx
 from strataframe.operators.dictionary import group_spec
 from strataframe.operators.group_table import discover_layout, group_table
+from strataframe.session import cut_lineage
 from strataframe.sources import pieces
+from strataframe.sources.byte_ranges import file_listing, range_bodies, spans_fit
 from strataframe.sources.delivery import Delivery
-from strataframe.sources.encoding import UTF8, charset_rules, decoded, resolve_encoding
+from strataframe.sources.encoding import UTF8, charset_rules, decoded, is_wide, resolve_encoding
 
 INDEX_COLUMNS = [
     "path", "size", "mtime", "group", "span_no", "start", "end", "n_data", "headings", "units", "types",
 ]
 FILE_KEY = ["path", "size", "mtime"]
-# Bytes of a section that one task reads at a time; a longer section is read in several chunks.
-CHUNK_BYTES = 16 * 1024 * 1024
-PARTITION_BYTES = 64 * 1024 * 1024
-
-
-def file_listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path, size, mtime`` of every file, and the name to open it by. Reads no content."""
-    return spark.read.format("binaryFile").load(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("path").alias("location"),
-    )
 
 
 def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int) -> DataFrame:
@@ -73,20 +60,6 @@ def _small_file_spans(spark: SparkSession, paths: Sequence[str], limit: int) ->
     )
 
 
-def _split_file_spans(split_files: pieces.SplitFiles, files: DataFrame) -> DataFrame:
-    """Byte ranges of large files, from the running totals of their splits."""
-    plain = split_files.heads().where(~F.col("source").rlike(pieces.COMPRESSED)).withColumnRenamed("source", "path")
-    spans = plain.join(files, "path")
-    seen = plain.groupBy("path").agg(F.max(F.col("start") + F.col("bytes")).alias("seen"))
-    # A last line without line feed makes the total one too high, never too low.
-    unseen = F.when(F.col("seen") < F.col("size"), len(tx.BYTE_ORDER_MARK.encode())).otherwise(0)
-    return spans.join(seen, "path").select(
-        "path", "size", "mtime", "group", "n_data", "headings", "units", "types",
-        (F.col("start") + unseen).alias("start"),
-        F.least(F.col("start") + unseen + F.col("bytes"), "size").alias("end"),
-    )
-
-
 def build_section_index(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -98,74 +71,18 @@ def build_section_index(
     pieces.refuse_larger_files(spark, paths, max_file_bytes)
     parts = [_small_file_spans(spark, paths, section_file_bytes)]
     if pieces.has_large_files(spark, paths, section_file_bytes):
-        split_files = pieces.SplitFiles(spark, paths, UTF8, section_file_bytes)
-        parts.append(_split_file_spans(split_files, file_listing(spark, paths).drop("location")))
+        times = file_listing(spark, paths).select("path", "mtime")
+        spans = pieces.SplitFiles(spark, paths, UTF8, section_file_bytes).byte_spans()
+        parts.append(spans.join(times, "path").select(*[c for c in INDEX_COLUMNS if c != "span_no"]))
     spans = reduce(DataFrame.unionByName, parts)
     number = F.row_number().over(Window.partitionBy("path", "group").orderBy("start"))
     return spans.withColumn("span_no", number.cast("long")).select(*INDEX_COLUMNS)
 
 
-def _open(location: str) -> tuple[pafs.FileSystem, str]:
-    if location.startswith("file:"):
-        return pafs.LocalFileSystem(), re.sub("^file:/*", "/", location)
-    if re.match("^[a-z0-9]+:", location):
-        return pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", location))
-    return pafs.LocalFileSystem(), location
-
-
-def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: one seek and read per row. A chunk ends with the line its last byte is in."""
-    step, opened = 64 * 1024, None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            location, start, end, at, to = (
-                row.column(name)[0].as_py() for name in ("location", "start", "end", "at", "to")
-            )
-            if location != opened:
-                (filesystem, name), opened = _open(location), location
-            with filesystem.open_input_file(name) as file:
-                begin = at if at == start else at - 1
-                file.seek(begin)
-                data = file.read(to - begin)
-                if len(data) < to - begin:
-                    raise OSError(f"{location}: {len(data)} bytes at {begin}, the index has {to - begin}")
-                # Complete the last line, but never go beyond the section.
-                position = to
-                while position < end and not data.endswith(b"\n"):
-                    more = file.read(min(step, end - position))
-                    if not more:
-                        break
-                    cut = more.find(b"\n")
-                    data += more if cut < 0 else more[: cut + 1]
-                    position = end if cut >= 0 else position + len(more)
-            if at != start:
-                # The line that is under way at the chunk's start belongs to the chunk before.
-                cut = data.find(b"\n")
-                data = b"" if cut < 0 else data[cut + 1 :]
-                if begin + cut + 1 >= to:
-                    data = b""
-            columns = [row.column(n) for n in row.schema.names] + [pa.array([data], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*row.schema.names, "body"])
-
-
 def _sliced_bodies(spans: DataFrame, charset: str) -> DataFrame:
     """The text of the given spans, read as byte ranges, in the columns of a section reader."""
-    chunks = spans.where(F.col("end") > F.col("start")).select(
-        "path", "location", "start", "end",
-        F.explode(F.sequence("start", F.col("end") - 1, F.lit(CHUNK_BYTES).cast("long"))).alias("at"),
-        "group", "headings", "units", "types", "n_data",
-    ).withColumn("to", F.least(F.col("at") + CHUNK_BYTES, "end"))
-    totals = chunks.agg(F.count("*").alias("n"), F.sum(F.col("to") - F.col("at")).alias("bytes")).first()
-    wanted = max((totals.bytes or 0) // PARTITION_BYTES, chunks.sparkSession.sparkContext.defaultParallelism)
-    spread = chunks.repartition(int(max(1, min(totals.n, wanted))), "path", "at")
-    schema = spread.withColumn("body", F.lit(b"")).schema
-    texts = spread.mapInArrow(_read_chunks, schema)
-    checked = texts.withColumn("body", F.when(
-        (F.col("at") != F.col("start")) | F.startswith("body", F.lit(tx.GROUP_MARK.encode())), F.col("body")
-    ).otherwise(F.raise_error(F.concat(F.lit("the section index does not fit the file "), "path"))))
     with charset_rules(spans.sparkSession, charset):
-        return checked.select(
+        return range_bodies(spans, charset).select(
             F.col("path").alias("source"), pieces._position(F.lit(0), F.col("at")).alias("pos"),
             "group", "headings", "units", "types", "n_data",
             decoded(F.col("body"), charset).alias("body"),
@@ -183,10 +100,22 @@ def split_by_freshness(listing: DataFrame, index: DataFrame, group: str) -> tupl
     files = listing.join(known, FILE_KEY, "left")
     single = files.where("n_spans = 1").select(*FILE_KEY, "location")
     spans = single.join(index.where(F.col("group") == group), FILE_KEY)
-    whole = files.where("n_spans is null or n_spans > 1").select("path", "location")
+    whole = files.where("n_spans is null or n_spans > 1").select("path", "size", "location")
     return spans, whole
 
 
+def spans_to_read(listing: DataFrame, index: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
+    """Spans to slice, and files (path, size, location) to read whole: those not sliced by :func:`split_by_freshness`,
+    and those whose spans turn out not to hold the group, as a file changed without a new size or time, or an index
+    was made from other files. Both are written, so that they stay what was probed."""
+    spans, whole = split_by_freshness(listing, index, group)
+    spans = cut_lineage(spans)
+    probed = cut_lineage(spans_fit(spans, group))
+    fitting = spans.join(probed.where("fits").select("path"), "path", "left_semi")
+    others = whole.unionByName(spans.join(probed.where("not fits").select("path"), "path", "left_semi").select(*whole.columns))
+    return fitting, cut_lineage(others)
+
+
 def read_group_indexed(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -201,26 +130,26 @@ def read_group_indexed(
 ) -> DataFrame:
     """Like :func:`strataframe.sources.delivery.read_group`, reading only the group's bytes where it can.
 
-    The list of files to be read whole goes through the driver, as any list of paths handed to a
-    Spark reader does.
+    Files to be read whole are rows of a table, opened by the tasks. Compressed ones, which the index never has, are the
+    exception: their names go through the driver to Spark's reader. UTF-16 files are not indexed and are all read whole.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     code, charset = group.strip().upper(), resolve_encoding(encoding)
     pieces.refuse_larger_files(spark, paths, max_file_bytes)
-    spans, whole = split_by_freshness(file_listing(spark, paths), index, code)
-    locations = [row.location for row in whole.select("location").collect()]
-    heads = [spans.select(F.col("path").alias("source"), "headings", "types")]
-    bodies = []
-    delivery = None
+    listing = file_listing(spark, paths)
+    spans, whole = spans_to_read(listing, index.limit(0) if is_wide(charset) else index, code)
+    packed = F.col("path").rlike(pieces.COMPRESSED)
+    sources = []
+    if not whole.where(~packed).isEmpty():
+        sources.append(Delivery.from_listing(spark, whole.where(~packed), dictionary, encoding))
+    locations = [row.location for row in whole.where(packed).select("location").collect()]
     if locations:
-        delivery = Delivery.from_files(spark, locations, dictionary, encoding, section_file_bytes)
-        heads.append(delivery.heads().where(F.col("group") == code).select("source", "headings", "types"))
+        sources.append(Delivery.from_files(spark, locations, dictionary, encoding, section_file_bytes))
+    heads = [spans.select(F.col("path").alias("source"), "headings", "types")]
+    heads += [s.heads().where(F.col("group") == code).select("source", "headings", "types") for s in sources]
     layout = discover_layout(reduce(DataFrame.unionByName, heads))
     if not layout.columns:
         return Delivery.from_files(spark, paths, dictionary, encoding, section_file_bytes).group(code, allow_custom=allow_custom)
-    bodies.append(_sliced_bodies(spans, charset))
-    if delivery is not None:
-        bodies.append(delivery.bodies(code))
-    source = Delivery(spark, dictionary, None) if delivery is None else delivery
-    spec = group_spec(source.dictionary, code, allow_custom)
+    bodies = [_sliced_bodies(spans, charset)] + [s.bodies(code) for s in sources]
+    spec = group_spec(Delivery(spark, dictionary, None).dictionary, code, allow_custom)
     return group_table(reduce(DataFrame.unionByName, bodies), layout, spec, with_source)

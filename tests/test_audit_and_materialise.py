@@ -58,22 +58,33 @@ def test_materialised_join_needs_no_shuffle(spark, mini):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_parent_is_not_put_into_one_bucket(spark):
+def test_hot_parent_lies_in_a_side_table(spark):
+    """The other parents' rows still join bucket by bucket."""
     rows = "".join(f'"DATA","BH01","{i}.00","S{i}","U","SA{i}"\n' for i in range(200))
-    delivery = Delivery.from_text(spark, MINI + rows)
-    materialise(delivery, prefix="hot_", buckets=8)
-    detail = spark.sql("describe extended hot_samp_by_parent").where("col_name = 'Num Buckets'").collect()
-    assert not detail
-    assert spark.table("hot_samp_by_parent").count() == 203
-    assert writing.read_materialised(spark, "samp", prefix="hot_").count() == 203
+    more = "".join(f'"DATA","B{i}","CP","1.00"\n' for i in range(60))
+    others = "".join(f'"DATA","B{i}","{i}.00","S{i}","U","SB{i}"\n' for i in range(60))
+    text = MINI.replace('"DATA","BH02","TP","98.00"\n', f'"DATA","BH02","TP","98.00"\n{more}') + rows + others
+    report = {r.table: r.layout for r in materialise(Delivery.from_text(spark, text), prefix="hot_", buckets=16).collect()}
+    assert report["hot_samp_by_parent"] == "buckets+hot" and report["hot_samp"] == report["hot_loca"] == "buckets"
+    assert spark.table("hot_samp_by_parent_hot").count() == 202 and spark.table("hot_samp_by_parent").count() == 61
+    assert writing.read_materialised(spark, "samp", by_parent=True, prefix="hot_").count() == 263
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = writing.join_materialised(spark, "SAMP", "LOCA", prefix="hot_")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and plan.count("SelectedBucketsCount: 16 out of 16") >= 2
+        found = joined.select("child.LOCA_ID", joined["parent.LOCA_ID"].alias("above")).collect()
+        assert len(found) == 263 and all(r.LOCA_ID == r.above for r in found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_rows_without_id_are_spread(spark):
     rows = "".join(f'"DATA","X{i}"\n' for i in range(1000))
     delivery = Delivery.from_text(spark, f'"GROUP","XTRA"\n"HEADING","XTRA_ID"\n"UNIT",""\n"TYPE","X"\n{rows}')
     report = materialise(delivery, prefix="spread_", buckets=8, allow_custom=True).collect()
-    assert {r.layout for r in report} == {"range"}
-    assert spark.table("spread_xtra").count() == 1000 and len(spark.table("spread_xtra").inputFiles()) == 8
+    assert {(r.layout, r.n_rows) for r in report} == {("buckets+hot", 1000)}
+    assert spark.table("spread_xtra_hot").count() == 1000 and len(spark.table("spread_xtra_hot").inputFiles()) == 8
 
 
 def test_export(spark, mini, tmp_path):

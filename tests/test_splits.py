@@ -6,7 +6,7 @@ import pytest
 from conftest import MINI, REDECLARED
 
 from strataframe import Delivery, build_section_index, read_group, read_group_indexed
-from strataframe.sources import section_index
+from strataframe.sources import byte_ranges, section_index
 
 GROUPS = ("PROJ", "LOCA", "SAMP")
 
@@ -93,7 +93,7 @@ def test_index_spans_are_exact(spark, folder, tiny_splits, split, limit):
 
 @pytest.mark.parametrize("chunk", [37, 10**7])
 def test_sliced_read_in_chunks(spark, folder, monkeypatch, tmp_path, chunk):
-    monkeypatch.setattr(section_index, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(byte_ranges, "CHUNK_BYTES", chunk)
     build_section_index(spark, str(folder)).write.parquet(str(tmp_path / "index"))
     index = spark.read.parquet(str(tmp_path / "index"))
     for group in GROUPS[1:]:
