@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,27 +121,42 @@ def ancestor_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("n_links"), F.countDistinct("ancestor_id").alias("n_ancestors"))
 
 
-def _key(table: str, *columns: str) -> str:
-    listed = ", ".join(columns)
-    return f"case when (select count(*) from (select distinct {listed} from {table})) = (select count(*) from {table}) then 'KEY' else 'OTHER' end"
-
-
 def _parent(table: str, column: str, parent: str, parent_column: str, group: str) -> str:
     return f"case when exists (select 1 from {table} where {column} not in (select {parent_column} from {parent})) then null else '{group}' end"
 
 
-_LINE_KEY = _key("lineitem", "l_orderkey", "l_linenumber")
-_MINED = [
-    ("REGN", "null", {"REGN_ID": _key("region", "r_regionkey")}), ("NATN", _parent("nation", "n_regionkey", "region", "r_regionkey", "REGN"), {"NATN_ID": _key("nation", "n_nationkey")}),
-    ("CUST", _parent("customer", "c_nationkey", "nation", "n_nationkey", "NATN"), {"CUST_ID": _key("customer", "c_custkey")}),
-    ("ORDR", _parent("orders", "o_custkey", "customer", "c_custkey", "CUST"), {"ORDR_ID": _key("orders", "o_orderkey")}),
-    ("LINE", _parent("lineitem", "l_orderkey", "orders", "o_orderkey", "ORDR"), {"ORDR_ID": _LINE_KEY, "LINE_NO": _LINE_KEY}),
-]
-
-
-@query("mined_keys", " union all ".join(
-    f"""select '{g}' as "group", {parent} as parent, '{h}' as heading, {keys.get(h, "'OTHER'")} as status"""
-    for g, parent, keys in _MINED for section in SECTIONS.values() if section().group == g for h, _, _, _ in section().headings))
+_PARENTS = {
+    "REGN": "null", "NATN": _parent("nation", "n_regionkey", "region", "r_regionkey", "REGN"),
+    "CUST": _parent("customer", "c_nationkey", "nation", "n_nationkey", "NATN"), "ORDR": _parent("orders", "o_custkey", "customer", "c_custkey", "CUST"),
+    "LINE": _parent("lineitem", "l_orderkey", "orders", "o_orderkey", "ORDR"),
+}
+
+
+def _mined_keys_sql() -> str:
+    """Every set of headings that are no measures, counted; the smallest unique one with most identifiers, then the first headings."""
+    rows, sets, listed = [], [], []
+    for table, section in SECTIONS.items():
+        group, heads = section().group, section().headings
+        columns = ", ".join(f"{v.replace('string', 'varchar').replace('date_format', 'strftime').replace('yyyy-MM-dd', '%Y-%m-%d')} as {h}" for h, _, _, v in heads)
+        rows.append(f"{group} as (select distinct {columns} from {table})")
+        wanted = [(i, h, code) for i, (h, _, code, _) in enumerate(heads) if not code.endswith("2DP")]
+        for size in range(1, len(wanted) + 1):
+            for chosen in combinations(wanted, size):
+                names, ordinals = ", ".join(h for _, h, _ in chosen), [i for i, _, _ in chosen]
+                n_ids = sum(code == "ID" for _, _, code in chosen)
+                sets.append(f"select '{group}' as g, {[h for _, h, _ in chosen]} as names, {size} as n, {-n_ids} as ids, {ordinals} as ordinals, "
+                            f"(select count(*) from (select distinct {names} from {group})) = (select count(*) from {group}) as ok")
+        listed += [f"('{group}', '{h}')" for h, _, _, _ in heads]
+    parents = " ".join(f"when '{g}' then {sql}" for g, sql in _PARENTS.items())
+    return f"""
+        with {', '.join(rows)}, s as ({' union all '.join(sets)}),
+          k as (select g, names from s where ok qualify row_number() over (partition by g order by n, ids, ordinals) = 1)
+        select h.g as "group", case h.g {parents} end as parent, h.h as heading,
+               case when list_contains(k.names, h.h) then 'KEY' else 'OTHER' end as status
+        from (values {', '.join(listed)}) h(g, h) left join k on k.g = h.g"""
+
+
+@query("mined_keys", _mined_keys_sql())
 def mined_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KEY headings and parents of the test tables' groups, from their rows."""
     texts = [dl.delivery_texts(dl.table(spark, sf_dir, name), section()).select("content") for name, section in SECTIONS.items()]
