@@ -136,7 +136,9 @@ def _deal(docs: DataFrame, width: int, bucket_bits: int, hot) -> DataFrame:
             else:
                 is_hot = np.zeros(len(values), bool)
             name = task << 24 | number
-            rows = [(int(name & ((1 << bucket_bits) - 1)), name, True, digests[keep].tobytes(), counts.astype("<i4").tobytes(),
+            # The first chunks of all tasks must not meet in one bucket.
+            dealt_to = int(mix(np.uint64(name)) >> np.uint64(64 - bucket_bits))
+            rows = [(dealt_to, name, True, digests[keep].tobytes(), counts.astype("<i4").tobytes(),
                      values[is_hot].tobytes(), owner[is_hot].tobytes())]
             values, owner = values[~is_hot], owner[~is_hot]
             bucket = (values >> np.uint64(64 - bucket_bits)).astype(np.uint32)

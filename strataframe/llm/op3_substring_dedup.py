@@ -10,7 +10,8 @@ Occurrences travel in packed arrays, by the bucket of their anchor. Before that,
 documents settles what repeats inside it and sends every window once, so a passage in a third of all
 documents costs a bucket one entry per chunk.
 
-Equality of anchors and windows is that of hashes: 64 bits of the anchor and 48 more of the window.
+Equality of anchors and windows is that of hashes: 64 bits of the anchor and 48 more of the window. Rows are
+named by their doc_id and 128 bits of their text, so that rows without doc_id, or with one, are kept apart.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,44 +80,48 @@ def _repeated(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return doc > lowest, doc == lowest
 
 
-_DEALT = "bucket int, settled boolean, anchor binary, doc binary, mark binary, place binary, size binary, low binary, high binary"
+_DEALT = "bucket int, settled boolean, anchor binary, doc binary, mark binary, other binary, place binary, size binary, low binary, high binary"
 _DEALT_NAMES = [f.split()[0] for f in _DEALT.split(", ")]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.bool_()] + [pa.binary()] * 7
+    kinds = [pa.int32(), pa.bool_()] + [pa.binary()] * 8
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_DEALT_NAMES)
 
 
-def _stretches(doc, mark, place):
-    """Runs of neighbouring windows of one document: where they begin in the arrays."""
+def _stretches(doc, mark, other, place):
+    """Runs of neighbouring windows of one row: where they begin in the arrays. Rows that share a doc_id, or have
+    none, are told apart by two hashes of their text."""
     step = place - np.arange(len(place))
-    return _runs(doc, mark, step)
+    return _runs(doc, mark, other, step)
 
 
 def _deal(docs: DataFrame, width: int, bits: int) -> DataFrame:
     def run(batches):
         held: list[tuple] = []
         size = number = 0
+        task = TaskContext.get().partitionId()
 
         def chunk():
             columns = [list(c) for c in zip(*held)]
             held.clear()  # so that only one copy of each column stays in memory
             for i, c in enumerate(columns):
                 columns[i] = np.concatenate(c)
-            whole, anchor, doc, mark, place = columns
+            whole, anchor, doc, mark, other, place = columns
             columns.clear()
             again, lowest = _repeated(whole, doc)
             rows = []
+            # The first chunks of all tasks must not meet in one bucket, so the task counts as well.
+            settled = int(mix(np.uint64(task << 24 | number)) >> np.uint64(64 - bits))
             if again.any():
-                d, m, p = doc[again], mark[again], place[again]
-                at = _stretches(d, m, p)
+                d, m, o, p = doc[again], mark[again], other[again], place[again]
+                at = _stretches(d, m, o, p)
                 sizes = np.diff(np.append(at, len(d)))
-                rows.append((number % (1 << bits), True, b"", d[at].tobytes(), m[at].tobytes(),
+                rows.append((settled, True, b"", d[at].tobytes(), m[at].tobytes(), o[at].tobytes(),
                              p[at].astype("<i4").tobytes(), sizes.astype("<i4").tobytes(), b"", b""))
-            whole, anchor, doc, mark, place = whole[lowest], anchor[lowest], doc[lowest], mark[lowest], place[lowest]
+            whole, anchor, doc, mark, other, place = (x[lowest] for x in (whole, anchor, doc, mark, other, place))
             del again, lowest
-            begin = _runs(anchor, doc, mark, place - np.arange(len(place)))
+            begin = _runs(anchor, doc, mark, other, place - np.arange(len(place)))
             sizes = np.diff(np.append(begin, len(place)))
             # An anchor is the smallest of many hashes, so its own upper bits are mostly zero.
             bucket = (mix(anchor[begin]) >> np.uint64(64 - bits)).astype(np.uint32)
@@ -129,39 +135,39 @@ def _deal(docs: DataFrame, width: int, bits: int) -> DataFrame:
             for s, e in zip(heads, [*heads[1:], len(bucket)]):
                 at, a, b = begin[s:e], inner[s], inner[e]
                 rows.append((int(bucket[s]), False, anchor[at].tobytes(), doc[at].tobytes(), mark[at].tobytes(),
-                             place[at].astype("<i4").tobytes(), sizes[s:e].astype("<i4").tobytes(),
+                             other[at].tobytes(), place[at].astype("<i4").tobytes(), sizes[s:e].astype("<i4").tobytes(),
                              low[a:b].tobytes(), high[a:b].tobytes()))
             for at in range(0, len(rows), 2048):
                 yield _rows(rows[at : at + 2048])
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            marks = batch.column(1).to_numpy()
-            for block in blocks(batch.column(2)):
+            marks, others = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for block in blocks(batch.column(3)):
                 words = words_of(block)
                 whole, anchor, text, place = windows(word_hashes(block.data, words), words.first, width)
                 if held and size + len(whole) > CHUNK_WORDS:
                     yield from chunk()
                     held, size, number = [], 0, number + 1
-                held.append((whole, anchor, ids[block.first + text], marks[block.first + text], place))
+                held.append((whole, anchor, ids[block.first + text], marks[block.first + text], others[block.first + text], place))
                 size += len(whole)
         if held:
             yield from chunk()
 
-    return docs.select("at", "mark", "text").mapInArrow(run, _DEALT)
+    return docs.select("at", "mark", "other", "text").mapInArrow(run, _DEALT)
 
 
-_FOUND = "at bigint, mark int, places binary, sizes binary"
+_FOUND = "at bigint, mark bigint, other bigint, places binary, sizes binary"
 
 
-def _found(doc, mark, place, size) -> pa.Table:
+def _found(doc, mark, other, place, size) -> pa.Table:
     """One row per document: the stretches of windows to remove."""
-    order = np.lexsort((place, mark, doc))
-    doc, mark, place, size = doc[order], mark[order], place[order].astype("<i4"), size[order].astype("<i4")
-    begin = _runs(doc, mark)
+    order = np.lexsort((place, other, mark, doc))
+    doc, mark, other, place, size = doc[order], mark[order], other[order], place[order].astype("<i4"), size[order].astype("<i4")
+    begin = _runs(doc, mark, other)
     ends = [*begin[1:], len(doc)]
     return pa.table({
-        "at": pa.array(doc[begin], pa.int64()), "mark": pa.array(mark[begin], pa.int32()),
+        "at": pa.array(doc[begin], pa.int64()), "mark": pa.array(mark[begin], pa.int64()), "other": pa.array(other[begin], pa.int64()),
         "places": pa.array([place[s:e].tobytes() for s, e in zip(begin, ends)], pa.binary()),
         "sizes": pa.array([size[s:e].tobytes() for s, e in zip(begin, ends)], pa.binary()),
     })
@@ -174,11 +180,12 @@ def _extend(width: int):
         get = lambda name, kind, chosen: np.concatenate([np.frombuffer(r[name], kind) for r in chosen])
         settled = [r for r in rows if r["settled"]]
         if settled:
-            parts.append((get("doc", np.int64, settled), get("mark", np.int32, settled),
+            parts.append((get("doc", np.int64, settled), get("mark", np.int64, settled), get("other", np.int64, settled),
                           get("place", "<i4", settled), get("size", "<i4", settled)))
         rows = [r for r in rows if not r["settled"]]
         if rows:
-            anchor, doc, mark = get("anchor", np.uint64, rows), get("doc", np.int64, rows), get("mark", np.int32, rows)
+            anchor, doc = get("anchor", np.uint64, rows), get("doc", np.int64, rows)
+            mark, other = get("mark", np.int64, rows), get("other", np.int64, rows)
             place = get("place", "<i4", rows).astype(np.int64)
             size = get("size", "<i4", rows).astype(np.int64)
             whole = get("high", "<u2", rows).astype(np.uint64) << np.uint64(32) | get("low", "<u4", rows)
@@ -197,13 +204,14 @@ def _extend(width: int):
                 key = values ^ (anchor[owner] * np.uint64(0x9E3779B97F4A7C15))
                 again, _ = _repeated(key, doc[owner])
                 if again.any():
-                    d, m, p = doc[owner[again]], mark[owner[again]], place[owner[again]] + shift[again]
-                    order = np.lexsort((p, m, d))
-                    d, m, p = d[order], m[order], p[order]
-                    at = _stretches(d, m, p)
-                    parts.append((d[at], m[at], p[at], np.diff(np.append(at, len(p)))))
+                    row = owner[again]
+                    d, m, o, p = doc[row], mark[row], other[row], place[row] + shift[again]
+                    order = np.lexsort((p, o, m, d))
+                    d, m, o, p = d[order], m[order], o[order], p[order]
+                    at = _stretches(d, m, o, p)
+                    parts.append((d[at], m[at], o[at], p[at], np.diff(np.append(at, len(p)))))
         if not parts:
-            return _found(*(np.zeros(0, k) for k in (np.int64, np.int32, np.int64, np.int64)))
+            return _found(*(np.zeros(0, k) for k in [np.int64] * 5))
         return _found(*(np.concatenate(c) for c in zip(*parts)))
 
     return extend
@@ -247,19 +255,21 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     width = min_words
     others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept")]
-    at, mark, spots, lengths = (unused(docs.columns, n) for n in ("_at", "_mark", "_places", "_sizes"))
+    at, mark, other, spots, lengths = (unused(docs.columns, n) for n in ("_at", "_mark", "_other", "_places", "_sizes"))
+    text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
-        *others, "text", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias(at), F.hash(F.coalesce("text", F.lit(""))).alias(mark)
+        *others, "text", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias(at), F.xxhash64(text).alias(mark),
+        F.xxhash64(F.lit("other"), text).alias(other),
     )
     # Bytes are counted to size the buckets; a word has two at least, with what follows it.
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(4, math.ceil(math.log2(max(1, volume / 6 / BUCKET_WORDS))))
-    dealt = _deal(keyed.select(F.col(at).alias("at"), F.col(mark).alias("mark"), "text"), width, bits)
+    dealt = _deal(keyed.select(F.col(at).alias("at"), F.col(mark).alias("mark"), F.col(other).alias("other"), "text"), width, bits)
     found = cut_lineage(dealt.groupBy("bucket").applyInArrow(_extend(width), _FOUND))
-    per_doc = found.groupBy(F.col("at").alias(at), F.col("mark").alias(mark)).agg(
+    per_doc = found.groupBy(F.col("at").alias(at), F.col("mark").alias(mark), F.col("other").alias(other)).agg(
         F.collect_list("places").alias(spots), F.collect_list("sizes").alias(lengths)
     )
-    joined = keyed.join(per_doc, [at, mark], "left").select(*others, "text", spots, lengths)
+    joined = keyed.join(per_doc, [at, mark, other], "left").select(*others, "text", spots, lengths)
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-3]] + ["n_words bigint", "n_removed bigint", "kept string"]
     )

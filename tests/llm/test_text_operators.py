@@ -254,6 +254,26 @@ def test_removal_of_odd_tables(spark):
     assert got == [(-1, 61, 60), (1, 0, 0), (2, 60, 0), (2, 60, 0), (3, 60, 60)]
 
 
+def test_rows_without_doc_id_are_kept_apart(spark):
+    """Two texts, far apart in length, that a 32-bit hash takes for one."""
+    passage = " ".join(f"w{i}" for i in range(59))
+    rows = [(None, f"{passage} n7177"), (None, "two m148604"), (5, f"start {passage} n7177")]
+    hashed = spark.createDataFrame(rows[:2], SCHEMA).select(F.hash("text").alias("h")).distinct()
+    assert hashed.count() == 1
+    got = {(r.doc_id, r.n_words, r.n_removed) for r in op3_substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(None, 60, 60), (None, 2, 0), (5, 61, 0)}
+
+
+def test_removal_with_missing_and_repeated_ids(spark, corpus, monkeypatch):
+    monkeypatch.setattr(op3_substring_dedup, "CHUNK_WORDS", 700)
+    rng = random.Random(9)
+    rows = [(rng.choice([None, i, i % 40]), t) for i, t in corpus]
+    kept = op3_substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA), 12).collect()
+    last = 1 << 63
+    want = brute_removal([(last if i is None else i, t) for i, t in rows], 12)
+    assert sorted((last if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept) for r in kept) == want
+
+
 # ---------------------------------------------------------------- op6, op7
 
 
@@ -289,7 +309,7 @@ def test_automaton_on_repeated_symbols(library):
 
 def test_packing_is_an_exact_round_trip():
     rng = np.random.default_rng(1)
-    cases = [np.zeros(0), np.zeros(3000), np.ones(3000), rng.integers(0, 50_000, 5000), np.array([2**64 - 1, 0, 2**60 - 1, 2**60, 2**59, 2**59 - 1])]
+    cases = [np.zeros(0), np.zeros(3000), np.ones(3000), rng.integers(0, 50_000, 5000), np.array([2**64 - 1, 0, 2**60 - 1, 2**60, 2**59, 2**59 - 1], np.uint64)]
     cases += [rng.integers(0, 2 ** int(b), 2500, dtype=np.uint64) for b in rng.integers(1, 64, 12)]
     for ids in cases:
         ids = np.asarray(ids).astype(np.uint64)
