@@ -1,15 +1,20 @@
-"""Benchmark decontamination by SimHash of short windows inside the items.
-
-A window of ``SHINGLE_WORDS`` words is a shingle, and an item is indexed by a few of its shingles: so
-many that the rest weighs less than the threshold's share of the item. A passage that reaches the
-threshold therefore holds one of them unchanged, wherever it was edited. Each has a 64-bit SimHash, and
-so has every such window of every document, from running sums of its words' bits. Fingerprints are cut
-into four blocks of 16 bits; two that differ in at most ``RADIUS`` = 7 bits differ in at most one bit of
-some block, and each block's table holds every shingle under all values that near its own, so no pair
-within the radius is missed. Pairs whose shingles differ after all go. Around the others, every window
-of the item's size is verified by the likeness of the item's and the window's shingles, weighted and
-plain: the greater of the two counts. A shingle weighs 1/n if n different item texts of the whole table
-have it, and one that the item has not weighs the mean of the item's, so shingles that all items share
+"""Benchmark decontamination by SimHash of item-sized windows.
+
+Items of like size form a class, whose windows have the words of its shortest item. Three such windows of
+each item, at its beginning, middle and end, have a 64-bit SimHash, and so has every window of that many words
+of every document, from running sums of its words' bits. Fingerprints are cut into four blocks of 16 bits. The
+radius of a class follows from the bits that edits down to the threshold are expected to flip in windows of its
+length, up to ``MOST_RADIUS`` = 11; two prints that differ in at most 11 bits differ in at most two bits
+of some block, and each block's table holds every print under all values that near its own, so no pair within the
+radius is missed.
+
+A passage at the threshold may lie outside the radius, as flips scatter. So that none is missed, the index is
+completed by seeds: so many of an item's shingles that the rest weighs less than the threshold's share, one of
+which such a passage holds unchanged. ``by_simhash`` says of each match whether a fingerprint found it.
+
+Around both kinds of candidates every window of the item's size is verified by the likeness of the item's and the
+window's shingles, weighted and plain: the greater of the two counts. A shingle weighs 1/n if n different item texts of
+the whole table have it, and one that the item has not weighs the mean of the item's, so shingles that all items share
 weigh alike on either side; the plain likeness keeps items with common text from hiding near copies.
 
 Words are runs of letters and digits in lower case, so copies in capitals or with signs put between
@@ -27,12 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm.tables import cut_lineage, documents, over_batches, table
-from strataframe.llm.textblocks import Texts, blocks, run_hashes, texts_of, word_hashes, words_of
+from strataframe.llm.textblocks import Texts, blocks, mix, run_hashes, texts_of, word_hashes, words_of
 
-RADIUS = 7
+MOST_RADIUS = 11
+CLASS_SPAN = 1.6  # the longest item of a class, in sizes of its shortest
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-ITEMS_AT_ONCE = 20_000
+ITEMS_AT_ONCE = 2_000
 PIECE = 1 << 14
 
 _BETWEEN = np.zeros(256, bool)
@@ -41,7 +47,28 @@ for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
     _BETWEEN[_a:_b] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_NEAR = np.concatenate([[0], 1 << np.arange(16)]).astype(np.int64)
+_BITS = 1 << np.arange(16)
+_SEED_BITS = 20  # of a shingle's hash, by which most of those that are no seeds are told at once
+
+
+def radius_of(length: int, threshold: float = THRESHOLD) -> int:
+    """Bits that differ between windows of ``length`` words at the threshold: their mean and one deviation.
+
+    Likeness t leaves (1 - t) / (1 + t) of an item's shingles changed, by edits at the ends as many words. Each bit of a
+    SimHash is the sign of a sum over the words, which flips with probability arccos(share of words kept) / pi.
+    """
+    shingles = max(1, length - SHINGLE_WORDS + 1)
+    changed = min(1.0, (1 - threshold) / (1 + threshold) * shingles / length)
+    flip = np.arccos(1 - changed) / np.pi
+    return min(MOST_RADIUS, int(np.ceil(64 * flip + np.sqrt(64 * flip * (1 - flip)))))
+
+
+def _near_values(flips: int) -> np.ndarray:
+    """What to xor 16 bits with to change at most ``flips`` of them."""
+    near = {0}
+    for _ in range(flips):
+        near |= {x ^ int(b) for x in near for b in _BITS}
+    return np.array(sorted(near), np.int64)
 
 
 def plain_words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -91,19 +118,32 @@ class Item:
 @dataclass
 class SizeClass:
     length: int
+    radius: int
     items: np.ndarray  # the item of each entry
-    grams: np.ndarray
     prints: np.ndarray
     first: list = field(default_factory=list)  # per block: where the entries of a value begin
     entries: list = field(default_factory=list)
 
 
+@dataclass
+class Seeds:
+    """Shingles of ``width`` words in ascending order, with the item each belongs to."""
+
+    width: int
+    grams: np.ndarray
+    items: np.ndarray
+    may: np.ndarray  # by a hash's upper bits: whether any seed has them
+
+
 @dataclass
 class Index:
     ids: list[int]
     items: list[Item]
     classes: list[SizeClass]
+    seeds: list[Seeds]
     threshold: float
+    keys: np.ndarray  # every shingle of every item, scrambled by the item's number, in ascending order
+    scales: np.ndarray  # their weights on either scale
 
 
 def item_shingles(words: np.ndarray) -> np.ndarray:
@@ -120,8 +160,37 @@ def needed_shingles(item: Item, threshold: float) -> np.ndarray:
     return order[: max(np.searchsorted(x, (1 - threshold + 1e-9) * total, "right") for x in sums) + 1]
 
 
-def build_index(ids: list[int], texts: list[str], threshold: float = THRESHOLD, shared: dict[int, int] | None = None) -> Index:
-    """``shared``: how many texts of the whole table have a shingle, where more than one; else these are all."""
+def size_classes(sizes: list[int]) -> list[tuple[int, list[int]]]:
+    """Length and items of each class of items of ``SHINGLE_WORDS`` words or more."""
+    found: list[tuple[int, list[int]]] = []
+    for i in sorted(range(len(sizes)), key=lambda i: sizes[i]):
+        if sizes[i] < SHINGLE_WORDS:
+            continue
+        if not found or sizes[i] > CLASS_SPAN * found[-1][0]:
+            found.append((sizes[i], []))
+        found[-1][1].append(i)
+    return found
+
+
+def _class(length: int, members: list[int], words: list[np.ndarray], radius: int) -> SizeClass:
+    entries = [(i, at) for i in members for at in sorted({0, (len(words[i]) - length) // 2, len(words[i]) - length})]
+    ones = running_ones(np.concatenate([words[i][at : at + length] for i, at in entries]))
+    prints = np.packbits(ones[length::length] - ones[:-length:length] > length // 2, axis=1).view(np.uint64).ravel()
+    found = SizeClass(length, radius, np.array([i for i, _ in entries]), prints)
+    near = _near_values(radius // 4)
+    for block in range(4):
+        value = ((prints >> np.uint64(16 * block)) & np.uint64(0xFFFF)).astype(np.int64)
+        values = (value[:, None] ^ near).ravel()
+        order = np.argsort(values, kind="stable")
+        found.first.append(np.searchsorted(values[order], np.arange(65537)))
+        found.entries.append((order // len(near)).astype(np.int32))
+    return found
+
+
+def build_index(ids: list[int], texts: list[str], threshold: float = THRESHOLD, shared: dict[int, int] | None = None,
+                complete: bool = True, radius: int | None = None) -> Index:
+    """``shared``: how many texts of the whole table have a shingle, where more than one; else these are all.
+    Without ``complete`` there are no seeds; ``radius`` replaces that of all classes."""
     hashes, first = plain_words(texts_of(pa.array(texts, pa.large_string())))
     words = [hashes[first[i] : first[i + 1]] for i in range(len(texts))]
     runs = [item_shingles(w) for w in words]
@@ -129,30 +198,35 @@ def build_index(ids: list[int], texts: list[str], threshold: float = THRESHOLD,
         different = {w.tobytes(): r for w, r in zip(words, runs)}.values()
         grams, held = np.unique(np.concatenate([np.unique(r) for r in different]), return_counts=True)
         shared = dict(zip(grams.tolist(), held.tolist()))
-    items, windows = [], {}
+    items, seeds = [], {}
     for i, (w, run) in enumerate(zip(words, runs)):
-        own, where, times = np.unique(run, return_index=True, return_counts=True)
+        own, times = np.unique(run, return_counts=True)
         width = min(SHINGLE_WORDS, len(w))
         items.append(Item(len(w), width, own, times, np.array([1 / shared.get(g, 1) for g in own.tolist()])))
-        for k in needed_shingles(items[-1], threshold):
-            windows.setdefault(width, []).append((i, own[k], w[where[k] : where[k] + width]))
-    classes = []
-    for length, entries in sorted(windows.items()):
-        ones = running_ones(np.concatenate([w for _, _, w in entries]))
-        prints = np.packbits(ones[length::length] - ones[:-length:length] > length // 2, axis=1).view(np.uint64).ravel()
-        entry = SizeClass(length, np.array([i for i, _, _ in entries]), np.array([g for _, g, _ in entries], np.uint64), prints)
-        for block in range(4):
-            value = ((entry.prints >> np.uint64(16 * block)) & np.uint64(0xFFFF)).astype(np.int64)
-            near = (value[:, None] ^ _NEAR).ravel()
-            order = np.argsort(near, kind="stable")
-            entry.first.append(np.searchsorted(near[order], np.arange(65537)))
-            entry.entries.append((order // len(_NEAR)).astype(np.int32))
-        classes.append(entry)
-    return Index(ids, items, classes, threshold)
+        if complete or len(w) < SHINGLE_WORDS:
+            seeds.setdefault(width, []).extend((int(own[k]), i) for k in needed_shingles(items[-1], threshold))
+    sizes = [len(w) for w in words]
+    classes = [_class(n, members, words, radius_of(n, threshold) if radius is None else radius) for n, members in size_classes(sizes)]
+    found = []
+    for width, pairs in sorted(seeds.items()):
+        if pairs:
+            pairs.sort()
+            grams = np.array([g for g, _ in pairs], np.uint64)
+            may = np.zeros(1 << _SEED_BITS, bool)
+            may[grams >> np.uint64(64 - _SEED_BITS)] = True
+            found.append(Seeds(width, grams, np.array([i for _, i in pairs]), may))
+    keys = np.concatenate([_keyed(x.grams, np.full(len(x.grams), i)) for i, x in enumerate(items)] or [np.zeros(0, np.uint64)])
+    scales = np.concatenate([np.stack(x.scales) if x.size else np.zeros((2, 0)) for x in items] or [np.zeros((2, 0))], axis=1)
+    order = np.argsort(keys, kind="stable")
+    return Index(ids, items, classes, found, threshold, keys[order], scales[:, order])
+
+
+def _keyed(grams: np.ndarray, item: np.ndarray) -> np.ndarray:
+    return grams ^ mix(item.astype(np.uint64) + np.uint64(1))
 
 
 def within_radius(entry: SizeClass, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (window, entry) whose fingerprints differ in at most ``RADIUS`` bits."""
+    """All pairs (window, entry) whose fingerprints differ in at most the class's radius."""
     found_w, found_e = [], []
     for block in range(4):
         first, entries = entry.first[block], entry.entries[block]
@@ -163,13 +237,22 @@ def within_radius(entry: SizeClass, prints: np.ndarray) -> tuple[np.ndarray, np.
         window = np.repeat(hit, size)
         at = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[hit], size)
         which = entries[at]
-        near = np.bitwise_count(prints[window] ^ entry.prints[which]) <= RADIUS
+        near = np.bitwise_count(prints[window] ^ entry.prints[which]) <= entry.radius
         found_w.append(window[near])
         found_e.append(which[near])
     pairs = np.unique(np.concatenate(found_w) * len(entry.items) + np.concatenate(found_e))
     return pairs // len(entry.items), pairs % len(entry.items)
 
 
+def at_seeds(seeds: Seeds, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (place, item) where a place's shingle is a seed of the item."""
+    place = np.flatnonzero(seeds.may[grams >> np.uint64(64 - _SEED_BITS)])
+    low, high = (np.searchsorted(seeds.grams, grams[place], side) for side in ("left", "right"))
+    size = high - low
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
+    return np.repeat(place, size), seeds.items[at]
+
+
 def best_window(item: Item, grams: np.ndarray, low: int, high: int, end: int, threshold: float) -> tuple[float, int]:
     """Likeness and beginning of the most similar window that begins in ``low..high``; a text ends at ``end``.
 
@@ -203,41 +286,76 @@ def best_window(item: Item, grams: np.ndarray, low: int, high: int, end: int, th
     return best, where
 
 
-def matches(index: Index, hashes: np.ndarray, first: np.ndarray):
-    """``(text, item, first word, similarity)`` of the best window of each contained item."""
-    found = []
+def candidates(index: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns text, item, word of all candidates in that order, and which of them a fingerprint gave."""
+    found, kinds = [], []
+
+    def add(window, item, length, by_print):
+        text = np.searchsorted(first, window, "right") - 1
+        inside = window + length <= first[text + 1]  # else the window runs into the next text
+        found.append(np.stack([text, item, window])[:, inside])
+        kinds.append(np.full(int(inside.sum()), by_print))
+
     longest = max((c.length for c in index.classes), default=0)
-    grams = {c.length: run_hashes(hashes, c.length) for c in index.classes}
-    for at in range(0, len(hashes), PIECE):
+    for at in range(0, len(hashes) if index.classes else 0, PIECE):
         part = hashes[at : at + PIECE + longest - 1]
         ones = running_ones(part)
         for entry in index.classes:
             count = min(PIECE, len(part) - entry.length + 1)
-            if count <= 0:
-                continue
-            window, which = within_radius(entry, window_prints(ones[: count + entry.length], entry.length))
-            window += at
-            text = np.searchsorted(first, window, "right") - 1
-            inside = window + entry.length <= first[text + 1]  # else the window runs into the next text
-            inside &= grams[entry.length][window] == entry.grams[which]
-            found.append(np.stack([text, entry.items[which], window])[:, inside])
-    found = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-    if not found.shape[1]:
+            if count > 0:
+                window, which = within_radius(entry, window_prints(ones[: count + entry.length], entry.length))
+                add(window + at, entry.items[which], entry.length, True)
+    for seeds in index.seeds:
+        place, item = at_seeds(seeds, run_hashes(hashes, seeds.width))
+        add(place, item, seeds.width, False)
+    if not found:
+        return np.zeros((3, 0), np.int64), np.zeros(0, bool)
+    columns, by_print = np.concatenate(found, axis=1), np.concatenate(kinds)
+    order = np.lexsort(columns[::-1])
+    return columns[:, order], by_print[order]
+
+
+def hopeful(index: Index, grams: np.ndarray, item: np.ndarray, low: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Which regions of shingles ``low..stop`` hold so many of an item's that a window may reach the threshold."""
+    size = stop - low
+    begin = np.cumsum(size) - size
+    at = np.arange(size.sum()) - np.repeat(begin - low, size)
+    keys = _keyed(grams[at], np.repeat(item, size))
+    place = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
+    held = np.where(index.keys[place] == keys, index.scales[:, place], 0.0)
+    totals = np.array([i.times.sum() for i in index.items])
+    return (np.add.reduceat(held, begin, axis=1) >= index.threshold * totals[item] - 1e-9).any(0)
+
+
+def matches(index: Index, hashes: np.ndarray, first: np.ndarray):
+    """``(text, item, first word, similarity, by SimHash)`` of the best window of each contained item."""
+    (text, item, window), by_print = candidates(index, hashes, first)
+    if not len(text):
         return []
-    text, item, window = found[:, np.lexsort(found[::-1])]
     # Windows of one item that may hold it together are one run.
-    sizes = np.array([i.size for i in index.items])
+    sizes, widths = np.array([i.size for i in index.items]), np.array([i.width for i in index.items])
     new = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (window[1:] - window[:-1] > sizes[item[1:]])
-    cut = np.concatenate([[0], np.flatnonzero(new) + 1, [len(text)]])
+    begin = np.concatenate([[0], np.flatnonzero(new) + 1])
+    last = np.append(begin[1:], len(text)) - 1
+    by_print = np.logical_or.reduceat(by_print, begin)
+    t, i, size, width = text[begin], item[begin], sizes[item[begin]], widths[item[begin]]
+    low = np.maximum(window[begin] - size + width, first[t])
+    high = np.minimum(window[last], first[t + 1] - width)
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        t, i = int(text[s]), int(item[s])
-        one = index.items[i]
-        low = max(int(window[s]) - one.size + one.width, int(first[t]))
-        value, begin = best_window(one, grams[one.width], low, int(window[e - 1]), int(first[t + 1]), index.threshold)
-        if value >= index.threshold and (value, -begin) > best.get((t, i), (0.0, 0)):
-            best[t, i] = (value, -begin)
-    return [(t, i, -b - int(first[t]), v) for (t, i), (v, b) in sorted(best.items())]
+    found_by: set[tuple[int, int]] = set()
+    for w in np.unique(width).tolist():
+        grams, of = run_hashes(hashes, w), np.flatnonzero(width == w)
+        stop = np.minimum(high[of] + size[of], first[t[of] + 1]) - w + 1
+        of = of[hopeful(index, grams, i[of], low[of], stop)]
+        for k in of.tolist():
+            pair = int(t[k]), int(i[k])
+            value, at = best_window(index.items[pair[1]], grams, int(low[k]), int(high[k]), int(first[pair[0] + 1]), index.threshold)
+            if value >= index.threshold:
+                if by_print[k]:
+                    found_by.add(pair)
+                if (value, -at) > best.get(pair, (0.0, 0)):
+                    best[pair] = (value, -at)
+    return [(a, b, -at - int(first[a]), v, (a, b) in found_by) for (a, b), (v, at) in sorted(best.items())]
 
 
 def _item_shingles(items: DataFrame) -> DataFrame:
@@ -272,11 +390,11 @@ def _indexes(spark: SparkSession, items: DataFrame, threshold: float):
             yield spark.sparkContext.broadcast(build_index([r.item_id for r in rows], [r.text for r in rows], threshold, shared))
 
 
-_RESULT = "doc_id bigint, item_id bigint, first_word bigint, similarity double"
+_RESULT = "doc_id bigint, item_id bigint, first_word bigint, similarity double, by_simhash boolean"
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(doc_id, item_id, first_word, similarity)`` of every item (item_id, text) found in a document.
+    """``(doc_id, item_id, first_word, similarity, by_simhash)`` of every item (item_id, text) found in a document.
 
     One row per row of ``docs`` and item, for its most similar window. Null and empty texts hold
     nothing, items without words are found nowhere, an item of fewer than five words is one shingle.
@@ -292,8 +410,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
                 found = matches(shared.value, *plain_words(block))
                 if found:
                     ids = batch.column(0).slice(block.first, len(block)).to_pylist()
-                    columns = zip(*[(ids[t], shared.value.ids[i], w, v) for t, i, w, v in found])
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                    columns = zip(*[(ids[t], shared.value.ids[i], w, v, b) for t, i, w, v, b in found])
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in _RESULT.split(", ")])
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,20 +181,100 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in op9_decontaminate.contaminated(docs, bench).collect()} == {(i, i) for i, _ in items}
 
 
-def test_no_print_within_the_radius_is_missed():
+@pytest.mark.parametrize("radius", [None, 7, 3])
+def test_no_print_within_the_radius_is_missed(radius):
     rng = np.random.default_rng(2)
-    entry = op9_decontaminate.build_index(list(range(50)), [" ".join(f"v{rng.integers(9999)}" for _ in range(20)) for _ in range(50)]).classes[0]
+    texts = [" ".join(f"v{rng.integers(9999)}" for _ in range(20)) for _ in range(50)]
+    (entry,) = op9_decontaminate.build_index(list(range(50)), texts, radius=radius).classes
+    assert entry.radius == (radius or op9_decontaminate.MOST_RADIUS)
     prints = []
     for p in entry.prints:
-        for bits in range(11):
+        for bits in range(15):
             flips = rng.choice(64, bits, replace=False)
             prints.append(int(p) ^ int(sum(1 << int(f) for f in flips)))
     prints = np.array(prints, np.uint64)
     got = set(zip(*(x.tolist() for x in op9_decontaminate.within_radius(entry, prints))))
-    near = np.bitwise_count(prints[:, None] ^ entry.prints[None]) <= op9_decontaminate.RADIUS
+    near = np.bitwise_count(prints[:, None] ^ entry.prints[None]) <= entry.radius
     assert got == set(zip(*(x.tolist() for x in np.nonzero(near))))
 
 
+def found_in(index, texts):
+    hashes, first = op9_decontaminate.plain_words(op9_decontaminate.texts_of(pa.array(texts)))
+    return {(t, i): by_print for t, i, _, _, by_print in op9_decontaminate.matches(index, hashes, first)}
+
+
+def edited_passages(rng, n):
+    items, texts = [], []
+    for _ in range(n):
+        item = words(rng, rng.randrange(14, 70), 10**6).split()
+        copy = list(item)
+        for _ in range(rng.randrange(1, 4)):
+            copy[rng.choice([0, 1, -1, -2, rng.randrange(len(copy))])] = "changed"
+        items.append(" ".join(item))
+        texts.append(" ".join(words(rng, rng.randrange(0, 9), 10**6).split() + copy + words(rng, rng.randrange(0, 9), 10**6).split()))
+    return items, texts
+
+
+def test_the_radius_decides_what_fingerprints_find():
+    """Fingerprints alone find near copies within the class's radius, fewer within 3, and only unchanged windows within 0."""
+    items, texts = edited_passages(random.Random(21), 400)
+    truth = {(i, i) for i, (a, b) in enumerate(zip(items, texts)) if best_by_brute_force(a.split(), b.split()) >= op9_decontaminate.THRESHOLD}
+    found = {}
+    for radius in (None, 3, 0):
+        index = op9_decontaminate.build_index(list(range(400)), items, complete=False, radius=radius)
+        found[radius] = set(found_in(index, texts))
+        assert found[radius] <= truth and not index.seeds
+    assert len(found[0]) < len(found[3]) < len(found[None]) and len(found[None]) >= 0.95 * len(truth)
+    whole = found_in(op9_decontaminate.build_index(list(range(400)), items), texts)
+    assert set(whole) >= truth and {pair for pair, by_print in whole.items() if by_print} >= found[None]
+    for text, item in set(whole) - truth:  # edits that fall on shingles of little weight
+        assert weighted_by_brute_force([i.split() for i in items], item, texts[text].split()) >= op9_decontaminate.THRESHOLD
+
+
+def weighted_by_brute_force(items, which, text):
+    """Best likeness of all windows by plain and by weighted shingles, the greater of both."""
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    held = Counter(g for item in {tuple(i) for i in items} for g in grams(list(item)))
+    own, best = grams(items[which]), 0.0
+    mean = sum(own.values()) / sum(n / held[g] for g, n in own.items())
+    for scale in (lambda g: 1.0, lambda g: mean / held[g] if g in own else 1.0):
+        for s in range(len(text) - 4):
+            part = grams(text[s : s + len(items[which])])
+            both, either = own & part, own | part
+            best = max(best, sum(n * scale(g) for g, n in both.items()) / sum(n * scale(g) for g, n in either.items()))
+    return best
+
+
+def test_likeness_is_that_of_brute_force_with_weights():
+    rng = random.Random(22)
+    frame = words(rng, 30, 10**6).split()
+    items = [frame + words(rng, rng.randrange(8, 25), 10**6).split() for _ in range(12)] + [words(rng, 40, 10**6).split() for _ in range(12)]
+    texts = []
+    for item in items:
+        copy = list(item)
+        for _ in range(rng.randrange(0, 3)):
+            copy[rng.randrange(len(copy))] = "changed"
+        texts.append(words(rng, 5, 10**6).split() + copy + words(rng, 6, 10**6).split())
+    index = op9_decontaminate.build_index(list(range(len(items))), [" ".join(i) for i in items])
+    hashes, first = op9_decontaminate.plain_words(op9_decontaminate.texts_of(pa.array([" ".join(t) for t in texts])))
+    got = {(t, i): v for t, i, _, v, _ in op9_decontaminate.matches(index, hashes, first)}
+    want = {(t, i): v for t in range(len(texts)) for i in range(len(items)) if (v := weighted_by_brute_force(items, i, texts[t])) >= op9_decontaminate.THRESHOLD}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_a_document_of_several_pieces():
+    rng = random.Random(23)
+    items, _ = edited_passages(rng, 6)
+    piece = op9_decontaminate.PIECE
+    text = words(rng, 2 * piece + 4000, 10**6).split()
+    places = [0, piece - 20, piece, 2 * piece - 3, 2 * piece + 100, len(text) - len(items[5].split())]
+    for item, at in zip(items, places):
+        text[at : at + len(item.split())] = item.split()
+    index = op9_decontaminate.build_index(list(range(6)), items, complete=False)
+    hashes, first = op9_decontaminate.plain_words(op9_decontaminate.texts_of(pa.array(["short", " ".join(text)])))
+    assert [(t, i, w, v) for t, i, w, v, _ in op9_decontaminate.matches(index, hashes, first)] == [(1, i, at, 1.0) for i, at in enumerate(places)]
+
+
 def best_by_brute_force(item, text):
     """Best likeness of all windows of the item's size, every shingle of one weight."""
     grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
