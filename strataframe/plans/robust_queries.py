@@ -19,23 +19,23 @@ WHOLE_FILES = 1 << 62  # every file is read section by section
 
 def _tag_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries whose groups are called like record tags, as the unit and type groups of every file are."""
-    nation = dl.Section("UNIT", [
-        ("UNIT_UNIT", "u1", "X", "n_name"), ("UNIT_NO", "", "0DP", dl.text("n_nationkey")), ("UNIT_REM", "", "PA", dl.text("n_regionkey")),
+    orders = dl.Section("UNIT", [
+        ("UNIT_UNIT", "u1", "X", "o_orderpriority"), ("UNIT_NO", "", "0DP", dl.text("o_orderkey")), ("UNIT_REM", "", "PA", "o_orderstatus"),
     ])
-    region = dl.Section("TYPE", [("TYPE_TYPE", "t1", "PA", "r_name"), ("TYPE_VAL", "m", "2DP", dl.money("r_regionkey"))])
+    customer = dl.Section("TYPE", [("TYPE_TYPE", "t1", "PA", "c_mktsegment"), ("TYPE_VAL", "m", "2DP", dl.money("c_acctbal"))])
     # The code's own quotes close around a blank cell: "GROUP","DATA","".
-    padded = dl.Section('DATA","', [("DATA_NAME", "", "X", "r_name")])
-    texts = [dl.delivery_texts(dl.table(spark, sf_dir, "nation"), nation), dl.delivery_texts(dl.table(spark, sf_dir, "region"), region, padded)]
+    padded = dl.Section('DATA","', [("DATA_NAME", "", "X", "c_name")])
+    texts = [dl.delivery_texts(dl.table(spark, sf_dir, "orders"), orders), dl.delivery_texts(dl.table(spark, sf_dir, "customer"), customer, padded)]
     return texts[0].unionByName(texts[1].withColumn("doc_id", F.col("doc_id") + (1 << 40)))
 
 
 @query("unit_type_groups", """
-    select 'UNIT' as "group", h as heading, u as unit, t as ags_type, (select count(*) from nation) as n_rows
+    select 'UNIT' as "group", h as heading, u as unit, t as ags_type, (select count(*) from orders) as n_rows
     from (values ('UNIT_UNIT', 'u1', 'X'), ('UNIT_NO', null, '0DP'), ('UNIT_REM', null, 'PA')) v(h, u, t)
     union all
-    select 'TYPE', h, u, t, (select count(*) from region) from (values ('TYPE_TYPE', 't1', 'PA'), ('TYPE_VAL', 'm', '2DP')) v(h, u, t)
+    select 'TYPE', h, u, t, (select count(*) from customer) from (values ('TYPE_TYPE', 't1', 'PA'), ('TYPE_VAL', 'm', '2DP')) v(h, u, t)
     union all
-    select 'DATA', 'DATA_NAME', null, 'X', (select count(*) from region)""")
+    select 'DATA', 'DATA_NAME', null, 'X', (select count(*) from customer)""")
 def unit_type_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = dl.write_deliveries(_tag_groups(spark, sf_dir))
     opened = Delivery.from_files(spark, path, dl.fixture_dictionary(spark))
@@ -44,7 +44,7 @@ def unit_type_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("readers_agree", """
-    select g as "group", case when g = 'UNIT' then (select count(*) from nation) else (select count(*) from region) end as n_rows,
+    select g as "group", case when g = 'UNIT' then (select count(*) from orders) else (select count(*) from customer) end as n_rows,
            0 as n_differences
     from (values ('UNIT'), ('TYPE'), ('DATA')) v(g)""")
 def readers_agree(spark: SparkSession, sf_dir: str) -> DataFrame:

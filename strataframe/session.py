@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -43,7 +43,22 @@ def local_session(cores: int | str = "*", app: str = "strataframe", **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    use_own_scratch(spark)
+    return spark
+
+
+# Where a local session without ``spark.checkpoint.dir`` keeps intermediate files.
+OWN_SCRATCH = "strataframe.scratch.dir"
+
+
+def use_own_scratch(spark: SparkSession) -> str:
+    """Give a local session a folder of its own, once. Its driver and executors are one process on one machine."""
+    folder = spark.conf.get(OWN_SCRATCH, None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="strataframe-")
+        spark.conf.set(OWN_SCRATCH, folder)
+    return folder
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -56,15 +71,15 @@ def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate files, on storage every executor can reach.
 
-    The cluster names that storage in ``spark.checkpoint.dir``. Only a local-mode session, whose
-    driver and executors are one process, may fall back to a temporary folder of the machine.
+    The cluster names that storage in ``spark.checkpoint.dir``. Only a local session may do without: it is
+    given a folder of its own (:func:`use_own_scratch`).
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return os.path.join(tempfile.mkdtemp(prefix=f"strataframe-{label}-"), "data")
-    raise DeliveryError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise DeliveryError("set spark.checkpoint.dir to a folder shared by all executors")
+        shared = use_own_scratch(spark)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
