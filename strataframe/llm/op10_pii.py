@@ -9,9 +9,13 @@ classifier is trained on these likelihoods and on features of the span and decid
 Votes and features have few values, so what is counted over the corpus, and what is fitted on the
 driver, has a bounded number of rows. Texts are scanned where they lie; there is no shuffle of texts.
 
+A number of a card's length whose check digit fails is no card unless a word before it says so.
+
 To find places, each match is put between marks and the text is cut at the marks, so pieces are in turn
 outside and inside of matches; a text's own marks are first replaced by another control character,
 which no pattern can match either. Patterns have possessive repeats where these cannot change a match.
+Places are running sums of the pieces' lengths, made in chunks of the square root of their number, overlaps are
+found by bisection, and texts are rebuilt from blocks, so a text with n spans takes n ** 1.5 short steps at most.
 """
 
 from __future__ import annotations
@@ -37,12 +41,14 @@ PATTERNS = {
 }
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-# Candidates of the method: numbers of 7 to 24 characters with signs in them, and spelled-out addresses.
+# Candidates of the method: addresses of eight groups, numbers of 7 to 24 characters with signs in them, and spelled-out addresses.
 CANDIDATE = (
-    r"(?<![0-9A-Za-z.@+-])\(?[0-9][0-9().\x20/-]{5,22}[0-9](?![0-9A-Za-z])"
+    r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"
+    r"|(?<![0-9A-Za-z.@+-])\(?[0-9][0-9().\x20/-]{5,22}[0-9](?![0-9A-Za-z])"
     r"|(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++\x20?[(\[]at[)\]]\x20?[A-Za-z0-9.-]*[A-Za-z0-9]"
 )
 CONTEXT_CHARS = 40
+BLOCK_CHARS = 1024
 # Words that speak for or against personal data before a number, and issuer prefixes.
 FOR_WORDS = "tel|phone|mobile|call|fax|contact|whatsapp|sms|card|visa|mastercard|account|konto|iban|ssn|telefon|handy|téléphone|carte|teléfono|móvil|tarjeta|cuenta|mail"
 AGAINST_WORDS = "version|page|chapter|figure|table|section|isbn|issn|doi|year|seite|kapitel|página|capítulo|license|total|price|eur|usd"
@@ -56,20 +62,51 @@ def _cut(text: Column, pattern: str) -> Column:
     return F.split(marked, _MARK, -1)
 
 
-def _spans(text: Column, pattern: str, valid: Callable[[Column], Column], needs: str | None) -> Column:
-    """Places of the valid matches; ends are exclusive, both count code points."""
-    kind = "array<struct<start:int,end:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.array().cast(kind).alias("found"))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once, also where lambdas use it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or another associative ``add``) of an array of integers, each with its own value in.
+
+    In chunks of the square root of the array's size: within chunks, then over the chunks' last ones.
+    """
+    def scanned(xs: Column) -> Column:
+        empty = F.array().cast("array<int>")
+        more = lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(add(F.element_at(acc, -1), x))))
+        return F.when(F.size(xs) > 0, F.aggregate(xs, empty, more)).otherwise(empty)
+
+    def by_chunks(xs: Column) -> Column:
+        step = (F.floor(F.sqrt(F.size(xs))) + 1).cast("int")
+        begins = F.sequence(F.lit(1), F.size(xs), step)
+        return _let(F.transform(begins, lambda b: scanned(F.slice(xs, b, step))), with_totals)
+
+    def with_totals(chunks: Column) -> Column:
+        totals = scanned(F.transform(chunks, lambda c: F.element_at(c, -1)))
+        carried = lambda before: F.flatten(F.transform(
+            chunks, lambda c, i: F.when(i == 0, c).otherwise(F.transform(c, lambda x: add(F.get(before, i - 1), x)))))
+        return _let(totals, carried)
+
+    return _let(values, lambda xs: F.when(F.size(xs) > 0, by_chunks(xs)).otherwise(F.array().cast("array<int>")))
 
-    def step(acc: Column, piece: Column) -> Column:
-        end = acc["at"] + F.length(piece)
-        span = F.array(F.struct(acc["at"].alias("start"), end.alias("end")))
-        found = F.when(acc["inside"] & valid(piece), F.concat(acc["found"], span)).otherwise(acc["found"])
-        return F.struct(end.alias("at"), (~acc["inside"]).alias("inside"), found.alias("found"))
 
+def _matched(text: Column, pattern: str, made: Callable[[Column, Column, Column], Column]) -> Column:
+    """``made(body, start, before)`` of every match, before it the piece of text between it and the match before."""
+    def at_matches(pieces: Column) -> Column:
+        ends = _running(F.transform(pieces, F.length), lambda a, b: a + b)
+        odd = F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2))
+        return _let(ends, lambda e: F.transform(odd, lambda i: made(F.get(pieces, i), F.get(e, i - 1), F.get(pieces, i - 1))))
+
+    return _let(_cut(text, pattern), lambda pieces: F.when(F.size(pieces) > 2, at_matches(pieces)))
+
+
+def _spans(text: Column, pattern: str, valid: Callable[[Column], Column], needs: str | None) -> Column:
+    """Places of the valid matches; ends are exclusive, both count code points."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    span = lambda body, start, _: F.when(valid(body), F.struct(start.alias("start"), (start + F.length(body)).alias("end")))
     has = F.instr(text, needs) > 0 if needs else text.rlike("[0-9]")
-    found = F.aggregate(_cut(text, pattern), zero, step, lambda acc: acc["found"])
-    return F.when(has, found).otherwise(F.array().cast(kind))
+    return F.when(has, F.coalesce(F.filter(_matched(text, pattern, span), F.isnotnull), none)).otherwise(none)
 
 
 def _digits(piece: Column) -> Column:
@@ -112,18 +149,12 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def candidates(text: Column) -> Column:
     """Candidates with their place, their letters and what stands before them."""
-    kind = "array<struct<start:int,end:int,body:string,before:string>>"
-    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.lit("").alias("before"), F.array().cast(kind).alias("found"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        end = acc["at"] + F.length(piece)
-        span = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), piece.alias("body"), acc["before"].alias("before")))
-        return F.struct(
-            end.alias("at"), (~acc["inside"]).alias("inside"), F.lower(F.substring(piece, -CONTEXT_CHARS, CONTEXT_CHARS)).alias("before"),
-            F.when(acc["inside"], F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
-
-    found = F.aggregate(_cut(text, CANDIDATE), zero, step, lambda acc: acc["found"])
-    return F.when(text.rlike("[0-9]") | text.rlike(r"[(\[]at[)\]]"), found).otherwise(F.array().cast(kind))
+    none = F.array().cast("array<struct<start:int,end:int,body:string,before:string>>")
+    made = lambda body, start, before: F.struct(
+        start.alias("start"), (start + F.length(body)).alias("end"), body.alias("body"),
+        F.lower(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS)).alias("before"))
+    has = text.rlike("[0-9]") | text.rlike(r"[(\[]at[)\]]")
+    return F.when(has, F.coalesce(_matched(text, CANDIDATE, made), none)).otherwise(none)
 
 
 def _vote(yes: Column, no: Column | None = None) -> Column:
@@ -131,17 +162,28 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return (vote if no is None else vote.when(no, -1)).otherwise(0)
 
 
+def _named(before: Column) -> Column:
+    return before.rlike(f"(^|[^\\p{{L}}])({FOR_WORDS})[^\\p{{L}}]")
+
+
+def _may_be(body: Column, before: Column) -> Column:
+    """False for what has a card's length, fails its check digit and is not named before."""
+    digits = _digits(body)
+    failed = F.length(digits).between(13, 19) & ~body.contains(":") & ~_luhn(digits)
+    return ~failed | _named(before)
+
+
 def labelers(body: Column, before: Column) -> dict[str, Column]:
     """Votes: 1 for personal data, -1 against, 0 none."""
     digits = _digits(body)
     size = F.length(digits)
     return {
-        "shape": _vote(body.rlike(r"^\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}$") | body.rlike(r"[(\[]at[)\]]"), size.between(1, 8)),
+        "shape": _vote(body.rlike(r"^\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}$") | body.rlike(r"[(\[]at[)\]]") | body.contains(":"), size.between(1, 8)),
         "length": _vote(body.rlike("^[0-9]{13,19}$") | body.rlike("^[0-9]{4}([ -])[0-9]{4}\\1[0-9]{4}\\1[0-9]{1,7}$"), size > 19),
         "date": _vote(F.lit(False), body.rlike(r"^[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}$|^[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4}$|^[0-9.]+$")),
-        "checksum": _vote((size >= 13) & (size <= 19) & _luhn(digits), size >= 20),
+        "checksum": _vote(size.between(13, 19) & _luhn(digits), (size >= 13) & ~body.contains(":")),
         "issuer": _vote((size >= 13) & digits.rlike(ISSUERS), digits.rlike("^0{4}")),
-        "for": _vote(before.rlike(f"(^|[^\\p{{L}}])({FOR_WORDS})[^\\p{{L}}]")),
+        "for": _vote(_named(before)),
         "against": _vote(F.lit(False), before.rlike(f"(^|[^\\p{{L}}])({AGAINST_WORDS})[^\\p{{L}}]|[$€#]\\s?$")),
     }
 
@@ -151,7 +193,7 @@ def features(body: Column, before: Column) -> dict[str, Column]:
     size = F.length(_digits(body))
     return {
         "digits": F.when(size < 7, "0").when(size < 9, "7").when(size < 12, "9").when(size < 13, "12").when(size < 16, "13").when(size == 16, "16").otherwise("17"),
-        "signs": F.concat(*[F.when(body.contains(s), s).otherwise("") for s in ("(", ".", "-", "/", " ", "at")]),
+        "signs": F.concat(*[F.when(body.contains(s), s).otherwise("") for s in ("(", ".", "-", "/", " ", "at", ":")]),
         "opens": F.when(before.rlike(r"\p{L}\s$"), "word").when(before.rlike(r"[:=]\s?$"), "label").when(before.rlike(r"\p{Nd}\W*$"), "number").otherwise("else"),
         # Runs of digits and of letters as one sign each, so there are few beginnings.
         "group": F.regexp_extract(F.regexp_replace(F.regexp_replace(body, r"[^0-9().\x20/-]+", "a"), "[0-9]+", "9"), "^.{0,6}", 0),
@@ -229,6 +271,27 @@ def _log_odds(model: dict, body: Column, before: Column) -> Column:
     return total
 
 
+def _reach(spans: Column) -> Column:
+    """How far the spans up to each one reach; spans are sorted by start."""
+    return _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+
+def _overlaps(spans: Column, reach: Column, start: Column, end: Column) -> Column:
+    """Whether any of the sorted spans overlaps ``start..end``: of those that begin in front of ``end``, found by
+    bisection, the farthest reaches beyond ``start``."""
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        before = (acc["low"] < acc["high"]) & (F.get(spans, middle)["start"] < end)
+        return F.struct(
+            F.when(before, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(before, acc["high"]).otherwise(F.least(middle, acc["high"])).alias("high"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    bounds = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+    count = F.aggregate(steps, bounds, halve, lambda acc: acc["low"])
+    return F.when(F.size(spans) == 0, F.lit(False)).otherwise(F.coalesce(F.get(reach, count - 1) > start, F.lit(False)))
+
+
 def find(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``docs`` with one column of spans per kind (``email``, ``ip``, ``card``, ``phone``) and ``added``.
 
@@ -240,10 +303,11 @@ def find(docs: DataFrame, model: dict | None = None) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     others = [c for c in docs.columns if c not in (*KINDS, "added", "_found")]
     based = docs.select(*others, *[v.alias(k) for k, v in base_spans(text).items()], candidates(text).alias("_found"))
-    base = F.concat(*[F.col(k) for k in KINDS])
-    free = F.filter("_found", lambda c: ~F.exists(base, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    sure = F.filter(free, lambda c: _log_odds(model, c["body"], c["before"]) >= 0)
-    kind = lambda body: F.when(body.rlike(r"[(\[]at[)\]]"), "email").when(F.length(_digits(body)) >= 13, "card").otherwise("phone")
+    base = F.array_sort(F.concat(*[F.col(k) for k in KINDS]))
+    free = _let(base, lambda b: _let(_reach(b), lambda reach: F.filter("_found", lambda c: ~_overlaps(b, reach, c["start"], c["end"]))))
+    sure = F.filter(free, lambda c: _may_be(c["body"], c["before"]) & (_log_odds(model, c["body"], c["before"]) >= 0))
+    kind = lambda body: F.when(body.rlike(r"[(\[]at[)\]]"), "email").when(body.contains(":"), "ip").when(
+        F.length(_digits(body)) >= 13, "card").otherwise("phone")
     added = F.transform(sure, lambda c: F.struct(kind(c["body"]).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     return based.select(*others, *KINDS, F.when(F.size("_found") > 0, added).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int>>")).alias("added"))
 
@@ -276,27 +340,38 @@ def redact(docs: DataFrame) -> DataFrame:
     kinded = [_of_kind(k, F.col(k)) for k in KINDS]
     extra = F.transform("added", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     spans = F.array_sort(F.concat(*kinded, extra))
-    text = F.col("text")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["done"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(acc["done"]).alias("done"))
-
-    done = F.aggregate(F.col("_spans"), zero, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
     marked = found.withColumn("_spans", spans)
-    redacted = F.when(F.size("_spans") > 0, done).otherwise(text)
+    redacted = F.when(F.size("_spans") > 0, _redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
     return marked.select(*[redacted.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
 
 
+def _redacted(text: Column, spans: Column) -> Column:
+    """The text with its sorted spans replaced, put together from blocks, as a place far in a text is long to walk to."""
+    def part(blocks: Column, start: Column, end: Column) -> Column:
+        low, high = F.floor(start / BLOCK_CHARS).cast("int"), F.floor((end - 1) / BLOCK_CHARS).cast("int")
+        near = F.array_join(F.slice(blocks, low + 1, high - low + 1), "")
+        return F.when(end > start, F.substring(near, start - low * BLOCK_CHARS + 1, end - start)).otherwise(F.lit(""))
+
+    def pieces(blocks: Column, reach: Column) -> Column:
+        # A span that begins where those before it have ended opens a new mark, with the text in front of it.
+        def piece(s: Column, i: Column) -> Column:
+            behind = F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1))
+            mark = F.concat(part(blocks, behind, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.when(s["start"] >= behind, mark).otherwise(F.lit(""))
+
+        return F.concat(F.array_join(F.transform(spans, piece), ""), part(blocks, F.element_at(reach, -1), F.length(text)))
+
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+    return _let(cut, lambda blocks: _let(_reach(spans), lambda reach: pieces(blocks, reach)))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(documents(spark, sf_dir))
     base = {k: _words(k, F.col(k)) for k in KINDS}
     whole = [_words(k, F.array_sort(F.concat(F.col(k), _added(k)))) for k in KINDS]
+    n_base = sum((F.size(k) for k in KINDS), F.lit(0))
     return found.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(_listed(base.values()).cast("binary"), 256).alias("base_sha256"), _listed(whole).alias("spans"),
+        (n_base + F.size("added")).cast("long").alias("n_spans"), F.size("added").cast("long").alias("n_added"),
     )

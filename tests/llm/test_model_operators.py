@@ -376,6 +376,76 @@ def test_the_method_adds_card_like_numbers(spark):
     assert numbers > 390 and dates == 0
 
 
+def planted_personal_data(rng, n):
+    """Texts with personal data that no base pattern finds, and with numbers that are none; what is what by place."""
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    yes = [
+        lambda: ("phone", f"({rng.randrange(200, 999)}) {digits(3)}-{digits(4)}", rng.choice(["call ", "tel: ", "phone "])),
+        lambda: ("phone", f"{rng.randrange(200, 999)}-{digits(3)}-{digits(4)}", rng.choice(["mobile ", "fax: ", ""])),
+        lambda: ("email", f"w{digits(2)} [at] mail{digits(1)}.example.org", rng.choice(["mail ", "contact ", ""])),
+        lambda: ("ip", ":".join(f"{rng.randrange(1, 65536):x}" for _ in range(8)), rng.choice(["from ", "host "])),
+    ]
+    no = [
+        lambda: f"{rng.choice(['', 'on '])}20{digits(2)}-0{rng.randrange(1, 9)}-1{digits(1)}", lambda: f"version {digits(1)}.{digits(2)}.{digits(3)}.1",
+        lambda: f"isbn 978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", lambda: f"total $ {digits(3)} {digits(3)}.{digits(2)}",
+        lambda: "0" + digits(15), lambda: f"page {digits(3)}-{digits(4)}",
+        lambda: next(f"order {n}" for n in iter(lambda: "9" + digits(15), None) if not luhn(n)),
+    ]
+    rows, truth, negative = [], {}, 0
+    for i in range(n):
+        text = words(rng, 6)
+        for _ in range(3):
+            if rng.random() < 0.5:
+                kind, body, before = rng.choice(yes)()
+                text += f" {before}"
+                truth[i, len(text), len(text) + len(body)] = kind
+                text += f"{body} {words(rng, 4)}"
+            else:
+                text, negative = f"{text} {rng.choice(no)()} {words(rng, 4)}", negative + 1
+        rows.append((i, text))
+    return rows, truth, negative
+
+
+def test_precision_and_recall_of_added_spans(spark):
+    rows, truth, negative = planted_personal_data(random.Random(31), 600)
+    found = {(r.doc_id, a.start, a.end): a.kind for r in op10_pii.find(spark.createDataFrame(rows, SCHEMA)).collect() for a in r.added}
+    based = {(r.doc_id, a.start, a.end) for r in op10_pii.find(spark.createDataFrame(rows, SCHEMA)).collect() for k in PATTERNS for a in r[k]}
+    right = {k for k in found if truth.get(k) == found[k]}
+    precision, recall = len(right) / len(found), len(right) / len(set(truth) - based)
+    print(f"added {len(found)} of {len(truth)} planted and {negative} others: precision {precision:.3f}, recall {recall:.3f}")
+    assert precision >= 0.9 and recall >= 0.8
+
+
+def test_a_failing_check_digit_needs_a_word_before_it(spark):
+    rng = random.Random(32)
+    rows = []
+    for i in range(300):
+        number = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+        rows.append((i, f"{words(rng, 5)} {'card' if i % 2 else 'item'} {number} {words(rng, 3)}"))
+    for r in op10_pii.find(spark.createDataFrame(rows, SCHEMA)).collect():
+        for a in r.added:
+            body = r.text[a.start : a.end] if "text" in r else dict(rows)[r.doc_id][a.start : a.end]
+            assert r.doc_id % 2 or luhn(body)
+
+
+def test_a_text_with_very_many_spans(spark):
+    """Its time grows little faster than its spans: places are not found one after the other."""
+    text = "".join(f"é a@b.co 1.2.3.4 tel 555-123-{i % 10_000:04}\n" for i in range(26_000))
+    assert len(text) > 1_000_000
+    df = spark.createDataFrame([(1, text)], SCHEMA)
+    (row,) = op10_pii.find(df).select(*PATTERNS, "added").collect()
+    for kind in ("email", "ip"):
+        assert [tuple(x) for x in row[kind]] == [m.span() for m in re.finditer(PATTERNS[kind], text)]
+    (new,) = op10_pii.redact(df).collect()
+    spans = sorted((s, e, k.upper()) for k in ("email", "ip") for s, e in row[k])
+    spans = sorted(spans + [(a.start, a.end, a.kind.upper()) for a in row.added])
+    parts, at = [], 0
+    for s, e, k in spans:
+        parts += [text[at:s], f"[{k}]"]
+        at = e
+    assert new.text == "".join(parts) + text[at:] and len(spans) > 50_000
+
+
 def test_redaction(spark):
     rows = [(1, "é mail a@b.co, ip 1.2.3.4 tel +44 20 7946 0000 x", "k"), (2, "clean text 12", "k"), (3, None, "k"), (1, "a@b.co", None)]
     got = [tuple(r) for r in op10_pii.redact(spark.createDataFrame(rows, "doc_id bigint, text string, _spans string")).collect()]
