@@ -430,7 +430,7 @@ def test_a_failing_check_digit_needs_a_word_before_it(spark):
 
 def test_a_text_with_very_many_spans(spark):
     """Its time grows little faster than its spans: places are not found one after the other."""
-    text = "".join(f"é a@b.co 1.2.3.4 tel 555-123-{i % 10_000:04}\n" for i in range(26_000))
+    text = "".join(f"é a@b.co 1.2.3.4 tel 555-123-{i % 10_000:04}\n" for i in range(30_000))
     assert len(text) > 1_000_000
     df = spark.createDataFrame([(1, text)], SCHEMA)
     (row,) = op10_pii.find(df).select(*PATTERNS, "added").collect()
