@@ -6,9 +6,10 @@ end until the entry is removed. A capture is kept or dropped by the entries that
 it was fetched, whatever happened to them before or later.
 
 Entries have a scope: a host, a domain (the last two labels of a host), or a path (host and first path
-part). Each scope is one equi-join of the captures with the entry's intervals, one row per entry, so a
-hot host is split by the skew join and nothing multiplies; the interval is then found as of the
-capture's day. An entry has at most one interval per two days of the calendar, whatever the data.
+part). Intervals are cut at the bounds of time buckets of ``BUCKET_DAYS`` days, and each scope is one equi-join of the
+captures on entry and bucket, with one row per pair, so nothing multiplies, a hot host is split by the skew join, and
+no row carries more than a bucket's intervals: one per two days and category, however long the calendar. The interval
+is then found as of the capture's day.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from strataframe.llm.tables import table, unused
 
 SCOPES = ("host", "domain", "path")
 ALLOW = "allow"
+BUCKET_DAYS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -56,30 +58,47 @@ def validity_intervals(events: DataFrame) -> DataFrame:
     return changes.where("added").select(*key, F.col("day").alias("valid_from"), "valid_to")
 
 
+def _bucket(day: Column) -> Column:
+    return F.floor(day / BUCKET_DAYS)
+
+
+def in_buckets(intervals: DataFrame, last: int) -> DataFrame:
+    """Intervals (days as numbers) cut at the bounds of time buckets, up to the day ``last``; ``valid_to`` is never NULL then."""
+    begin, end = F.col("valid_from").cast("long"), F.least(F.coalesce(F.col("valid_to").cast("long"), F.lit(last + 1)), F.lit(last + 1))
+    ended = intervals.select("scope", "entry", "category", begin.alias("_from"), end.alias("_to")).where("_from < _to")
+    each = ended.select("*", F.explode(F.sequence(_bucket(F.col("_from")), _bucket(F.col("_to") - 1))).alias("bucket"))
+    return each.select(
+        "scope", "entry", "category", "bucket", F.greatest("_from", F.col("bucket") * BUCKET_DAYS).alias("valid_from"),
+        F.least("_to", (F.col("bucket") + 1) * BUCKET_DAYS).alias("valid_to"))
+
+
 def filter_captures(captures: DataFrame, events: DataFrame, url: str = "url", day: str = "day") -> DataFrame:
     """``captures`` with ``host``, ``categories`` (sorted, comma-joined) and ``keep``.
 
     A capture is dropped if an entry of any category but ``allow`` is active for it on its day, unless
     one of ``allow`` is. A NULL or unparsable URL, or a NULL day, matches nothing and is kept. Repeated
-    captures each have their row; columns of the result's names are replaced; without events all is kept.
+    captures each have their row; columns of the result's names are replaced; without events all is kept. Days are whole numbers.
     """
     kept = captures.select(*[c for c in captures.columns if c not in ("host", "categories", "keep")])
     spans = validity_intervals(events)
     names = kept.columns
+    bucket = unused(names, "_bucket")
+    last = kept.agg(F.max(F.col(day).cast("long"))).first()[0]
+    pieces = in_buckets(spans, -1 if last is None else last)
     own = {s: unused(names, f"_{s}") for s in SCOPES}
     lists = {s: unused(names, f"_{s}_listed") for s in SCOPES}
     found_name = unused(names, "_found")
-    result = kept.select("*", *[F.when(key != "", key).alias(own[s]) for s, key in scope_keys(F.col(url)).items()])
+    result = kept.select("*", _bucket(F.col(day).cast("long")).alias(bucket), *[F.when(key != "", key).alias(own[s]) for s, key in scope_keys(F.col(url)).items()])
     for scope in SCOPES:
-        listed = spans.where(F.col("scope") == scope).groupBy(F.col("entry").alias(own[scope])).agg(
+        listed = pieces.where(F.col("scope") == scope).groupBy(F.col("entry").alias(own[scope]), F.col("bucket").alias(bucket)).agg(
             F.collect_list(F.struct("category", "valid_from", "valid_to")).alias(lists[scope])
         )
-        result = result.join(listed, own[scope], "left")
+        result = result.join(listed, [own[scope], bucket], "left")
 
     def active(scope: str) -> Column:
         valid = F.filter(
             F.col(lists[scope]),
-            lambda x: (x["valid_from"] <= F.col(day)) & (x["valid_to"].isNull() | (F.col(day) < x["valid_to"])),
+            lambda x: (x["valid_from"] <= F.col(day)) & (F.col(day) < x["valid_to"]),
         )
         return F.coalesce(F.transform(valid, lambda x: x["category"]), F.array().cast("array<string>"))
 

@@ -33,6 +33,7 @@ MARKERS = {
 MARKER = r"^\s*[\[*#<(]{0,3}([A-Za-z]{1,12})[\])>*]{0,3}\s*(?::|>>|\|)[*]{0,2}\s*"
 QUOTE = r"^\s*>\s+"  # a quoted line is the user's
 N_MARKS = 5  # none, one per role, unknown name
+BUNDLE_ROWS = 1 << 17  # lines, or matrices of blocks, that one call holds at most on average
 N_LOOKS = 12
 N_OBSERVED = N_MARKS * N_LOOKS
 # Starting beliefs, as counts that the corpus' own counts are added to.
@@ -167,17 +168,20 @@ def decode(lines: DataFrame, model) -> DataFrame:
 
         return run
 
-    def bundled(df):
-        return df.groupBy(F.pmod(F.xxhash64("conv_id", "group"), F.lit(8 * n)))
+    def bundled(df, rows):
+        # As many bundles as the rows need, so that what one task holds does not grow with the table.
+        return df.groupBy(F.pmod(F.xxhash64("conv_id", "group"), F.lit(max(8 * n, -(-rows // BUNDLE_ROWS)))))
 
     # Upwards: lines, blocks, blocks of blocks, ..., one matrix per conversation.
-    levels = [(lines.select("conv_id", F.col("line_no").alias("at"), "observed"), line_matrices)]
+    rows = lines.count()
+    levels = [(lines.select("conv_id", F.col("line_no").alias("at"), "observed"), line_matrices, rows)]
     while True:
-        table_, matrices = levels[-1]
+        table_, matrices, rows = levels[-1]
         tagged = table_.withColumn("group", F.floor(F.col("at") / BLOCK_LINES))
-        upper = cut_lineage(bundled(tagged).applyInArrow(up(matrices), "conv_id bigint, at bigint, matrix binary"))
-        levels.append((upper, stored))
-        if upper.agg(F.max("at")).first()[0] in (0, None):
+        upper = cut_lineage(bundled(tagged, rows).applyInArrow(up(matrices), "conv_id bigint, at bigint, matrix binary"))
+        top, rows = upper.agg(F.max("at"), F.count("*")).first()
+        levels.append((upper, stored, rows))
+        if top in (0, None):
             break
 
     def ends(part: pa.Table) -> pa.Table:
@@ -188,10 +192,10 @@ def decode(lines: DataFrame, model) -> DataFrame:
     solved = upper.mapInArrow(
         lambda batches: (b for batch in batches for b in ends(pa.Table.from_batches([batch])).to_batches()),
         "conv_id bigint, at bigint, entry int, leave int")
-    for table_, matrices in levels[-2::-1]:
+    for table_, matrices, rows in levels[-2::-1]:
         above = solved.withColumnRenamed("at", "group")
         below = table_.withColumn("group", F.floor(F.col("at") / BLOCK_LINES)).join(above, ["conv_id", "group"])
-        solved = bundled(below).applyInArrow(down(matrices), "conv_id bigint, at bigint, entry int, leave int")
+        solved = bundled(below, rows).applyInArrow(down(matrices), "conv_id bigint, at bigint, entry int, leave int")
     return solved.select("conv_id", F.col("at").alias("line_no"), F.col("leave").alias("state"))
 
 

@@ -46,6 +46,33 @@ def test_only_what_was_active_on_the_day_counts(spark):
     assert rest == sorted([("None", "6", "", True), ("no url", "6", "", True), ("http://a.b.com", "None", "", True), ("http://a.b.com", "6", "spam", False)] * 2)
 
 
+def test_intervals_over_many_buckets_and_long_urls(spark):
+    """Against a plain walk over the days; no joined row has more than a bucket's intervals."""
+    rng = random.Random(41)
+    hosts = [f"h{i}.org" for i in range(6)]
+    events = [("host", rng.choice(hosts), rng.choice(["a", "b"]), rng.randrange(-50, 900), n, rng.random() < 0.6) for n in range(300)]
+    captures = [(n, f"http://{rng.choice(hosts)}/{'x' * rng.choice([1, 100_000])}", rng.randrange(-60, 800)) for n in range(400)]
+    captures += [(400, None, 5), (401, "http://h1.org/", None), (402, captures[0][1], captures[0][2])]
+    schema = "scope string, entry string, category string, day long, seq long, added boolean"
+    got = op4_url_lists.filter_captures(
+        spark.createDataFrame(captures, "id long, url string, day long").withColumn("_bucket", F.lit("mine")), spark.createDataFrame(events, schema))
+    state = {}
+    for _, entry, category, day, seq, added in events:
+        key = (entry, category)
+        state.setdefault(key, {}).setdefault(day, []).append((seq, added))
+    for row in got.collect():
+        host = row.url and row.url.split("/")[2]
+        active = []
+        for category in ("a", "b"):
+            days = [d for d in state.get((host, category), {}) if row.day is not None and d <= row.day]
+            if days and max(state[host, category][max(days)])[1]:
+                active.append(category)
+        assert row.categories == ",".join(active) and row.keep == (not active) and row["_bucket"] == "mine", row.id
+    spans = op4_url_lists.validity_intervals(spark.createDataFrame(events, schema))
+    per_bucket = op4_url_lists.in_buckets(spans, 800).groupBy("scope", "entry", "bucket", "category").count().agg(F.max("count")).first()[0]
+    assert per_bucket <= op4_url_lists.BUCKET_DAYS // 2 + 1
+
+
 def test_no_events_keep_everything(spark):
     captures = spark.createDataFrame([("http://a.com/", 1)], "url string, day bigint")
     assert [r.keep for r in op4_url_lists.filter_captures(captures, spark.createDataFrame([], EVENTS)).collect()] == [True]
@@ -75,6 +102,7 @@ def test_decoding_in_blocks_is_viterbi(spark, monkeypatch):
     said = ["User: hello there?", "Assistant: Yes.", "System: x", "plain", "Note: what", "is it so?", ""]
     rows = [(c, i, rng.choice(said)) for c, n in ((1, 70), (2, 9), (3, 1)) for i in range(n)]
     monkeypatch.setattr(op5_transcripts, "BLOCK_LINES", 4)
+    monkeypatch.setattr(op5_transcripts, "BUNDLE_ROWS", 1)
     lines = transcripts(spark, rows).withColumn("block", F.floor(F.col("line_no") / 4)).withColumn("mark", op5_transcripts.marker_role(F.col("line")))
     lines = lines.withColumn("look", op5_transcripts.look(op5_transcripts.content(F.col("line"))))
     lines = lines.withColumn("observed", (F.col("mark") * op5_transcripts.N_LOOKS + F.col("look")).cast("int"))
