@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strataframe.llm import op4_url_lists, op5_transcripts, op8_quality, op9_decontaminate, op10_pii
+from strataframe.llm.textblocks import texts_of
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -160,6 +161,56 @@ def test_held_out_quality(spark):
     assert len(got) == 4 and all(0 <= s <= 1 for s in got) and got[0] == got[1] == got[3]
 
 
+def test_scores_are_those_of_plain_code(spark):
+    """Context sums, pooling, forward pass and temperature, one token at a time."""
+    rng, dims = random.Random(51), op8_quality.DIMS
+    texts = ["".join(rng.choice(["word", "Word", "12", "%%", "é", " ", " ", "\n", "x", "..", "\t"]) for _ in range(rng.randrange(60))) for _ in range(120)]
+    texts += [None, "", " \n", "one"]
+    row_of = {}
+
+    def split(text):
+        found = re.findall(r"[A-Za-z\u0080-\U0010ffff]+|[0-9]+|[^A-Za-z0-9\u0080-\U0010ffff\x20\t-\r]+", text or "")
+        for t in found:
+            if t not in row_of:
+                row_of[t] = int(op8_quality.tokens(texts_of(pa.array([t])))[0][0])
+        return [row_of[t] for t in found]
+
+    rows = [split(t) for t in texts]
+    sums, counts = np.zeros((op8_quality.ROWS, dims)), np.zeros(op8_quality.ROWS)
+
+    def index_vector(row):
+        found = np.zeros(dims)
+        for place, sign in zip(op8_quality._PLACES[row], op8_quality._SIGNS[row]):
+            found[place] += sign
+        return found
+
+    for own in rows:
+        for k, row in enumerate(own):
+            counts[row] += 1
+            for near in own[max(0, k - 1) : k] + own[k + 1 : k + 2]:
+                sums[row] += index_vector(near)
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got_sums, got_counts = op8_quality.context_sums(docs)
+    assert np.array_equal(got_counts, counts) and np.allclose(got_sums, sums)
+
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id bigint, quality int")
+    model = op8_quality.fit(docs, labels)
+    want = []
+    for own in rows:
+        weights = [1e-3 / (1e-3 + counts[r] / counts.sum()) for r in own]
+        vectors = [sums[r] / max(np.linalg.norm(sums[r]), 1e-9) for r in own]
+        total = max(sum(weights), 1e-12)
+        mean = sum((w * v for w, v in zip(weights, vectors)), np.zeros(dims)) / total
+        spread = np.sqrt(np.maximum(sum((w * v * v for w, v in zip(weights, vectors)), np.zeros(dims)) / total - mean**2, 0))
+        w1, b1, w2, b2 = model.layers
+        x = (np.concatenate([mean, spread]) - model.mean) / model.scale
+        hidden = [max(0.0, float(x @ w1[:, k] + b1[k])) for k in range(len(b1))]
+        logit = (sum(h * w for h, w in zip(hidden, w2)) + float(b2)) / model.temperature
+        want.append(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
+    got = {r.doc_id: r.score for r in op8_quality.score(docs, model).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], want, atol=2e-3)
+
+
 def test_quality_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     model = op8_quality.fit(spark.createDataFrame([], SCHEMA), none)
