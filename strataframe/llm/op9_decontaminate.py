@@ -40,6 +40,7 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 ITEMS_AT_ONCE = 2_000
 PIECE = 1 << 14
+GATHERED = 1 << 16  # shingles of candidate regions that are looked up at a time
 
 _BETWEEN = np.zeros(256, bool)
 _BETWEEN[:0x80] = True
@@ -293,7 +294,7 @@ def candidates(index: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.
     def add(window, item, length, by_print):
         text = np.searchsorted(first, window, "right") - 1
         inside = window + length <= first[text + 1]  # else the window runs into the next text
-        found.append(np.stack([text, item, window])[:, inside])
+        found.append(np.stack([text[inside], item[inside], window[inside]]))
         kinds.append(np.full(int(inside.sum()), by_print))
 
     longest = max((c.length for c in index.classes), default=0)
@@ -317,6 +318,13 @@ def candidates(index: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.
 
 def hopeful(index: Index, grams: np.ndarray, item: np.ndarray, low: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Which regions of shingles ``low..stop`` hold so many of an item's that a window may reach the threshold."""
+    parts = np.cumsum(stop - low) // GATHERED  # regions are looked at in parts, so that memory stays bounded
+    cut = np.searchsorted(parts, np.arange(parts[-1] + 2)) if len(parts) else np.zeros(0, np.int64)
+    found = [_hopeful(index, grams, item[a:b], low[a:b], stop[a:b]) for a, b in zip(cut[:-1], cut[1:]) if a < b]
+    return np.concatenate(found) if found else np.zeros(0, bool)
+
+
+def _hopeful(index: Index, grams: np.ndarray, item: np.ndarray, low: np.ndarray, stop: np.ndarray) -> np.ndarray:
     size = stop - low
     begin = np.cumsum(size) - size
     at = np.arange(size.sum()) - np.repeat(begin - low, size)
