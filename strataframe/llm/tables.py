@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,10 +40,19 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa
         for batch in batches:
             if batch.num_rows:
                 yield from function(batch)
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """Return what a worker has freed to the machine, as it stays alive for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent where the C library is another
+    if trim is not None:
+        trim(0)
+
+
 def unused(columns, name: str) -> str:
     """A column name that none of ``columns`` has (case aside)."""
     taken = {c.lower() for c in columns}
