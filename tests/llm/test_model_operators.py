@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 from collections import Counter
@@ -135,6 +136,89 @@ def test_roles_come_back(spark):
     assert sum(got.get(k) == v for k, v in truth.items()) > 0.85 * len(truth)
 
 
+def packed(blocks):
+    """Blocks ``(at, observations, observation before)`` as the operator packs them."""
+    seen = [[i << op5_transcripts.OBSERVED_BITS | o for i, o in enumerate(found)] for _, found, _ in blocks]
+    return op5_transcripts.Blocks(pa.RecordBatch.from_arrays(
+        [pa.array(range(len(blocks))), pa.array([at for at, _, _ in blocks]), pa.array(seen, pa.list_(pa.int32())),
+         pa.array([before for _, _, before in blocks], pa.int32())], names=["conv_id", "at", "seen", "before"]))
+
+
+def random_model(rng):
+    counts = rng.random(op5_transcripts.N_COUNTS) * 50
+    return op5_transcripts.model_of(counts)[0]
+
+
+def test_expected_counts_against_all_paths():
+    rng = np.random.default_rng(5)
+    model = random_model(rng)
+    first, step, emit = (np.exp(m) for m in model)
+    n_states, n_seen = emit.shape
+    blocks = [(0, rng.integers(0, n_seen, n).tolist(), None) for n in (1, 4, 2)]
+    blocks += [(1, rng.integers(0, n_seen, n).tolist(), int(rng.integers(0, n_seen))) for n in (3, 1)] + [(2, [4, 4], None)]
+    opened, steps, emitted = np.zeros(n_states), np.zeros((n_states, n_states)), np.zeros((n_states, n_seen))
+    for at, seen, before in blocks:
+        entry = np.ones(n_states) if before is None else emit[:, before]
+        paths, total = [], 0.0
+        for path in itertools.product(range(n_states), repeat=len(seen) + (at > 0)):
+            lines = path[1:] if at else path
+            p = entry[path[0]] * step[path[0], path[1]] / entry.sum() if at else first[path[0]]
+            p *= np.prod([step[a, b] for a, b in zip(lines, lines[1:])]) * np.prod([emit[a, o] for a, o in zip(lines, seen)])
+            paths.append((p, path, lines))
+            total += p
+        for p, path, lines in paths:
+            opened[path[0]] += 0 if at else p / total
+            for a, b in zip(path, path[1:]):
+                steps[a, b] += p / total
+            for a, o in zip(lines, seen):
+                emitted[a, o] += p / total
+    expected = np.concatenate([opened, steps.ravel(), emitted.ravel()])
+    np.testing.assert_allclose(op5_transcripts.expected_counts(packed(blocks), model), expected, atol=1e-9)
+
+
+def test_turns_do_not_depend_on_blocks(spark, monkeypatch):
+    """Long turns and lines, gaps, repeats, ties and clashing names; one model, three sizes of block."""
+    rng = random.Random(8)
+    said = ["User: hello there?", "Assistant: Yes.", "System: x", "plain", "Note: what", "> quoted", "", "[AI] >> ok"]
+    rows = [(c, i, rng.choice(said)) for c, n in ((1, 90), (2, 9), (3, 1), (4, 40)) for i in range(n)]
+    rows += [(5, 0, "User: " + "long " * 200_000)] + [(5, i, f"line {i}") for i in range(1, 30)] + [(5, 30, "AI: done"), (5, 31, None)]
+    rows += [(6, 0, "Q: a"), (6, 3, "more"), (6, 9, "A: b"), (6, 9, "A: a"), (6, None, "x"), (None, 1, "x")] + rows[:50]
+    lines = transcripts(spark, rows)
+    for name in ("at", "states", "begin", "turn", "carried", "mark", "said"):
+        lines = lines.withColumn(name, F.lit("mine"))
+    model = random_model(np.random.default_rng(9))
+    monkeypatch.setattr(op5_transcripts, "learn", lambda blocks: model)
+    results = []
+    for size in (512, 4, 7):
+        monkeypatch.setattr(op5_transcripts, "BLOCK_LINES", size)
+        results.append(sorted(tuple(r) for r in op5_transcripts.parse(lines).collect()))
+    assert results[0] == results[1] == results[2]
+    # Every line is in one turn, in order.
+    texts = Counter()
+    for conv, _, _, text, _ in results[0]:
+        texts[conv] += text.count("\n") + 1
+    assert texts == {1: 90, 2: 9, 3: 1, 4: 40, 5: 32, 6: 3}
+
+
+def test_marker_rates_are_learnt(spark):
+    """Two turns in five without a marker: roles come back, and the rate of unmarked turns is found."""
+    rng = random.Random(4)
+    rows = []
+    for c in range(150):
+        at = 0
+        for t in range(rng.randrange(4, 12)):
+            text = words(rng, 12) + ("?" if t % 2 == 0 else ".")
+            bare = rng.random() < 0.4
+            for i in range(rng.choice([1, 1, 1, 2])):
+                rows.append((c, at, ("" if bare or i else ("User: ", "Assistant: ")[t % 2]) + text, ("user", "assistant")[t % 2], i == 0))
+                at += 1
+    lines = spark.createDataFrame([r[:3] for r in rows], "conv_id bigint, line_no bigint, line string")
+    got = {(r.conv_id, r.turn): r.role for r in op5_transcripts.parse(lines).collect()}
+    begun = {(c, at): role for c, at, _, role, first in rows if first}
+    found = [k for k in got if k in begun]
+    assert sum(got[k] == begun[k] for k in found) > 0.95 * len(got) and len(found) > 0.8 * len(begun)
+
+
 # ---------------------------------------------------------------- op8
 
 
