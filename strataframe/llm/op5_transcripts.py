@@ -332,7 +332,8 @@ def decode_blocks(blocks: DataFrame, model) -> tuple[DataFrame, bool]:
         above = solved.withColumnRenamed("at", "group")
         below = table_.withColumn("group", F.floor(F.col("at") / BLOCK_LINES)).join(above, ["conv_id", "group"])
         solved = bundled(below, rows).applyInArrow(down, "conv_id bigint, at bigint, entry int, leave int")
-    found = blocks.join(solved, ["conv_id", "at"]).mapInArrow(
+    # A number of partitions of its own: by bytes alone, packed blocks would be too few tasks for the work they are.
+    found = blocks.repartition(n, "conv_id", "at").join(solved, ["conv_id", "at"]).mapInArrow(
         solve, "conv_id bigint, at bigint, places array<int>, states array<tinyint>, begins array<int>")
     return found, len(levels) == 1
 
