@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,8 @@ BUCKETS, HOT = "buckets", "hot"
 HOT_SUFFIX = "_hot"
 # A key with more than this many average buckets' worth of rows is too hot for one bucket.
 HOT_BUCKETS = 4
+# Groups that are written at the same time, so that the tail of one's jobs does not leave the cluster idle.
+AT_ONCE = 4
 # Delivery text that goes into one bucket.
 BUCKET_BYTES = 256 * 1024 * 1024
 
@@ -109,22 +113,32 @@ def materialise(
     layouts = discover_layouts(staged.heads())
     measured = staged.bodies().groupBy("group").agg(F.sum(F.octet_length("body")).alias("bytes"), F.sum("n_data").alias("rows"))
     sizes = {r.group: (r.bytes or 0, r.rows or 0) for r in measured.collect()}
-    report = []
-    for code, layout in layouts.items():
+
+    def write_group(code: str) -> Iterator[tuple]:
         spec = group_spec(delivery.dictionary, code, allow_custom)
         n_bytes, expected = sizes.get(code, (0, 0))
         count = buckets or _buckets_for(n_bytes)
         table = f"{database + '.' if database else ''}{prefix}{code.lower()}"
-        rows = group_table(staged.bodies(code), layout, spec)
+        rows = group_table(staged.bodies(code), layouts[code], spec)
         # An id repeats where a group has no keys, or none of its own in the dictionary.
         kind = _write_laid_out(rows, "_id", count, table, expected)
         stored = read_table(spark, table)
         n_rows = stored.count()
-        report.append((code, table, TABLE, n_rows, kind))
-        report.append((code, table, ID_INDEX, n_rows, kind))
+        yield code, table, TABLE, n_rows, kind
+        yield code, table, ID_INDEX, n_rows, kind
         if spec.parent is not None:
             by_parent = f"{table}_by_parent"
-            report.append((code, by_parent, PARENT_INDEX, n_rows, _write_laid_out(stored, "_parent_id", count, by_parent, n_rows)))
+            yield code, by_parent, PARENT_INDEX, n_rows, _write_laid_out(stored, "_parent_id", count, by_parent, n_rows)
+
+    # The largest groups begin first; the report keeps the order of the files.
+    by_size = sorted(layouts, key=lambda code: -sizes.get(code, (0, 0))[0])
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        written = {code: pool.submit(lambda code=code: list(write_group(code))) for code in by_size}
+        try:
+            report = [step for code in layouts for step in written[code].result()]
+        except BaseException:
+            pool.shutdown(cancel_futures=True)
+            raise
     return local_table(spark, [(i, *step) for i, step in enumerate(report)], REPORT_SCHEMA)
 
 
