@@ -9,8 +9,11 @@ takes a longer prefix and demands more matches of a partner.
 Counting is a shuffle of packed arrays: shingle hashes of a chunk of documents go to the bucket of
 their upper bits, which counts them and returns those held more than once to the chunk. Whatever two
 sets share is among these, so they also suffice to verify a pair, and texts are not shuffled. Classes
-that may meet are brought together as components of "has this shingle in its prefix"; a component is
-joined in memory, a large one as pairs of blocks. ``links_of`` gives every link, ``linked_documents`` how
+that may meet are brought together as components of "has this shingle in its prefix". A component is
+joined in memory; a large one by parts of its prefix shingles, so that a class goes to as many parts as it
+has such shingles, however large the component is, and the part of the first prefix shingle that two classes
+share decides on the pair. Only a part that a single shingle overfills is joined as pairs of blocks.
+``links_of`` gives every link, ``linked_documents`` how
 many each document has; ``classes_of`` needs components only, and skips pairs that connect nothing new.
 
 Equality of shingles is equality of 64-bit hashes of word hashes, of which at least 52 bits are
@@ -252,19 +255,29 @@ def _short():
     return F.xxhash64("class")
 
 
+def _part(shingles: np.ndarray, parts) -> np.ndarray:
+    """Which of a component's parts a prefix shingle belongs to."""
+    return (_dealt(shingles) % parts).astype(np.int64)
+
+
+def _dealt(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) >> np.uint64(1)).astype(np.int64)
+
+
 def _joined(numerator: int, denominator: int, mode: str):
-    """Joins components in memory: rows of one bundle to links ``(a, b)`` and counts of links ``(a, n_links)``.
+    """Joins components, or parts of them, in memory: rows of one bundle to links ``(a, b)`` and counts of links ``(a, n_links)``.
 
     By ``mode``: ``CONNECT`` gives only links that connect something new, ``COUNT`` gives these and the
     number of all links of each class, ``EVERY`` gives all links.
     """
 
     def join(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("component").to_numpy(), kind="stable")
-        comp = table.column("component").to_numpy()[order]
-        begin = np.flatnonzero(np.concatenate([[True], comp[1:] != comp[:-1]]))
+        comp, part = (table.column(c).to_numpy() for c in ("component", "part"))
+        order = np.lexsort((part, comp))
+        comp, part = comp[order], part[order]
+        begin = np.flatnonzero(np.concatenate([[True], (comp[1:] != comp[:-1]) | (part[1:] != part[:-1])]))
         names, packed = table.column("class").to_pylist(), table.column("shingles").to_pylist()
-        size, matches, reach, side = (table.column(c).to_numpy() for c in ("size", "matches", "reach", "side"))
+        size, matches, reach, side, parts = (table.column(c).to_numpy() for c in ("size", "matches", "reach", "side", "parts"))
         links: list[tuple[bytes, bytes | None, int | None]] = []
         across = table.column("low")[0].as_py() != table.column("high")[0].as_py()
         if across and side.min() == side.max():
@@ -277,7 +290,8 @@ def _joined(numerator: int, denominator: int, mode: str):
                 rows = np.fromiter(seen.values(), np.int64)
                 rows = rows[np.argsort(size[rows], kind="stable")]
                 sets = [np.frombuffer(packed[i], np.uint64) for i in rows]
-                found, times = join_sets(sets, size[rows], matches[rows], reach[rows], side[rows], numerator, denominator, mode)
+                found, times = join_sets(
+                    sets, size[rows], matches[rows], reach[rows], side[rows], numerator, denominator, mode, int(part[s]), int(parts[rows[0]]))
                 links += [(names[rows[a]], names[rows[b]], None) for a, b in found]
                 if mode == COUNT:
                     links += [(names[rows[i]], None, int(times[i])) for i in np.flatnonzero(times)]
@@ -288,18 +302,22 @@ def _joined(numerator: int, denominator: int, mode: str):
     return join
 
 
-def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int, mode: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+def join_sets(
+    sets, size, matches, reach, side, numerator: int, denominator: int, mode: str, part: int = 0, parts: int = 1,
+) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links among sets in ascending order of size (if not ``EVERY``: as far as they connect something new), and counts.
 
     The counts, of all links of each set, are whole unless ``mode`` is ``CONNECT``.
 
     ``sets`` hold the shingles that others may hold, in the common order; ``reach`` of them belong to
-    the prefix. If both sides occur, only pairs between the sides count.
+    the prefix. If both sides occur, only pairs between the sides count. Of several ``parts`` only pairs
+    count whose first common prefix shingle is in this ``part``.
     """
     n = len(sets)
     counts = np.fromiter(map(len, sets), np.int64, n)
     first = np.concatenate([[0], np.cumsum(counts)])
-    local = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    shingle, local = np.unique(np.concatenate(sets), return_inverse=True)
+    mine_to_join = (_part(shingle, parts) == part).tolist() if parts > 1 else None
     two_sides = side.min() != side.max()
     size = size.astype(np.int64)
     index: dict[int, list[int]] = {}
@@ -308,15 +326,23 @@ def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int
     links, times = [], np.zeros(n, np.int64)
     for d in range(n):
         prefix = local[first[d] : first[d] + reach[d]].tolist()
-        near = [index[t] for t in prefix if t in index]
+        shared = [t for t in prefix if t in index]
+        if mine_to_join and not any(mine_to_join[t] for t in shared):
+            shared = []
+        near = [np.asarray(index[t]) for t in shared]
         if near:
-            met = np.bincount(np.concatenate([np.asarray(x) for x in near]), minlength=d)[:d]
+            met = np.bincount(np.concatenate(near), minlength=d)[:d]
             may = np.flatnonzero(met)
             ok = (met[may] >= np.minimum(matches[may], matches[d])) & (size[may] * denominator >= numerator * size[d])
             if mode == CONNECT:
                 ok &= root[may] != root[d]
             if two_sides:
                 ok &= side[may] != side[d]
+            if mine_to_join:
+                ours = np.zeros(d, bool)
+                for t, x in zip(reversed(shared), reversed(near)):
+                    ours[x] = mine_to_join[t]  # the first in the common order is set last
+                ok &= ours[may]
             may = may[ok]
             if len(may):
                 mine = local[first[d] : first[d + 1]]
@@ -339,6 +365,24 @@ def join_sets(sets, size, matches, reach, side, numerator: int, denominator: int
     return links, times
 
 
+def _placed(near: DataFrame, posted: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``(node, component, parts, part)``: where each node of ``near`` (node, component) is joined with others.
+
+    A component of up to ``BLOCK_CLASSES`` nodes is one part. A larger one is cut into parts by the shingles that prefixes
+    share (``posted``: node, shingle, dealt; ``hubs``: shingle), as many as blocks of its postings; a node is in the parts
+    of its own shingles, so rows grow with postings, not with the size of the component.
+    """
+    counts = near.groupBy("component").agg(F.count("*").alias("n"))
+    single = near.join(counts.where(F.col("n") <= BLOCK_CLASSES), "component").select(
+        "node", "component", F.lit(1).alias("parts"), F.lit(0).alias("part"))
+    large = near.join(counts.where(F.col("n") > BLOCK_CLASSES).select("component"), "component")
+    held = cut_lineage(
+        posted.join(hubs.select("shingle"), "shingle").join(large, "node").select("node", "component", "dealt").distinct())
+    parts = held.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("parts"))
+    part = (F.col("dealt") % F.col("parts")).cast("int").alias("part")
+    return single.unionByName(held.join(parts, "component").select("node", "component", "parts", part).distinct())
+
+
 def _join(docs: DataFrame, width: int, numerator: int, denominator: int, mode: str) -> tuple[DataFrame, DataFrame]:
     """Rows of documents with their size and class, and the links and counts of ``mode``."""
     spark = docs.sparkSession
@@ -364,25 +408,26 @@ def _join(docs: DataFrame, width: int, numerator: int, denominator: int, mode: s
         reach = batch.column(1).to_numpy()
         values = [np.frombuffer(s, np.int64)[:r] for s, r in zip(batch.column(2).to_pylist(), reach)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(batch.column(0).to_numpy(), reach)), pa.array(np.concatenate(values))], names=["node", "shingle"])
+            [pa.array(np.repeat(batch.column(0).to_numpy(), reach)), pa.array(np.concatenate(values)),
+             pa.array(_dealt(np.concatenate(values).view(np.uint64)))], names=["node", "shingle", "dealt"])
 
-    posted = over_batches(chosen.select(_short().alias("node"), "reach", "shingles"), postings, "node bigint, shingle bigint")
+    posted = over_batches(chosen.select(_short().alias("node"), "reach", "shingles"), postings, "node bigint, shingle bigint, dealt bigint")
     posted = cut_lineage(posted)
     hubs = posted.groupBy("shingle").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("shingle", "a")
     edges = posted.join(hubs, "shingle").where("a <> node").select("a", F.col("node").alias("b")).distinct()
     near = components(edges)
 
-    placed = chosen.withColumn("node", _short()).join(near, "node")
-    sizes = near.groupBy("component").agg(F.count("*").alias("n")).withColumn("k", F.ceil(F.col("n") / BLOCK_CLASSES).cast("int"))
-    bundles = max(1, near.count() // BUNDLE_CLASSES)
+    placed = cut_lineage(_placed(near, posted, hubs))
+    sizes = placed.groupBy("component", "part").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("k"))
+    bundles = max(1, placed.count() // BUNDLE_CLASSES)
     block = F.pmod(F.xxhash64("class"), F.col("k")).cast("int")
-    # A class meets every block of its component, its own included; the smaller block number is side 0.
+    # A class meets every block of its part, its own included; the smaller block number is side 0.
     tasks = (
-        placed.join(sizes, "component").withColumn("block", block)
+        chosen.withColumn("node", _short()).join(placed.join(sizes, ["component", "part"]), "node").withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .select(
-            "component", "class", "size", "matches", "reach", "shingles",
-            F.when(F.col("k") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.col("component")).alias("bundle"),
+            "component", "part", "parts", "class", "size", "matches", "reach", "shingles",
+            F.when(F.col("k") == 1, F.pmod(F.xxhash64("component", "part"), F.lit(bundles))).otherwise(F.xxhash64("component", "part")).alias("bundle"),
             F.when(F.col("k") == 1, -1).otherwise(F.least("block", "other")).alias("low"),
             F.when(F.col("k") == 1, -1).otherwise(F.greatest("block", "other")).alias("high"),
             (F.col("block") > F.col("other")).cast("int").alias("side"),

@@ -197,6 +197,26 @@ def test_every_link_is_given_and_counted(spark, corpus, monkeypatch, small):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(corpus, 4, 85, 100)
 
 
+@pytest.mark.parametrize("n", [300, 1200])
+def test_a_chained_component_is_placed_by_postings(spark, monkeypatch, n):
+    """One component of any size: two parts at most for a node of two shingles, small parts, and neighbours meet."""
+    monkeypatch.setattr(op2_jaccard_join, "BLOCK_CLASSES", 32)
+    pairs = [(i, s) for i in range(n) for s in (i, i + 1)] * 2  # a class may come from two chunks
+    dealt = op2_jaccard_join._dealt(np.array([s for _, s in pairs], np.uint64)).tolist()
+    posted = spark.createDataFrame([(i, s, d) for (i, s), d in zip(pairs, dealt)], "node long, shingle long, dealt long")
+    hubs = spark.range(1, n).select(F.col("id").alias("shingle"))
+    near = spark.range(n + 20).select(F.col("id").alias("node"), F.when(F.col("id") < n, 7).otherwise(8).cast("long").alias("component"))
+    rows = op2_jaccard_join._placed(near, posted, hubs).collect()
+    assert [(r.parts, r.part) for r in rows if r.component == 8] == [(1, 0)] * 20
+    rows = [r for r in rows if r.component == 7]
+    assert n <= len(rows) <= 2 * n and len({(r.node, r.part) for r in rows}) == len(rows)
+    assert max(Counter(r.part for r in rows).values()) <= 3 * 32
+    at = {(r.node, r.part) for r in rows}
+    for s in range(1, n):
+        part = int(op2_jaccard_join._part(np.array([s], np.uint64), rows[0].parts)[0])
+        assert {(s - 1, part), (s, part)} <= at
+
+
 def test_join_of_odd_tables(spark):
     empty = op2_jaccard_join.classes_of(spark.createDataFrame([], SCHEMA), 4, 85, 100)
     assert empty.columns == ["doc_id", "n_shingles", "component_id"] and empty.count() == 0
