@@ -31,7 +31,7 @@ TRAIN_ROWS = 12_000  # bound of the labelled sample
 HIDDEN = 32
 EPOCHS = 60
 BLOCK = 1 << 20
-PIECE = 1 << 16
+PIECE = 1 << 12  # tokens pooled at a time; their vectors stay in the processor's cache
 
 _KINDS = np.full(256, 3, np.uint8)
 _KINDS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
