@@ -39,7 +39,7 @@ CLASS_SPAN = 1.6  # the longest item of a class, in sizes of its shortest
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 ITEMS_AT_ONCE = 2_000
-PIECE = 1 << 14
+PIECE = 1 << 12  # words whose windows are looked up at a time
 GATHERED = 1 << 16  # shingles of candidate regions that are looked up at a time
 
 _BETWEEN = np.zeros(256, bool)
@@ -123,6 +123,7 @@ class SizeClass:
     items: np.ndarray  # the item of each entry
     prints: np.ndarray
     first: list = field(default_factory=list)  # per block: where the entries of a value begin
+    held: list = field(default_factory=list)  # per block: how many entries a value has
     entries: list = field(default_factory=list)
 
 
@@ -183,7 +184,8 @@ def _class(length: int, members: list[int], words: list[np.ndarray], radius: int
         value = ((prints >> np.uint64(16 * block)) & np.uint64(0xFFFF)).astype(np.int64)
         values = (value[:, None] ^ near).ravel()
         order = np.argsort(values, kind="stable")
-        found.first.append(np.searchsorted(values[order], np.arange(65537)))
+        found.first.append(np.searchsorted(values[order], np.arange(65536)))
+        found.held.append(np.bincount(values, minlength=65536).astype(np.int32))
         found.entries.append((order // len(near)).astype(np.int32))
     return found
 
@@ -229,15 +231,16 @@ def _keyed(grams: np.ndarray, item: np.ndarray) -> np.ndarray:
 def within_radius(entry: SizeClass, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (window, entry) whose fingerprints differ in at most the class's radius."""
     found_w, found_e = [], []
+    values = prints.astype("<u8").view("<u2").reshape(-1, 4)
     for block in range(4):
-        first, entries = entry.first[block], entry.entries[block]
-        value = ((prints >> np.uint64(16 * block)) & np.uint64(0xFFFF)).astype(np.int64)
-        begin, size = first[value], first[value + 1] - first[value]
+        value = values[:, block]
+        size = entry.held[block][value]
         hit = np.flatnonzero(size)
         size = size[hit]
+        stop = np.cumsum(size)
         window = np.repeat(hit, size)
-        at = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[hit], size)
-        which = entries[at]
+        at = np.arange(len(window)) + np.repeat(entry.first[block][value[hit]] - stop + size, size)
+        which = entry.entries[block][at]
         near = np.bitwise_count(prints[window] ^ entry.prints[which]) <= entry.radius
         found_w.append(window[near])
         found_e.append(which[near])
