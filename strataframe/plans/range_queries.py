@@ -116,7 +116,7 @@ def ancestor_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From lines up to regions by the edge table alone."""
     parents = {group: parent for group, parent, _, _ in dl.FIXTURE_GROUPS}
     groups = {SECTIONS[name]().group: keyed(spark, sf_dir, name) for name in SECTIONS}
-    found = relate.ancestors(cut_lineage(relate.edges({g: (df, parents[g]) for g, df in groups.items()})))
+    found = relate.ancestors(relate.edges({g: (df, parents[g]) for g, df in groups.items()}), keep_packed=True)
     return found.groupBy("group", "ancestor_group", "distance").agg(
         F.count("*").alias("n_links"), F.countDistinct("ancestor_id").alias("n_ancestors"))
 

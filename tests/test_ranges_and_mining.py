@@ -195,6 +195,30 @@ def test_a_cycle_is_an_error(spark):
     assert relate.ancestors(spark.createDataFrame([], EDGE)).count() == 0
 
 
+def test_rows_without_children_are_joined_once(spark, monkeypatch):
+    stored = []
+    cut = relate.cut_lineage
+    monkeypatch.setattr(relate, "cut_lineage", lambda df: stored.append(cut(df)) or stored[-1])
+    top = [("T", "t", None, None)] + [("M", f"m{i}", "T", "t") for i in range(2)]
+    # One leaf of two parents, some repeated, most with one link.
+    low = [("L", "both", "M", "m0"), ("L", "both", "M", "m1")] + [("L", f"l{i // 2}", "M", "m1") for i in range(40)] + [("L", f"s{i}", "M", "m0") for i in range(40)]
+    found = relate.ancestors(spark.createDataFrame(top + low, EDGE))
+    rows = [tuple(r) for r in found.collect()]
+    want = {("M", f"m{i}", 1, "T", "t") for i in range(2)}
+    for _, leaf, group, parent in low:
+        want |= {("L", leaf, 1, group, parent), ("L", leaf, 2, "T", "t")}
+    assert len(rows) == len(want) and set(rows) == want
+    assert sum(df.count() for df in stored[1:]) < len(set(low)), "rows that are nobody's parents are stored"
+
+
+def test_packed_ids_come_back(spark):
+    ids = ["", "a", "0123456789abcde", "0123456789abcdef", "01234567-89ab-8def-89ab-0123456789ab", "01234567-89AB-8def-89ab-0123456789ab",
+           "01234567-89ab-8def-89ab-0123456789ab\n", "\0" * 15, "\1" * 14, "\1" * 13, "é𝒳"]
+    made = spark.createDataFrame([(i, i) for i in ids], "i string, _id string").select("i", relate.packed("_id"))
+    assert made.select("_id").distinct().count() == len(ids)
+    assert all(r.i == r._id for r in made.select("i", relate.unpacked("_id")).collect())
+
+
 # ------------------------------------------------------------------------------ mined keys
 
 
