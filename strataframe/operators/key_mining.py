@@ -6,7 +6,7 @@ headings multiply to the number of rows, and estimates of its own number of valu
 aggregate per level makes all of a group's estimates, and only sets that pass are counted exactly.
 
 The parent of a group is one whose key headings it carries under the same names, with no value that the
-parent does not have. All such inclusions come from one job over the groups' distinct hashed values.
+parent does not have. The inclusions in one parent come from one job over hashed values.
 Values travel as 128-bit hashes. What reaches the driver is counts per heading, set or pair of groups.
 """
 
@@ -17,12 +17,13 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 from math import prod
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions.typing import column_type
-from strataframe.session import cut_lineage, local_table
+from strataframe.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, local_table
 
 ID_CODE = "ID"  # the type of identifiers, preferred in keys
 MOST_HEADINGS = 6
@@ -30,6 +31,9 @@ MOST_HEADINGS = 6
 NEAR = 0.85
 RSD = 0.05
 SETS_AT_ONCE = 64
+# A set is refuted by one of this many parts of its values, if that holds a repeat.
+FIRST_PARTS = 64
+WORD_BITS = 60
 MINED_SCHEMA = "group string, parent string, heading string, status string, ags_type string, ordinal long"
 
 
@@ -60,14 +64,41 @@ def _near_unique(rows: DataFrame, sets: Sequence[tuple[str, ...]], n_rows: int)
     return [s for s in sets if estimates[s] >= NEAR * n_rows], estimates
 
 
-def _unique(rows: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[tuple[str, ...]]:
-    """The sets whose values never repeat, counted exactly."""
-    if not sets:
-        return []
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _hashes(s).alias("h")) for i, s in enumerate(sets)]))
-    repeats = rows.select(each.alias("x")).groupBy("x").count().where("count > 1").select("x.i").distinct()
-    refuted = {r.i for r in repeats.collect()}
-    return [s for i, s in enumerate(sets) if i not in refuted]
+def _is_unique(rows: DataFrame, names: Sequence[str]) -> bool:
+    """Whether no two rows share the values of ``names``, counted exactly.
+
+    A repeat among the values in one of ``FIRST_PARTS`` parts settles it. Without one all are counted, by a hash of 8 bytes first;
+    only where those repeat do both hashes count.
+    """
+    whole = rows.select(_hashes(names).alias("h"))
+    short = F.col("h.col1")
+    first = whole.where(F.pmod(short, F.lit(FIRST_PARTS)) == 0)
+    if not first.groupBy("h").count().where("count > 1").isEmpty():
+        return False
+    repeats = repeated_hashes(whole, short)
+    if repeats.isEmpty():
+        return True
+    alike = whole.join(broadcast_if_small(repeats), short == F.col("_repeated"), "left_semi")
+    return alike.groupBy("h").count().where("count > 1").isEmpty()
+
+
+def repeated_hashes(rows: DataFrame, value: Column) -> DataFrame:
+    """``_repeated``: the values of a hash that more than one row has. Stored."""
+    return cut_lineage(rows.groupBy(value.alias("_repeated")).count().where("count > 1").select("_repeated"))
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """The different rows of a stored table. Only rows whose hash repeats are compared whole."""
+    value = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    repeats = repeated_hashes(rows, value)
+    n_repeats = repeats.limit(BROADCAST_ROWS + 1).count()
+    if not n_repeats:
+        return rows
+    if n_repeats > BROADCAST_ROWS:
+        return cut_lineage(rows.distinct())
+    repeats = F.broadcast(repeats)
+    several = rows.join(repeats, value == F.col("_repeated"), "left_semi").distinct()
+    return cut_lineage(rows.join(repeats, value == F.col("_repeated"), "left_anti").unionAll(several))
 
 
 def mine_key(rows: DataFrame, headings: Sequence[Heading], most: int = MOST_HEADINGS) -> tuple[str, ...]:
@@ -92,31 +123,50 @@ def mine_key(rows: DataFrame, headings: Sequence[Heading], most: int = MOST_HEAD
         near, estimates = _near_unique(rows, sets, n_rows)
         if size == 1:
             sizes = estimates
-        found = _unique(rows, near)
-        if found:
-            return min(found, key=lambda s: (-sum(by_name[n].code == ID_CODE for n in s), [by_name[n].ordinal for n in s]))
+        # In the order of preference, so that the first unique set is the key.
+        for chosen in sorted(near, key=lambda s: (-sum(by_name[n].code == ID_CODE for n in s), [by_name[n].ordinal for n in s])):
+            if _is_unique(rows, chosen):
+                return chosen
     return ()
 
 
+def _blank(key: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in key])
+
+
+def _with_bits(mask: int) -> Column:
+    return F.count(F.when(F.col("bits").bitwiseAND(F.lit(mask)) == mask, 1))
+
+
+class Inclusion(NamedTuple):
+    """How many different values of a parent's key a member holds, and how many of them the parent has."""
+
+    parent: str
+    member: str
+    n: int
+    known: int
+
+
 def mine_parents(groups: Mapping[str, DataFrame], keys: Mapping[str, tuple[str, ...]]) -> dict[str, str]:
     """The parent of each group that has one.
 
     Of several the one counts whose key is part of the group's own key, then that with more key headings, then with more
     values in the group, then the smaller code. Rows with a blank cell in a link are no evidence against it.
     """
-    carried = []
+    counted = []
     for parent, key in keys.items():
-        for member, rows in groups.items():
-            names = {c.lower() for c in rows.columns}
-            if key and (member == parent or (set(key) != set(keys.get(member, ())) and all(k.lower() in names for k in key))):
-                blank = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in key])
-                carried.append(rows.where(~blank).select(F.lit(parent).alias("parent"), F.lit(member).alias("member"), _hashes(key).alias("h")).distinct())
-    if not carried:
-        return {}
-    holders = reduce(DataFrame.unionAll, carried).groupBy("parent", "h").agg(F.collect_set("member").alias("members"))
-    known = F.array_contains("members", F.col("parent"))
-    pairs = holders.select("parent", F.explode("members").alias("member"), known.cast("int").alias("known")).where("member <> parent")
-    included = pairs.groupBy("parent", "member").agg(F.count("*").alias("n"), F.sum("known").alias("known")).where("n = known").collect()
+        lower = [k.lower() for k in key]
+        members = [m for m, rows in groups.items() if m != parent and key and set(key) != set(keys.get(m, ()))
+                   and {c.lower() for c in rows.columns}.issuperset(lower)]
+        # Each value says in bits which groups hold it; a parent's own bit is the first of each word.
+        for k in range(0, len(members), WORD_BITS):
+            part = [parent, *members[k : k + WORD_BITS]]
+            held = [groups[m].where(~_blank(key)).select(_hashes(key).alias("h"), F.lit(1 << i).cast("long").alias("bits")) for i, m in enumerate(part)]
+            bits = reduce(DataFrame.unionAll, held).groupBy("h").agg(F.bit_or("bits").alias("bits"))
+            counts = bits.agg(*[c for i in range(1, len(part)) for c in (_with_bits(1 << i), _with_bits(1 << i | 1))]).first()
+            counted += [(parent, m, counts[2 * i], counts[2 * i + 1]) for i, m in enumerate(part[1:])]
+    # All values of the member's that there are, and those that the parent has.
+    included = [Inclusion(*c) for c in counted if c[2] and c[2] == c[3]]
     best: dict[str, tuple] = {}
     for row in included:
         own, key = set(keys.get(row.member, ())), keys[row.parent]
@@ -134,7 +184,7 @@ def mine_keys(groups: Mapping[str, DataFrame], headings: DataFrame, most: int =
     listed = headings.where(F.col("group").isin(list(groups))).groupBy("group", "heading").agg(
         F.min("ags_type").alias("code"), F.min("ordinal").alias("ordinal")).collect()
     of = {g: sorted((Heading(r.heading, r.code, r.ordinal) for r in listed if r["group"] == g), key=lambda h: (h.ordinal, h.name)) for g in groups}
-    rows = {g: cut_lineage(df.select(*[f"`{h.name}`" for h in of[g]]).distinct()) for g, df in groups.items() if of[g]}
+    rows = {g: distinct_rows(cut_lineage(df.select(*[f"`{h.name}`" for h in of[g]]))) for g, df in groups.items() if of[g]}
     keys = {g: mine_key(df, of[g], most) for g, df in rows.items()}
     parents = mine_parents(rows, keys)
     mined = [
