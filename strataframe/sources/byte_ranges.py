@@ -24,6 +24,8 @@ from strataframe.session import cut_lineage, local_table
 CHUNK_BYTES = 16 * 1024 * 1024
 PARTITION_BYTES = 64 * 1024 * 1024
 STEP_BYTES = 64 * 1024
+# Bytes of a chunk that are taken apart at a time.
+PIECE_BYTES = 1024 * 1024
 # Python's codec of the encodings with two bytes a unit, and their line feed.
 WIDE = {"UTF-16LE": ("utf-16-le", b"\n\x00"), "UTF-16BE": ("utf-16-be", b"\x00\n")}
 # Line records of Arrow batches.
@@ -160,24 +162,33 @@ def lines_reader(charset: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 system, name = file_system(row["location"])
                 with system.open_input_file(name) as file:
                     data = read_lines_of(file, 0, row["end"], row["at"], row["to"], feed)
-                if not data:
-                    continue
-                text = data.decode(codec, "replace") if codec else None
-                lines = (text.encode() if codec else data).split(b"\n")
-                if lines[-1] == b"":
-                    lines.pop()
-                if row["at"] == 0:  # a byte order mark counts as read, but is no text
-                    lines[:1] = map(_without_mark, lines[:1])
-                if codec:
-                    nb = [2 * (len(line.encode(codec)) // 2 + 1) for line in text.split("\n")[: len(lines)]]
-                else:
-                    nb = [len(line) + 1 for line in lines]
-                for k in range(0, len(lines), LINES_AT_ONCE):
-                    part = pa.array(lines[k : k + LINES_AT_ONCE], pa.binary())
-                    yield pa.RecordBatch.from_arrays([
-                        pa.repeat(pa.scalar(row["path"]), len(part)), pa.repeat(pa.scalar(row["at"], pa.int64()), len(part)),
-                        part, pa.array(np.asarray(nb[k : k + LINES_AT_ONCE], np.int64)),
-                    ], schema=LINE_ARROW)
+                # A few lines at a time: text and lists of lines take many times the bytes of the file.
+                position = 0
+                while position < len(data):
+                    cut = _find_feed(data, feed, min(position + PIECE_BYTES, len(data)))
+                    stop = len(data) if cut < 0 else cut + len(feed)
+                    yield from pieces_of(row, data[position:stop], position == 0)
+                    position = stop
+                del data
+                pa.default_memory_pool().release_unused()
+
+    def pieces_of(row: dict, data: bytes, begins: bool) -> Iterator[pa.RecordBatch]:
+        text = data.decode(codec, "replace") if codec else None
+        lines = (text.encode() if codec else data).split(b"\n")
+        if lines[-1] == b"":
+            lines.pop()
+        if begins and row["at"] == 0:  # a byte order mark counts as read, but is no text
+            lines[:1] = map(_without_mark, lines[:1])
+        if codec:
+            nb = [2 * (len(line.encode(codec)) // 2 + 1) for line in text.split("\n")[: len(lines)]]
+        else:
+            nb = [len(line) + 1 for line in lines]
+        for k in range(0, len(lines), LINES_AT_ONCE):
+            part = pa.array(lines[k : k + LINES_AT_ONCE], pa.binary())
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(row["path"]), len(part)), pa.repeat(pa.scalar(row["at"], pa.int64()), len(part)),
+                part, pa.array(np.asarray(nb[k : k + LINES_AT_ONCE], np.int64)),
+            ], schema=LINE_ARROW)
 
     return read
 
