@@ -7,9 +7,12 @@ data decides how large a text gets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,18 +62,54 @@ class Section:
         return df.selectExpr(*[f"{value} as {name}" for name, _, _, value in self.headings])
 
 
-def delivery_texts(df: DataFrame, *sections: Section) -> DataFrame:
-    """``(doc_id, content)``: every text has one section per entry, all over the same rows."""
+def delivery_texts(df: DataFrame, *sections: Section, spread: bool = True) -> DataFrame:
+    """``(doc_id, content)``: every text has one section per entry, all over the same rows.
+
+    The rows of a text follow each other in one scan task, which joins them. ``spread`` then deals the texts over
+    tasks; texts that are only written go without.
+    """
     names = [f"s{i}" for i in range(len(sections))]
     lines = df.selectExpr(
         f"monotonically_increasing_id() div {ROWS_PER_TEXT} as doc_id",
         *[f"{section.data_line()} as {name}" for name, section in zip(names, sections)],
     )
-    bodies = [
-        f"concat({tx.literal(section.header + chr(10))}, array_join(collect_list({name}), '\\n'))"
-        for name, section in zip(names, sections)
-    ]
-    return lines.groupBy("doc_id").agg(F.expr(f"concat_ws('\\n\\n', {', '.join(bodies)})").alias("content"))
+    texts = lines.mapInArrow(_joined_lines([section.header for section in sections]), "doc_id bigint, content string")
+    return texts.repartition("doc_id") if spread else texts
+
+
+def _joined_lines(headers: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow function: lines in the order of their texts -> texts. A line is never NULL."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_id, held = None, []
+        for batch in batches:
+            count = batch.num_rows
+            if not count:
+                continue
+            ids, done = batch.column(0).to_numpy(), []
+            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            bounds = pa.array(np.append(first, count).astype(np.int32))
+            runs = [pc.binary_join(pa.ListArray.from_arrays(bounds, batch.column(i + 1)), "\n").to_pylist() for i in range(len(headers))]
+            for doc_id, *lines in zip(ids[first].tolist(), *runs):
+                if doc_id != open_id:
+                    if open_id is not None:
+                        done.append((open_id, content(held)))
+                    open_id, held = doc_id, [[] for _ in headers]
+                for part, line in zip(held, lines):
+                    part.append(line)
+            if done:
+                yield table_of(done)
+        if open_id is not None:
+            yield table_of([(open_id, content(held))])
+
+    def content(held: list[list[str]]) -> str:
+        return "\n\n".join("\n".join([header, *lines]) for header, lines in zip(headers, held))
+
+    def table_of(done: list[tuple[int, str]]) -> pa.RecordBatch:
+        ids, texts = zip(*done)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "content"])
+
+    return join
 
 
 def write_deliveries(texts: DataFrame, *partition_by: str) -> str:

@@ -47,7 +47,7 @@ def write_wide(texts: DataFrame, charset: str) -> str:
 def _wide_orders(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     halves = {"UTF-16LE": "o_orderkey % 2 = 0", "UTF-16BE": "o_orderkey % 2 = 1"}
     accented = dl.table(spark, sf_dir, "orders").withColumn("o_orderpriority", F.concat(F.lit("é𝒳Ċ "), "o_orderpriority"))
-    return {c: write_wide(dl.delivery_texts(accented.where(half), dl.order_section()), c) for c, half in halves.items()}
+    return {c: write_wide(dl.delivery_texts(accented.where(half), dl.order_section(), spread=False), c) for c, half in halves.items()}
 
 
 @query("wide_read", """
@@ -159,7 +159,7 @@ def _mined_keys_sql() -> str:
 @query("mined_keys", _mined_keys_sql())
 def mined_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KEY headings and parents of the test tables' groups, from their rows."""
-    texts = [dl.delivery_texts(dl.table(spark, sf_dir, name), section()).select("content") for name, section in SECTIONS.items()]
+    texts = [dl.delivery_texts(dl.table(spark, sf_dir, name), section(), spread=False).select("content") for name, section in SECTIONS.items()]
     path = dl.write_deliveries(texts[0].unionAll(texts[1]).unionAll(texts[2]).unionAll(texts[3]).unionAll(texts[4]))
     opened = Delivery.from_files(spark, path)
     groups = {code: opened.group(code, allow_custom=True) for code in ("REGN", "NATN", "CUST", "ORDR", "LINE")}

@@ -307,8 +307,8 @@ def scratch_database(spark: SparkSession) -> str:
 
 
 def _materialised(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    customers = dl.delivery_texts(dl.table(spark, sf_dir, "customer"), dl.customer_section())
-    orders = dl.delivery_texts(dl.table(spark, sf_dir, "orders"), dl.order_section())
+    customers = dl.delivery_texts(dl.table(spark, sf_dir, "customer"), dl.customer_section(), spread=False)
+    orders = dl.delivery_texts(dl.table(spark, sf_dir, "orders"), dl.order_section(), spread=False)
     texts = customers.withColumn("doc_id", F.concat(F.lit("a"), "doc_id")).unionByName(
         orders.withColumn("doc_id", F.concat(F.lit("b"), "doc_id"))
     )
