@@ -48,6 +48,21 @@ ONE_BIG = 15  # one id of up to 60 bits, or an escape: told apart by the top pay
 _ESCAPE = np.uint64(1 << 59)
 
 
+_SHORT_BITS = np.zeros(1 << 16, np.uint8)
+for _b in range(16):
+    _SHORT_BITS[1 << _b : 2 << _b] = _b + 1
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """The bits of each id."""
+    if ids.max() < 1 << 16:
+        return _SHORT_BITS[ids.astype(np.uint16)]
+    bits = np.zeros(len(ids), np.uint8)
+    for b in range(64):
+        bits += (ids >> np.uint64(b)) != 0
+    return bits
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, first word of each block, raw ids, first raw id of each block."""
     ids = np.asarray(ids, np.uint64)
@@ -59,30 +74,29 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     ends = np.minimum((np.arange(total) // BLOCK_IDS + 1) * BLOCK_IDS, total).astype(np.int32)
     # The selector a word would have if it began here: the first whose ids all fit and end in the block.
     selector = np.full(total, ONE_BIG, np.uint8)
+    bits = _bits(ids)
     for s in range(ONE_BIG - 1, -1, -1):
         count, width = int(COUNTS[s]), int(WIDTHS[s])
-        if count > total:
+        # The places of the ids that fit: ``count`` of them in a row lie that far apart.
+        fits = np.flatnonzero((ids == 1) if s == 0 else bits <= width)
+        if count > len(fits):
             continue
-        fits = (ids == 1) if s == 0 else (ids == 0) if s == 1 else (ids >> np.uint64(width)) == 0
-        bad = np.concatenate([[0], np.cumsum(~fits, dtype=np.int32)])
-        at = np.flatnonzero(bad[count:] == bad[: total - count + 1])
+        at = fits[: len(fits) - count + 1]
+        at = at[fits[count - 1 :] - at == count - 1]
         at = at[at + count <= ends[at]]
         selector[at] = s
     # Follow the chain of words in all blocks at once.
     step = COUNTS[selector]
     place = np.arange(n_blocks, dtype=np.int64) * BLOCK_IDS
-    block = np.arange(n_blocks)
     limit = ends[place]
-    starts, owners = [], []
+    starts = []
     while len(place):
         starts.append(place)
-        owners.append(block)
         place = place + step[place]
         alive = place < limit
-        place, block, limit = place[alive], block[alive], limit[alive]
-    starts, owners = np.concatenate(starts), np.concatenate(owners)
-    order = np.lexsort((starts, owners))
-    starts, owners = starts[order], owners[order]
+        place, limit = place[alive], limit[alive]
+    starts = np.sort(np.concatenate(starts))
+    owners = starts // BLOCK_IDS
     chosen = selector[starts]
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):

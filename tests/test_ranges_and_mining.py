@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import gzip
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import MINI, REDECLARED
 
 from strataframe import Delivery, build_section_index, read_group, read_group_indexed
 from strataframe.errors import DeliveryError
+from strataframe.plans import deliveries as dl
 from strataframe.operators import dedup, key_mining, relate
 from strataframe.sources import byte_ranges, section_index
 from strataframe.sources.audit import ingest_audit
@@ -245,3 +247,50 @@ def test_no_rows_give_no_key(spark):
     empty = spark.createDataFrame([], "A string")
     mined = key_mining.mine_keys({"E": empty}, headings_of(spark, E=[("A", "ID")])).collect()
     assert [(r.heading, r.status, r.parent) for r in mined] == [("A", "OTHER", None)]
+
+
+def test_only_repeated_rows_are_compared_whole(spark):
+    once = spark.range(100).selectExpr("cast(id as string) as a", "if(id = 3, null, id) as b")
+    assert key_mining.distinct_rows(once) is once
+    twice = once.unionAll(once.where("a < '3'")).unionAll(once.where("b is null"))
+    assert sorted(map(repr, key_mining.distinct_rows(twice).collect())) == sorted(map(repr, once.collect()))
+
+
+def test_sets_are_counted_one_by_one(spark, monkeypatch):
+    rows = spark.range(300).selectExpr("id as a", "id div 2 as b", "id % 2 as c")
+    asked = []
+    real = key_mining._is_unique
+    monkeypatch.setattr(key_mining, "_is_unique", lambda df, names: asked.append(names) or real(df, names))
+    heads = [key_mining.Heading(n, "ID" if n != "a" else "X", i) for i, n in enumerate("abc")]
+    assert key_mining.mine_key(rows.select("b", "c"), heads[1:]) == ("b", "c") and real(rows, ["a"]) and not real(rows, ["b"])
+    asked.clear()
+    doubled = rows.withColumn("d", F.col("a"))
+    assert key_mining.mine_key(doubled, [*heads, key_mining.Heading("d", "ID", 3)]) == ("d",) and asked == [("d",)]
+
+
+# ------------------------------------------------------------------------------ what a task holds
+
+
+def test_lines_are_taken_apart_a_few_at_a_time(tmp_path):
+    text = "".join(f'"DATA","{i}","é𝒳 {"x" * 300}"\n' for i in range(9000)) + '"DATA","open"'
+    (tmp_path / "f").write_bytes(text.encode("utf-16-le"))
+    size = (tmp_path / "f").stat().st_size
+    chunk = pa.RecordBatch.from_pylist([{"path": "f", "location": str(tmp_path / "f"), "end": size, "at": 0, "to": size}])
+    batches = list(byte_ranges.lines_reader("UTF-16LE")(iter([chunk])))
+    assert [line for b in batches for line in b.column("line").to_pylist()] == [line.encode() for line in text.split("\n")]
+    assert max(b.column("line").nbytes for b in batches) < 1 << 20, "a chunk is held as lines whole"
+    assert sum(sum(b.column("nb").to_pylist()) for b in batches) == size + 2
+
+
+def test_texts_are_joined_without_a_shuffle(spark):
+    rows = spark.range(0, 25_700, 1, 3).withColumnRenamed("id", "c_custkey").selectExpr(
+        "c_custkey", "concat('n', c_custkey) as c_name", "1.5 as c_acctbal", "'s' as c_mktsegment", "0 as c_nationkey")
+    texts = dl.delivery_texts(rows, dl.customer_section(), dl.Section("X", [("X_ID", "", "ID", dl.text("c_custkey"))]), spread=False)
+    assert "Exchange" not in texts._jdf.queryExecution().executedPlan().toString()
+    held = texts.collect()
+    assert len({r.doc_id for r in held}) == len(held)
+    for code, n in (("CUST", 0), ("X", 1)):
+        sections = [r.content.split("\n\n")[n].split("\n") for r in held]
+        assert all(s[0] == f'"GROUP","{code}"' and len(s) <= 4 + dl.ROWS_PER_TEXT for s in sections)
+        keys = [int(line.split('"')[3]) for s in sections for line in s[4:]]
+        assert sorted(keys) == list(range(25_700)) and all(s[4:] == sorted(s[4:], key=lambda x: int(x.split('"')[3])) for s in sections)
